@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.llm import bpe, curriculum, minmax_dedup, quality_gbdt, quality_rules, secret_scan, toxicity
+from sieveline.llm import bpe, curriculum, hilbert_ann, lm_bloom, minmax_dedup, quality_gbdt, quality_rules, secret_scan, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,10 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert_ann.search(table(spark, sf_dir, "embeddings"))
+
+
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_gbdt.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -32,6 +36,13 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(toxicity.held_out(is_=1), F.lit(False))
+    scored = lm_bloom.score(docs, train=~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = curriculum.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "passes", F.round("position", 9).alias("position")).orderBy("position", "doc_id")
@@ -51,9 +62,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1,
+    "op3_hilbert_ann": op3,
     "op4_quality_gbdt": op4,
     "op5_minmax_dedup": op5,
     "op6_zstd_toxicity": op6,
+    "op7_bloom_lm": op7,
     "op8_curriculum_mix": op8,
     "op9_trigram_secrets": op9,
     "op10_byte_bpe": op10,
