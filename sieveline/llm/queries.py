@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.llm import bpe, curriculum, hilbert_ann, lm_bloom, minmax_dedup, quality_gbdt, quality_rules, secret_scan, toxicity
+from sieveline.llm import bpe, curriculum, hilbert_ann, lm_bloom, minmax_dedup, pii, quality_gbdt, quality_rules, secret_scan, toxicity
+
+#: The queries' key; in production it is a secret that the caller passes.
+PII_KEY = "sieveline-queries"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +23,13 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = pii.replace(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+    count = lambda *kinds: F.size(F.filter(F.coalesce("__found", F.array()), lambda s: s["kind"].isin(*kinds))).cast("long")
+    names = ("given_f", "given_m", "given_u", "surname")
+    return done.select("doc_id", count(*pii.KINDS).alias("n_entities"), count("email").alias("n_emails"), count("phone").alias("n_phones"), count("card", "account", "iban", "ssn").alias("n_numbers"), count("ip").alias("n_ips"), count(*names).alias("n_names"), "text")
+
+
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_ann.search(table(spark, sf_dir, "embeddings"))
 
@@ -62,6 +72,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1,
+    "op2_pii_surrogates": op2,
     "op3_hilbert_ann": op3,
     "op4_quality_gbdt": op4,
     "op5_minmax_dedup": op5,

@@ -43,13 +43,13 @@ def held_out(doc_id: str = "doc_id", of: int = 5, is_: int = 0):
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, rows: int, chars: int | None = None) -> DataFrame:
-    """text, y of at most `rows` labelled documents that are not held out, drawn by a hash of doc_id."""
+    """__id, text, y of at most `rows` labelled documents that are not held out, drawn by a hash of doc_id; one text of each id."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out())
     known = known.select(F.col("doc_id").cast("long").alias("__id"), F.col(label).cast("int").alias("y")).groupBy("__id").agg(F.max("y").alias("y"))
     drawn = known.orderBy(F.xxhash64("__id"), "__id").limit(rows)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     found = docs.select(F.col("doc_id").cast("long").alias("__id"), (F.substring(text, 1, chars) if chars else text).alias("text"))
-    return found.join(F.broadcast(drawn), "__id").orderBy(F.xxhash64("__id"), "__id", "text").limit(rows).select("__id", "text", "y")
+    return found.join(F.broadcast(drawn), "__id").groupBy("__id", "y").agg(F.min("text").alias("text")).select("__id", "text", "y")
 
 
 def windows(words: list[bytes], width: int = WINDOW) -> Iterator[bytes]:
@@ -165,6 +165,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 def classify(docs: DataFrame, labels: DataFrame, label: str = "toxic", threshold: float = 0.5) -> DataFrame:
     """doc_id, held_out, score, predicted of each row of docs, learned from the labels that are not held out."""
-    sample = [(r["text"], r["y"]) for r in labelled(docs, labels, label, SAMPLE, SAMPLE_CHARS).collect()]
+    drawn = labelled(docs, labels, label, SAMPLE, SAMPLE_CHARS).withColumn("place", F.xxhash64("__id")).collect()
+    sample = [(r["text"], r["y"]) for r in sorted(drawn, key=lambda r: (r["place"], r["__id"]))]
     scored = score(docs, fit(sample))
     return scored.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
