@@ -189,20 +189,23 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     return encoded.select(F.col("doc_id").cast("long"), "ids").mapInArrow(run, "doc_id long, bytes binary, text string")
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256, same (the decoded bytes are the text's) of each row, in one pass."""
+def round_trip(docs: DataFrame, path: str, pattern: str, ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256, same (the decoded bytes are the text's), and `ids` if asked for, in one pass."""
     sent = _sent(docs, path, pattern)
+    with_ids = ids
 
     def run(batches):
         codec = _codec(sent.value)
         for batch in _small(batches):
-            texts, n, ids_sha, text_sha, same = batch.column(1).to_pylist(), [], [], [], []
+            texts, n, ids_sha, text_sha, same, found = batch.column(1).to_pylist(), [], [], [], [], []
             for text, ids in zip(texts, codec.encode_all(texts)):
                 raw = codec.decode(np.frombuffer(ids, "<u4").tolist())
                 n.append(len(ids) // 4)
                 ids_sha.append(hashlib.sha256(ids).hexdigest())
                 text_sha.append(hashlib.sha256(raw).hexdigest())
                 same.append(raw == (text or "").encode())
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "n_tokens": pa.array(n, pa.int64()), "ids_sha256": ids_sha, "decoded_sha256": text_sha, "same": same})
+                found.append(np.frombuffer(ids, "<i4") if with_ids else None)
+            cols = {"doc_id": batch.column(0), "n_tokens": pa.array(n, pa.int64()), "ids_sha256": ids_sha, "decoded_sha256": text_sha, "same": same}
+            yield pa.RecordBatch.from_pydict(cols | ({"ids": pa.array(found, pa.list_(pa.int32()))} if with_ids else {}))
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, same boolean")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, same boolean" + ", ids array<int>" * with_ids)

@@ -55,8 +55,8 @@ def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, limit: int = LIM
     return first.withColumn("share", share).select("source", "place", "source_size", target.alias("target"))
 
 
-def _sized(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text").cast("string")).alias("size"))
+def _sized(docs: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    return docs.select(*keep, F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text").cast("string")).alias("size"))
 
 
 def schedule_position(schedules: Sequence, place: str, done: str) -> str:
@@ -78,13 +78,14 @@ def schedule_position(schedules: Sequence, place: str, done: str) -> str:
     return f"least(1.0D, CASE {' '.join(cases)} END)"
 
 
-def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, limit: int = LIMIT, schedules: Sequence = SCHEDULES, cut_last: bool = True) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken, passes, position (of the first pass, null if never taken) of each row.
+def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, limit: int = LIMIT, schedules: Sequence = SCHEDULES, cut_last: bool = True, keep: Sequence[str] = ()) -> DataFrame:
+    """doc_id, source, size, source_size, target, taken, passes, position (of the first pass, null if never taken) of each row, and the columns
+    `keep`.
 
     With cut_last the document in which a target ends gives just the words that it lacks; otherwise documents are taken whole, the
     last one if at least half of it is within the target.
     """
-    sized = written(_sized(docs).withColumn("draw", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
+    sized = written(_sized(docs, keep).withColumn("draw", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     goals = written(targets(totals.select("source", "source_size"), weights, limit).withColumnRenamed("source", "goal_source"))
     n = sized.count()
@@ -109,7 +110,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, limit: int = LIMIT, s
     taken = placed.withColumn("whole", whole).withColumn("part", part)
     taken = taken.withColumn("taken", F.col("whole") * F.col("size") + F.col("part")).withColumn("passes", F.when(F.col("size") > 0, F.col("whole") + (F.col("part") > 0).cast("long")).otherwise(0).cast("long"))
     first = F.expr(schedule_position(schedules, "place", "before / greatest(target, 1.0D)"))
-    return taken.select("doc_id", "source", "size", "source_size", "target", "taken", "passes", F.when(F.col("passes") > 0, first).alias("position"), "place", "before")
+    return taken.select(*keep, "doc_id", "source", "size", "source_size", "target", "taken", "passes", F.when(F.col("passes") > 0, first).alias("position"), "place", "before")
 
 
 def positions(mixed: DataFrame, schedules: Sequence = SCHEDULES) -> DataFrame:
@@ -117,3 +118,14 @@ def positions(mixed: DataFrame, schedules: Sequence = SCHEDULES) -> DataFrame:
     each = mixed.where("passes > 0").withColumn("pass", F.explode(F.sequence(F.lit(0), F.col("passes").cast("int") - 1)))
     done = "(before + pass * source_size) / greatest(target, 1.0D)"
     return each.select("doc_id", "source", "size", "pass", F.expr(schedule_position(schedules, "place", done)).alias("position")).orderBy("position", "doc_id", "pass")
+
+
+def arrange(docs: DataFrame, weights: Sequence[int] = WEIGHTS, limit: int = LIMIT, schedules: Sequence = SCHEDULES) -> DataFrame:
+    """The training order: each document with all its columns as often as the mix takes it whole, range-sorted by position."""
+    held = written(docs.withColumn("__row", F.monotonically_increasing_id()))
+    mixed = mix(held, weights, limit, schedules, cut_last=False, keep=("__row",))
+    each = mixed.where("passes > 0").withColumn("pass", F.explode(F.sequence(F.lit(0), F.col("passes").cast("int") - 1)))
+    done = "(before + pass * source_size) / greatest(target, 1.0D)"
+    at = each.select(F.col("__row").alias("__at_row"), F.expr(schedule_position(schedules, "place", done)).alias("__position"))
+    found = held.join(at, F.col("__row") == F.col("__at_row"))
+    return found.orderBy("__position", "__row").select(*[F.col(f"`{c}`") for c in docs.columns])
