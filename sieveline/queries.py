@@ -1,6 +1,562 @@
-"""The library's queries and the SQL that gives the same rows."""
+"""The library's queries over the test tables, and the SQL that gives the same rows in DuckDB.
+
+Patterns are spelled twice, for Java and for RE2: RE2 has no lookaround, and its word boundary is ASCII only.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sieveline import labels as L
+from sieveline.functions import checksums, recognisers, rules, validate
+from sieveline.functions import text as T
+from sieveline.operators import evaluate, report
+from sieveline.operators.classify import classify_column, classify_columns, explain_text
+from sieveline.operators.extract import GazetteerExtractor, with_entities
+from sieveline.streaming.classify import level_counts
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _list(words) -> str:
+    return "[" + ", ".join(map(_q, words)) + "]"
+
+
+# --- SQL pieces -----------------------------------------------------------------------------------
+EMAIL_RE2 = T.EMAIL
+CARD_RE2 = r"(?:^|[^\d-])(\d(?:[ -]?\d){12,18})"
+PHONE_RE2 = T.INTL_PHONE
+STREET_RE2 = rf"(?:^|[^\p{{L}}\p{{N}}_])({'|'.join(L.STREET_WORDS)})(?:$|[^\p{{L}}\p{{N}}_])"
+
+
+def sql_digits(x: str) -> str:
+    return f"regexp_replace({x}, '[^0-9]', '', 'g')"
+
+
+def sql_n_digits(x: str) -> str:
+    return f"length({sql_digits(x)})"
+
+
+def sql_luhn(x: str) -> str:
+    g = sql_digits(x)
+    return f"(length({g}) BETWEEN 13 AND 19 AND list_sum(list_transform(range(1, length({g}) + 1), lambda i: CASE WHEN i % 2 = 0 THEN (2 * substr(reverse({g}), i, 1)::INT) // 10 + (2 * substr(reverse({g}), i, 1)::INT) % 10 ELSE substr(reverse({g}), i, 1)::INT END)) % 10 = 0)"
+
+
+def sql_has_email(t: str) -> str:
+    return f"regexp_matches({t}, {_q(EMAIL_RE2)})"
+
+
+def sql_has_card(t: str) -> str:
+    return f"(len(list_filter(regexp_extract_all({t}, {_q(CARD_RE2)}, 1), lambda x: {sql_luhn('x')})) > 0)"
+
+
+def sql_has_phone(t: str) -> str:
+    return f"(len(list_filter(regexp_extract_all({t}, {_q(PHONE_RE2)}), lambda x: {sql_n_digits('x')} BETWEEN 8 AND 15)) > 0)"
+
+
+def sql_labels(*pairs: tuple[str, str]) -> str:
+    """A sorted list of the labels whose test holds."""
+    return "list_sort(list_filter([" + ", ".join(f"CASE WHEN {test} THEN {_q(label)} END" for label, test in pairs) + "], lambda x: x IS NOT NULL))"
+
+
+def sql_backstop(t: str) -> str:
+    return sql_labels(("credit card number", sql_has_card(t)), ("email address", sql_has_email(t)), ("phone number", sql_has_phone(t)))
+
+
+def sql_level(found: str) -> str:
+    has = lambda g: f"list_has_any({found}, {_list(g)})"
+    return sql_level_of_flags(*map(has, (L.NAME, L.COMBINATION, L.PRIVATE_ALONE, L.CONFIDENTIAL_ALONE, L.SENSITIVE)))
+
+
+def sql_level_of_flags(n: str, c: str, p: str, k: str, s: str) -> str:
+    strong = f"(({n} AND {c}) OR {k})"
+    return f"CASE WHEN {s} AND {strong} THEN {_q(L.LEVELS[3])} WHEN {strong} OR {s} THEN {_q(L.LEVELS[2])} WHEN {p} OR {n} THEN {_q(L.LEVELS[1])} ELSE {_q(L.LEVELS[0])} END"
+
+
+def sql_rank(level: str) -> str:
+    return f"(list_position({_list(L.LEVELS)}, {level}) - 1)"
+
+
+def sql_joined(found: str) -> str:
+    return f"array_to_string({found}, '|')"
+
+
+def joined(found: Column | str) -> Column:
+    return F.array_join(found, "|")
+
+
+# --- patterns ---------------------------------------------------------------------------------------
+@query(f"WITH d AS (SELECT doc_id, {sql_backstop('text')} AS e FROM documents) SELECT doc_id, len(e)::BIGINT AS n_elements, {sql_joined('e')} AS elements, {sql_level('e')} AS level FROM d")
+def regex_base_documents(spark, sf_dir):
+    found = table(spark, sf_dir, "documents").select("doc_id", recognisers.backstop(F.col("text")).alias("e"))
+    return found.select("doc_id", F.size("e").cast("long").alias("n_elements"), joined("e").alias("elements"), rules.level(F.col("e")).alias("level"))
+
+
+@query(f"SELECT doc_id FROM documents WHERE {sql_has_email('text')}")
+def regex_email(spark, sf_dir):
+    return table(spark, sf_dir, "documents").where(T.has_email(F.col("text"))).select("doc_id")
+
+
+@query(f"SELECT doc_id FROM documents WHERE {sql_has_phone('text')}")
+def regex_phone(spark, sf_dir):
+    return table(spark, sf_dir, "documents").where(T.has_intl_phone(F.col("text"))).select("doc_id")
+
+
+@query(f"SELECT doc_id FROM documents WHERE {sql_has_card('text')}")
+def regex_card_luhn(spark, sf_dir):
+    return table(spark, sf_dir, "documents").where(T.has_card(F.col("text"))).select("doc_id")
+
+
+@query(f"WITH c AS (SELECT doc_id, regexp_extract_all(text, {_q(CARD_RE2)}, 1) AS cs FROM documents), e AS (SELECT doc_id, unnest(cs) AS card FROM c) SELECT doc_id, card, {sql_luhn('card')} AS luhn_ok, count(*)::BIGINT AS n FROM e GROUP BY ALL")
+def card_candidates_exploded(spark, sf_dir):
+    cards = table(spark, sf_dir, "documents").select("doc_id", F.explode(T.card_candidates(F.col("text"))).alias("card"))
+    return cards.groupBy("doc_id", "card", T.luhn(F.col("card")).alias("luhn_ok")).agg(F.count("*").alias("n"))
+
+
+@query(f"SELECT lang, source, sum({sql_n_digits('text')})::BIGINT AS digits, max({sql_n_digits('text')})::BIGINT AS most FROM documents GROUP BY ALL")
+def digit_count_profile(spark, sf_dir):
+    n = T.n_digits(F.col("text"))
+    return table(spark, sf_dir, "documents").groupBy("lang", "source").agg(F.sum(n).alias("digits"), F.max(n).cast("long").alias("most"))
+
+
+@query(f"SELECT doc_id, lang FROM documents WHERE regexp_matches(text, {_q(STREET_RE2)}, 'i')")
+def street_word_filter(spark, sf_dir):
+    return table(spark, sf_dir, "documents").where(F.col("text").rlike(T.STREET)).select("doc_id", "lang")
+
+
+@query(r"SELECT doc_id FROM documents WHERE regexp_matches(text, '\d[/.\-]\d')")
+def date_separator(spark, sf_dir):
+    return table(spark, sf_dir, "documents").where(F.col("text").rlike(T.DATE_SEPARATOR)).select("doc_id")
+
+
+_DOTTED = r"\d{1,3}(?:\.\d{1,3})+"
+
+
+@query(f"WITH v AS (SELECT doc_id, unnest(regexp_extract_all(text, {_q(_DOTTED)})) AS value FROM documents) SELECT DISTINCT doc_id, value, regexp_matches(value, {_q(T.IPV4_SHAPE)}) AS ipv4 FROM v")
+def ipv4_reject(spark, sf_dir):
+    values = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(_DOTTED), F.lit(0))).alias("value"))
+    return values.select("doc_id", "value", F.col("value").rlike(T.IPV4_SHAPE).alias("ipv4")).distinct()
+
+
+@query(f"WITH v AS (SELECT doc_id, unnest(regexp_extract_all(text, {_q(PHONE_RE2)})) AS value FROM documents) SELECT doc_id, value, contains(value, '+') AND {sql_n_digits('value')} BETWEEN 8 AND 13 AS phone FROM v")
+def looks_like_phone(spark, sf_dir):
+    values = table(spark, sf_dir, "documents").select("doc_id", F.explode(T.phone_candidates(F.col("text"))).alias("value"))
+    return values.select("doc_id", "value", T.looks_like_phone(F.col("value")).alias("phone"))
+
+
+def _spans_query(name: str, pattern: str):
+    sql = f"""WITH d AS (SELECT doc_id, regexp_extract_all(text, {_q(pattern)}) AS ms, string_split_regex(text, {_q(pattern)}) AS gaps FROM documents WHERE regexp_matches(text, {_q(pattern)})),
+        e AS (SELECT doc_id, ms, gaps, unnest(range(1, len(ms) + 1)) AS i FROM d)
+        SELECT doc_id, (list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0))::BIGINT AS span_start,
+        (list_sum(list_transform(gaps[1:i], lambda x: length(x))) + list_sum(list_transform(ms[1:i], lambda x: length(x))))::BIGINT AS span_end, ms[i] AS value FROM e"""
+
+    def spans(spark, sf_dir):
+        found = table(spark, sf_dir, "documents").select("doc_id", F.explode(T.spans(F.col("text"), pattern)).alias("s"))
+        return found.select("doc_id", F.col("s.start").cast("long").alias("span_start"), F.col("s.end").cast("long").alias("span_end"), F.col("s.value").alias("value"))
+
+    spans.__name__ = name
+    query(sql)(spans)
+
+
+_spans_query("spans_email", T.EMAIL)
+_spans_query("spans_phone", T.INTL_PHONE)
+
+
+# --- checksums, over numbers made from keys ----------------------------------------------------------
+def _digit(x: str, k: int) -> str:
+    return f"substr({x}, {k}, 1)::INT"
+
+
+def _weighted(x: str, weights) -> str:
+    return "(" + " + ".join(f"{_digit(x, k)} * {w}" for k, w in enumerate(weights, 1)) + ")"
+
+
+def _checksum_query(name: str, length: int, factor: int, add: int, test: Callable[[Column], Column], sql_test: str):
+    number = f"lpad((o_orderkey * {factor} + {add})::VARCHAR, {length}, '0')"
+    sql = f"WITH n AS (SELECT o_orderkey, right({number}, {length}) AS value FROM orders) SELECT o_orderkey, value, {sql_test} AS ok FROM n"
+
+    def checksum(spark, sf_dir):
+        value = F.expr(f"right(lpad(cast(o_orderkey * {factor}L + {add}L as string), greatest({length}, length(cast(o_orderkey * {factor}L + {add}L as string))), '0'), {length})")
+        return table(spark, sf_dir, "orders").select("o_orderkey", value.alias("value")).withColumn("ok", test(F.col("value")))
+
+    checksum.__name__ = name
+    query(sql)(checksum)
+
+
+_checksum_query("checksum_tfn", 9, 7919, 100000007, checksums.tfn, f"{_weighted('value', checksums.TFN)} % 11 = 0")
+_checksum_query("checksum_medicare", 10, 104729, 2000000011, checksums.medicare, f"{_digit('value', 1)} BETWEEN 2 AND 6 AND {_weighted('value', checksums.MEDICARE)} % 10 = {_digit('value', 9)}")
+_checksum_query("checksum_abn", 11, 1299709, 10000000019, checksums.abn, f"({_weighted('value', checksums.ABN)} - 10) % 89 = 0")
+_checksum_query("checksum_acn", 9, 6007, 4085616, checksums.acn, f"(10 - {_weighted('value', checksums.ACN)} % 10) % 10 = {_digit('value', 9)}")
+
+
+@query("""WITH n AS (SELECT c_custkey, lpad((c_custkey * 7 % 98)::VARCHAR, 2, '0') AS cc, lpad((c_custkey * 1000003)::VARCHAR, 14, '0') AS b FROM customer),
+    v AS (SELECT c_custkey, 'GB' || cc || 'WEST' || b AS value, (CAST('32142829' || b || '1611' || cc AS HUGEINT) % 97) AS r FROM n) SELECT c_custkey, value, r = 1 AS ok FROM v""")
+def iban_mod97(spark, sf_dir):
+    value = F.expr("concat('GB', lpad(cast(c_custkey * 7 % 98 as string), 2, '0'), 'WEST', lpad(cast(c_custkey * 1000003L as string), 14, '0'))")
+    return table(spark, sf_dir, "customer").select("c_custkey", value.alias("value")).withColumn("ok", checksums.iban(F.col("value")))
+
+
+def _pattern_query(name: str, entity: str, made: str, re2: str):
+    pattern = next(r for r in recognisers.RECOGNISERS if r.entity == entity)
+
+    def recognise(spark, sf_dir):
+        value = F.expr(made.replace("||", ",").join(("concat(", ")")))
+        return table(spark, sf_dir, "orders").select("o_orderkey", value.alias("value")).withColumn("found", pattern.found(F.col("value")))
+
+    recognise.__name__ = name
+    sql_made = made.replace("cast(", "CAST(").replace("as string", "AS VARCHAR")
+    query(f"WITH v AS (SELECT o_orderkey, {sql_made} AS value FROM orders) SELECT o_orderkey, value, regexp_matches(value, {_q(re2)}) AS found FROM v")(recognise)
+
+
+_pattern_query("bsb_pattern", "AU_BSB", "'acc ' || lpad(cast(o_orderkey % 1000 as string), 3, '0') || '-' || lpad(cast(o_custkey % 2000 as string), 4, '0')", r"(?:^|[^\p{L}\p{N}_])\d{3}-\d{3}(?:$|[^\p{L}\p{N}_])")
+_pattern_query("ssn_pattern", "US_SSN", "'id ' || lpad(cast(o_orderkey % 1000 as string), 3, '0') || '-' || cast(o_custkey % 150 as string) || '-' || lpad(cast(o_custkey % 10000 as string), 4, '0')", r"(?:^|[^\p{L}\p{N}_])\d{3}-\d{2}-\d{4}(?:$|[^\p{L}\p{N}_])")
+
+
+# --- validation ---------------------------------------------------------------------------------------
+#: Values made from the tables, the same in both dialects: label, table, key, expression.
+_STRIP = r"regexp_replace(value, '^\s+|\s+$', '', 'g')"
+_VALUES = {
+    "person": ("customer", "c_custkey", "CASE c_custkey % 6 WHEN 0 THEN 'manager' WHEN 1 THEN 'Senior Analyst' WHEN 2 THEN c_name WHEN 3 THEN 'Mary-Ann O''Neil' WHEN 4 THEN cast(c_custkey as string) ELSE ' John Citizen ' END"),
+    "email address": ("customer", "c_custkey", "concat('u', cast(c_custkey as string), CASE c_custkey % 4 WHEN 0 THEN '@' ELSE '.x@' END, CASE c_custkey % 3 WHEN 0 THEN 'mail' ELSE 'mail.org' END)"),
+    "phone number": ("orders", "o_orderkey", "concat(CASE o_orderkey % 5 WHEN 0 THEN '+61 ' WHEN 1 THEN 'ph ' WHEN 2 THEN '10.1.2.' ELSE '' END, cast(o_custkey * 7919 as string))"),
+    "credit card number": ("orders", "o_orderkey", "concat('4', cast(o_orderkey * 1000003 + 100000000000 as string), cast(o_custkey as string))"),
+    "tax file number": ("orders", "o_orderkey", "concat(cast(o_custkey * 977 as string), ' ', cast(o_orderkey % 1000 as string))"),
+    "medicare number": ("orders", "o_orderkey", "concat(cast(2000 + o_orderkey % 100 as string), ' ', cast(o_custkey * 31 as string), ' ', cast(o_orderkey % 10 as string))"),
+    "passport number": ("orders", "o_orderkey", "concat(CASE o_orderkey % 3 WHEN 0 THEN '' ELSE 'N' END, cast(o_custkey * 997 as string))"),
+    "driver's licence number": ("orders", "o_orderkey", "concat(CASE o_orderkey % 3 WHEN 0 THEN 'a:' ELSE 'L' END, cast(o_custkey as string))"),
+    "bank account number": ("orders", "o_orderkey", "concat(cast(o_orderkey as string), CASE o_orderkey % 4 WHEN 0 THEN '.' WHEN 1 THEN ':' ELSE '-' END, cast(o_custkey as string))"),
+    "date of birth": ("orders", "o_orderkey", "concat(cast(1 + o_orderkey % 28 as string), CASE o_orderkey % 4 WHEN 0 THEN '/' WHEN 1 THEN ':' WHEN 2 THEN '-' ELSE '' END, cast(1950 + o_custkey % 60 as string))"),
+    "address": ("customer", "c_custkey", "concat(CASE c_custkey % 4 WHEN 0 THEN '12 Pitt St' WHEN 1 THEN 'Level 3 Tower' WHEN 2 THEN 'a: 5 Tower' ELSE '20' END, cast(c_custkey % 7 as string))"),
+    "illness": ("customer", "c_custkey", "concat(CASE c_custkey % 3 WHEN 0 THEN 'asthma' WHEN 1 THEN '' ELSE 'type ' END, cast(c_custkey * 13 as string))"),
+    "birthplace": ("nation", "n_nationkey", "substring(n_name, 1, 1 + n_nationkey % 3)"),
+}
+_JUNK = _list(sorted({*L.STOPWORDS, *L.NOT_NAMES, *L.ROLES}))
+_LOW = f"lower({_STRIP})"
+_NUM = sql_n_digits("value")
+_ALPHA = r"regexp_matches(value, '\p{L}')"
+_VALID_SQL = {
+    "person": rf"NOT (list_contains({_list(L.STOPWORDS + L.NOT_NAMES)}, {_LOW}) OR regexp_matches({_STRIP}, '^[0-9]+$') OR list_has_any(regexp_split_to_array(regexp_replace({_LOW}, '-', ' ', 'g'), '\s+'), {_JUNK}))",
+    "email address": "contains(value, '@') AND contains(string_split(value, '@')[-1], '.')",
+    "phone number": rf"NOT {_ALPHA} AND NOT contains(value, ':') AND NOT contains(value, ',') AND NOT regexp_matches(value, {_q(T.IPV4_SHAPE)}) AND {_NUM} BETWEEN 7 AND 14",
+    "credit card number": f"NOT {_ALPHA} AND {_NUM} BETWEEN 13 AND 19",
+    "tax file number": f"NOT {_ALPHA} AND {_NUM} BETWEEN 8 AND 9",
+    "medicare number": f"NOT {_ALPHA} AND {_NUM} BETWEEN 10 AND 11",
+    "passport number": f"length(replace({_STRIP}, ' ', '')) BETWEEN 6 AND 10 AND {_NUM} >= 1 AND {_ALPHA}",
+    "driver's licence number": f"{_NUM} BETWEEN 4 AND 12 AND NOT contains(value, ':')",
+    "bank account number": f"{_NUM} BETWEEN 6 AND 18 AND length({_STRIP}) <= 34 AND NOT contains(value, ':') AND NOT contains(value, '.')",
+    "date of birth": rf"{_NUM} BETWEEN 3 AND 8 AND NOT contains(value, ':') AND regexp_matches(value, '\d[/.\-]\d')",
+    "address": rf"regexp_matches(value, {_q(STREET_RE2)}, 'i') OR (contains({_STRIP}, ' ') AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]{{3,}}') AND NOT contains(value, ':'))",
+    "illness": f"{_ALPHA} AND {_NUM} < 7",
+    "birthplace": "true",
+}
+
+
+def _valid_query(label: str):
+    source, key, made = _VALUES[label]
+    sql_made = made.replace("as string)", "AS VARCHAR)")
+    name = "validate_" + label.replace("'", "").replace(" ", "_")
+
+    def valid(spark, sf_dir):
+        values = table(spark, sf_dir, source).select(F.col(key).cast("long").alias("key"), F.expr(made.replace("O''Neil", "O\\'Neil")).alias("value"))
+        return values.withColumn("ok", validate.is_valid(F.lit(label), F.col("value")))
+
+    valid.__name__ = name
+    query(f"WITH v AS (SELECT {key}::BIGINT AS key, {sql_made} AS value FROM {source}) SELECT key, value, length({_STRIP}) >= 2 AND ({_VALID_SQL[label]}) AS ok FROM v")(valid)
+
+
+for _label in _VALUES:
+    _valid_query(_label)
+
+
+_NAMES_SQL = "SELECT DISTINCT name FROM (SELECT r_name AS name FROM region UNION ALL SELECT n_name FROM nation UNION ALL SELECT p_name FROM part UNION ALL SELECT event_type FROM events UNION ALL SELECT c_mktsegment FROM customer)"
+
+
+@query(f"WITH v AS (SELECT name AS value FROM ({_NAMES_SQL})) SELECT value AS name, {_VALID_SQL['person']} AS ok FROM v")
+def personish_filter(spark, sf_dir):
+    parts = [("region", "r_name"), ("nation", "n_name"), ("part", "p_name"), ("events", "event_type"), ("customer", "c_mktsegment")]
+    names = None
+    for t, c in parts:
+        one = table(spark, sf_dir, t).select(F.col(c).alias("name"))
+        names = one if names is None else names.unionByName(one)
+    return names.distinct().withColumn("ok", validate.is_name(F.col("name")))
+
+
+# --- entity maps, made from customers -------------------------------------------------------------------
+_MAP_PAIRS = {
+    "person": "CASE WHEN c_custkey % 3 = 0 THEN 'manager' ELSE 'Anna Lee' END",
+    "bank account number": "CASE WHEN c_custkey % 5 = 0 THEN '+61 2 9000 0000' ELSE cast(c_custkey * 100003 as string) END",
+    "birthplace": "CASE WHEN c_custkey % 4 = 0 THEN 'Albuquerque' ELSE 'x' END",
+    "illness": "CASE WHEN c_custkey % 7 = 0 THEN 'asthma' ELSE '12345678a' END",
+}
+
+
+def _map() -> Column:
+    return F.create_map(*[x for k, v in _MAP_PAIRS.items() for x in (F.lit(k), F.array(F.expr(v)))])
+
+
+def _sql_found() -> str:
+    """Labels found in the map above: each has one value, tested by its label's rule; and a phone by rescue."""
+    pairs = []
+    for label, made in _MAP_PAIRS.items():
+        value = "(" + made.replace("as string)", "AS VARCHAR)") + ")"
+        pairs.append((label, f"(length({value}) >= 2 AND ({_VALID_SQL[label].replace('value', value)}))"))
+    bank = "(" + _MAP_PAIRS["bank account number"].replace("as string)", "AS VARCHAR)") + ")"
+    pairs.append(("phone number", f"contains({bank}, '+') AND {sql_n_digits(bank)} BETWEEN 8 AND 13"))
+    return sql_labels(*pairs)
+
+
+@query(f"WITH f AS (SELECT c_custkey, {_sql_found()} AS e FROM customer) SELECT c_custkey, {sql_joined('e')} AS found FROM f")
+def found_labels_map(spark, sf_dir):
+    return table(spark, sf_dir, "customer").select("c_custkey", joined(validate.found_labels(_map())).alias("found"))
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN 'date of birth|phone number' ELSE 'date of birth' END AS found FROM customer")
+def phone_rescue(spark, sf_dir):
+    made = F.create_map(F.lit("date of birth"), F.when(F.expr("c_custkey % 5 = 0"), F.array(F.lit("1/2/1990"), F.lit("+61 2 9000 0000"))).otherwise(F.array(F.lit("1/2/1990"))))
+    return table(spark, sf_dir, "customer").select("c_custkey", joined(validate.found_labels(made)).alias("found"))
+
+
+@query(f"WITH f AS (SELECT c_custkey, list_filter({_sql_found()}, lambda x: NOT list_contains({_list(L.SUPPRESSED)}, x)) AS e FROM customer) SELECT c_custkey, {sql_joined('e')} AS found FROM f")
+def suppress_labels(spark, sf_dir):
+    fuzzy = F.array_except(validate.found_labels(_map()), F.array(*map(F.lit, L.SUPPRESSED)))
+    return table(spark, sf_dir, "customer").select("c_custkey", joined(F.array_sort(fuzzy)).alias("found"))
+
+
+@query(f"WITH f AS (SELECT c_custkey, {_sql_found()} AS e FROM customer) SELECT c_custkey, {sql_joined('list_sort(list_distinct(list_concat(e, ' + _list(['email address', 'person']) + ')))')} AS found FROM f")
+def union_elements(spark, sf_dir):
+    both = F.array_union(validate.found_labels(_map()), F.array(F.lit("email address"), F.lit("person")))
+    return table(spark, sf_dir, "customer").select("c_custkey", joined(F.array_sort(both)).alias("found"))
+
+
+@query(f"""WITH f AS (SELECT c_custkey, {_sql_found()} AS e FROM customer), p AS (SELECT c_custkey, unnest(e) AS label FROM f)
+    SELECT p.c_custkey, label, CASE label {' '.join(f"WHEN {_q(k)} THEN {v.replace('as string)', 'AS VARCHAR)')}" for k, v in _MAP_PAIRS.items())} END AS value FROM p JOIN customer USING (c_custkey) WHERE label <> 'phone number'""")
+def entity_projection(spark, sf_dir):
+    kept = validate.project(F.col("m"), validate.found_labels(F.col("m")))
+    rows = table(spark, sf_dir, "customer").select("c_custkey", _map().alias("m")).select("c_custkey", F.explode(kept).alias("label", "vs"))
+    return rows.select("c_custkey", "label", joined("vs").alias("value"))
+
+
+@query("""WITH m AS (SELECT c_custkey, [['person', 'A' || c_name], ['person', c_mktsegment], ['illness', CASE WHEN c_custkey % 2 = 0 THEN 'flu' END]] AS ps FROM customer), e AS (SELECT c_custkey, unnest(ps) AS p FROM m)
+    SELECT c_custkey, p[1] AS label, string_agg(p[2], '|' ORDER BY CASE WHEN p[2] LIKE 'A%Customer%' THEN 0 ELSE 1 END) AS value FROM e WHERE p[2] IS NOT NULL GROUP BY ALL""")
+def merge_passes(spark, sf_dir):
+    first = F.create_map(F.lit("person"), F.array(F.concat(F.lit("A"), "c_name")), F.lit("illness"), F.expr("cast(array() as array<string>)"))
+    second = F.create_map(F.lit("person"), F.array("c_mktsegment"), F.lit("illness"), F.when(F.expr("c_custkey % 2 = 0"), F.array(F.lit("flu"))).otherwise(F.expr("cast(array() as array<string>)")))
+    rows = table(spark, sf_dir, "customer").select("c_custkey", F.explode(validate.merge_passes(first, second)).alias("label", "vs"))
+    return rows.select("c_custkey", "label", joined("vs").alias("value"))
+
+
+@query("SELECT event_id, CASE WHEN user_id % 2 = 0 THEN 'date of birth' ELSE 'person' END AS label, substr(event_type, 1, 3) AS value FROM events WHERE value / 1000 >= CASE WHEN user_id % 2 = 0 THEN 0.09 ELSE 0.05 END")
+def confidence_filter(spark, sf_dir):
+    span = F.struct(F.lit(0).alias("start"), F.lit(3).alias("end"), (F.col("value") / 1000).alias("confidence"))
+    made = F.create_map(F.when(F.expr("user_id % 2 = 0"), "date of birth").otherwise("person"), F.array(span))
+    kept = validate.confident(F.col("event_type"), made, 0.05, {"date of birth": 0.09})
+    rows = table(spark, sf_dir, "events").select("event_id", F.explode(kept).alias("label", "vs"))
+    return rows.select("event_id", "label", joined("vs").alias("value"))
+
+
+# --- rules ------------------------------------------------------------------------------------------------
+_FLAGS = [f"(f & {1 << k}) > 0" for k in range(5)]
+_REASONS = (("n AND c", L.REASON_COMBINATION), ("k", L.REASON_CONFIDENTIAL), ("s", L.REASON_SENSITIVE), (f"level = {_q(L.LEVELS[3])}", L.REASON_TOP))
+_TRUTH = f"WITH t AS (SELECT f, {', '.join(f'{x} AS {n}' for x, n in zip(_FLAGS, 'ncpks'))} FROM range(32) r(f)), l AS (SELECT *, {sql_level_of_flags('n', 'c', 'p', 'k', 's')} AS level FROM t)"
+
+
+def _flag_columns() -> tuple[Column, ...]:
+    return tuple(F.col("f").bitwiseAND(F.lit(1 << k)) > 0 for k in range(5))
+
+
+@query(f"{_TRUTH} SELECT f, level, {sql_rank('level')}::INT AS level_rank FROM l")
+def classify_truth_table(spark, sf_dir):
+    level = rules.level_of_flags(*_flag_columns())
+    return spark.range(32).select(F.col("id").alias("f")).select("f", level.alias("level"), rules.rank(level).alias("level_rank"))
+
+
+@query(f"{_TRUTH}, e AS (SELECT *, list_filter([{', '.join(f'CASE WHEN {t} THEN {_q(r)} END' for t, r in _REASONS)}], lambda x: x IS NOT NULL) AS r FROM l) SELECT f, CASE WHEN len(r) > 0 THEN array_to_string(r, '; ') WHEN p OR n THEN {_q(L.REASON_PRIVATE)} ELSE {_q(L.REASON_NONE)} END AS reasons FROM e")
+def explain_reasons(spark, sf_dir):
+    flags = _flag_columns()
+    made = rules.reasons(*flags, rules.level_of_flags(*flags))
+    return spark.range(32).select(F.col("id").alias("f")).select("f", F.array_join(made, "; ").alias("reasons"))
+
+
+@query(f"""WITH d AS (SELECT doc_id, {sql_labels(("phone number", sql_has_phone('text')))} AS fuzzy, {sql_labels(("credit card number", sql_has_card('text')), ("email address", sql_has_email('text')))} AS structured FROM documents),
+    l AS (SELECT doc_id, {sql_level('fuzzy')} AS lf, {sql_level('structured')} AS ls, {sql_level('list_concat(fuzzy, structured)')} AS level FROM d)
+    SELECT doc_id, level, level = {_q(L.REVIEW_LEVELS[0])} OR lf <> ls AS needs_review FROM l""")
+def review_flag(spark, sf_dir):
+    t = F.col("text")
+    structured = F.array_compact(F.array(F.when(T.has_card(t), "credit card number"), F.when(T.has_email(t), "email address")))
+    d = table(spark, sf_dir, "documents").select("doc_id", recognisers.phone_backstop(t).alias("fuzzy"), structured.alias("structured"))
+    d = d.withColumn("level", rules.level(F.array_union("fuzzy", "structured")))
+    return d.select("doc_id", "level", rules.needs_review(F.col("level"), F.col("fuzzy"), F.col("structured")).alias("needs_review"))
+
+
+# --- classification of columns -------------------------------------------------------------------------------
+_NOTE = "concat(c_name, CASE c_custkey % 3 WHEN 0 THEN ' for Anna Lee' ELSE '' END, CASE c_custkey % 5 WHEN 0 THEN ' card 4111111111111111' WHEN 1 THEN ' mail a.b@c.org' WHEN 2 THEN ' call +61 2 9000 0000' ELSE '' END)"
+_REPLY = "CASE WHEN c_custkey % 7 = 0 THEN NULL WHEN c_custkey % 2 = 0 THEN 'call +1 (555) 555-1234' ELSE c_mktsegment END"
+_NOTES_SQL = f"n AS (SELECT c_custkey, {_NOTE} AS note, coalesce({_REPLY}, '') AS reply FROM customer)"
+
+
+def _notes(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "customer").select("c_custkey", F.expr(_NOTE).alias("note"), F.expr(_REPLY).alias("reply"))
+
+
+@query(f"""WITH {_NOTES_SQL}, e AS (SELECT c_custkey, {sql_backstop('note')} AS a, {sql_backstop('reply')} AS b FROM n), l AS (SELECT *, {sql_level('a')} AS la, {sql_level('b')} AS lb FROM e)
+    SELECT c_custkey, la AS note_level, {sql_joined('a')} AS note_elements, lb AS reply_level, {sql_joined('b')} AS reply_elements, {_list(L.LEVELS)}[greatest({sql_rank('la')}, {sql_rank('lb')}) + 1] AS level FROM l""")
+def classify_columns_multi(spark, sf_dir):
+    done = classify_columns(_notes(spark, sf_dir), ["note", "reply"])
+    return done.select("c_custkey", "note_level", joined("note_elements").alias("note_elements"), "reply_level", joined("reply_elements").alias("reply_elements"), "level")
+
+
+def _gazetteer() -> GazetteerExtractor:
+    return GazetteerExtractor({"person": ["Anna Lee"], "illness": ["machinery", "the"]})
+
+
+def _sql_word(t: str, words: list[str]) -> str:
+    return rf"regexp_matches({t}, '(?:^|[^\p{{L}}\p{{N}}_])(?:{'|'.join(words)})(?:$|[^\p{{L}}\p{{N}}_])', 'i')"
+
+
+def _sql_hybrid(t: str) -> tuple[str, str]:
+    fuzzy = sql_labels(("person", _sql_word(t, ["Anna Lee"])), ("illness", _sql_word(t, ["machinery", "the"])), ("phone number", sql_has_phone(t)))
+    return fuzzy, sql_labels(("email address", sql_has_email(t)), ("credit card number", sql_has_card(t)))
+
+
+@query(f"""WITH {_NOTES_SQL}, e AS (SELECT c_custkey, {_sql_hybrid('note')[0]} AS fa, {_sql_hybrid('note')[1]} AS sa, {_sql_hybrid('reply')[0]} AS fb, {_sql_hybrid('reply')[1]} AS sb FROM n),
+    u AS (SELECT *, list_sort(list_concat(fa, sa)) AS a, list_sort(list_concat(fb, sb)) AS b FROM e), l AS (SELECT *, {sql_level('a')} AS la, {sql_level('b')} AS lb, {sql_level('fa')} <> {sql_level('sa')} AS da, {sql_level('fb')} <> {sql_level('sb')} AS db FROM u)
+    SELECT c_custkey, la AS note_level, {sql_joined('a')} AS note_elements, la = {_q(L.LEVELS[3])} OR da AS note_needs_review, lb AS reply_level, {sql_joined('b')} AS reply_elements, lb = {_q(L.LEVELS[3])} OR db AS reply_needs_review,
+    {_list(L.LEVELS)}[greatest({sql_rank('la')}, {sql_rank('lb')}) + 1] AS level, la = {_q(L.LEVELS[3])} OR da OR lb = {_q(L.LEVELS[3])} OR db AS needs_review FROM l""")
+def classify_columns_hybrid(spark, sf_dir):
+    done = classify_columns(_notes(spark, sf_dir), ["note", "reply"], mode="hybrid", extractor=_gazetteer)
+    return done.withColumns({c: joined(c) for c in ("note_elements", "reply_elements")}).drop("note", "reply")
+
+
+@query(f"WITH c AS (SELECT conv_id, turn, {sql_backstop('coalesce(text, ' + _q('') + ')')} AS e FROM conversations) SELECT conv_id, turn, {sql_level('e')} AS level, {sql_joined('e')} AS elements FROM c")
+def classify_single_column(spark, sf_dir):
+    done = classify_column(table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"), "text")
+    return done.select("conv_id", "turn", "level", joined("elements").alias("elements"))
+
+
+@query(f"WITH d AS (SELECT doc_id, {sql_backstop('substr(text, 1, 500)')} AS e FROM documents) SELECT doc_id, {sql_level('e')} AS level, {sql_joined('e')} AS elements FROM d")
+def max_chars_truncation(spark, sf_dir):
+    done = classify_column(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", max_chars=500)
+    return done.select("doc_id", "level", joined("elements").alias("elements"))
+
+
+@query(f"WITH d AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '' ELSE text END AS t FROM documents), e AS (SELECT doc_id, {sql_backstop('t')} AS e FROM d) SELECT doc_id, {sql_level('e')} AS level FROM e")
+def null_text_public(spark, sf_dir):
+    holed = table(spark, sf_dir, "documents").select("doc_id", F.expr("if(doc_id % 3 = 0, null, text)").alias("text"))
+    return classify_column(holed, "text").select("doc_id", "level")
+
+
+@query(f"WITH d AS (SELECT doc_id, {sql_backstop('text')} AS e FROM documents), l AS (SELECT *, {sql_level('e')} AS level FROM d) SELECT doc_id, level, {sql_rank('level')}::INT AS level_rank, {sql_joined('e')} AS elements, CASE level WHEN {_q(L.LEVELS[2])} THEN {_q(L.REASON_CONFIDENTIAL)} WHEN {_q(L.LEVELS[1])} THEN {_q(L.REASON_PRIVATE)} ELSE {_q(L.REASON_NONE)} END AS reasons FROM l")
+def explain_documents(spark, sf_dir):
+    x = F.col("explained")
+    done = explain_text(table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
+    return done.select("doc_id", x["level"].alias("level"), x["rank"].alias("level_rank"), joined(x["elements"]).alias("elements"), F.array_join(x["reasons"], "; ").alias("reasons"))
+
+
+@query(f"WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '(?:^|[^\\p{{L}}\\p{{N}}_])(the)(?:$|[^\\p{{L}}\\p{{N}}_])', 1) AS v FROM documents) SELECT doc_id, 'illness' AS label FROM d WHERE len(v) > 0")
+def extractor_gazetteer(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = with_entities(docs, {"text": "entities"}, lambda: GazetteerExtractor({"illness": ["the"]}))
+    return found.select("doc_id", F.explode("entities").alias("label", "vs")).select("doc_id", "label")
+
+
+# --- evaluation: phone and email as predicted, the whole backstop as gold --------------------------------------
+_EVAL = f"d AS (SELECT doc_id, {sql_labels(('email address', sql_has_email('text')), ('phone number', sql_has_phone('text')))} AS p, {sql_backstop('text')} AS g FROM documents)"
+
+
+def _judged(spark, sf_dir) -> DataFrame:
+    t = F.col("text")
+    predicted = F.array_compact(F.array(F.when(T.has_email(t), "email address"), F.when(T.has_intl_phone(t), "phone number")))
+    d = table(spark, sf_dir, "documents").select("doc_id", predicted.alias("p"), recognisers.backstop(t).alias("g"))
+    return d.withColumns({"pl": rules.level(F.col("p")), "gl": rules.level(F.col("g"))})
+
+
+_COUNTS = "c AS (SELECT label, count(*) FILTER (list_contains(p, label) AND list_contains(g, label)) AS tp, count(*) FILTER (list_contains(p, label) AND NOT list_contains(g, label)) AS fp, count(*) FILTER (NOT list_contains(p, label) AND list_contains(g, label)) AS fn FROM (SELECT unnest(list_distinct(list_concat(p, g))) AS label, p, g FROM d) GROUP BY label)"
+
+
+@query(f"WITH {_EVAL}, {_COUNTS} SELECT label, tp, fp, fn, round(CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END, 6) AS precision, round(CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END, 6) AS recall, round(2 * tp / (2 * tp + fp + fn), 6) AS f1 FROM c")
+def eval_per_label(spark, sf_dir):
+    done = evaluate.per_label(_judged(spark, sf_dir), "p", "g")
+    return done.withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1")})
+
+
+@query(f"WITH {_EVAL}, {_COUNTS} SELECT sum(tp)::BIGINT AS tp, sum(fp)::BIGINT AS fp, sum(fn)::BIGINT AS fn, round(2 * sum(tp) / (2 * sum(tp) + sum(fp) + sum(fn)), 6) AS f1 FROM c")
+def eval_micro_f1(spark, sf_dir):
+    return evaluate.micro_f1(_judged(spark, sf_dir), "p", "g").withColumn("f1", F.round("f1", 6))
+
+
+@query(f"WITH {_EVAL} SELECT {sql_level('p')} AS predicted, {sql_level('g')} AS gold, count(*) AS n FROM d GROUP BY ALL")
+def eval_confusion(spark, sf_dir):
+    return evaluate.confusion(_judged(spark, sf_dir), "pl", "gl")
+
+
+@query(f"WITH {_EVAL}, r AS (SELECT {sql_rank(sql_level('p'))} AS p, {sql_rank(sql_level('g'))} AS g FROM d) SELECT count(*) AS n, round(count(*) FILTER (p = g) / count(*), 6) AS accuracy, round(count(*) FILTER (p > g) / count(*), 6) AS over_rate, round(count(*) FILTER (p < g) / count(*), 6) AS under_rate FROM r")
+def eval_over_under(spark, sf_dir):
+    return evaluate.level_rates(_judged(spark, sf_dir), "pl", "gl").withColumns({c: F.round(c, 6) for c in ("accuracy", "over_rate", "under_rate")})
+
+
+# --- reports ----------------------------------------------------------------------------------------------------
+_LEVELLED = f"d AS (SELECT doc_id, lang, source, {sql_backstop('text')} AS e FROM documents), l AS (SELECT *, {sql_level('e')} AS level FROM d)"
+
+
+def _levelled(spark, sf_dir) -> DataFrame:
+    return classify_column(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"), "text").drop("text")
+
+
+@query(f"WITH {_LEVELLED} SELECT source, level, count(*) AS n FROM l GROUP BY ALL")
+def report_by_source(spark, sf_dir):
+    return report.by_level(_levelled(spark, sf_dir), ["source"])
+
+
+@query(f"WITH {_LEVELLED} SELECT lang, source, count(*) AS n, count(*) FILTER (level <> 'Public') AS n_sensitive, grouping(lang, source)::BIGINT AS depth FROM l GROUP BY ROLLUP (lang, source)")
+def report_rollup_lang_source(spark, sf_dir):
+    return report.subtotals(_levelled(spark, sf_dir), ["lang", "source"])
+
+
+@query(f"WITH {_LEVELLED} SELECT lang, source, count(*) AS n, count(*) FILTER (level <> 'Public') AS n_sensitive, grouping(lang, source)::BIGINT AS depth FROM l GROUP BY CUBE (lang, source)")
+def report_cube_lang_source(spark, sf_dir):
+    return report.cube(_levelled(spark, sf_dir), ["lang", "source"])
+
+
+@query(f"WITH {_LEVELLED}, t AS (SELECT source, doc_id, level, row_number() OVER (PARTITION BY source ORDER BY {sql_rank('level')} DESC, len(e) DESC, doc_id) AS place FROM l) SELECT source, doc_id, level, place::INT AS place FROM t WHERE place <= 3")
+def report_topk_per_source(spark, sf_dir):
+    return report.most_sensitive(_levelled(spark, sf_dir), "source", 3, "doc_id").select("source", "doc_id", "level", "place")
+
+
+@query(f"""WITH d AS (SELECT doc_id, {sql_labels(("phone number", sql_has_phone('text')))} AS f, {sql_labels(("credit card number", sql_has_card('text')), ("email address", sql_has_email('text')))} AS s FROM documents)
+    SELECT doc_id, {sql_level('list_concat(f, s)')} AS level FROM d WHERE {sql_level('f')} <> {sql_level('s')} OR {sql_level('list_concat(f, s)')} = {_q(L.LEVELS[3])}""")
+def report_review_queue(spark, sf_dir):
+    return report.review_queue(review_flag(spark, sf_dir), "doc_id").select("doc_id", "level")
+
+
+@query(f"WITH {_LEVELLED} SELECT quality, level, count(*) AS n FROM l JOIN labels USING (doc_id) GROUP BY ALL")
+def join_labels_quality(spark, sf_dir):
+    joined_ = _levelled(spark, sf_dir).select("doc_id", "level").join(table(spark, sf_dir, "labels"), "doc_id")
+    return report.by_level(joined_, ["quality"])
+
+
+@query("SELECT time_bucket(INTERVAL 1 hour, ts)::TIMESTAMP AS window_start, CASE WHEN value > 50 THEN 'Private' ELSE 'Public' END AS level, count(*) AS n FROM events GROUP BY ALL")
+def stream_level_counts(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"), F.when(F.col("value") > 50, "Private").otherwise("Public").alias("level"))
+    return level_counts(events, "ts", "1 hour").withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
