@@ -411,7 +411,7 @@ def review_flag(spark, sf_dir):
 
 
 # --- classification of columns -------------------------------------------------------------------------------
-_NOTE = "concat(c_name, CASE c_custkey % 3 WHEN 0 THEN ' for Anna Lee' ELSE '' END, CASE c_custkey % 5 WHEN 0 THEN ' card 4111111111111111' WHEN 1 THEN ' mail a.b@c.org' WHEN 2 THEN ' call +61 2 9000 0000' ELSE '' END)"
+_NOTE = "concat(c_mktsegment, CASE c_custkey % 3 WHEN 0 THEN ' for Anna Lee' ELSE '' END, CASE c_custkey % 5 WHEN 0 THEN ' card 4111111111111111' WHEN 1 THEN ' mail a.b@c.org' WHEN 2 THEN ' call +61 2 9000 0000' ELSE '' END)"
 _REPLY = "CASE WHEN c_custkey % 7 = 0 THEN NULL WHEN c_custkey % 2 = 0 THEN 'call +1 (555) 555-1234' ELSE c_mktsegment END"
 _NOTES_SQL = f"n AS (SELECT c_custkey, {_NOTE} AS note, coalesce({_REPLY}, '') AS reply FROM customer)"
 
