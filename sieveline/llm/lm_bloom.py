@@ -13,7 +13,7 @@ corpus too large for that gets a fuller filter with more false positives, not fe
 The base score needs exact counts of every word. At most FREQUENT words, the most frequent ones, are broadcast; all other words of a
 text are joined with the table of counts.
 
-Texts of a shard must fit in a task as usual: there are at least as many shards as spark.sql.shuffle.partitions.
+Texts of a shard must fit in a task as usual: there are at least four shards for each of spark.sql.shuffle.partitions.
 
 Defined cases: null and empty text is one end token; null ids count as training text; repeated rows are counted and scored each; an
 empty table gives an empty result; with no training text counts are 0, N is 0 and V is 0. Other columns are not read.
@@ -187,7 +187,7 @@ class Filter:
 
 def _fit(docs: DataFrame, max_bits: int) -> tuple[DataFrame, int]:
     """One row for each shard: its words with counts, and its segment of the filter."""
-    shards = 1 << max(4, (partitions(docs.sparkSession) - 1).bit_length())
+    shards = 1 << max(4, (4 * partitions(docs.sparkSession) - 1).bit_length())
     packed = docs.select("text").mapInArrow(_packer(shards), "shard int, words binary, word_counts binary, pairs binary, pair_counts binary")
     return packed.groupBy("shard").applyInArrow(_shard_maker(max_bits // shards), "shard int, words binary, counts binary, n_words long, n_tokens long, n_pairs long, bits long, probes long, held binary"), shards
 
