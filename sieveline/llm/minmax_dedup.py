@@ -67,6 +67,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             size.append(len(found))
             ident.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
             bands.append(band_keys(min_max(found)).view(np.int64) if len(found) else None)
+        pa.default_memory_pool().release_unused()
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(ident, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "set_id", "bands"])
 
 
@@ -95,17 +96,21 @@ def connected(edges: DataFrame) -> DataFrame:
         before = now
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Of the pairs u, v of class representatives, those similar enough on full sets, and all pairs tested."""
-    sizes = classes.select(F.col("rep").alias("node"), "n_shingles")
-    u, v = sizes.select(F.col("node").alias("u"), F.col("n_shingles").alias("nu")), sizes.select(F.col("node").alias("v"), F.col("n_shingles").alias("nv"))
-    pairs = written(pairs.join(u, "u").join(v, "v").where(f"100 * least(nu, nv) >= {SIMILAR} * greatest(nu, nv)"))
-    nodes = pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
-    sets = written(docs.join(nodes, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_sets, "node long, shingles array<long>"))
-    sets = sets.join(sizes, "node").where("size(shingles) = n_shingles")
-    both = pairs.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("su")), "u").join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("sv")), "v")
-    common = F.size(F.array_intersect("su", "sv")).cast("long")
-    return both.withColumn("c", common).where(f"100 * c >= {SIMILAR} * (nu + nv - c)").select("u", "v").distinct()
+def _sets_of(nodes: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """node, n, shingles of the class representatives `nodes`, made from their texts; the one pass that deals texts out anew."""
+    sets = docs.join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_sets, "node long, shingles array<long>")
+    # rows that share a doc_id may have other texts than the class has
+    sets = sets.withColumn("set_size", F.size("shingles")).join(classes.select(F.col("rep").alias("node"), F.col("n_shingles").alias("n")), "node")
+    return written(sets.where("set_size = n").select("node", F.col("n").cast("long").alias("n"), "shingles"))
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Of the pairs u, v of class representatives, those similar enough on full sets."""
+    size = lambda end: sets.select(F.col("node").alias(end), F.col("n").alias(f"n{end}"))
+    near = pairs.join(size("u"), "u").join(size("v"), "v").where(f"100 * least(nu, nv) >= {SIMILAR} * greatest(nu, nv)")
+    full = lambda end: sets.select(F.col("node").alias(end), F.col("shingles").alias(f"s{end}"))
+    both = near.join(full("u"), "u").join(full("v"), "v").withColumn("c", F.size(F.array_intersect("su", "sv")).cast("long"))
+    return both.where(f"100 * c >= {SIMILAR} * (nu + nv - c)").select("u", "v").distinct()
 
 
 def components(docs: DataFrame) -> DataFrame:
@@ -118,7 +123,8 @@ def components(docs: DataFrame) -> DataFrame:
     shared = dealt.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
     members = written(dealt.join(shared, "key"))
     first = members.where("rep > low").select(F.col("low").alias("u"), F.col("rep").alias("v")).distinct()
-    links = _confirmed(first, docs, classes).checkpoint()
+    sets = _sets_of(members.select(F.col("rep").alias("node")).distinct(), docs, classes)
+    links = _confirmed(first, sets).checkpoint()
     # Rows of one doc_id with different texts are one document.
     own = known.select("doc_id", "set_id").join(classes.select("set_id", "rep"), "set_id")
     twice = own.groupBy("doc_id").agg(F.min("rep").alias("u"), F.max("rep").alias("v"), F.count_distinct("rep").alias("n")).where("n > 1")
@@ -135,7 +141,7 @@ def components(docs: DataFrame) -> DataFrame:
             left = rest.where("rep != low").select("key", F.col("rep").alias("u"), F.col("root").alias("ru"))
             right = rest.where("rep != low").select("key", F.col("rep").alias("v"), F.col("root").alias("rv"))
             pairs = left.join(right, "key").where("ru < rv").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-        more = _confirmed(pairs.distinct(), docs, classes).checkpoint()
+        more = _confirmed(pairs.distinct(), sets).checkpoint()
         if not more.isEmpty():
             roots = connected(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(more))
     known_as = classes.select("set_id", F.col("rep").alias("node")).join(roots, "node", "left").select("set_id", F.coalesce("root", "node").alias("component"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_CACHE_WORDS = 500_000
+_CACHE_WORDS = 150_000
 
 
 def shared_dir(spark: SparkSession) -> str:
