@@ -36,6 +36,7 @@ FREQUENT = 1_000_000
 #: Pseudo-count with which word probabilities weigh in after a history.
 BACK_OFF = 5.0
 CHUNK = 1_000_000
+ARROW_ROWS = 500
 END = np.uint64(xxhash.xxh3_64_intdigest(b"\n"))  # no word holds a line feed
 _M1, _M2, _PAIR = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 _ONE = np.uint64(1)
@@ -229,7 +230,7 @@ def score(docs: DataFrame, train=None, max_bits: int = MAX_BITS, frequent: int =
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     fitted, n_shards = _fit(docs if train is None else docs.where(train), max_bits)
-    shards = written(fitted)
+    shards = written(fitted, ARROW_ROWS)
     total, known = shards.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("n_words"), F.lit(0))).first()
     least = least_frequent(shards, frequent)
     top = shards.select("words", "counts").mapInArrow(_unpacked(least), "word long, c long").toArrow()
@@ -261,7 +262,7 @@ def score(docs: DataFrame, train=None, max_bits: int = MAX_BITS, frequent: int =
                 })
 
     scored = docs.mapInArrow(run, "doc_id long, n_tokens long, n_known long, base_score double, score double, rare array<long>, rare_n array<long>")
-    scored = written(scored.withColumn("row", F.monotonically_increasing_id()))
+    scored = written(scored.withColumn("row", F.monotonically_increasing_id()), ARROW_ROWS)
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.rare_n").alias("n"))
     counts = shards.select("words", "counts").mapInArrow(_unpacked(0), "word long, c long").where(F.col("c") < least)
     each = rare.join(counts, "word", "left").select("row", "n", F.coalesce("c", F.lit(0)).alias("c"))

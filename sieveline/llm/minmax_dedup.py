@@ -29,6 +29,7 @@ from sieveline.llm.shared import WordHashes, runs_hash, words_of, written
 WIDTH, SIMILAR = 5, 75
 HASHES, BAND = 64, 4
 _CHUNK = 8192
+ARROW_ROWS = 500
 _draw = np.random.default_rng(20240607)
 _A = _draw.integers(0, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _draw.integers(0, 2**63, HASHES, dtype=np.uint64) * np.uint64(2)
@@ -101,7 +102,7 @@ def _sets_of(nodes: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
     sets = docs.join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_sets, "node long, shingles array<long>")
     # rows that share a doc_id may have other texts than the class has
     sets = sets.withColumn("set_size", F.size("shingles")).join(classes.select(F.col("rep").alias("node"), F.col("n_shingles").alias("n")), "node")
-    return written(sets.where("set_size = n").select("node", F.col("n").cast("long").alias("n"), "shingles"))
+    return written(sets.where("set_size = n").select("node", F.col("n").cast("long").alias("n"), "shingles"), ARROW_ROWS)
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -116,7 +117,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept; one row for each row of docs."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = written(docs.mapInArrow(_signed, "doc_id long, n_shingles long, set_id binary, bands array<long>"))
+    signed = written(docs.mapInArrow(_signed, "doc_id long, n_shingles long, set_id binary, bands array<long>"), ARROW_ROWS)
     known = signed.where("doc_id is not null and set_id is not null")
     classes = written(known.groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n_shingles"), F.any_value("bands").alias("bands")))
     dealt = classes.select(F.explode("bands").alias("key"), "rep")

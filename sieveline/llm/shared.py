@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import xxhash
@@ -29,14 +31,30 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def written(df: DataFrame) -> DataFrame:
-    """df, cut from its lineage as a Parquet table in the shared folder."""
+def written(df: DataFrame, arrow_rows: int | None = None) -> DataFrame:
+    """df, cut from its lineage as a Parquet table in the shared folder.
+
+    With arrow_rows, Python sees that many rows at a time while the table is made; whole texts in large batches take much memory.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/sieveline-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with small_batches(spark, arrow_rows):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int | None) -> Iterator[None]:
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    if rows:
+        spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
