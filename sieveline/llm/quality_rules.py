@@ -1,7 +1,7 @@
 """Quality rules by weak supervision, in DataFrame functions only.
 
 Rules look at a document and vote good (1), bad (0) or abstain. Expectation-maximisation estimates, from the votes alone, how common
-good documents are and how often each rule votes right when it votes; the posterior probability that a document is good then decides.
+good documents are and how each rule votes on good and on bad ones; the posterior probability that a document is good then decides.
 All that the estimation needs of the corpus is how often each vote pattern occurs, at most 3^rules rows whatever the input's size,
 counted over all documents; from those the driver finds the parameters, which the scoring pass holds as literals.
 
@@ -15,8 +15,7 @@ each; an empty table gives an empty result; columns beyond doc_id and text are n
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field
-from functools import reduce
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,17 +25,20 @@ from sieveline.llm.shared import SPACE, written
 WINDOW, LEAST_WORDS, REPEAT_PERCENT = 5, 10, 20
 #: A document is kept if its posterior is at least this.
 KEEP = 0.5
-#: Rules: when they vote bad, and when good; else they abstain. SQL over the columns of `measured`.
+#: Rules: when they vote bad, and when good (None: never); else they abstain. SQL over the columns of `measured`.
 RULES = {
-    "length": ("n_words < 10", "n_words >= 30"),
-    "word_length": ("word_chars > 12 * n_words or word_chars < 2 * n_words", "word_chars between 3 * n_words and 9 * n_words"),
+    "length": ("n_words < 10", None),
+    "word_length": ("word_chars > 12 * n_words or word_chars < 2 * n_words", None),
     "symbols": ("10 * n_symbols > n_words", "50 * n_symbols < n_words"),
-    "lines": ("10 * n_dup_lines > 3 * n_lines", "n_lines >= 2 and 10 * n_dup_lines < n_lines"),
-    "repeats": ("100 * n_repeat_words > 20 * n_words", "100 * n_repeat_words < 5 * n_words"),
-    "variety": ("20 * n_distinct < n_words and n_words < 2000", "10 * n_distinct > 3 * n_words"),
-    "capitals": ("2 * n_capitals > n_letters", "10 * n_capitals < 2 * n_letters"),
-    "marks": ("5 * n_marks > 2 * n_words and 20 * n_marks > word_chars", "n_marks between 1 and n_words"),
+    "symbol_chars": ("30 * n_symbols > word_chars", None),
+    "lines": ("2 * n_dup_lines > n_lines", None),
+    "repeats": ("100 * n_repeat_words > 20 * n_words", "100 * n_repeat_words < 5 * n_words and n_words >= 10"),
+    "variety": ("20 * n_distinct < n_words and n_words < 2000", None),
+    "capitals": ("2 * n_capitals > n_letters", "5 * n_capitals < n_letters and n_words >= 10"),
+    "marks": ("5 * n_marks > 2 * n_words and 20 * n_marks > word_chars", None),
 }
+#: Rounds of estimation, and what is counted before the corpus is: documents (good, all), and votes (bad, good, none) of good and bad ones.
+ROUNDS, PRIOR, GOOD_VOTES, BAD_VOTES = 10, (8, 10), (1, 14, 5), (10, 5, 5)
 
 
 def measured(docs: DataFrame) -> DataFrame:
@@ -73,48 +75,56 @@ def _repeat_words() -> Column:
 
 def votes(measures: DataFrame, rules: dict = RULES) -> DataFrame:
     """measures and a column vote_<rule>: 0 bad, 1 good, null abstains."""
-    return measures.withColumns({f"vote_{name}": F.when(F.expr(bad), 0).when(F.expr(good), 1) for name, (bad, good) in rules.items()})
+    good = lambda x: F.expr(x) if x else F.lit(False)
+    return measures.withColumns({f"vote_{name}": F.when(F.expr(bad), 0).when(good(fine), 1) for name, (bad, fine) in rules.items()})
 
 
 @dataclass
 class Model:
-    """prior of good; of each rule, how often its vote is right for good and for bad documents, given that it votes."""
+    """The share of good documents and, for each rule, the chances of its votes (bad, good, none) on good and on bad documents."""
 
-    prior: float = 0.8
-    right: dict[str, tuple[float, float]] = field(default_factory=dict)
+    prior: float
+    chances: dict[str, tuple[tuple[float, ...], tuple[float, ...]]]
 
     def log_odds(self, vote: dict) -> float:
         out = math.log(self.prior / (1 - self.prior))
-        for name, (good, bad) in self.right.items():
-            if vote[name] is not None:
-                out += math.log(good / (1 - bad)) if vote[name] else math.log((1 - good) / bad)
+        for name, (good, bad) in self.chances.items():
+            v = 2 if vote[name] is None else vote[name]
+            out += math.log(good[v] / bad[v])
         return out
 
 
-def fit(patterns: list[dict], names: list[str], rounds: int = 30) -> Model:
-    """Expectation-maximisation over vote patterns with their counts `n`; each accuracy starts at 0.8 and has a Beta(8, 2) prior."""
-    model = Model(right={name: (0.8, 0.8) for name in names})
+def fit(patterns: list[dict], names: list[str], rounds: int = ROUNDS) -> Model:
+    """Expectation-maximisation over vote patterns with their counts `n`.
+
+    Chances are of three outcomes, abstention among them: a rule that votes only on one defect tells nothing by its silence elsewhere.
+    Pseudo-counts say that a vote is more often right than not, which also decides which class is the good one.
+    """
+    share = lambda counts: tuple(c / sum(counts) for c in counts)
+    model = Model(PRIOR[0] / PRIOR[1], {name: (share(GOOD_VOTES), share(BAD_VOTES)) for name in names})
     total = sum(p["n"] for p in patterns)
     for _ in range(rounds if total else 0):
         good = [1 / (1 + math.exp(-max(-500.0, min(500.0, model.log_odds(p))))) for p in patterns]
-        share = sum(g * p["n"] for g, p in zip(good, patterns))
-        model.prior = min(0.99, max(0.01, (share + 8) / (total + 10)))
+        chances = {}
         for name in names:
-            cast = [(g, p["n"], p[name]) for g, p in zip(good, patterns) if p[name] is not None]
-            hit = sum(g * n for g, n, v in cast if v)
-            miss = sum((1 - g) * n for g, n, v in cast if not v)
-            of_good, of_bad = sum(g * n for g, n, _ in cast), sum((1 - g) * n for g, n, _ in cast)
-            model.right[name] = tuple(min(0.99, max(0.5, x)) for x in ((hit + 8) / (of_good + 10), (miss + 8) / (of_bad + 10)))
+            counts = list(map(float, GOOD_VOTES)), list(map(float, BAD_VOTES))
+            for g, p in zip(good, patterns):
+                v = 2 if p[name] is None else p[name]
+                counts[0][v] += g * p["n"]
+                counts[1][v] += (1 - g) * p["n"]
+            chances[name] = share(counts[0]), share(counts[1])
+        model = Model((sum(g * p["n"] for g, p in zip(good, patterns)) + PRIOR[0]) / (total + PRIOR[1]), chances)
     return model
 
 
 def posterior(model: Model) -> Column:
     """The probability that a document is good, from its vote columns."""
-    odds = [F.lit(math.log(model.prior / (1 - model.prior)))]
-    for name, (good, bad) in model.right.items():
+    odds = F.lit(math.log(model.prior / (1 - model.prior)))
+    for name, (good, bad) in model.chances.items():
         v = F.col(f"vote_{name}")
-        odds.append(F.when(v == 1, math.log(good / (1 - bad))).when(v == 0, math.log((1 - good) / bad)).otherwise(0.0))
-    return 1 / (1 + F.exp(-reduce(lambda a, b: a + b, odds)))
+        abstains, votes_bad, votes_good = (math.log(good[k] / bad[k]) for k in (2, 0, 1))
+        odds = odds + F.when(v.isNull(), abstains).when(v == 0, votes_bad).otherwise(votes_good)
+    return 1 / (1 + F.exp(-odds))
 
 
 def judge(docs: DataFrame, rules: dict = RULES, keep: float = KEEP) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import public_tokenizers
@@ -82,4 +83,86 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_trigram_secrets": op9,
     "op10_byte_bpe": op10,
 }
-ORACLES: dict[str, str] = {}
+
+
+# --- the same rows in DuckDB's SQL ---------------------------------------------------------------------
+_W = r"[^\x20\x09-\x0D]+"
+
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _rules_sql() -> str:
+    rules = quality_rules.RULES
+    votes = ", ".join(f"(CASE WHEN {bad} THEN 0 WHEN {good or 'false'} THEN 1 ELSE 2 END) AS v_{name}" for name, (bad, good) in rules.items())
+    names = ", ".join(f"v_{name}" for name in rules)
+    long = " UNION ALL ".join(f"SELECT pid, n, {_q(name)} AS rule, v_{name} AS vote FROM p" for name in rules)
+    share = lambda c: f"[{', '.join(map(str, c))}]"
+    steps = [f"t0 AS (SELECT rule, vote, ln(gp / 20.0) - ln(bp / 20.0) AS lr, ln({quality_rules.PRIOR[0]}.0 / {quality_rules.PRIOR[1] - quality_rules.PRIOR[0]}) AS odds FROM grid)"]
+    for k in range(quality_rules.ROUNDS):
+        steps.append(f"e{k} AS MATERIALIZED (SELECT pid, any_value(n) AS n, 1 / (1 + exp(-(any_value(odds) + sum(lr)))) AS g FROM long JOIN t{k} USING (rule, vote) GROUP BY pid)")
+        steps.append(f"c{k} AS (SELECT rule, vote, any_value(gp) + coalesce(sum(g * e{k}.n), 0) AS sg, any_value(bp) + coalesce(sum((1 - g) * e{k}.n), 0) AS sb FROM grid LEFT JOIN long USING (rule, vote) LEFT JOIN e{k} USING (pid) GROUP BY rule, vote)")
+        steps.append(f"o{k} AS (SELECT (coalesce(sum(g * n), 0) + {quality_rules.PRIOR[0]}) / (coalesce(sum(n), 0) + {quality_rules.PRIOR[1]}) AS prior FROM e{k})")
+        steps.append(f"t{k + 1} AS MATERIALIZED (SELECT rule, vote, ln(sg / sum(sg) OVER (PARTITION BY rule)) - ln(sb / sum(sb) OVER (PARTITION BY rule)) AS lr, ln(prior / (1 - prior)) AS odds FROM c{k}, o{k})")
+    last = quality_rules.ROUNDS
+    return rf"""WITH a AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), {_q(_W)}) AS w, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM documents),
+    b AS (SELECT *, row_number() OVER () AS id, list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) AS ws FROM a),
+    x AS (SELECT id, unnest(ws) AS g, unnest(range(1, len(ws) + 1)) AS i FROM b), often AS (SELECT id, i FROM (SELECT id, i, count(*) OVER (PARTITION BY id, g) AS k FROM x) WHERE k > 1),
+    covered AS (SELECT id, sum(least(5, coalesce(nxt - i, 5)))::BIGINT AS n_repeat_words FROM (SELECT id, i, lead(i) OVER (PARTITION BY id ORDER BY i) AS nxt FROM often) GROUP BY id),
+    m AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars, len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+        (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, len(l)::BIGINT AS n_lines, len(list_distinct(w))::BIGINT AS n_distinct, len(regexp_extract_all(t, '\p{{Lu}}'))::BIGINT AS n_capitals,
+        length(regexp_replace(t, '[^\p{{L}}]+', '', 'g'))::BIGINT AS n_letters, len(regexp_extract_all(t, '[!?.,;:]'))::BIGINT AS n_marks, coalesce(n_repeat_words, 0) AS n_repeat_words FROM b LEFT JOIN covered USING (id)),
+    v AS MATERIALIZED (SELECT *, {votes} FROM m), p AS MATERIALIZED (SELECT row_number() OVER () AS pid, {names}, count(*) AS n FROM v GROUP BY {names}), long AS MATERIALIZED ({long}),
+    grid AS (SELECT rule, vote, {share(quality_rules.GOOD_VOTES)}[vote + 1] AS gp, {share(quality_rules.BAD_VOTES)}[vote + 1] AS bp FROM (SELECT unnest([{', '.join(map(_q, rules))}]) AS rule), range(3) r(vote)), {', '.join(steps)},
+    post AS (SELECT pid, 1 / (1 + exp(-(any_value(odds) + sum(lr)))) AS g FROM long JOIN t{last} USING (rule, vote) GROUP BY pid),
+    f AS (SELECT v.*, g, n_words < {quality_rules.LEAST_WORDS} OR 100 * n_repeat_words > {quality_rules.REPEAT_PERCENT} * n_words AS base_failed FROM v JOIN p USING ({names}) JOIN post USING (pid))
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND g >= {quality_rules.KEEP} AS kept FROM f"""
+
+
+_NEAREST_SQL = """WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE embedding IS NOT NULL), n AS (SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS l FROM v),
+    p AS (SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.e, b.e) / (a.l * b.l) AS score FROM n a JOIN n b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id WHERE a.l > 0 AND b.l > 0),
+    r AS (SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank FROM p) SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
+
+_NEAR_COPIES_SQL = f"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {_q(_W)}) AS w FROM documents),
+    s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM w),
+    z AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id), c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+    e AS MATERIALIZED (SELECT x, y FROM c JOIN z zx ON zx.doc_id = x JOIN z zy ON zy.doc_id = y WHERE 100 * k >= 75 * (zx.n + zy.n - k)),
+    reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT a, y FROM reach JOIN e ON b = x), m AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+    SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM documents JOIN m USING (doc_id) LEFT JOIN z USING (doc_id)"""
+
+def _mix_sql() -> str:
+    position = re.sub(r"(\d)D\b", r"\1", curriculum.schedule_position(curriculum.SCHEDULES, "place", "before / greatest(target, 1.0)"))
+    limit = curriculum.LIMIT
+    return f"""WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), {_q(_W)}))::BIGINT AS size, md5(coalesce(doc_id::VARCHAR, '')) AS draw FROM documents),
+    s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM d GROUP BY source), w AS (SELECT *, [{', '.join(map(str, curriculum.WEIGHTS))}][place % {len(curriculum.WEIGHTS)} + 1] AS w FROM s),
+    t AS (SELECT *, (sum(source_size) OVER () - {limit} * coalesce(sum(source_size) OVER (ORDER BY source_size / w, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS spare,
+        (sum(w) OVER () - coalesce(sum(w) OVER (ORDER BY source_size / w, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS weight, row_number() OVER (ORDER BY source_size / w, place) AS nth FROM w),
+    f AS (SELECT *, {limit} * source_size * weight <= spare * w AS at_limit FROM t), g AS (SELECT *, arg_min(spare, nth) FILTER (NOT at_limit) OVER () AS a, arg_min(weight, nth) FILTER (NOT at_limit) OVER () AS b FROM f),
+    goals AS (SELECT source, place, source_size, CASE WHEN at_limit THEN ({limit} * source_size)::DOUBLE ELSE a::DOUBLE * w / b END AS target FROM g),
+    placed AS (SELECT d.*, place, source_size, target, floor(target)::BIGINT AS goal, coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY draw, size, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM d JOIN goals ON d.source IS NOT DISTINCT FROM goals.source),
+    k AS (SELECT *, CASE WHEN source_size > 0 THEN greatest(0, least({limit}, floor((goal - before - size)::DOUBLE / source_size) + 1))::BIGINT ELSE 0 END AS whole FROM placed),
+    r AS (SELECT *, CASE WHEN whole < {limit} THEN greatest(0, least(size, goal - before - whole * source_size)) ELSE 0 END AS part FROM k), p AS (SELECT *, CASE WHEN size > 0 THEN whole + (part > 0)::BIGINT ELSE 0 END AS passes FROM r)
+    SELECT doc_id, size, source_size, target, (whole * size + part)::BIGINT AS taken, passes::BIGINT AS passes, CASE WHEN passes > 0 THEN round({position}, 9) END AS position FROM p"""
+
+
+def _secrets_sql() -> str:
+    each = []
+    for k, r in enumerate(secret_scan.RULES):
+        at = lambda end: f"(list_sum(list_transform(gaps{k}[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms{k}[1:i{end}], lambda x: length(x))), 0))::BIGINT"  # noqa: E731, B023
+        one = f"{{'s': {at(' - 1')}, 'k': {k}, 'kind': {_q(r.kind)}, 'e': {at('')}}}"
+        each.append(f"list_transform(list_filter(range(1, len(ms{k}) + 1), lambda i: length(regexp_extract(ms{k}[i], {_q(r.pattern)}, {r.group})) >= {r.least}), lambda i: {one})")
+    parts = ", ".join(f"regexp_extract_all(t, {_q(r.pattern)}) AS ms{k}, string_split_regex(t, {_q(r.pattern)}) AS gaps{k}" for k, r in enumerate(secret_scan.RULES))
+    text = lambda xs: f"array_to_string(list_transform({xs}, lambda x: x.kind || ':' || x.s || ':' || x.e), ',')"
+    count = lambda kind: f"len(list_filter(spans, lambda x: x.kind = {_q(kind)}))::BIGINT AS n_{kind}"
+    return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), m AS (SELECT doc_id, {parts} FROM d), s AS (SELECT doc_id, list_sort(list_concat({', '.join(each)})) AS spans FROM m)
+    SELECT doc_id, {count('assign')}, {count('access')}, {count('hex')}, sha256({text(f"list_filter(spans, lambda x: x.k < {len(secret_scan.BASE)})")}) AS base_sha256, {text('spans')} AS spans FROM s"""
+
+
+ORACLES: dict[str, str] = {
+    "op1_quality_rules": _rules_sql(),
+    "op3_hilbert_ann": _NEAREST_SQL,
+    "op5_minmax_dedup": _NEAR_COPIES_SQL,
+    "op8_curriculum_mix": _mix_sql(),
+    "op9_trigram_secrets": _secrets_sql(),
+}

@@ -61,17 +61,25 @@ def test_quality_rules(request, which):
         assert r.kept == (not r.base_failed and r.posterior >= quality_rules.KEEP)
 
 
-def test_quality_rules_learn_accuracies():
+def test_quality_rules_learn_chances():
     rng = np.random.default_rng(1)
     good = rng.random(20_000) < 0.7
-    right = {"a": (0.9, 0.8), "b": (0.7, 0.95), "c": (0.85, 0.6)}
+    chances = {"a": ((0.1, 0.7, 0.2), (0.7, 0.1, 0.2)), "b": ((0.02, 0.0, 0.98), (0.5, 0.0, 0.5)), "c": ((0.05, 0.9, 0.05), (0.6, 0.3, 0.1)), "d": ((0.03, 0.57, 0.4), (0.4, 0.2, 0.4))}
     rows = Counter()
     for g in good:
-        vote = {n: None if rng.random() < 0.3 else int(rng.random() < p) if g else int(rng.random() > q) for n, (p, q) in right.items()}
+        vote = {n: [0, 1, None][rng.choice(3, p=c[0] if g else c[1])] for n, c in chances.items()}
         rows[tuple(vote.items())] += 1
-    model = quality_rules.fit([dict(k) | {"n": n} for k, n in rows.items()], list(right), rounds=60)
-    assert abs(model.prior - 0.7) < 0.1
-    assert all(abs(model.right[n][k] - right[n][k]) < 0.12 for n in right for k in (0, 1))
+    model = quality_rules.fit([dict(k) | {"n": n} for k, n in rows.items()], list(chances), rounds=60)
+    assert abs(model.prior - 0.7) < 0.05
+    assert all(abs(a - b) < 0.06 for n in chances for got, want in zip(model.chances[n], chances[n]) for a, b in zip(got, want))
+
+
+def test_quality_rules_reject_defects(spark):
+    prose = "The quick fox of the {} wood ran over some green hills and then it slept until noon near a stream, {} said."
+    rows = [(k, (prose.format(f"w{k}", f"n{k}") + "\n") * 1 + f"Then {k} others came by the road to see what had been there before them.") for k in range(60)]
+    rows += [(100 + k, " ".join(f"a{k}{j}###" for j in range(40))) for k in range(6)] + [(200 + k, " ".join(f"A{k}B{j}!!".upper() for j in range(40))) for k in range(6)]
+    kept = {r.doc_id for r in quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r.kept}
+    assert kept == set(range(60))
 
 
 def shingle_set(text):
