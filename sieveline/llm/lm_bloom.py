@@ -253,7 +253,7 @@ def score(docs: DataFrame, train=None, max_bits: int = MAX_BITS, frequent: int =
                 c = _counts_of(words, top_words, top_counts)
                 log_c = np.log10((c + 0.5) / below)[inverse]
                 seen = (c > 0)[inverse]
-                base = np.bincount(doc[seen], log_c[seen], len(each))
+                base = np.bincount(doc[seen], log_c[seen], len(each)).astype(float)
                 rare = [np.unique(flat[x:y][~seen[x:y]], return_counts=True) for x, y in zip(np.cumsum(size) - size, np.cumsum(size))]
                 model = np.bincount(doc, _log_probability(made, each, flat, words, inverse.ravel(), below), len(each))
                 yield pa.RecordBatch.from_pydict({

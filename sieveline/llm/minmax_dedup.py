@@ -5,9 +5,10 @@ Every hash evaluation gives two signature values, its minimum and its maximum ov
 probability (1 - 0.75^4)^32, about 5 in a million, and less above. Candidates are then confirmed on full shingle sets.
 
 Plan: one pass computes signatures; equal sets fold into one class (the copies leave the work here); class bands are dealt into
-buckets by aggregation. A bucket compares its members with one member only (a star), never all with all. Components of the
-confirmed links tell which buckets still hold several components; those get a second star around another member, and what is left
-after it has its pairs across components confirmed one by one, so no link between components is lost.
+buckets by aggregation. A bucket compares its members with one member only, the one that shares most buckets with others; a family of
+near copies is put together by that star. Buckets that still hold several groups are looked at again: the sets that met around one
+pivot are dealt into blocks, each two blocks meet in a task of bounded size, and only links between groups leave it, so that none is
+lost and no pairs are written out. Components of all links are found by alternating stars.
 
 Defined cases: null, empty or blank text has no shingle (n_shingles 0), is linked with nothing and is kept. Rows that share a doc_id
 count as one document: they share a component. A null doc_id takes no part in linking: component_id null, kept true. Columns beyond
@@ -28,6 +29,8 @@ from sieveline.llm.shared import WordHashes, runs_hash, words_of, written
 
 WIDTH, SIMILAR = 5, 75
 HASHES, BAND = 64, 4
+#: Sets of a block; two blocks meet in a task.
+BLOCK = 128
 _CHUNK = 8192
 ARROW_ROWS = 500
 _draw = np.random.default_rng(20240607)
@@ -59,6 +62,44 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
     return out
 
 
+def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each two sets share: products of incidence matrices, some thousand shared shingles at a time."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, token, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    token, kept = token.ravel(), (often > 1)[token.ravel()]
+    place = np.cumsum(often > 1) - 1
+    owner, token = owner[kept], place[token[kept]]
+    out = np.zeros((len(sets), len(sets)))
+    for k in range(0, int((often > 1).sum()), 4096):
+        here = (token >= k) & (token < k + 4096)
+        held = np.zeros((len(sets), 4096), np.float32)
+        held[owner[here], token[here] - k] = 1
+        out += held @ held.T
+    return out
+
+
+def _joined_up(table: pa.Table) -> pa.Table:
+    """Links between the groups (labels) of a block's sets; of several that join the same groups, one."""
+    nodes, labels = table.column("node").to_pylist(), table.column("label").to_pylist()
+    out: list[tuple[int, int]] = []
+    if len(set(labels)) > 1:
+        sets = [x.values.to_numpy() for x in table.column("shingles")]
+        size, common = np.array(list(map(len, sets))), _overlaps(sets)
+        group = {x: x for x in labels}
+
+        def of(x):
+            while group[x] != x:
+                group[x] = x = group[group[x]]
+            return x
+
+        for i, j in zip(*np.nonzero(np.triu(100 * common >= SIMILAR * (size[:, None] + size[None, :] - common), 1))):
+            a, b = of(labels[i]), of(labels[j])
+            if a != b:
+                group[max(a, b)] = min(a, b)
+                out.append((nodes[i], nodes[j]))
+    return pa.table({"u": pa.array([u for u, _ in out], pa.int64()), "v": pa.array([v for _, v in out], pa.int64())})
+
+
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
     for batch in batches:
@@ -82,21 +123,26 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def connected(edges: DataFrame) -> DataFrame:
     """(node, root) for the nodes u, v of edges; root is the smallest node of the component. Alternates large and small stars."""
-    edges, before = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u > v").distinct(), None
+    edges, before = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u > v").distinct().checkpoint(), None
     while True:
         both = edges.union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
-        large = large.checkpoint()
+        large = both.join(least, "u").where("v > u and v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").where("u > v").distinct()
-        edges = small.checkpoint()
+        small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
+        edges = small.where("u > v").distinct().checkpoint()
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = now
 
 
+def _shared(dealt: DataFrame) -> DataFrame:
+    """key, rep, n of the buckets with several members; n is how many."""
+    sizes = dealt.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    return dealt.join(sizes, "key")
+
+
 def _sets_of(nodes: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """node, n, shingles of the class representatives `nodes`, made from their texts; the one pass that deals texts out anew."""
     sets = docs.join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_sets, "node long, shingles array<long>")
@@ -121,30 +167,30 @@ def components(docs: DataFrame) -> DataFrame:
     known = signed.where("doc_id is not null and set_id is not null")
     classes = written(known.groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n_shingles"), F.any_value("bands").alias("bands")))
     dealt = classes.select(F.explode("bands").alias("key"), "rep")
-    shared = dealt.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
-    members = written(dealt.join(shared, "key"))
-    first = members.where("rep > low").select(F.col("low").alias("u"), F.col("rep").alias("v")).distinct()
+    members = written(_shared(dealt))
     sets = _sets_of(members.select(F.col("rep").alias("node")).distinct(), docs, classes)
-    links = _confirmed(first, sets).checkpoint()
+    # The middle of a bucket: the member that shares most buckets with others, as the text does that others were made from.
+    degree = members.groupBy("rep").agg(F.sum("n").alias("degree"))
+    ranked = members.join(degree, "rep")
+    pivots = ranked.groupBy("key").agg(F.max(F.struct("degree", (-F.col("rep")).alias("low"))).alias("p")).select("key", (-F.col("p.low")).alias("pivot"))
+    star = members.join(pivots, "key").where("rep != pivot").select(F.col("pivot").alias("u"), F.col("rep").alias("v")).distinct()
+    links = _confirmed(star, sets).checkpoint()
+    # What a star has put together: each member goes by the smallest pivot that it is linked with.
+    together = links.groupBy("v").agg(F.min("u").alias("u")).select(F.col("v").alias("node"), F.least("u", "v").alias("label"))
+    together = together.union(links.select(F.col("u").alias("node"), F.col("u").alias("label"))).groupBy("node").agg(F.min("label").alias("label"))
+    labelled = members.select("key", F.col("rep").alias("node")).join(together, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+    open_ = labelled.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b").join(pivots, "key").select("key", "pivot")
+    rest = written(labelled.join(open_, "key").select("pivot", "node", "label").distinct())
+    blocks = rest.groupBy("pivot").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    own_block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = rest.join(blocks, "pivot").withColumn("own", own_block).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).where("own != other or blocks = 1")
+    dealt = dealt.select("pivot", "node", "label", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b")).join(sets.select("node", "shingles"), "node")
+    links = links.union(dealt.groupBy("pivot", "a", "b").applyInArrow(_joined_up, "u long, v long"))
     # Rows of one doc_id with different texts are one document.
     own = known.select("doc_id", "set_id").join(classes.select("set_id", "rep"), "set_id")
-    twice = own.groupBy("doc_id").agg(F.min("rep").alias("u"), F.max("rep").alias("v"), F.count_distinct("rep").alias("n")).where("n > 1")
-    links = links.union(twice.select("u", "v")).union(twice.where("n > 2").select("doc_id", "u").join(own.select("doc_id", "rep"), "doc_id").select("u", F.col("rep").alias("v")))
+    twice = own.groupBy("doc_id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
+    links = links.union(twice.join(own.select("doc_id", "rep"), "doc_id").where("low != rep").select(F.col("low").alias("u"), F.col("rep").alias("v")))
     roots = connected(links)
-    for star in (True, False):
-        open_ = members.select("key", "rep", "low", "high").join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", "low", F.coalesce("root", "rep").alias("root"))
-        several = open_.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.max(F.struct("root", "rep")).alias("pivot")).where("a < b").select("key", "pivot")
-        rest = open_.join(several, "key")
-        if star:
-            pairs = rest.where("root != pivot.root and rep != low").select(F.least("rep", "pivot.rep").alias("u"), F.greatest("rep", "pivot.rep").alias("v"))
-        else:
-            # pairs with `low` and with the last pivot were tested; of what is left, a pair across components
-            left = rest.where("rep != low").select("key", F.col("rep").alias("u"), F.col("root").alias("ru"))
-            right = rest.where("rep != low").select("key", F.col("rep").alias("v"), F.col("root").alias("rv"))
-            pairs = left.join(right, "key").where("ru < rv").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-        more = _confirmed(pairs.distinct(), sets).checkpoint()
-        if not more.isEmpty():
-            roots = connected(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(more))
     known_as = classes.select("set_id", F.col("rep").alias("node")).join(roots, "node", "left").select("set_id", F.coalesce("root", "node").alias("component"))
     # a key of its own for rows without a set, so that they don't meet in one task
     keyed = signed.select("doc_id", "n_shingles", F.coalesce("set_id", F.concat(F.lit("id "), F.col("doc_id").cast("string")).cast("binary"), F.lit("id").cast("binary")).alias("set_id"))
