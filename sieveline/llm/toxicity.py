@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 from sieveline.llm.shared import words_of
 
 SAMPLE, SAMPLE_CHARS = 6000, 20_000
-WINDOW, ORDINARY_BYTES, TOXIC_BYTES, CONTEXT_WORDS = 4, 16_384, 4096, 3
-#: Over-represented: in at least so many toxic documents, with at least this log ratio of shares of documents.
-LEAST_DOCUMENTS, LOG_RATIO = 4, 1.5
+WINDOW, ORDINARY_BYTES, TOXIC_BYTES, CONTEXT_WORDS = 4, 32_768, 8192, 3
+#: Over-represented: in at least so many toxic documents and this share of them, with at least this log ratio of shares of documents.
+LEAST_DOCUMENTS, LEAST_SHARE, LOG_RATIO = 3, 0.03, 2.5
 #: Thresholds on the bytes that a window saves.
 SAVED = (1, 2, 3, 4, 5)
 _ZSTD = {"strategy": zstandard.STRATEGY_BTLAZY2, "min_match": 4, "search_log": 5, "window_log": 16, "hash_log": 15, "chain_log": 16, "write_content_size": False, "write_checksum": False, "write_dict_id": False}
@@ -101,7 +101,8 @@ def train_dictionaries(texts: Sequence[str], y: Sequence[int]) -> tuple[bytes, b
         sides[label].update(set(words))
     n = [list(y).count(0), list(y).count(1)]
     ratio = lambda w: math.log((sides[1][w] + 0.5) / (n[1] + 1)) - math.log((sides[0][w] + 0.5) / (n[0] + 1))
-    marked = {w for w, k in sides[1].items() if k >= LEAST_DOCUMENTS and ratio(w) > LOG_RATIO}
+    least = max(LEAST_DOCUMENTS, LEAST_SHARE * n[1])
+    marked = {w for w, k in sides[1].items() if k >= least and ratio(w) > LOG_RATIO}
     ordinary = [w for words, label in zip(each, y) if not label for w in windows(words, CONTEXT_WORDS)]
     ordinary = ordinary[:: max(1, len(ordinary) // 60_000)]
     toxic = [b" " + w + b" " for words, label in zip(each, y) if label for w in words if w in marked]
