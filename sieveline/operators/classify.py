@@ -35,7 +35,7 @@ def _free(df: DataFrame, made: Sequence[str]) -> None:
         raise ValueError(f"Columns differ from result columns only in case: {clash}")
 
 
-def _prepared(df: DataFrame, names: list[str], make, hybrid: bool, threshold: float, batch_size: int | None, max_chars: int | None) -> DataFrame:
+def _prepared(df: DataFrame, names: list[str], make, hybrid: bool, threshold: float, batch_size: int | None, max_chars: int | None, by_label: dict[str, float] | None = None) -> DataFrame:
     """df with __text_k and __entities_k of each column."""
     kinds = {f.name: f.dataType for f in df.schema.fields}
     text = {f"__text_{k}": as_text(F.col(f"`{c}`"), kinds[c]) for k, c in enumerate(names)}
@@ -45,7 +45,7 @@ def _prepared(df: DataFrame, names: list[str], make, hybrid: bool, threshold: fl
     entities = {f"__text_{k}": f"__entities_{k}" for k in range(len(names))}
     if make is None:
         return df.withColumns({e: F.expr(NOTHING) for e in entities.values()}) if entities else df
-    return with_entities(df, entities, make, L.HYBRID_PASSES if hybrid else L.BASE_PASSES, threshold, batch_size)
+    return with_entities(df, entities, make, L.HYBRID_PASSES if hybrid else L.BASE_PASSES, threshold, batch_size, by_label)
 
 
 def sides(text: Column, entities: Column, hybrid: bool, check: bool = True) -> tuple[Column, Column]:
@@ -57,15 +57,18 @@ def sides(text: Column, entities: Column, hybrid: bool, check: bool = True) -> t
     return F.array_sort(fuzzy), R.elements(text)
 
 
-def classify_columns(df: DataFrame, columns: str | Sequence[str], mode: str = "base", extractor: Callable[[], Extractor] | None = None, threshold: float = L.DEFAULT_THRESHOLD, validate_values: bool = True, batch_size: int | None = None, max_chars: int | None = None) -> DataFrame:
-    """df and, for each column c, c_level and c_elements (hybrid: c_needs_review), and level (hybrid: needs_review) of the row."""
+def classify_columns(df: DataFrame, columns: str | Sequence[str], mode: str = "base", extractor: Callable[[], Extractor] | None = None, threshold: float = L.DEFAULT_THRESHOLD, validate_values: bool = True, batch_size: int | None = None, max_chars: int | None = None, by_label: dict[str, float] | None = None) -> DataFrame:
+    """df and, for each column c, c_level and c_elements (hybrid: c_needs_review), and level (hybrid: needs_review) of the row.
+
+    by_label overrides the threshold of single labels, for backends that give spans with confidences.
+    """
     if mode not in ("base", "hybrid"):
         raise ValueError(f"mode is base or hybrid, not {mode!r}")
     hybrid, names = mode == "hybrid", _columns(df, columns)
     made = [f"{c}_{x}" for c in names for x in ("level", "elements", *["needs_review"] * hybrid)] + ["level"] + ["needs_review"] * hybrid
     _free(df, made)
     own = [c for c in df.columns if c not in made]
-    out = _prepared(df, names, extractor, hybrid, threshold, batch_size, max_chars)
+    out = _prepared(df, names, extractor, hybrid, threshold, batch_size, max_chars, by_label)
     first = {}
     for k in range(len(names)):
         first[f"__fuzzy_{k}"], first[f"__structured_{k}"] = sides(F.col(f"__text_{k}"), F.col(f"__entities_{k}"), hybrid, validate_values)

@@ -66,14 +66,14 @@ def out_of_memory(error: Exception) -> bool:
     return type(error).__name__ == "OutOfMemoryError" or "out of memory" in said or ("alloc" in said and "memory" in said)
 
 
-def in_batches(extractor: Extractor, texts: Sequence[str], labels: Sequence[str], threshold: float, size: int) -> list[dict[str, list[str]]]:
+def in_batches(extractor: Extractor, texts: Sequence[str], labels: Sequence[str], threshold: float, size: int, call: str = "extract") -> list[dict]:
     """All texts in batches; out of memory halves the batch, at one text moves the backend to the CPU once, and then is raised."""
-    out: list[dict[str, list[str]]] = []
+    out: list[dict] = []
     size, moved = max(1, size), False
     while len(out) < len(texts):
         part = texts[len(out) : len(out) + size]
         try:
-            out.extend(extractor.extract(part, labels, threshold))
+            out.extend(getattr(extractor, call)(part, labels, threshold))
         except Exception as error:
             if not out_of_memory(error) or (size == 1 and moved):
                 raise
@@ -86,18 +86,37 @@ def in_batches(extractor: Extractor, texts: Sequence[str], labels: Sequence[str]
     return out
 
 
-def merged(extractor: Extractor, texts: Sequence[str], passes, threshold: float, size: int) -> list[dict[str, list[str]]]:
-    """The findings of all passes over the texts, appended label by label."""
+def lowest(labels: Sequence[str], threshold: float, by_label: dict[str, float]) -> float:
+    """The threshold at which a pass must extract for every label's own threshold to be met afterwards."""
+    return min([threshold, *[by_label[x] for x in labels if x in by_label]])
+
+
+def merged(extractor: Extractor, texts: Sequence[str], passes, threshold: float, size: int, by_label: dict[str, float] | None = None) -> list[dict[str, list[str]]]:
+    """The findings of all passes over the texts, appended label by label.
+
+    With thresholds by label the backend must offer extract_spans(texts, labels, threshold): label to (start, end, confidence); spans
+    below their label's threshold are dropped, a confidence of None counts as 1 and a start of None as no span. A backend without
+    spans can't honour such thresholds: that is an error.
+    """
+    if by_label and not hasattr(extractor, "extract_spans"):
+        raise ValueError("thresholds by label need a backend with extract_spans")
     out: list[dict[str, list[str]]] = [{} for _ in texts]
     for labels, own in passes:
-        for row, found in zip(out, in_batches(extractor, texts, labels, threshold if own is None else own, size)):
-            for label, values in found.items():
+        at = threshold if own is None else own
+        if by_label:
+            found = in_batches(extractor, texts, labels, lowest(labels, at, by_label), size, "extract_spans")
+            least = lambda label: by_label.get(label, at)  # noqa: E731, B023
+            found = [{label: [t[a:b] for a, b, c in spans if a is not None and (1.0 if c is None else c) >= least(label)] for label, spans in x.items()} for t, x in zip(texts, found)]
+        else:
+            found = in_batches(extractor, texts, labels, at, size)
+        for row, one in zip(out, found):
+            for label, values in one.items():
                 if values:
                     row.setdefault(label, []).extend(values)
     return out
 
 
-def with_entities(df: DataFrame, columns: dict[str, str], make: Callable[[], Extractor], passes=L.BASE_PASSES, threshold: float = L.DEFAULT_THRESHOLD, batch_size: int | None = None) -> DataFrame:
+def with_entities(df: DataFrame, columns: dict[str, str], make: Callable[[], Extractor], passes=L.BASE_PASSES, threshold: float = L.DEFAULT_THRESHOLD, batch_size: int | None = None, by_label: dict[str, float] | None = None) -> DataFrame:
     """df and, for each text column that `columns` names, a map column of entities. All columns and passes cross to Python once.
 
     `make` builds the backend, once in each task; a backend's weights are read there, not on the driver.
@@ -108,7 +127,7 @@ def with_entities(df: DataFrame, columns: dict[str, str], make: Callable[[], Ext
         extractor = make()
         size = batch_size or getattr(extractor, "batch_size", None) or 16
         for pdf in batches:
-            found = {name: merged(extractor, pdf[text].fillna("").tolist(), passes, threshold, size) for text, name in columns.items()}
+            found = {name: merged(extractor, pdf[text].fillna("").tolist(), passes, threshold, size, by_label) for text, name in columns.items()}
             yield pdf.assign(**{name: pd.Series(v, index=pdf.index, dtype=object) for name, v in found.items()})
 
     return df.mapInPandas(run, schema)

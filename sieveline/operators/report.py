@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sieveline.functions import recognisers
 from sieveline.functions.rules import rank
 
 
@@ -37,3 +38,9 @@ def most_sensitive(df: DataFrame, group: str, k: int, key: str, elements: str =
 def review_queue(df: DataFrame, key: str, level: str = "level") -> DataFrame:
     """Rows that people should look at, the most sensitive first."""
     return df.where("needs_review").orderBy(rank(F.col(level)).desc(), F.col(key))
+
+
+def span_rows(df: DataFrame, key: str, text: str) -> DataFrame:
+    """key, label, start, end, score and value of every structured hit in a text column; overlaps are kept."""
+    found = df.select(key, F.col(text).alias("__text"), F.explode(recognisers.spans(F.col(text))).alias("s"))
+    return found.select(key, "s.*", F.expr("substring(__text, s.start + 1, s.end - s.start)").alias("value"))

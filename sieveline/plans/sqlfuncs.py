@@ -1,4 +1,4 @@
-"""The library in SQL: temporary functions whose bodies are Catalyst expressions, and a table function for spans."""
+"""The library in SQL: temporary functions whose bodies are Catalyst expressions."""
 
 from __future__ import annotations
 

@@ -560,3 +560,11 @@ def join_labels_quality(spark, sf_dir):
 def stream_level_counts(spark, sf_dir):
     events = table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"), F.when(F.col("value") > 50, "Private").otherwise("Public").alias("level"))
     return level_counts(events, "ts", "1 hour").withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+@query(f"""WITH d AS (SELECT doc_id, text FROM documents), e AS (SELECT doc_id, unnest(regexp_extract_all(text, {_q(EMAIL_RE2)})) AS value, 'email address' AS label FROM d),
+    c AS (SELECT doc_id, unnest(list_filter(regexp_extract_all(text, {_q(CARD_RE2)}, 1), lambda x: {sql_luhn('x')})) AS value, 'credit card number' AS label FROM d)
+    SELECT doc_id, label, trim(value) AS value, count(*)::BIGINT AS n FROM (SELECT * FROM e UNION ALL SELECT * FROM c) GROUP BY ALL""")
+def structured_spans(spark, sf_dir):
+    rows = report.span_rows(table(spark, sf_dir, "documents"), "doc_id", "text").where(F.col("label").isin("email address", "credit card number"))
+    return rows.groupBy("doc_id", "label", F.trim("value").alias("value")).agg(F.count("*").alias("n"))

@@ -99,6 +99,23 @@ def test_passes_merge_and_adapter():
     assert extract.merged(extract.NullExtractor(), ["x", "y"], L.BASE_PASSES, 0.7, 1) == [{}, {}]
 
 
+class Spans:
+    def __init__(self):
+        self.asked = []
+
+    def extract_spans(self, texts, labels, threshold):
+        self.asked.append(threshold)
+        return [{"person": [(0, 4, 0.8), (None, 2, 0.9), (5, 8, None)], "date of birth": [(0, 2, 0.85)]} for _ in texts]
+
+
+def test_thresholds_by_label():
+    backend = Spans()
+    found = extract.merged(backend, ["Anna Lee"], ((("person", "date of birth"), None), (("illness",), 0.6)), 0.7, 4, {"date of birth": 0.9, "illness": 0.3})
+    assert backend.asked == [0.7, 0.3] and found == [{"person": ["Anna", "Lee", "Anna", "Lee"]}]
+    with pytest.raises(ValueError):
+        extract.merged(extract.NullExtractor(), ["x"], L.BASE_PASSES, 0.7, 1, {"person": 0.9})
+
+
 def test_evaluation(spark):
     rows = [(0, ["person"], ["person"], "Private", "Private"), (1, ["person"], ["illness"], "Private", "Confidential"), (2, [], [], "Public", "Public"), (3, ["illness"], [], "Confidential", "Public")]
     df = spark.createDataFrame(rows, "id int, p array<string>, g array<string>, pl string, gl string")
