@@ -15,19 +15,14 @@ empty result; columns beyond doc_id and text are not read.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import product
+from re import _parser
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-try:
-    from re import _parser as _sre
-except ImportError:
-    import sre_parse as _sre
-
 
 @dataclass(frozen=True)
 class Rule:
@@ -89,7 +84,7 @@ def _literals(parsed) -> list[list[str | None]]:
 def trigram_query(pattern: str) -> list[list[str]] | None:
     """Sets of lower-case trigrams; a text that matches holds all of at least one set. None if a match may do without any."""
     sets = set()
-    for way in _literals(_sre.parse(pattern)):
+    for way in _literals(_parser.parse(pattern)):
         runs = "".join("\x00" if x is None else x for x in way).split("\x00")
         found = frozenset(r[k : k + 3] for r in runs for k in range(len(r) - 2))
         if not found:

@@ -169,8 +169,9 @@ def test_secrets(request, spark, which):
 def test_trigram_queries():
     assert secret_scan.trigram_query("AKIA[A-Z0-9]+") == [["aki", "kia"]]
     assert secret_scan.trigram_query("[0-9a-f]{32,}") is None
-    assert ["oke", "tok", "ken"].sort() is None and ["ken", "oke", "tok"] in secret_scan.trigram_query(secret_scan.BASE[0].pattern)
-    assert secret_scan.trigram_query("ab?cde") == [["bcd", "cde", "abc"], ["acd", "cde"]] or [sorted(x) for x in secret_scan.trigram_query("ab?cde")] == sorted([["abc", "bcd", "cde"], ["acd", "cde"]])
+    assert ["ken", "oke", "tok"] in secret_scan.trigram_query(secret_scan.BASE[0].pattern)
+    assert secret_scan.trigram_query("ab?cde") == [["abc", "bcd", "cde"], ["acd", "cde"]]
+    assert secret_scan.trigram_query("(abc|x)") is None
 
 
 def test_other_secrets_and_redaction(spark):
