@@ -126,17 +126,21 @@ def segment(grams: np.ndarray, counts: np.ndarray, most_bits: int) -> tuple[byte
     bits = LEAST_BITS
     while bits < BITS_EACH * entries and bits * 2 <= most_bits:
         bits *= 2
-    probes = max(1, min(8, round(bits / max(entries, 1) * math.log(2))))
+    probes = max(1, min(4, round(bits / max(entries, 1) * math.log(2))))
     held = np.zeros(bits, bool)
     for j in range(1, int(level.max(initial=0)) + 1):
         at = grams[level >= j]
-        for i in range(probes):
-            held[(positions(at, j, i) & np.uint64(bits - 1)).astype(np.int64)] = True
+        first, step = places(at, j)
+        for _ in range(probes):
+            held[(first & np.uint64(bits - 1)).astype(np.int64)] = True
+            first = first + step
     return np.packbits(held, bitorder="little").tobytes(), bits, probes
 
 
-def positions(grams: np.ndarray, level: int, probe: int) -> np.ndarray:
-    return mixed(grams + np.uint64((level * 31 + probe + 1) * 0x9E3779B97F4A7C15 % 2**64))
+def places(grams: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first place of each n-gram at a level, and the step from probe to probe."""
+    first = mixed(grams + np.uint64((level + 1) * 0x9E3779B97F4A7C15 % 2**64))
+    return first, (first >> np.uint64(32)) | _ONE
 
 
 def _shard_maker(most_bits: int):
@@ -174,14 +178,16 @@ class Filter:
         out = np.zeros(len(grams), np.int64)
         at = np.arange(len(grams))
         start, mask, probes = self.start[shard], self.mask[shard], self.probes[shard]
-        most = int(probes.max(initial=0))
         for j in range(1, 63):
-            for i in range(most):
-                if not len(at):
-                    return out
-                place = (positions(grams[at], j, i) & mask[at]) + start[at]
-                hit = (held[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1
-                at = at[(hit == 1) | (probes[at] <= i)]
+            first, step = places(grams, j)
+            for i in range(int(probes.max(initial=0))):
+                place = (first & mask) + start
+                hit = ((held[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1).view(bool) | (probes <= i)
+                if not hit.all():
+                    at, grams, start, mask, probes, first, step = (x[hit] for x in (at, grams, start, mask, probes, first, step))
+                first = first + step
+            if not len(at):
+                break
             out[at] = j
         return out
 
