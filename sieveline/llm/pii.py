@@ -47,11 +47,17 @@ _MAY = {"email": "contains({t}, '@')", "phone": "contains({t}, '+')", "iban": "{
 KINDS = ("email", "iban", "phone", "card", "account", "ssn", "ip", "given_f", "given_m", "given_u", "surname")
 
 
+_MOD_97 = "aggregate(transform(split({x}, ''), c -> cast(conv(c, 36, 10) as bigint)), 0L, (a, c) -> if(c > 9, a * 100 + c, a * 10 + c) % 97)"
+
+
 def mentions(text: str) -> str:
     """SQL for an array of (start, end, kind, norm) of the entities in a text column, by start, without overlaps."""
     each = []
     for k, rule in enumerate(RULES):
         found = spans_of(text, rule, k)
+        if rule.kind == "iban":  # only with a right checksum, so that others don't hide what they overlap
+            v = f"replace(substring({text}, s.start + 1, s.end - s.start), ' ', '')"
+            found = f"filter({found}, s -> {_MOD_97.format(x=f'concat(substring({v}, 5), substring({v}, 1, 4))')} = 1)"
         each.append(f"if({_MAY[rule.kind].format(t=text)}, {found}, array())")
     spans = f"array_sort(concat({', '.join(each)}))"
     apart = f"""aggregate({spans}, named_struct('at', 0, 'out', cast(array() as array<struct<start: int, rank: int, kind: string, end: int>>)),
@@ -100,8 +106,7 @@ def surrogate() -> str:
     ssn = f"array_join(transform({place}, i -> cast(1 + {_drawn('i')} % if(i = 1, 6, 9) as string)), '')"
     ip = f"array_join(transform(sequence(1, 4), i -> cast(1 + {_drawn('i')} % 254 as string)), '.')"
     body = f"array_join(transform({place}, i -> if(i <= 4, '', {alike})), '')"
-    value = "aggregate(transform(split({x}, ''), c -> cast(conv(c, 36, 10) as bigint)), 0L, (a, c) -> if(c > 9, a * 100 + c, a * 10 + c) % 97)"
-    iban = f"transform(array({body}), b -> concat(substring(norm, 1, 2), lpad(cast(98 - {value.format(x='concat(b, substring(norm, 1, 2), ' + chr(39) + '00' + chr(39) + ')')} as string), 2, '0'), b))[0]"
+    iban = f"transform(array({body}), b -> concat(substring(norm, 1, 2), lpad(cast(98 - {_MOD_97.format(x='concat(b, substring(norm, 1, 2), ' + chr(39) + '00' + chr(39) + ')')} as string), 2, '0'), b))[0]"
     names = []
     for script, test in (("cyrillic", r"[Ѐ-ӿ]"), ("greek", r"[Ͱ-Ͽ]"), ("latin", "")):
         syllables = "array(" + ", ".join(_quoted(s) for s in SYLLABLES[script]) + ")"

@@ -261,7 +261,7 @@ def test_bpe_of_odd_texts():
 PRIVATE = [
     (1, "mail Anna.Lee7@mail3.example.com or ANNA.LEE7@mail3.example.com", 0), (2, "anna.lee7@mail3.example.com", 0), (3, "call +1 (523) 555-1055 or +15235551055", 0), (4, "card 4111 1111 1111 1111, 4111111111111112", 0),
     (5, "ip 10.20.30.40 ssn 123-45-6789 iban GB82WEST12345698765432", 0), (6, "Mrs Anna Schmidt met Herr Schmidt and Г-жа Анна Иванова", 0), (7, "Dr Anna SCHMIDT", 0), (8, "clean words 12 and 3.4", 0), (9, None, 0), (10, "", 0),
-    (1, "mail Anna.Lee7@mail3.example.com or ANNA.LEE7@mail3.example.com", 0), (None, "x@y.org", 0),
+    (1, "mail Anna.Lee7@mail3.example.com or ANNA.LEE7@mail3.example.com", 0), (None, "x@y.org", 0), (11, "ID12 4111 1111 1111 1111 AB12 CDEF 3456", 0),
 ]
 
 
@@ -286,6 +286,7 @@ def test_pii(spark):
     assert int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
     m = re.fullmatch(r"Mrs (\w+) (\w+) met Herr (\w+) and Г-жа (\w+) (\w+)", got[6])
     assert m and m[2] == m[3] and m[1].endswith("na") and m[4].endswith("на") and m[5].endswith("сен")
+    assert re.fullmatch(r"ID12 4\d{3} \d{4} \d{4} \d{4} AB12 CDEF 3456", got[11]) and "4111 1111" not in got[11]
     assert got[7].split()[2] == m[2].upper() and got[7].split()[1] == m[1]
 
 
