@@ -31,6 +31,8 @@ CURVES, DIMS, BITS = 6, 5, 8
 BLOCK = 512
 #: Rows from which cell borders are learned, and ranges whose centres are sent to the workers.
 SAMPLE, RANGES = 10_000, 2048
+#: More than a quick cosine differs from the exact one, and numbers that exact cosines take at a time.
+ROUNDING, EXACT_CELLS = 1e-9, 2**21
 _SEED = 20240611
 
 
@@ -146,28 +148,36 @@ def blocks(placed: DataFrame, n: int) -> DataFrame:
 
 def _compared(k: int, width: int):
     def run(asked: pa.Table, held: pa.Table) -> pa.Table:
-        out = {"query": [], "entry": [], "score": []}
+        out = {"query": [], "entry": [], "least": [], "score": []}
         if asked.num_rows and held.num_rows:
             q, m = (_matrix(c.combine_chunks(), width) for c in (asked.column("qv"), held.column("v")))
             unit = m / np.linalg.norm(m, axis=1)[:, None]
+            least = held.column("least").to_numpy()
             take = min(k + 1, len(m))
             for a in range(0, len(q), 256):
-                near = np.argpartition(-(q[a : a + 256] @ unit.T), take - 1, axis=1)[:, :take] if take < len(m) else np.tile(np.arange(take), (len(q[a : a + 256]), 1))
-                score = cosines(q[a : a + 256, None, :], m[near])
-                rows = np.repeat(np.arange(a, a + len(near)), take)
+                near = q[a : a + 256] / np.linalg.norm(q[a : a + 256], axis=1)[:, None] @ unit.T
+                # all that may reach the last place; exact scores and ids decide
+                rows, which = np.nonzero(~(near < np.partition(near, len(m) - take, axis=1)[:, len(m) - take, None] - ROUNDING))
+                step = max(1, EXACT_CELLS // width)
+                score = np.concatenate([cosines(q[a + rows[i : i + step]], m[which[i : i + step]]) for i in range(0, len(rows), step)])
+                order = np.lexsort((least[which], -score, rows))
+                rows, which, score = rows[order], which[order], score[order]
+                kept = np.arange(len(rows)) - np.searchsorted(rows, rows) < take
+                rows, which, score = rows[kept] + a, which[kept], score[kept]
                 out["query"].append(asked.column("query").take(pa.array(rows)))
-                out["entry"].append(held.column("entry").take(pa.array(near.ravel())))
-                out["score"].append(pa.chunked_array([pa.array(score.ravel())]))
-        schema = pa.schema([("query", pa.binary()), ("entry", pa.binary()), ("score", pa.float64())])
+                out["entry"].append(held.column("entry").take(pa.array(which)))
+                out["least"].append(held.column("least").take(pa.array(which)))
+                out["score"].append(pa.chunked_array([pa.array(score)]))
+        schema = pa.schema([("query", pa.binary()), ("entry", pa.binary()), ("least", pa.int64()), ("score", pa.float64())])
         return pa.Table.from_arrays([pa.chunked_array([c for x in out[n] for c in x.chunks], schema.field(n).type) for n in schema.names], schema=schema)
 
     return run
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
-    """The k + 1 nearest entries of each query, each once."""
-    order = Window.partitionBy("query").orderBy(F.desc("score"), "entry")
-    return found.groupBy("query", "entry").agg(F.max("score").alias("score")).withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= k + 1)
+    """The k + 1 nearest entries of each query, each once; of equally near ones those with the smallest vec_id. No other can hold an answer."""
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "least")
+    return found.groupBy("query", "entry", "least").agg(F.max("score").alias("score")).withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= k + 1)
 
 
 def _centred(m: np.ndarray) -> np.ndarray:
@@ -224,23 +234,23 @@ def search(vectors: DataFrame, k: int = 5, every: int = 50, windows_only: bool =
     if not n:
         return empty
     placed = written(blocks(orderings(found, width), n))
-    members = placed.join(found.select("entry", "v"), "entry")
+    members = placed.join(found.select("entry", "v", F.array_min("ids").alias("least")), "entry")
     asked = found.where("asked = 1").select(F.col("entry").alias("query"), F.col("v").alias("qv"))
     at = placed.withColumnRenamed("entry", "query").join(asked, "query").select("query", "qv", F.col("curve").alias("q_curve"), F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)).alias("q_block"))
-    schema = "query binary, entry binary, score double"
+    schema = "query binary, entry binary, least long, score double"
     near = at.groupBy("q_curve", "q_block").cogroup(members.groupBy("curve", "block")).applyInArrow(_compared(k, width), schema)
     best = written(_best(near, k))
     if not windows_only:
         per_range = -(-n // (BLOCK * RANGES))
-        own = members.where("curve = 0").select("entry", "v", "block")
+        own = members.where("curve = 0").select("entry", "v", "least", "block")
         caps = ranges(own, per_range, width).collect()
         floors = best.where(F.col("nth") == k + 1).select("query", F.col("score").alias("floor"))
         open_ = asked.join(floors, "query", "left").select("query", "qv", F.coalesce("floor", F.lit(-2.0)).alias("floor"))
         visits = _may_hold(open_, caps, width)
         listed = placed.where("curve = 0").select("block", F.floor(F.col("block") / per_range).alias("range")).distinct()
         there = visits.join(listed, "range").join(asked, "query").select("query", "qv", F.col("block").alias("q_block"))
-        rest = there.groupBy("q_block").cogroup(own.select("entry", "v", "block").groupBy("block")).applyInArrow(_compared(k, width), schema)
-        best = written(_best(best.select("query", "entry", "score").union(rest), k))
+        rest = there.groupBy("q_block").cogroup(own.groupBy("block")).applyInArrow(_compared(k, width), schema)
+        best = written(_best(best.select("query", "entry", "least", "score").union(rest), k))
     ids = found.select("entry", "ids")
     queries = rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), F.col("entry").alias("query")).distinct()
     answers = best.join(ids, "entry").select("query", "score", F.explode("ids").alias("vec_id"))

@@ -78,6 +78,25 @@ def test_neighbours(spark):
     assert len(windows & exact) >= 0.9 * len(exact)
 
 
+@pytest.mark.parametrize("which", ["multiples", "signs"])
+def test_neighbours_that_tie(spark, which):
+    rng = np.random.default_rng(5)
+    if which == "multiples":  # v, 2v, 4v ... of each of 60 vectors: cosines are the same to the last bit
+        base = rng.normal(size=(60, 8))
+        m = np.stack([base[i % 60] * 2.0 ** (i // 60) for i in range(1200)])
+    else:
+        m = rng.choice([-1.0, 1.0], size=(1200, 16))
+    rows = [(int(i), v.tolist()) for i, v in zip(rng.permutation(len(m)), m)]
+    got = {}
+    for r in hilbert_ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    ids, v = np.array([i for i, _ in rows]), np.array([x for _, x in rows])
+    for q in range(0, len(m), 50):
+        score = hilbert_ann.cosines(v[ids == q], v)
+        order = np.lexsort((ids, -score))
+        assert got[q] == [int(i) for i in ids[order] if i != q][:5]
+
+
 def test_few_vectors(spark):
     schema = "vec_id long, embedding array<float>"
     assert hilbert_ann.search(spark.createDataFrame([], schema)).collect() == []
