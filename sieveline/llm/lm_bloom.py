@@ -6,9 +6,9 @@ false positive can only raise it, by a level at a time. Each text's probability
 probabilities made from those counts.
 
 Building: counts are packed for each chunk of tokens and dealt to shards by n-gram hash; a shard merges its n-grams and sets the bits
-of its own segment of the filter, so that nobody holds all n-grams. The filter's bits are at most MAX_BITS whatever the corpus (each
-shard's share of them is its bound; within it a segment has about BITS_EACH bits for each entry), which bounds what is broadcast. A
-corpus too large for that gets a fuller filter with more false positives, not fewer n-grams.
+of its own segment of the filter, so that nobody holds all n-grams. A segment has at least BITS_EACH bits for each entry, whatever the
+corpus. A filter of at most MAX_BITS is broadcast. A larger one stays where it is: the n-grams of the texts to be scored are dealt to the
+segments, and their levels go back to the texts; the scores are the same.
 
 The base score needs exact counts of every word. At most FREQUENT words, the most frequent ones, are broadcast; all other words of a
 text are joined with the table of counts.
@@ -22,6 +22,7 @@ empty table gives an empty result; with no training text counts are 0, N is 0 an
 from __future__ import annotations
 
 import math
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -119,7 +120,7 @@ def counts_at(level: np.ndarray) -> np.ndarray:
     return np.where(level <= 1, level, 1.5 * np.exp2(level - 1.0) - 0.5)
 
 
-def segment(grams: np.ndarray, counts: np.ndarray, most_bits: int) -> tuple[bytes, int, int]:
+def segment(grams: np.ndarray, counts: np.ndarray, most_bits: int = 2**62) -> tuple[bytes, int, int]:
     """A shard's bits, their number (a power of two) and the number of probes an entry has."""
     level = levels(counts)
     entries = int(level.sum())
@@ -143,14 +144,11 @@ def places(grams: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
     return first, (first >> np.uint64(32)) | _ONE
 
 
-def _shard_maker(most_bits: int):
-    def run(table: pa.Table) -> pa.Table:
-        words, n = _merged(table.column("words"), table.column("word_counts"))
-        grams, m = _merged(table.column("pairs"), table.column("pair_counts"))
-        held, bits, probes = segment(np.concatenate([grams, singles(words)]), np.concatenate([m, n]), most_bits)
-        return pa.table({"shard": table.column("shard")[:1], "words": pa.array([words.tobytes()], pa.binary()), "counts": pa.array([n.tobytes()], pa.binary()), "n_words": pa.array([len(words)]), "n_tokens": pa.array([int(n.sum())]), "n_pairs": pa.array([len(grams)]), "bits": pa.array([bits]), "probes": pa.array([probes]), "held": pa.array([held], pa.binary())})
-
-    return run
+def _made_shard(table: pa.Table) -> pa.Table:
+    words, n = _merged(table.column("words"), table.column("word_counts"))
+    grams, m = _merged(table.column("pairs"), table.column("pair_counts"))
+    held, bits, probes = segment(np.concatenate([grams, singles(words)]), np.concatenate([m, n]))
+    return pa.table({"shard": table.column("shard")[:1], "words": pa.array([words.tobytes()], pa.binary()), "counts": pa.array([n.tobytes()], pa.binary()), "n_words": pa.array([len(words)]), "n_tokens": pa.array([int(n.sum())]), "n_pairs": pa.array([len(grams)]), "bits": pa.array([bits]), "probes": pa.array([probes]), "held": pa.array([held], pa.binary())})
 
 
 class Filter:
@@ -192,11 +190,11 @@ class Filter:
         return out
 
 
-def _fit(docs: DataFrame, max_bits: int) -> tuple[DataFrame, int]:
+def _fit(docs: DataFrame) -> tuple[DataFrame, int]:
     """One row for each shard: its words with counts, and its segment of the filter."""
     shards = 1 << max(4, (4 * partitions(docs.sparkSession) - 1).bit_length())
     packed = docs.select("text").mapInArrow(_packer(shards), "shard int, words binary, word_counts binary, pairs binary, pair_counts binary")
-    return packed.groupBy("shard").applyInArrow(_shard_maker(max_bits // shards), "shard int, words binary, counts binary, n_words long, n_tokens long, n_pairs long, bits long, probes long, held binary"), shards
+    return packed.groupBy("shard").applyInArrow(_made_shard, "shard int, words binary, counts binary, n_words long, n_tokens long, n_pairs long, bits long, probes long, held binary"), shards
 
 
 def _unpacked(least: int):
@@ -231,18 +229,61 @@ def least_frequent(shards: DataFrame, most: int) -> int:
     return least
 
 
+_SCORED = "doc_id long, n_tokens long, n_known long, base_score double, score double, rare array<long>, rare_n array<long>"
+#: Rows of texts have a chunk and, for each token, the places of its word and pair among the chunk's n-grams; rows of n-grams a shard.
+_DEALT = ", chunk binary, shard int, grams binary, words_at binary, pairs_at binary"
+
+
+def _asked(chunk: bytes, home: np.ndarray, grams: np.ndarray, shards: int) -> pa.RecordBatch:
+    """A row for each shard that has n-grams of a chunk; they are in the order of the hashes by which they are dealt, so shards are runs."""
+    shard = (home >> np.uint64(64 - (shards.bit_length() - 1))).astype(np.int64) if shards > 1 else np.zeros(len(home), np.int64)
+    found, starts = np.unique(shard, return_index=True)
+    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()), ("rare", pa.list_(pa.int64())), ("rare_n", pa.list_(pa.int64())), ("chunk", pa.binary()), ("shard", pa.int32()), ("grams", pa.binary()), ("words_at", pa.binary()), ("pairs_at", pa.binary())])
+    own = {"chunk": pa.array([chunk] * len(found), pa.binary()), "shard": pa.array(found, pa.int32()), "grams": pa.array([x.tobytes() for x in np.split(grams, starts[1:])], pa.binary())}
+    return pa.RecordBatch.from_arrays([own.get(f.name, pa.nulls(len(found), f.type)) for f in schema], schema=schema)
+
+
+def _probed(asked: pa.Table, held: pa.Table) -> pa.Table:
+    """The levels, a byte each, of the n-grams that chunks ask a shard for; 0 where the shard has no segment."""
+    made = Filter([(0, held.column("bits")[0].as_py(), held.column("probes")[0].as_py(), held.column("held")[0].as_py())], 1) if held.num_rows else None
+    out = []
+    for k in range(0, asked.num_rows, 500):
+        each = [np.frombuffer(x.as_py(), np.uint64) for x in asked.column("grams").slice(k, 500)]
+        flat = np.concatenate(each)
+        level = (made.level(flat, made.shard(flat)) if made else np.zeros(len(flat))).astype(np.uint8)
+        out += [x.tobytes() for x in np.split(level, np.cumsum([len(x) for x in each])[:-1])]
+    return pa.table({"chunk": asked.column("chunk"), "shard": asked.column("shard"), "levels": pa.array(out, pa.binary())})
+
+
+def _summed(below: float):
+    def run(texts: pa.Table, found: pa.Table) -> pa.Table:
+        out = []
+        if texts.num_rows:
+            levels_ = found.sort_by("shard").column("levels")
+            count = counts_at(np.concatenate([np.frombuffer(x.as_py(), np.uint8) for x in levels_]).astype(np.int64))
+            for words, both in zip(texts.column("words_at"), texts.column("pairs_at")):
+                c, together = (count[np.frombuffer(x.as_py(), np.int32)] for x in (words, both))
+                out.append(_interpolated(c, np.roll(c, 1), together, below).sum())  # the last token is END, which the first follows
+        return pa.table({"row": texts.column("row"), "score": pa.array(out, pa.float64())})
+
+    return run
+
+
 def score(docs: DataFrame, train=None, max_bits: int = MAX_BITS, frequent: int = FREQUENT) -> DataFrame:
-    """doc_id, n_tokens, n_known, train_tokens, base_score, score of each row; `train` says which rows to learn from (default all)."""
+    """doc_id, n_tokens, n_known, train_tokens, base_score, score of each row; `train` says which rows to learn from (default all).
+
+    A filter of more than `max_bits` is not broadcast; the scores do not depend on it."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    fitted, n_shards = _fit(docs if train is None else docs.where(train), max_bits)
+    fitted, n_shards = _fit(docs if train is None else docs.where(train))
     shards = written(fitted, ARROW_ROWS)
-    total, known = shards.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("n_words"), F.lit(0))).first()
+    total, known, bits = shards.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n_tokens", "n_words", "bits")]).first()
     least = least_frequent(shards, frequent)
     top = shards.select("words", "counts").mapInArrow(_unpacked(least), "word long, c long").toArrow()
     top_words, top_counts = top.column("word").to_numpy().view(np.uint64), top.column("c").to_numpy()
     order = np.argsort(top_words)
-    made = Filter([tuple(r) for r in shards.select("shard", "bits", "probes", "held").toLocalIterator()], n_shards)
+    segments = shards.select("shard", "bits", "probes", "held")
+    made = Filter([tuple(r) for r in segments.toLocalIterator()], n_shards) if bits <= max_bits else None
     sent = spark.sparkContext.broadcast((top_words[order], top_counts[order], made))
     below = total + 0.5 * (known + 1)
 
@@ -261,14 +302,34 @@ def score(docs: DataFrame, train=None, max_bits: int = MAX_BITS, frequent: int =
                 seen = (c > 0)[inverse]
                 base = np.bincount(doc[seen], log_c[seen], len(each)).astype(float)
                 rare = [np.unique(flat[x:y][~seen[x:y]], return_counts=True) for x, y in zip(np.cumsum(size) - size, np.cumsum(size))]
-                model = np.bincount(doc, _log_probability(made, each, flat, words, inverse.ravel(), below), len(each))
+                inverse = inverse.ravel()
+                model, dealt = None, {}
+                if made is not None:
+                    model = np.bincount(doc, _log_probability(made, each, flat, words, inverse, below), len(each))
+                else:
+                    chunk = uuid.uuid4().bytes
+                    both, pair_at = np.unique(pairs(histories(each, flat), flat), return_inverse=True)
+                    home = np.concatenate([words, both])
+                    order = np.argsort(home, kind="stable")
+                    at, cuts = np.empty(len(order), np.int32), np.cumsum(size)[:-1]
+                    at[order] = np.arange(len(order))
+                    dealt = {"chunk": pa.array([chunk] * len(each), pa.binary()), "shard": pa.nulls(len(each), pa.int32()), "grams": pa.nulls(len(each), pa.binary())}
+                    for name, places_ in (("words_at", at[: len(words)][inverse]), ("pairs_at", at[len(words) :][pair_at.ravel()])):
+                        dealt[name] = pa.array([x.tobytes() for x in np.split(places_, cuts)], pa.binary())
+                    yield _asked(chunk, home[order], np.concatenate([singles(words), both])[order], n_shards)
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": batch.column(0).slice(a, b - a), "n_tokens": pa.array(size, pa.int64()), "n_known": pa.array(np.bincount(doc[seen], minlength=len(each)), pa.int64()),
-                    "base_score": pa.array(base), "score": pa.array(model), "rare": pa.array([r.view(np.int64) for r, _ in rare], pa.list_(pa.int64())), "rare_n": pa.array([n for _, n in rare], pa.list_(pa.int64())),
+                    "base_score": pa.array(base), "score": pa.array(model) if model is not None else pa.nulls(len(each), pa.float64()), "rare": pa.array([r.view(np.int64) for r, _ in rare], pa.list_(pa.int64())), "rare_n": pa.array([n for _, n in rare], pa.list_(pa.int64())), **dealt,
                 })
 
-    scored = docs.mapInArrow(run, "doc_id long, n_tokens long, n_known long, base_score double, score double, rare array<long>, rare_n array<long>")
+    scored = docs.mapInArrow(run, _SCORED if made is not None else _SCORED + _DEALT)
     scored = written(scored.withColumn("row", F.monotonically_increasing_id()), ARROW_ROWS)
+    if made is None:
+        asked = scored.where("shard is not null").select("chunk", "shard", "grams").groupBy("shard")
+        found = asked.cogroup(segments.groupBy("shard")).applyInArrow(_probed, "chunk binary, shard int, levels binary")
+        scored = scored.where("shard is null")
+        model = scored.select("chunk", "row", "words_at", "pairs_at").groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(_summed(below), "row long, score double")
+        scored = scored.drop("score").join(model, "row")
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.rare_n").alias("n"))
     counts = shards.select("words", "counts").mapInArrow(_unpacked(0), "word long, c long").where(F.col("c") < least)
     each = rare.join(counts, "word", "left").select("row", "n", F.coalesce("c", F.lit(0)).alias("c"))
@@ -280,13 +341,18 @@ def score(docs: DataFrame, train=None, max_bits: int = MAX_BITS, frequent: int =
 def _log_probability(made: Filter, each: list[np.ndarray], flat: np.ndarray, words: np.ndarray, inverse: np.ndarray, below: float) -> np.ndarray:
     """log10 of each token's probability after the token before it, from the filter's counts."""
     count = counts_at(made.level(singles(words), made.shard(words)))
-    single = ((count + 0.5) / below)[inverse]
     last = np.empty_like(inverse)
     last[1:] = inverse[:-1]
     last[np.cumsum([0, *map(len, each[:-1])])] = np.searchsorted(words, END)
     grams = pairs(words[last], flat)
     together = counts_at(made.level(grams, made.shard(grams)))
-    history = np.maximum(count[last], together)
+    return _interpolated(count[inverse], count[last], together, below)
+
+
+def _interpolated(count: np.ndarray, before: np.ndarray, together: np.ndarray, below: float) -> np.ndarray:
+    """log10 of probabilities from the counts of words, of the words before them and of both together."""
+    single = (count + 0.5) / below
+    history = np.maximum(before, together)
     weight = history / (history + BACK_OFF)
     return np.log10(weight * together / np.maximum(history, 1.0) + (1 - weight) * single)
 

@@ -200,6 +200,15 @@ def test_language_model_without_text(spark, cases):
     assert all(r.train_tokens == 0 and r.n_known == 0 for r in got) and len(got) == len(CASES)
 
 
+@pytest.mark.parametrize("which", ["docs", "cases"])
+def test_filter_grows_with_the_corpus(spark, cases, which):
+    """A filter too large for one broadcast scores like one that is sent whole."""
+    df = spark.read.parquet(f"{SF}/documents.parquet") if which == "docs" else cases
+    train = ~F.coalesce(toxicity.held_out(is_=1), F.lit(False))
+    whole, dealt = (sorted((str(r.doc_id), r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in lm_bloom.score(df, train, max_bits=b).collect()) for b in (2**40, 2**14))
+    assert whole == dealt
+
+
 def test_filter_levels():
     rng = np.random.default_rng(4)
     grams = rng.integers(0, 2**63, 20_000, dtype=np.uint64) * np.uint64(2)
