@@ -13,7 +13,8 @@ segments, and their levels go back to the texts; the scores are the same.
 The base score needs exact counts of every word. At most FREQUENT words, the most frequent ones, are broadcast; all other words of a
 text are joined with the table of counts.
 
-Texts of a shard must fit in a task as usual: there are at least four shards for each of spark.sql.shuffle.partitions.
+N-grams of a shard must fit in a task: there is a shard for every SHARD_BYTES of training text, and at least four for each of
+spark.sql.shuffle.partitions.
 
 Defined cases: null and empty text is one end token; null ids count as training text; repeated rows are counted and scored each; an
 empty table gives an empty result; with no training text counts are 0, N is 0 and V is 0. Other columns are not read.
@@ -37,6 +38,7 @@ FREQUENT = 1_000_000
 #: Pseudo-count with which word probabilities weigh in after a history.
 BACK_OFF = 5.0
 CHUNK = 1_000_000
+SHARD_BYTES = 2**25
 ARROW_ROWS = 500
 END = np.uint64(xxhash.xxh3_64_intdigest(b"\n"))  # no word holds a line feed
 _M1, _M2, _PAIR = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
@@ -192,7 +194,8 @@ class Filter:
 
 def _fit(docs: DataFrame) -> tuple[DataFrame, int]:
     """One row for each shard: its words with counts, and its segment of the filter."""
-    shards = 1 << max(4, (4 * partitions(docs.sparkSession) - 1).bit_length())
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    shards = 1 << max(4, (max(4 * partitions(docs.sparkSession), -(-size // SHARD_BYTES)) - 1).bit_length())
     packed = docs.select("text").mapInArrow(_packer(shards), "shard int, words binary, word_counts binary, pairs binary, pair_counts binary")
     return packed.groupBy("shard").applyInArrow(_made_shard, "shard int, words binary, counts binary, n_words long, n_tokens long, n_pairs long, bits long, probes long, held binary"), shards
 

@@ -209,6 +209,16 @@ def test_filter_grows_with_the_corpus(spark, cases, which):
     assert whole == dealt
 
 
+def test_shards_follow_the_corpus(spark, monkeypatch):
+    df = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    size = sum(len((r.text or "").encode()) for r in df.collect())
+    few = lm_bloom._fit(df)[1]
+    monkeypatch.setattr(lm_bloom, "SHARD_BYTES", 2**13)
+    shards, n = lm_bloom._fit(df)
+    assert n >= size / 2**13 > few and n & (n - 1) == 0
+    assert shards.agg(F.sum("n_tokens")).first()[0] == sum(len(tokens(r.text)) for r in df.collect())
+
+
 def test_filter_levels():
     rng = np.random.default_rng(4)
     grams = rng.integers(0, 2**63, 20_000, dtype=np.uint64) * np.uint64(2)
