@@ -2,8 +2,9 @@
 
 Two dictionaries are trained, one on ordinary and one on toxic text; the toxic one ends with the ordinary one's content, at the same
 distance, so that ordinary text costs the same under both and the difference of the compressed lengths of a window of words is what
-the toxic segments save. Labels mark whole documents, so toxic training text is the surroundings of words that are over-represented
-in toxic documents. From the differences of all windows of a document come its scores (largest, mean of the largest, shares and counts
+the toxic segments save. Labels mark whole documents, most of whose text is ordinary, so the toxic dictionary is trained only on the
+words that are over-represented in toxic documents, without their surroundings: toxic phrases of ordinary words, and words that the
+choice misses, save nothing. The ordinary one is trained on about ORDINARY_WINDOWS windows (fewer than twice as many). From the differences of all windows of a document come its scores (largest, mean of the largest, shares and counts
 at several thresholds), which a logistic calibration on training documents held back from the dictionaries turns into a probability.
 
 The training sample is bounded: at most SAMPLE labelled documents, drawn by a hash of doc_id, and of each at most SAMPLE_CHARS
@@ -31,6 +32,7 @@ from sieveline.llm.shared import words_of
 
 SAMPLE, SAMPLE_CHARS = 6000, 20_000
 WINDOW, ORDINARY_BYTES, TOXIC_BYTES, CONTEXT_WORDS = 4, 32_768, 8192, 3
+ORDINARY_WINDOWS = 60_000
 #: Over-represented: in at least so many toxic documents and this share of them, with at least this log ratio of shares of documents.
 LEAST_DOCUMENTS, LEAST_SHARE, LOG_RATIO = 3, 0.03, 2.5
 #: Thresholds on the bytes that a window saves.
@@ -104,7 +106,7 @@ def train_dictionaries(texts: Sequence[str], y: Sequence[int]) -> tuple[bytes, b
     least = max(LEAST_DOCUMENTS, LEAST_SHARE * n[1])
     marked = {w for w, k in sides[1].items() if k >= least and ratio(w) > LOG_RATIO}
     ordinary = [w for words, label in zip(each, y) if not label for w in windows(words, CONTEXT_WORDS)]
-    ordinary = ordinary[:: max(1, len(ordinary) // 60_000)]
+    ordinary = ordinary[:: max(1, len(ordinary) // ORDINARY_WINDOWS)]
     toxic = [b" " + w + b" " for words, label in zip(each, y) if label for w in words if w in marked]
     plain = _trained(ORDINARY_BYTES, ordinary)
     return plain, _trained(TOXIC_BYTES, toxic * 3) + plain
