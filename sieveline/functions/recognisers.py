@@ -78,11 +78,11 @@ def business_elements(text: Column, registry: Sequence[Recogniser] = RECOGNISERS
 
 
 def spans(text: Column, registry: Sequence[Recogniser] = RECOGNISERS, least: float = DEFAULT_SCORE) -> Column:
-    """label, start, end, score of every labelled hit, overlaps kept."""
+    """label, start, end, score and value of every labelled hit, overlaps kept."""
 
     def hits(r: Recogniser) -> Column:
         kept = F.filter(T.spans(text, r.pattern), lambda s: r.holds(s["value"]))
-        return F.transform(kept, lambda s: F.struct(F.lit(r.label).alias("label"), s["start"].alias("start"), s["end"].alias("end"), F.lit(r.score).alias("score")))
+        return F.transform(kept, lambda s: F.struct(F.lit(r.label).alias("label"), s["start"].alias("start"), s["end"].alias("end"), F.lit(r.score).alias("score"), s["value"].alias("value")))
 
     return F.array_sort(F.concat(*[hits(r) for r in _active(registry, least) if r.label]))
 

@@ -14,8 +14,8 @@ def is_name(value: Column) -> Column:
     v = T.strip(value)
     low = F.lower(v)
     tokens = F.split(T.strip(F.regexp_replace(low, "-", " ")), r"(?U)\s+")
-    junk = F.array(*[F.lit(w) for w in sorted({*L.STOPWORDS, *L.NOT_NAMES, *L.ROLES})])
-    return ~(low.isin(*L.STOPWORDS, *L.NOT_NAMES) | v.rlike("^[0-9]+$") | F.arrays_overlap(tokens, junk))
+    junk = T.array_of(sorted({*L.STOPWORDS, *L.NOT_NAMES, *L.ROLES}))
+    return ~(F.array_contains(T.array_of([*L.STOPWORDS, *L.NOT_NAMES]), low) | v.rlike("^[0-9]+$") | F.arrays_overlap(tokens, junk))
 
 
 def is_valid(label: Column, value: Column) -> Column:
@@ -24,7 +24,7 @@ def is_valid(label: Column, value: Column) -> Column:
     d, letter, n = T.n_digits(v), T.has_letter(v), F.length(v)
     domain = F.element_at(F.split(v, "@", -1), -1)
     plain = ~letter & ~v.contains(":") & ~v.contains(",")
-    by_label = [
+    rules = [
         (L.NAME, is_name(v)),
         (("email address",), v.contains("@") & domain.contains(".")),
         (("phone number",), plain & ~v.rlike(T.IPV4_SHAPE) & d.between(7, 14)),
@@ -39,7 +39,7 @@ def is_valid(label: Column, value: Column) -> Column:
         (L.SENSITIVE, letter & (d < 7)),
     ]
     out = F.when(n < 2, False)
-    for names, test in by_label:
+    for names, test in rules:
         out = out.when(label.isin(*names), test)
     return out.otherwise(True)
 
@@ -53,7 +53,7 @@ def found_labels(entities: Column, validate: bool = True) -> Column:
     if validate:
         counts = lambda k, x: is_valid(k, x)
     else:
-        counts = lambda k, x: ~(k.isin(*L.NAME) & F.lower(T.strip(x)).isin(*L.STOPWORDS))
+        counts = lambda k, x: ~(k.isin(*L.NAME) & F.array_contains(T.array_of(L.STOPWORDS), F.lower(T.strip(x))))
     kept = F.map_keys(F.map_filter(known, lambda k, vs: F.exists(F.coalesce(vs, F.array()), lambda x: x.isNotNull() & counts(k, x))))
     values = F.flatten(F.filter(F.map_values(known), lambda vs: vs.isNotNull()))
     phone = F.when(F.exists(values, lambda x: x.isNotNull() & T.looks_like_phone(x)), F.array(F.lit("phone number"))).otherwise(F.array())
@@ -71,9 +71,22 @@ def merge_passes(first: Column, second: Column) -> Column:
     return F.map_filter(joined, lambda k, vs: F.size(vs) > 0)
 
 
-def confident(text: Column, spans: Column, default: float, by_label: dict[str, float] | None = None) -> Column:
-    """The values of spans (label -> start, end, confidence) that reach their label's threshold; a missing confidence counts as 1."""
-    threshold = lambda k: F.coalesce(*[F.when(k == name, F.lit(at)) for name, at in sorted((by_label or {}).items())], F.lit(default))
-    fits = lambda k: (lambda s: s["start"].isNotNull() & (F.coalesce(s["confidence"], F.lit(1.0)) >= threshold(k)))
-    value = lambda s: F.substring(text, s["start"] + 1, s["end"] - s["start"])
-    return F.map_filter(F.transform_values(spans, lambda k, vs: F.transform(F.filter(vs, fits(k)), value)), lambda k, vs: F.size(vs) > 0)
+#: What a pass of a backend finds in a text.
+FOUND = "array<struct<label: string, value: string, start: int, confidence: double>>"
+
+
+def by_label(found: Column) -> Column:
+    """A pass's findings as a map of label to values; findings without a value don't count."""
+    some = F.filter(found, lambda s: s["label"].isNotNull() & s["value"].isNotNull())
+
+    def mapped(xs: Column) -> Column:
+        return F.map_from_entries(F.transform(F.array_distinct(F.transform(xs, lambda s: s["label"])), lambda k: F.struct(k, F.transform(F.filter(xs, lambda s: s["label"] == k), lambda s: s["value"]))))
+
+    return T.named(some, mapped)
+
+
+def confident(found: Column, default: float, thresholds: dict[str, float] | None = None) -> Column:
+    """Of a pass's findings, those with a place whose confidence reaches their label's threshold; a missing confidence counts as 1."""
+    own = F.create_map(*[F.lit(x) for item in sorted((thresholds or {}).items()) for x in item]) if thresholds else None
+    least = (lambda label: F.coalesce(F.element_at(own, label), F.lit(default))) if own is not None else lambda label: F.lit(default)
+    return F.filter(found, lambda s: s["start"].isNotNull() & (F.coalesce(s["confidence"], F.lit(1.0)) >= least(s["label"])))

@@ -1,31 +1,48 @@
-"""Contextual extraction: a pluggable extractor in one Arrow-batched stage, which gives a map of label to values for each text."""
+"""Contextual extraction: a pluggable backend in one Arrow-batched stage.
+
+A backend names the places it finds, each with a label and perhaps a confidence. The stage only calls it, pass by pass; thresholds by
+label, the joining of passes and everything later are Catalyst expressions over what it found.
+"""
 
 from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator, Sequence
-from typing import Protocol
+from typing import NamedTuple, Protocol
 
 import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from sieveline import labels as L
+from sieveline.functions import validate
+
+
+class Found(NamedTuple):
+    """One finding. Without a start it can't be held against a threshold by label; without a confidence it is certain."""
 
-ENTITIES = MapType(StringType(), ArrayType(StringType()))
+    label: str
+    value: str | None
+    start: int | None = None
+    confidence: float | None = None
 
 
-class Extractor(Protocol):
-    """A backend: for each text a dict of label to values. It may offer to_cpu() and batch_size."""
+class Backend(Protocol):
+    """For each text what it holds of some labels at a threshold.
 
-    def extract(self, texts: Sequence[str], labels: Sequence[str], threshold: float) -> list[dict[str, list[str]]]: ...
+    It may offer batch_size (texts it takes at a time), memory_errors (exceptions after which fewer texts may do; MemoryError and
+    RuntimeError unless it says otherwise) and to_cpu().
+    """
+
+    def extract(self, texts: Sequence[str], labels: Sequence[str], threshold: float) -> list[list[Found]]: ...
 
 
 class NullExtractor:
     """Finds nothing: what rules and patterns tell is all there is."""
 
     def extract(self, texts, labels, threshold):
-        return [{} for _ in texts]
+        return [[] for _ in texts]
 
 
 class GazetteerExtractor:
@@ -35,99 +52,121 @@ class GazetteerExtractor:
         self.patterns = {label: re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, sorted(words, key=len, reverse=True))) + r")(?!\w)", re.IGNORECASE) for label, words in phrases.items() if words}
 
     def extract(self, texts, labels, threshold):
-        return [{label: p.findall(t) for label, p in self.patterns.items() if label in labels and p.search(t)} for t in texts]
+        asked = [(label, p) for label, p in self.patterns.items() if label in labels]
+        return [[Found(label, m[0], m.start(), 1.0) for label, p in asked for m in p.finditer(t)] for t in texts]
 
 
 class ModelAdapter:
-    """Wraps a named-entity model that has predict_entities(text, labels, threshold) and, perhaps, a batch form of it."""
+    """Wraps a model with predict_entities(text, labels, threshold): dicts of label, text and perhaps start and score.
 
-    def __init__(self, model, batch_size: int | None = None):
-        self.model = model
-        self.batch_size = batch_size
+    A batch form of it is used where there is one; texts that it fails on are asked for one by one.
+    """
+
+    def __init__(self, model, batch_size: int | None = None, memory_errors: tuple[type[Exception], ...] = (MemoryError, RuntimeError)):
+        self.model, self.batch_size, self.memory_errors = model, batch_size, memory_errors
 
     def to_cpu(self) -> None:
         if hasattr(self.model, "to"):
-            self.model.to("cpu")
+            self.model = self.model.to("cpu") or self.model
 
     def extract(self, texts, labels, threshold):
-        batch = getattr(self.model, "batch_predict_entities", None)
-        found = batch(list(texts), list(labels), threshold=threshold) if batch else [self.model.predict_entities(t, list(labels), threshold=threshold) for t in texts]
-        out = []
-        for spans in found:
-            by_label: dict[str, list[str]] = {label: [] for label in labels}
-            for s in spans:
-                by_label.setdefault(s["label"], []).append(s["text"])
-            out.append(by_label)
-        return out
-
-
-def out_of_memory(error: Exception) -> bool:
-    said = str(error).lower()
-    return type(error).__name__ == "OutOfMemoryError" or "out of memory" in said or ("alloc" in said and "memory" in said)
-
-
-def in_batches(extractor: Extractor, texts: Sequence[str], labels: Sequence[str], threshold: float, size: int, call: str = "extract") -> list[dict]:
-    """All texts in batches; out of memory halves the batch, at one text moves the backend to the CPU once, and then is raised."""
-    out: list[dict] = []
-    size, moved = max(1, size), False
-    while len(out) < len(texts):
-        part = texts[len(out) : len(out) + size]
-        try:
-            out.extend(getattr(extractor, call)(part, labels, threshold))
-        except Exception as error:
-            if not out_of_memory(error) or (size == 1 and moved):
+        return [[Found(e["label"], e["text"], e.get("start"), e.get("score")) for e in some] for some in self._entities(list(texts), list(labels), threshold)]
+
+    def _entities(self, texts: list[str], labels: list[str], threshold: float):
+        if len(texts) > 1 and hasattr(self.model, "batch_predict_entities"):
+            try:
+                return self.model.batch_predict_entities(texts, labels, threshold=threshold)
+            except self.memory_errors:
                 raise
-            if size > 1:
-                size //= 2
-            else:
-                moved = True
-                if hasattr(extractor, "to_cpu"):
-                    extractor.to_cpu()
-    return out
+            except Exception:  # noqa: BLE001 - whatever a model's batch form can't do, its plain form may
+                pass
+        return [self.model.predict_entities(t, labels, threshold=threshold) for t in texts]
+
 
+class Retry:
+    """What to do about a backend that runs out of memory: ask for half as much, at last off the GPU, and then give up."""
 
-def lowest(labels: Sequence[str], threshold: float, by_label: dict[str, float]) -> float:
-    """The threshold at which a pass must extract for every label's own threshold to be met afterwards."""
-    return min([threshold, *[by_label[x] for x in labels if x in by_label]])
+    def __init__(self, backend: Backend, size: int):
+        self.backend, self.size = backend, max(1, size)
+        self.caught = tuple(getattr(backend, "memory_errors", (MemoryError, RuntimeError)))
+        self.ways_left = [backend.to_cpu] if hasattr(backend, "to_cpu") else []
 
+    def after(self, error: Exception) -> None:
+        if self.size > 1:
+            self.size //= 2
+        elif self.ways_left:
+            self.ways_left.pop()()
+        else:
+            raise error
 
-def merged(extractor: Extractor, texts: Sequence[str], passes, threshold: float, size: int, by_label: dict[str, float] | None = None) -> list[dict[str, list[str]]]:
-    """The findings of all passes over the texts, appended label by label.
 
-    With thresholds by label the backend must offer extract_spans(texts, labels, threshold): label to (start, end, confidence); spans
-    below their label's threshold are dropped, a confidence of None counts as 1 and a start of None as no span. A backend without
-    spans can't honour such thresholds: that is an error.
-    """
-    if by_label and not hasattr(extractor, "extract_spans"):
-        raise ValueError("thresholds by label need a backend with extract_spans")
-    out: list[dict[str, list[str]]] = [{} for _ in texts]
-    for labels, own in passes:
-        at = threshold if own is None else own
-        if by_label:
-            found = in_batches(extractor, texts, labels, lowest(labels, at, by_label), size, "extract_spans")
-            least = lambda label: by_label.get(label, at)  # noqa: E731, B023
-            found = [{label: [t[a:b] for a, b, c in spans if a is not None and (1.0 if c is None else c) >= least(label)] for label, spans in x.items()} for t, x in zip(texts, found)]
+def in_batches(backend: Backend, texts: Sequence[str], labels: Sequence[str], threshold: float, size: int) -> list[list[Found]]:
+    """What the backend finds in all texts, batch by batch; batches shrink when memory runs out."""
+    retry, at = Retry(backend, size), 0
+    out: list[list[Found]] = []
+    while at < len(texts):
+        part = texts[at : at + retry.size]
+        try:
+            out += backend.extract(part, labels, threshold)
+        except retry.caught as error:
+            retry.after(error)
         else:
-            found = in_batches(extractor, texts, labels, at, size)
-        for row, one in zip(out, found):
-            for label, values in one.items():
-                if values:
-                    row.setdefault(label, []).extend(values)
+            at += len(part)
     return out
 
 
-def with_entities(df: DataFrame, columns: dict[str, str], make: Callable[[], Extractor], passes=L.BASE_PASSES, threshold: float = L.DEFAULT_THRESHOLD, batch_size: int | None = None, by_label: dict[str, float] | None = None) -> DataFrame:
+class Pass(NamedTuple):
+    """What a pass asks a backend for, and the threshold that holds for labels without one of their own."""
+
+    labels: tuple[str, ...]
+    ask_at: float
+    default: float
+
+
+def planned(passes, threshold: float, thresholds: dict[str, float] | None) -> list[Pass]:
+    """The passes with their thresholds settled: each asks low enough for every label's own threshold to decide afterwards."""
+    own = thresholds or {}
+    settled = [(tuple(labels), threshold if at is None else at) for labels, at in passes]
+    return [Pass(labels, min(own.get(x, at) for x in (*labels, None)), at) for labels, at in settled]
+
+
+def entities_of(found: Sequence[Column], plan: Sequence[Pass], thresholds: dict[str, float] | None) -> Column:
+    """The map of label to values of all passes over a text."""
+    out = None
+    for one, step in zip(found, plan):
+        values = validate.by_label(validate.confident(one, step.default, thresholds) if thresholds else one)
+        out = values if out is None else validate.merge_passes(out, values)
+    return out if out is not None else F.expr("cast(map() as map<string, array<string>>)")
+
+
+def with_entities(df: DataFrame, columns: dict[str, str], make: Callable[[], Backend], passes=L.BASE_PASSES, threshold: float = L.DEFAULT_THRESHOLD, batch_size: int | None = None, thresholds: dict[str, float] | None = None) -> DataFrame:
     """df and, for each text column that `columns` names, a map column of entities. All columns and passes cross to Python once.
 
     `make` builds the backend, once in each task; a backend's weights are read there, not on the driver.
     """
-    schema = StructType([*df.schema.fields, *[StructField(name, ENTITIES) for name in columns.values()]])
+    plan = planned(passes, threshold, thresholds)
+    raw = fresh(df.columns + list(columns.values()), [f"found_{k}_{j}" for k in range(len(columns)) for j in range(len(plan))])
+    kind = StructType.fromDDL(f"found {validate.FOUND}")["found"].dataType
+    texts = [c for c in columns for _ in plan]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        extractor = make()
-        size = batch_size or getattr(extractor, "batch_size", None) or 16
+        backend = make()
+        size = batch_size or getattr(backend, "batch_size", None) or 16
         for pdf in batches:
-            found = {name: merged(extractor, pdf[text].fillna("").tolist(), passes, threshold, size, by_label) for text, name in columns.items()}
-            yield pdf.assign(**{name: pd.Series(v, index=pdf.index, dtype=object) for name, v in found.items()})
-
-    return df.mapInPandas(run, schema)
+            made = {}
+            for name, text, step in zip(raw, texts, plan * len(columns)):
+                found = in_batches(backend, pdf[text].fillna("").tolist(), step.labels, step.ask_at, size)
+                made[name] = pd.Series([[x._asdict() for x in row] for row in found], index=pdf.index, dtype=object)
+            yield pdf.assign(**made)
+
+    out = df.mapInPandas(run, StructType([*df.schema.fields, *[StructField(name, kind) for name in raw]]))
+    each = [raw[k * len(plan) : (k + 1) * len(plan)] for k in range(len(columns))]
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], *[entities_of(list(map(F.col, own)), plan, thresholds).alias(name) for own, name in zip(each, columns.values())])
+
+
+def fresh(taken: Sequence[str], wanted: Sequence[str]) -> list[str]:
+    """Names for columns of our own that no column of the table has, whatever its case."""
+    have, mark = {c.lower() for c in taken}, "__"
+    while any((mark + w).lower() in have for w in wanted):
+        mark += "_"
+    return [mark + w for w in wanted]

@@ -42,5 +42,4 @@ def review_queue(df: DataFrame, key: str, level: str = "level") -> DataFrame:
 
 def span_rows(df: DataFrame, key: str, text: str) -> DataFrame:
     """key, label, start, end, score and value of every structured hit in a text column; overlaps are kept."""
-    found = df.select(key, F.col(text).alias("__text"), F.explode(recognisers.spans(F.col(text))).alias("s"))
-    return found.select(key, "s.*", F.expr("substring(__text, s.start + 1, s.end - s.start)").alias("value"))
+    return df.select(key, F.explode(recognisers.spans(F.col(text))).alias("s")).select(key, "s.*")

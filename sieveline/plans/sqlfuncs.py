@@ -5,23 +5,15 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from sieveline import labels as L
-
-
-def _quoted(words) -> str:
-    return "array(" + ", ".join("'" + w.replace("'", "\\'") + "'" for w in words) + ")"
-
-
-def level_sql(found: str) -> str:
-    has = lambda g: f"arrays_overlap({found}, {_quoted(g)})"
-    strong = f"(({has(L.NAME)} AND {has(L.COMBINATION)}) OR {has(L.CONFIDENTIAL_ALONE)})"
-    return f"CASE WHEN {has(L.SENSITIVE)} AND {strong} THEN '{L.LEVELS[3]}' WHEN {strong} OR {has(L.SENSITIVE)} THEN '{L.LEVELS[2]}' WHEN {has(L.PRIVATE_ALONE)} OR {has(L.NAME)} THEN '{L.LEVELS[1]}' ELSE '{L.LEVELS[0]}' END"
+from sieveline.functions.rules import quoted, rank_sql
 
 
 def register(spark: SparkSession) -> None:
     """sensitivity_level(labels), sensitivity_rank(level), luhn_ok(text), n_digits(text) and looks_like_phone(text)."""
+    levels = f"array({', '.join(map(quoted, L.LEVELS))})"
     made = {
-        "sensitivity_level(found ARRAY<STRING>) RETURNS STRING": level_sql("found"),
-        "sensitivity_rank(level STRING) RETURNS INT": f"cast(array_position({_quoted(L.LEVELS)}, level) - 1 as int)",
+        "sensitivity_level(found ARRAY<STRING>) RETURNS STRING": f"get({levels}, {rank_sql('found')})",
+        "sensitivity_rank(level STRING) RETURNS INT": f"cast(array_position({levels}, level) - 1 as int)",
         "n_digits(value STRING) RETURNS INT": "length(regexp_replace(value, '[^0-9]', ''))",
         "luhn_ok(value STRING) RETURNS BOOLEAN": "length(regexp_replace(value, '[^0-9]', '')) BETWEEN 13 AND 19 AND luhn_check(regexp_replace(value, '[^0-9]', ''))",
         "looks_like_phone(value STRING) RETURNS BOOLEAN": "contains(value, '+') AND length(regexp_replace(value, '[^0-9]', '')) BETWEEN 8 AND 13",

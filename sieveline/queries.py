@@ -5,6 +5,7 @@ Patterns are spelled twice, for Java and for RE2: RE2 has no lookaround, and its
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,8 +16,10 @@ from sieveline.functions import checksums, recognisers, rules, validate
 from sieveline.functions import text as T
 from sieveline.operators import evaluate, report
 from sieveline.operators.classify import classify_column, classify_columns, explain_text
-from sieveline.operators.extract import GazetteerExtractor, with_entities
-from sieveline.streaming.classify import level_counts
+from sieveline.operators.extract import Found, GazetteerExtractor, with_entities
+from sieveline.plans import sqlfuncs
+from sieveline.sources import files
+from sieveline.streaming.classify import classify_stream, level_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,7 +48,7 @@ def _list(words) -> str:
 
 
 # --- SQL pieces -----------------------------------------------------------------------------------
-EMAIL_RE2 = T.EMAIL
+EMAIL_RE2 = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 CARD_RE2 = r"(?:^|[^\d-])(\d(?:[ -]?\d){12,18})"
 PHONE_RE2 = T.INTL_PHONE
 STREET_RE2 = rf"(?:^|[^\p{{L}}\p{{N}}_])({'|'.join(L.STREET_WORDS)})(?:$|[^\p{{L}}\p{{N}}_])"
@@ -166,8 +169,8 @@ def looks_like_phone(spark, sf_dir):
     return values.select("doc_id", "value", T.looks_like_phone(F.col("value")).alias("phone"))
 
 
-def _spans_query(name: str, pattern: str):
-    sql = f"""WITH d AS (SELECT doc_id, regexp_extract_all(text, {_q(pattern)}) AS ms, string_split_regex(text, {_q(pattern)}) AS gaps FROM documents WHERE regexp_matches(text, {_q(pattern)})),
+def _spans_query(name: str, pattern: str, re2: str):
+    sql = f"""WITH d AS (SELECT doc_id, regexp_extract_all(text, {_q(re2)}) AS ms, string_split_regex(text, {_q(re2)}) AS gaps FROM documents WHERE regexp_matches(text, {_q(re2)})),
         e AS (SELECT doc_id, ms, gaps, unnest(range(1, len(ms) + 1)) AS i FROM d)
         SELECT doc_id, (list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0))::BIGINT AS span_start,
         (list_sum(list_transform(gaps[1:i], lambda x: length(x))) + list_sum(list_transform(ms[1:i], lambda x: length(x))))::BIGINT AS span_end, ms[i] AS value FROM e"""
@@ -180,8 +183,8 @@ def _spans_query(name: str, pattern: str):
     query(sql)(spans)
 
 
-_spans_query("spans_email", T.EMAIL)
-_spans_query("spans_phone", T.INTL_PHONE)
+_spans_query("spans_email", T.EMAIL, EMAIL_RE2)
+_spans_query("spans_phone", T.INTL_PHONE, PHONE_RE2)
 
 
 # --- checksums, over numbers made from keys ----------------------------------------------------------
@@ -369,9 +372,9 @@ def merge_passes(spark, sf_dir):
 
 @query("SELECT event_id, CASE WHEN user_id % 2 = 0 THEN 'date of birth' ELSE 'person' END AS label, substr(event_type, 1, 3) AS value FROM events WHERE value / 1000 >= CASE WHEN user_id % 2 = 0 THEN 0.09 ELSE 0.05 END")
 def confidence_filter(spark, sf_dir):
-    span = F.struct(F.lit(0).alias("start"), F.lit(3).alias("end"), (F.col("value") / 1000).alias("confidence"))
-    made = F.create_map(F.when(F.expr("user_id % 2 = 0"), "date of birth").otherwise("person"), F.array(span))
-    kept = validate.confident(F.col("event_type"), made, 0.05, {"date of birth": 0.09})
+    label = F.when(F.expr("user_id % 2 = 0"), "date of birth").otherwise("person")
+    one = F.struct(label.alias("label"), F.substring("event_type", 1, 3).alias("value"), F.lit(0).alias("start"), (F.col("value") / 1000).alias("confidence"))
+    kept = validate.by_label(validate.confident(F.array(one), 0.05, {"date of birth": 0.09}))
     rows = table(spark, sf_dir, "events").select("event_id", F.explode(kept).alias("label", "vs"))
     return rows.select("event_id", "label", joined("vs").alias("value"))
 
@@ -556,10 +559,23 @@ def join_labels_quality(spark, sf_dir):
     return report.by_level(joined_, ["quality"])
 
 
+def _scratch(spark: SparkSession) -> str:
+    """A new path in the folder that driver and executors share."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/sieveline-{uuid.uuid4().hex}"
+
+
 @query("SELECT time_bucket(INTERVAL 1 hour, ts)::TIMESTAMP AS window_start, CASE WHEN value > 50 THEN 'Private' ELSE 'Public' END AS level, count(*) AS n FROM events GROUP BY ALL")
 def stream_level_counts(spark, sf_dir):
-    events = table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"), F.when(F.col("value") > 50, "Private").otherwise("Public").alias("level"))
-    return level_counts(events, "ts", "1 hour").withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    """Events arrive as a stream, are classified on the way and counted in windows; the counts are a table when all have come."""
+    path, events = _scratch(spark), table(spark, sf_dir, "events")
+    stream = spark.readStream.schema(events.schema).parquet(f"{sf_dir}/events.parque[t]")  # as a pattern it may be a file or a folder
+    note = F.when(F.col("value") > 50, F.concat(F.lit("write to u"), "user_id", F.lit("@example.org"))).otherwise(F.col("event_type"))
+    levelled = classify_stream(stream.select(F.col("ts").cast("timestamp").alias("ts"), note.alias("note")), "note")
+    counts = level_counts(levelled, "ts", "1 hour")
+    run = counts.writeStream.outputMode("complete").foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(f"{path}/counts"))
+    run.option("checkpointLocation", f"{path}/progress").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{path}/counts").withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
 @query(f"""WITH d AS (SELECT doc_id, text FROM documents), e AS (SELECT doc_id, unnest(regexp_extract_all(text, {_q(EMAIL_RE2)})) AS value, 'email address' AS label FROM d),
@@ -568,3 +584,78 @@ def stream_level_counts(spark, sf_dir):
 def structured_spans(spark, sf_dir):
     rows = report.span_rows(table(spark, sf_dir, "documents"), "doc_id", "text").where(F.col("label").isin("email address", "credit card number"))
     return rows.groupBy("doc_id", "label", F.trim("value").alias("value")).agg(F.count("*").alias("n"))
+
+
+# --- identifiers in running text, made from keys --------------------------------------------------------------
+_KINDS_SQL = f"""n AS (SELECT o_orderkey, o_orderkey % 4 AS kind, lpad((o_orderkey * 7919 + 100000007)::VARCHAR, 9, '0') AS tfn, (2000000011 + o_orderkey * 104729)::VARCHAR AS medicare,
+    lpad((o_orderkey * 7 % 98)::VARCHAR, 2, '0') AS cc, lpad((o_orderkey * 1000003)::VARCHAR, 14, '0') AS b FROM orders)"""
+_KINDS = "CASE o_orderkey % 4 WHEN 0 THEN concat('my file number is ', substr(tfn, 1, 3), ' ', substr(tfn, 4, 3), ' ', substr(tfn, 7, 3), '.') WHEN 1 THEN concat('card ', substr(medicare, 1, 4), ' ', substr(medicare, 5, 5), ' ', substr(medicare, 10, 1), ' (Medicare)') WHEN 2 THEN concat('pay to GB', cc, 'WEST', b, ', please') ELSE 'nothing here' END"
+
+
+def _identifiers(spark, sf_dir) -> DataFrame:
+    made = table(spark, sf_dir, "orders").select("o_orderkey").selectExpr("o_orderkey", "lpad(cast(o_orderkey * 7919 + 100000007 as string), 9, '0') as tfn", "cast(2000000011L + o_orderkey * 104729 as string) as medicare", "lpad(cast(o_orderkey * 7 % 98 as string), 2, '0') as cc", "lpad(cast(o_orderkey * 1000003 as string), 14, '0') as b")
+    return made.select("o_orderkey", F.expr(_KINDS).alias("note"))
+
+
+@query(f"""WITH {_KINDS_SQL}, t AS (SELECT o_orderkey, CASE WHEN kind = 0 AND {_weighted('tfn', checksums.TFN)} % 11 = 0 THEN ['tax file number']
+    WHEN kind = 1 AND {_digit('medicare', 1)} BETWEEN 2 AND 6 AND {_weighted('medicare', checksums.MEDICARE)} % 10 = {_digit('medicare', 9)} THEN ['medicare number']
+    WHEN kind = 2 THEN {sql_labels(("bank account number", "(CAST('32142829' || b || '1611' || cc AS HUGEINT) % 97) = 1"), ("credit card number", sql_luhn('b')))} ELSE [] END AS e FROM n) SELECT o_orderkey, {sql_joined('e')} AS elements FROM t""")
+def recognised_in_text(spark, sf_dir):
+    return _identifiers(spark, sf_dir).select("o_orderkey", joined(recognisers.elements(F.col("note"))).alias("elements"))
+
+
+@query(f"""WITH {_KINDS_SQL}, t AS (SELECT o_orderkey, 'GB' || cc || 'WEST' || b AS value FROM n WHERE kind = 2 AND (CAST('32142829' || b || '1611' || cc AS HUGEINT) % 97) = 1)
+    SELECT o_orderkey, 'bank account number' AS label, 7 AS span_start, 29 AS span_end, 1.0::DOUBLE AS score, value FROM t""")
+def recognised_spans(spark, sf_dir):
+    rows = report.span_rows(_identifiers(spark, sf_dir), "o_orderkey", "note").where("label = 'bank account number'")
+    return rows.select("o_orderkey", "label", F.col("start").alias("span_start"), F.col("end").alias("span_end"), "score", "value")
+
+
+def _sql_acn(x: str) -> str:
+    return f"(10 - {_weighted(x, checksums.ACN)} % 10) % 10 = {_digit(x, 9)}"
+
+
+@query(f"""WITH n AS (SELECT o_orderkey, (10000000019 + o_orderkey * 1299709)::VARCHAR AS value, lpad((o_orderkey * 6007 + 4085616)::VARCHAR, 9, '0') AS acn FROM orders)
+    SELECT o_orderkey, array_to_string(list_filter([CASE WHEN ({_weighted('value', checksums.ABN)} - 10) % 89 = 0 THEN 'AU_ABN' END, CASE WHEN {_sql_acn('acn')} OR {_sql_acn('substr(value, 3)')} THEN 'AU_ACN' END], lambda x: x IS NOT NULL), '|') AS elements FROM n""")
+def business_identifiers(spark, sf_dir):
+    made = table(spark, sf_dir, "orders").selectExpr("o_orderkey", "cast(10000000019L + o_orderkey * 1299709 as string) as v", "lpad(cast(o_orderkey * 6007 + 4085616 as string), 9, '0') as acn")
+    note = F.expr("concat('ABN ', substr(v, 1, 2), ' ', substr(v, 3, 3), ' ', substr(v, 6, 3), ' ', substr(v, 9, 3), ', ACN ', acn)")
+    return made.select("o_orderkey", joined(recognisers.business_elements(note)).alias("elements"))
+
+
+@query(f"""WITH {_NOTES_SQL}, e AS (SELECT c_custkey, {_sql_hybrid('note')[0]} AS f, {_sql_hybrid('note')[1]} AS s FROM n), u AS (SELECT *, list_sort(list_concat(f, s)) AS a, {sql_level('f')} <> {sql_level('s')} AS d FROM e), l AS (SELECT *, {sql_level('a')} AS level FROM u)
+    SELECT c_custkey, level, {sql_rank('level')}::INT AS level_rank, {sql_joined('a')} AS elements, {sql_joined('s')} AS structured, level = {_q(L.LEVELS[3])} OR d AS needs_review FROM l""")
+def explain_hybrid(spark, sf_dir):
+    x = F.col("explained")
+    done = explain_text(_notes(spark, sf_dir).drop("reply"), "note", "hybrid", _gazetteer)
+    return done.select("c_custkey", x["level"].alias("level"), x["rank"].alias("level_rank"), joined(x["elements"]).alias("elements"), joined(x["structured"]).alias("structured"), x["needs_review"].alias("needs_review"))
+
+
+class FirstWord:
+    """A backend whose confidence in a text's first word, as an illness, is known: the tenths of its length."""
+
+    def extract(self, texts, labels, threshold):
+        words = [t.split(" ")[0] for t in texts]
+        return [[Found("illness", w, 0, len(w) % 10 / 10)] if "illness" in labels and len(w) % 10 / 10 >= threshold else [] for w in words]
+
+
+@query("SELECT p_partkey, CASE WHEN length(split_part(p_name, ' ', 1)) % 10 >= 4 THEN 'Confidential' ELSE 'Public' END AS level, CASE WHEN length(split_part(p_name, ' ', 1)) % 10 >= 4 THEN 'illness' ELSE '' END AS elements FROM part")
+def thresholds_by_label(spark, sf_dir):
+    done = classify_column(table(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_name", mode="hybrid", extractor=FirstWord, thresholds={"illness": 0.4})
+    return done.select("p_partkey", "level", joined("elements").alias("elements"))
+
+
+@query(f"""WITH d AS (SELECT conv_id, turn, {sql_backstop('coalesce(text, ' + _q('') + ')')} AS e FROM conversations) SELECT conv_id::VARCHAR AS conv_id, turn::VARCHAR AS turn, {sql_level('e')} AS level,
+    '[' || array_to_string(list_transform(e, lambda x: '"' || x || '"'), ',') || ']' AS elements FROM d""")
+def csv_round_trip(spark, sf_dir):
+    path = _scratch(spark)
+    files.write(classify_column(table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"), "text").drop("text"), path, "csv")
+    return files.read(spark, path, "csv").select("conv_id", "turn", "level", "elements")
+
+
+@query("""SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'Confidential' WHEN 1 THEN 'Private' ELSE 'Public' END AS level, CASE o_orderkey % 3 WHEN 0 THEN 2 WHEN 1 THEN 1 ELSE 0 END::INT AS level_rank,
+    length(o_orderkey::VARCHAR)::INT AS digits, length(o_orderkey::VARCHAR) BETWEEN 8 AND 13 AS phone FROM orders""")
+def sql_functions(spark, sf_dir):
+    sqlfuncs.register(spark)
+    found = "sensitivity_level(CASE o_orderkey % 3 WHEN 0 THEN array('person', 'phone number') WHEN 1 THEN array('address') ELSE array('date of birth') END)"
+    return table(spark, sf_dir, "orders").selectExpr("o_orderkey", f"{found} AS level", f"sensitivity_rank({found}) AS level_rank", "n_digits(concat('a', o_orderkey)) AS digits", "looks_like_phone(concat('+', o_orderkey)) AS phone")

@@ -1,6 +1,8 @@
 """Table-driven tests of patterns, checksums, validation and rules."""
 
 import itertools
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -89,10 +91,26 @@ def test_merge_and_project(spark):
 
 
 def test_confident(spark):
-    spans = {"person": [{"start": 0, "end": 3, "confidence": 0.9}, {"start": None, "end": 3, "confidence": 0.9}], "illness": [{"start": 4, "end": 7, "confidence": 0.6}, {"start": 4, "end": 6, "confidence": None}]}
-    df = spark.createDataFrame([("Ann flu", spans)], "t string, s map<string, array<struct<start: int, end: int, confidence: double>>>")
-    assert df.select(validate.confident(F.col("t"), F.col("s"), 0.7)).first()[0] == {"person": ["Ann"], "illness": ["fl"]}
-    assert df.select(validate.confident(F.col("t"), F.col("s"), 0.7, {"illness": 0.5})).first()[0] == {"person": ["Ann"], "illness": ["flu", "fl"]}
+    found = [("person", "Ann", 0, 0.9), ("person", "x", None, 0.9), ("illness", "flu", 4, 0.6), ("illness", "fl", 4, None), ("person", None, 0, 1.0)]
+    df = spark.createDataFrame([(found,)], f"s {validate.FOUND}")
+    assert df.select(validate.by_label(validate.confident(F.col("s"), 0.7))).first()[0] == {"person": ["Ann"], "illness": ["fl"]}
+    assert df.select(validate.by_label(validate.confident(F.col("s"), 0.7, {"illness": 0.5}))).first()[0] == {"person": ["Ann"], "illness": ["flu", "fl"]}
+    assert df.select(validate.by_label(F.col("s"))).first()[0] == {"person": ["Ann", "x"], "illness": ["flu", "fl"]}
+
+
+def test_fold_in_blocks(spark):
+    for n in (0, 1, 63, 64, 65, 1000):
+        out = T.folded(F.sequence(F.lit(1), F.lit(n)) if n else F.expr("cast(array() as array<int>)"), F.lit(0), "int", lambda at, x: (at + x, F.array(at + x)))
+        assert spark.range(1).select(out).first()[0] == list(itertools.accumulate(range(1, n + 1)))
+
+
+def test_spans_of_odd_texts(spark):
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("ab.@%-1 cé") for _ in range(rng.randint(0, 60))) for _ in range(500)] + ["a@b.com%c@d.org"]
+    plain = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}")
+    want = [[(m.start(), m.end(), m[0]) for m in plain.finditer(t)] for t in texts]
+    assert [[tuple(s) for s in row] for row in values(spark, texts, T.spans(F.col("v"), T.EMAIL))] == want
+    assert values(spark, texts, T.has_email(F.col("v"))) == [bool(w) for w in want]
 
 
 LEVELS = [

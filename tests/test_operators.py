@@ -1,8 +1,10 @@
 """Tests of classification, extraction, evaluation, reports, sources, streams and SQL functions."""
 
+import sys
 from functools import partial
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from sieveline import labels as L
@@ -12,6 +14,8 @@ from sieveline.plans import sqlfuncs
 from sieveline.sources import files
 from sieveline.streaming.classify import classify_stream, level_counts
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers can't import this file
+
 TEXTS = [(0, "card 4111111111111111"), (1, None), (2, ""), (3, "Anna Lee has flu, a@b.co"), (4, "Anna Lee")]
 
 
@@ -76,7 +80,7 @@ class Failing:
         self.sizes.append(len(texts))
         if not self.moved and len(texts) > self.most:
             raise RuntimeError("CUDA out of memory")
-        return [{"person": [t]} for t in texts]
+        return [[extract.Found("person", t)] for t in texts]
 
 
 def test_out_of_memory():
@@ -89,31 +93,65 @@ def test_out_of_memory():
         extract.in_batches(type("X", (), {"extract": lambda *a: (_ for _ in ()).throw(ValueError("no"))})(), ["a"], [], 0.5, 1)
 
 
-def test_passes_merge_and_adapter():
-    class Model:
-        def predict_entities(self, text, labels, threshold):
-            return [{"label": labels[0], "text": text, "score": threshold}]
+def entities(spark, backend, text, passes, threshold, **options):
+    df = spark.createDataFrame([(text,)], "text string")
+    return extract.with_entities(df, {"text": "entities"}, lambda: backend, passes, threshold, **options).first().entities
+
+
+class Model:
+    def predict_entities(self, text, labels, threshold):
+        return [{"label": labels[0], "text": text, "score": threshold}]
+
+
+class BatchModel(Model):
+    def batch_predict_entities(self, texts, labels, threshold):
+        if "odd" in texts:
+            raise KeyError("no batch with this one")
+        return [[{"label": "batched", "text": t, "start": 0, "score": 0.5}] for t in texts]
+
 
-    found = extract.merged(extract.ModelAdapter(Model()), ["x"], L.HYBRID_PASSES, 0.7, 4)
-    assert found == [{"person": ["x"], "medical condition": ["x"]}]
-    assert extract.merged(extract.NullExtractor(), ["x", "y"], L.BASE_PASSES, 0.7, 1) == [{}, {}]
+def test_passes_merge_and_adapter(spark):
+    assert entities(spark, extract.ModelAdapter(Model()), "x", L.HYBRID_PASSES, 0.7) == {"person": ["x"], "medical condition": ["x"]}
+    assert entities(spark, extract.NullExtractor(), "x", L.BASE_PASSES, 0.7) == {}
+    adapter = extract.ModelAdapter(BatchModel())
+    assert adapter.extract(["a", "b"], ["p"], 0.3) == [[("batched", "a", 0, 0.5)], [("batched", "b", 0, 0.5)]]
+    assert adapter.extract(["a", "odd"], ["p"], 0.3) == [[("p", "a", None, 0.3)], [("p", "odd", None, 0.3)]]
 
 
 class Spans:
-    def __init__(self):
-        self.asked = []
+    def extract(self, texts, labels, threshold):
+        made = [("person", "Anna", 0, 0.8), ("person", "no place", None, 0.9), ("person", "Lee", 5, None), ("date of birth", "An", 0, 0.85), ("asked", str(threshold), 0, 1.0)]
+        return [[extract.Found(*x) for x in made] for _ in texts]
+
 
-    def extract_spans(self, texts, labels, threshold):
-        self.asked.append(threshold)
-        return [{"person": [(0, 4, 0.8), (None, 2, 0.9), (5, 8, None)], "date of birth": [(0, 2, 0.85)]} for _ in texts]
+def test_thresholds_by_label(spark):
+    passes = ((("person", "date of birth"), None), (("illness",), 0.6))
+    found = entities(spark, Spans(), "Anna Lee", passes, 0.7, thresholds={"date of birth": 0.9, "illness": 0.3})
+    assert found == {"person": ["Anna", "Lee", "Anna", "Lee"], "asked": ["0.7", "0.3"]}
+    assert entities(spark, Spans(), "Anna Lee", passes, 0.7)["person"] == ["Anna", "no place", "Lee"] * 2
+    text = spark.createDataFrame([("Anna Lee",)], "text string")
+    for how in ({}, {"person": 0.99, "date of birth": 0.8}):
+        one = classify_columns(text, "text", "hybrid", Spans, thresholds=how).first()
+        assert (one.text_elements, one.level) == tuple(explain_text(text, "text", "hybrid", Spans, thresholds=how).select("explained.elements", "explained.level").first())
 
 
-def test_thresholds_by_label():
-    backend = Spans()
-    found = extract.merged(backend, ["Anna Lee"], ((("person", "date of birth"), None), (("illness",), 0.6)), 0.7, 4, {"date of birth": 0.9, "illness": 0.3})
-    assert backend.asked == [0.7, 0.3] and found == [{"person": ["Anna", "Lee", "Anna", "Lee"]}]
+def test_own_column_names_never_clash(spark):
+    names = ["__text_0", "__entities_0", "__all_0", "__rank_0", "__x", "__found_0_0", "__fuzzy_0", "explained_"]
+    df = spark.createDataFrame([("a@b.co", *range(len(names)))], "text string, " + ", ".join(f"`{n}` int" for n in names))
+    for mode in ("base", "hybrid"):
+        for done in (classify_columns(df, "text", mode, gazetteer), explain_text(df, "text", mode, gazetteer)):
+            row = done.first().asDict()
+            assert [row[n] for n in names] == list(range(len(names))) and len(done.columns) == len(set(done.columns))
     with pytest.raises(ValueError):
-        extract.merged(extract.NullExtractor(), ["x"], L.BASE_PASSES, 0.7, 1, {"person": 0.9})
+        explain_text(df.withColumn("EXPLAINED", F.lit(1)), "text")
+
+
+def test_long_texts(spark):
+    run, dots, many = "a" * 300_000, "x@" + "a." * 150_000, " ".join(f"u{k}@b.org" for k in range(20_000))
+    df = spark.createDataFrame([(0, run + "@"), (1, dots), (2, many)], "id int, text string")
+    got = {r.id: (r.level, r.text_elements) for r in classify_columns(df, "text", "hybrid").collect()}
+    assert got == {0: ("Public", []), 1: ("Public", []), 2: ("Private", ["email address"])}
+    assert report.span_rows(df, "id", "text").groupBy("id").count().collect() == [(2, 20_000)]
 
 
 def test_evaluation(spark):
