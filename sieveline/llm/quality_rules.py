@@ -2,6 +2,7 @@
 
 Rules look at a document and vote good (1), bad (0) or abstain. Expectation-maximisation estimates, from the votes alone, how common
 good documents are and how each rule votes on good and on bad ones; the posterior probability that a document is good then decides.
+Symbols are looked at in two ways (against words and against characters), which weigh more together than one of them.
 All that the estimation needs of the corpus is how often each vote pattern occurs, at most 3^rules rows whatever the input's size,
 counted over all documents; from those the driver finds the parameters, which the scoring pass holds as literals.
 
@@ -33,12 +34,18 @@ RULES = {
     "symbol_chars": ("30 * n_symbols > word_chars", None),
     "lines": ("2 * n_dup_lines > n_lines", None),
     "repeats": ("100 * n_repeat_words > 20 * n_words", "100 * n_repeat_words < 5 * n_words and n_words >= 10"),
-    "variety": ("20 * n_distinct < n_words and n_words < 2000", None),
+    "variety": ("n_distinct * n_distinct < 4 * n_words", None),
     "capitals": ("2 * n_capitals > n_letters", "5 * n_capitals < n_letters and n_words >= 10"),
     "marks": ("5 * n_marks > 2 * n_words and 20 * n_marks > word_chars", None),
 }
-#: Rounds of estimation, and what is counted before the corpus is: documents (good, all), and votes (bad, good, none) of good and bad ones.
-ROUNDS, PRIOR, GOOD_VOTES, BAD_VOTES = 10, (8, 10), (1, 14, 5), (10, 5, 5)
+#: Rounds of estimation; the share of good documents it begins with, as counts (good, all).
+ROUNDS, PRIOR = 10, (8, 10)
+#: Documents that stand for what is believed of each class before the corpus is counted. They vote as the corpus does, but wrongly (bad on
+#: good ones, good on bad ones) so many times less often; where a rule never votes its silence thus says nothing.
+BELIEVED, TRUST = 20.0, 8.0
+#: Accuracy of votes: a bad vote is at least so many times likelier on bad documents, a good vote on good ones.
+LEAST_BAD, LEAST_GOOD = 3.0, 1.1
+_NEVER = 1e-9
 
 
 def measured(docs: DataFrame) -> DataFrame:
@@ -94,26 +101,47 @@ class Model:
         return out
 
 
+def _shares(counts: list[float]) -> list[float]:
+    return [c / sum(counts) for c in counts]
+
+
+def _apart(low: float, high: float, weight: float, least: float) -> tuple[float, float]:
+    """The two chances of a vote, of which `high` must be at least `least` times `low`; else both move, so that the vote stays as common.
+
+    `weight` is the share of documents of the class with the low chance."""
+    if high >= least * low:
+        return low, high
+    low = (weight * low + (1 - weight) * high) / (weight + (1 - weight) * least)
+    return low, least * low
+
+
 def fit(patterns: list[dict], names: list[str], rounds: int = ROUNDS) -> Model:
     """Expectation-maximisation over vote patterns with their counts `n`.
 
-    Chances are of three outcomes, abstention among them: a rule that votes only on one defect tells nothing by its silence elsewhere.
-    Pseudo-counts say that a vote is more often right than not, which also decides which class is the good one.
+    Chances are of three outcomes, abstention among them. Every vote is held to be more often right than wrong, which also decides which
+    class is the good one, and keeps a large class from taking a small one's votes for its own.
     """
-    share = lambda counts: tuple(c / sum(counts) for c in counts)
-    model = Model(PRIOR[0] / PRIOR[1], {name: (share(GOOD_VOTES), share(BAD_VOTES)) for name in names})
     total = sum(p["n"] for p in patterns)
+    outcome = lambda vote: 2 if vote is None else vote
+    believed = {}
+    for name in names:
+        common = [sum(p["n"] for p in patterns if outcome(p[name]) == v) / max(total, 1) + _NEVER for v in range(3)]
+        believed[name] = [[BELIEVED * x for x in _shares([c / (TRUST if v == wrong else 1) for v, c in enumerate(common)])] for wrong in (0, 1)]
+    model = Model(PRIOR[0] / PRIOR[1], {name: (_shares(good), _shares(bad)) for name, (good, bad) in believed.items()})
     for _ in range(rounds if total else 0):
         good = [1 / (1 + math.exp(-max(-500.0, min(500.0, model.log_odds(p))))) for p in patterns]
+        prior = (sum(g * p["n"] for g, p in zip(good, patterns)) + PRIOR[0]) / (total + PRIOR[1])
         chances = {}
         for name in names:
-            counts = list(map(float, GOOD_VOTES)), list(map(float, BAD_VOTES))
+            counts = [list(c) for c in believed[name]]
             for g, p in zip(good, patterns):
-                v = 2 if p[name] is None else p[name]
-                counts[0][v] += g * p["n"]
-                counts[1][v] += (1 - g) * p["n"]
-            chances[name] = share(counts[0]), share(counts[1])
-        model = Model((sum(g * p["n"] for g, p in zip(good, patterns)) + PRIOR[0]) / (total + PRIOR[1]), chances)
+                counts[0][outcome(p[name])] += g * p["n"]
+                counts[1][outcome(p[name])] += (1 - g) * p["n"]
+            on_good, on_bad = map(_shares, counts)
+            on_good[0], on_bad[0] = _apart(on_good[0], on_bad[0], prior, LEAST_BAD)
+            on_bad[1], on_good[1] = _apart(on_bad[1], on_good[1], 1 - prior, LEAST_GOOD)
+            chances[name] = _shares(on_good), _shares(on_bad)
+        model = Model(prior, chances)
     return model
 
 

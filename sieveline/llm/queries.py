@@ -98,13 +98,18 @@ def _rules_sql() -> str:
     votes = ", ".join(f"(CASE WHEN {bad} THEN 0 WHEN {good or 'false'} THEN 1 ELSE 2 END) AS v_{name}" for name, (bad, good) in rules.items())
     names = ", ".join(f"v_{name}" for name in rules)
     long = " UNION ALL ".join(f"SELECT pid, n, {_q(name)} AS rule, v_{name} AS vote FROM p" for name in rules)
-    share = lambda c: f"[{', '.join(map(str, c))}]"
-    steps = [f"t0 AS (SELECT rule, vote, ln(gp / 20.0) - ln(bp / 20.0) AS lr, ln({quality_rules.PRIOR[0]}.0 / {quality_rules.PRIOR[1] - quality_rules.PRIOR[0]}) AS odds FROM grid)"]
-    for k in range(quality_rules.ROUNDS):
+    q = quality_rules
+    believed = lambda wrong: f"{q.BELIEVED} * (m / CASE WHEN vote = {wrong} THEN {q.TRUST} ELSE 1 END) / sum(m / CASE WHEN vote = {wrong} THEN {q.TRUST} ELSE 1 END) OVER (PARTITION BY rule)"
+    steps = [f"t0 AS (SELECT rule, vote, ln(gp / {q.BELIEVED}) - ln(bp / {q.BELIEVED}) AS lr, ln({q.PRIOR[0]}.0 / {q.PRIOR[1] - q.PRIOR[0]}) AS odds FROM grid)"]
+    for k in range(q.ROUNDS):
         steps.append(f"e{k} AS MATERIALIZED (SELECT pid, any_value(n) AS n, 1 / (1 + exp(-(any_value(odds) + sum(lr)))) AS g FROM long JOIN t{k} USING (rule, vote) GROUP BY pid)")
         steps.append(f"c{k} AS (SELECT rule, vote, any_value(gp) + coalesce(sum(g * e{k}.n), 0) AS sg, any_value(bp) + coalesce(sum((1 - g) * e{k}.n), 0) AS sb FROM grid LEFT JOIN long USING (rule, vote) LEFT JOIN e{k} USING (pid) GROUP BY rule, vote)")
-        steps.append(f"o{k} AS (SELECT (coalesce(sum(g * n), 0) + {quality_rules.PRIOR[0]}) / (coalesce(sum(n), 0) + {quality_rules.PRIOR[1]}) AS prior FROM e{k})")
-        steps.append(f"t{k + 1} AS MATERIALIZED (SELECT rule, vote, ln(sg / sum(sg) OVER (PARTITION BY rule)) - ln(sb / sum(sb) OVER (PARTITION BY rule)) AS lr, ln(prior / (1 - prior)) AS odds FROM c{k}, o{k})")
+        steps.append(f"o{k} AS (SELECT (coalesce(sum(g * n), 0) + {q.PRIOR[0]}) / (coalesce(sum(n), 0) + {q.PRIOR[1]}) AS prior FROM e{k})")
+        steps.append(f"s{k} AS (SELECT rule, vote, prior, sg / sum(sg) OVER (PARTITION BY rule) AS a, sb / sum(sb) OVER (PARTITION BY rule) AS b FROM c{k}, o{k})")
+        low = f"CASE WHEN vote = 0 AND b < {q.LEAST_BAD} * a THEN (prior * a + (1 - prior) * b) / (prior + (1 - prior) * {q.LEAST_BAD}) WHEN vote = 1 AND a < {q.LEAST_GOOD} * b THEN (prior * a + (1 - prior) * b) / (1 - prior + prior * {q.LEAST_GOOD}) END"
+        steps.append(f"l{k} AS (SELECT *, {low} AS low FROM s{k})")
+        steps.append(f"h{k} AS (SELECT rule, vote, prior, CASE WHEN low IS NULL THEN a WHEN vote = 0 THEN low ELSE {q.LEAST_GOOD} * low END AS a, CASE WHEN low IS NULL THEN b WHEN vote = 0 THEN {q.LEAST_BAD} * low ELSE low END AS b FROM l{k})")
+        steps.append(f"t{k + 1} AS MATERIALIZED (SELECT rule, vote, ln(a / sum(a) OVER (PARTITION BY rule)) - ln(b / sum(b) OVER (PARTITION BY rule)) AS lr, ln(prior / (1 - prior)) AS odds FROM h{k})")
     last = quality_rules.ROUNDS
     return rf"""WITH a AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), {_q(_W)}) AS w, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM documents),
     b AS (SELECT *, row_number() OVER () AS id, list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) AS ws FROM a),
@@ -114,7 +119,8 @@ def _rules_sql() -> str:
         (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, len(l)::BIGINT AS n_lines, len(list_distinct(w))::BIGINT AS n_distinct, len(regexp_extract_all(t, '\p{{Lu}}'))::BIGINT AS n_capitals,
         length(regexp_replace(t, '[^\p{{L}}]+', '', 'g'))::BIGINT AS n_letters, len(regexp_extract_all(t, '[!?.,;:]'))::BIGINT AS n_marks, coalesce(n_repeat_words, 0) AS n_repeat_words FROM b LEFT JOIN covered USING (id)),
     v AS MATERIALIZED (SELECT *, {votes} FROM m), p AS MATERIALIZED (SELECT row_number() OVER () AS pid, {names}, count(*) AS n FROM v GROUP BY {names}), long AS MATERIALIZED ({long}),
-    grid AS (SELECT rule, vote, {share(quality_rules.GOOD_VOTES)}[vote + 1] AS gp, {share(quality_rules.BAD_VOTES)}[vote + 1] AS bp FROM (SELECT unnest([{', '.join(map(_q, rules))}]) AS rule), range(3) r(vote)), {', '.join(steps)},
+    common AS (SELECT rule, vote, coalesce(sum(n), 0) / greatest((SELECT coalesce(sum(n), 0) FROM p), 1) + 1e-9 AS m FROM (SELECT rule, vote FROM (SELECT unnest([{", ".join(map(_q, rules))}]) AS rule), range(3) r(vote)) LEFT JOIN long USING (rule, vote) GROUP BY rule, vote),
+    grid AS MATERIALIZED (SELECT rule, vote, {believed(0)} AS gp, {believed(1)} AS bp FROM common), {', '.join(steps)},
     post AS (SELECT pid, 1 / (1 + exp(-(any_value(odds) + sum(lr)))) AS g FROM long JOIN t{last} USING (rule, vote) GROUP BY pid),
     f AS (SELECT v.*, g, n_words < {quality_rules.LEAST_WORDS} OR 100 * n_repeat_words > {quality_rules.REPEAT_PERCENT} * n_words AS base_failed FROM v JOIN p USING ({names}) JOIN post USING (pid))
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND g >= {quality_rules.KEEP} AS kept FROM f"""
