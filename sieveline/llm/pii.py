@@ -3,25 +3,31 @@
 Entities are found with regular expressions and checksums, overlaps going to the earlier and then to the more specific one. Mentions of
 one entity share a normal form (the digits of a number, the lower-case address, one name), and that form, not the mention, gets the
 surrogate, so coreference survives in and across documents; a mention's own format is filled in again. What stays: the type, lengths,
-separators, letter case, country and network digits, checksums of cards and IBANs, and a name's gender and script.
+separators, letter case, country and network digits, checksums of cards and IBANs, and a name's gender and script. Names are found after
+a title; phones in international form, and in national form where their digits are grouped (area code in brackets, 3-3-4, 2 4 4).
 
 The surrogate is drawn from a keyed SHA-256 of type, normal form and attempt. Collision checks over all entities of the corpus give
-each surrogate to one entity and none to an entity that occurs itself; who loses tries again with the next attempt until none is left,
-and names grow by a syllable with each attempt, so there is always room.
+each surrogate to one entity and none to an entity that occurs itself; who loses tries again with the next attempt until none is left.
+Names grow by a syllable with each attempt, and all other kinds by a character with each attempt after the first KEPT, so that there is
+room even where every entity of a shape occurs; only then does a surrogate's length differ.
 
-Plan: one pass finds entities (few rows), their table settles surrogates, and one join on a hash of id and text brings them back.
+Plan: one pass writes the rows that hold entities, few of most corpora; their table settles surrogates, and only these rows are dealt
+out. All others pass through a projection.
 
 Defined cases: null text stays null and has no entity; empty text and text without entities come back unchanged; null ids are kept;
-repeated rows give a row each, with equal results; an empty table gives an empty result; other columns are returned as they are.
+repeated rows give a row each, with equal results; an empty table gives an empty result; other columns are returned as they are,
+whatever their names.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sieveline.llm.secret_scan import Rule, _quoted, spans_of
-from sieveline.llm.shared import written
+from sieveline.functions import text as T
+from sieveline.llm.secret_scan import Rule
+from sieveline.llm.shared import join_by_key, with_puts, written
+from sieveline.operators.extract import fresh
 
 #: Titles by the gender they tell.
 MALE = ("Mr", "Herr", "Señor", "Sr", "Господин", "Г-н", "Κύριος")
@@ -34,55 +40,69 @@ _NAME = r"\p{Lu}[\p{L}'’-]+"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 #: The kinds of entity, the more specific first.
 RULES = (
-    Rule("email", r"[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"),
+    Rule("email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-][A-Za-z0-9.-]*\.[A-Za-z]{2,}"),
     Rule("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
-    Rule("phone", r"\+[0-9](?:[ .()-]{0,2}[0-9]){7,14}(?![0-9])"),
+    Rule("phone", r"\+[0-9](?:[ .()-]{0,3}[0-9]){7,14}(?![0-9])|(?<![0-9+(.-])\([0-9]{2,4}\)[ -]?[0-9]{3,4}[ -][0-9]{4}(?![0-9-])|(?<![0-9.+-])[0-9]{3}[-. ][0-9]{3}[-.][0-9]{4}(?![0-9-]|\.[0-9])|(?<![0-9.+-])0[0-9] [0-9]{4} [0-9]{4}(?![0-9-])"),
     Rule("number", r"(?<![0-9])(?:[0-9]{4}[ -]?){3}[0-9]{4}(?![0-9])|(?<![0-9])3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5}(?![0-9])|(?<![0-9])[0-9]{13,19}(?![0-9])"),
     Rule("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
     Rule("ip", rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])"),
     Rule("person", rf"(?<!\p{{L}})(?:{'|'.join(MALE + FEMALE + EITHER)})\.? (?:{_NAME} )?{_NAME}"),
 )
 #: What a text must hold for a rule to look at it.
-_MAY = {"email": "contains({t}, '@')", "phone": "contains({t}, '+')", "iban": "{t} rlike '[A-Z]{{2}}[0-9]{{2}}'", "number": "{t} rlike '[0-9]{{4}}'", "ssn": "{t} rlike '[0-9]{{3}}-[0-9]'", "ip": "{t} rlike '[0-9][.][0-9]'", "person": "{t} rlike " + _quoted(rf"(?:{'|'.join(MALE + FEMALE + EITHER)})\.? \p{{Lu}}").replace("{", "{{").replace("}", "}}")}
+_MAY = {
+    "email": lambda t: t.contains("@"), "phone": lambda t: t.contains("+") | t.rlike("[0-9]{3}[ .-][0-9]{3}"), "iban": lambda t: t.rlike("[A-Z]{2}[0-9]{2}"), "number": lambda t: t.rlike("[0-9]{4}"),
+    "ssn": lambda t: t.rlike("[0-9]{3}-[0-9]"), "ip": lambda t: t.rlike("[0-9][.][0-9]"), "person": lambda t: t.rlike(rf"(?:{'|'.join(MALE + FEMALE + EITHER)})\.? \p{{Lu}}"),
+}
 KINDS = ("email", "iban", "phone", "card", "account", "ssn", "ip", "given_f", "given_m", "given_u", "surname")
+#: Attempts in which a surrogate keeps the length of what it stands for.
+KEPT = 4
+_MENTION = "struct<start: int, rank: int, kind: string, end: int, value: string>"
+_MOD_97 = "aggregate(transform(split({x}, ''), c -> cast(conv(c, 36, 10) as bigint)), 0L, (a, c) -> if(c > 9, a * 100 + c, a * 10 + c) % 97)"
 
 
-_MOD_97 = "aggregate(transform(split({x}, ''), c -> cast(conv(c, 36, 10) as bigint)), 0L, (a, c) -> if(c > 9, a * 100 + c, a * 10 + c) % 97)"
+def _quoted(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
 
+def _right_iban(value: Column) -> Column:
+    plain = F.replace(value, F.lit(" "), F.lit(""))
+    letters = F.transform(F.split(F.concat(F.substring(plain, 5, 60), F.substring(plain, 1, 4)), ""), lambda c: F.conv(c, 36, 10).cast("long"))
+    return F.aggregate(letters, F.lit(0).cast("long"), lambda a, c: F.when(c > 9, a * 100 + c).otherwise(a * 10 + c) % 97) == 1
 
-def mentions(text: str) -> str:
-    """SQL for an array of (start, end, kind, norm) of the entities in a text column, by start, without overlaps."""
+
+def mentions(text: Column) -> Column:
+    """start, end, kind, norm and value of the entities in a text, by start, without overlaps."""
     each = []
     for k, rule in enumerate(RULES):
-        found = spans_of(text, rule, k)
+        found = T.spans(text, rule.pattern)
         if rule.kind == "iban":  # only with a right checksum, so that others don't hide what they overlap
-            v = f"replace(substring({text}, s.start + 1, s.end - s.start), ' ', '')"
-            found = f"filter({found}, s -> {_MOD_97.format(x=f'concat(substring({v}, 5), substring({v}, 1, 4))')} = 1)"
-        each.append(f"if({_MAY[rule.kind].format(t=text)}, {found}, array())")
-    spans = f"array_sort(concat({', '.join(each)}))"
-    apart = f"""aggregate({spans}, named_struct('at', 0, 'out', cast(array() as array<struct<start: int, rank: int, kind: string, end: int>>)),
-        (acc, s) -> if(s.start >= acc.at, named_struct('at', s.end, 'out', concat(acc.out, array(s))), acc), acc -> acc.out)"""
-    value = f"substring({text}, s.start + 1, s.end - s.start)"
-    digits = f"regexp_replace({value}, '[^0-9]', '')"
-    one = f"""CASE s.kind
-        WHEN 'email' THEN array(named_struct('start', s.start, 'end', s.end, 'kind', 'email', 'norm', lower({value})))
-        WHEN 'iban' THEN array(named_struct('start', s.start, 'end', s.end, 'kind', 'iban', 'norm', replace({value}, ' ', '')))
-        WHEN 'ip' THEN array(named_struct('start', s.start, 'end', s.end, 'kind', 'ip', 'norm', {value}))
-        WHEN 'number' THEN array(named_struct('start', s.start, 'end', s.end, 'kind', if(luhn_check({digits}), 'card', 'account'), 'norm', {digits}))
-        WHEN 'person' THEN {_name_parts(value)}
-        ELSE array(named_struct('start', s.start, 'end', s.end, 'kind', s.kind, 'norm', {digits})) END"""
-    return f"flatten(transform({apart}, s -> {one}))"
-
-
-def _name_parts(value: str) -> str:
+            found = F.filter(found, lambda s: _right_iban(s["value"]))
+        listed = F.transform(found, lambda s: F.struct(s["start"].alias("start"), F.lit(k).alias("rank"), F.lit(rule.kind).alias("kind"), s["end"].alias("end"), s["value"].alias("value")))  # noqa: B023
+        each.append(F.when(_MAY[rule.kind](text), listed).otherwise(F.expr(f"cast(array() as array<{_MENTION}>)")))
+    apart = lambda at, s: (F.greatest(at, F.when(s["start"] >= at, s["end"]).otherwise(at)), F.when(s["start"] >= at, F.array(s)).otherwise(F.expr(f"cast(array() as array<{_MENTION}>)")))
+    spans = T.folded(F.array_sort(F.concat(*each)), F.lit(0), _MENTION, apart)
+    return F.flatten(F.transform(spans, _entities))
+
+
+def _entities(s: Column) -> Column:
+    """The entities of a span: one, or the parts of a name."""
+    value = s["value"]
+    digits = F.regexp_replace(value, "[^0-9]", "")
+    kind = F.when(s["kind"] != "number", s["kind"]).when(F.call_function("luhn_check", digits), "card").otherwise("account")
+    norm = F.when(s["kind"] == "email", F.lower(value)).when(s["kind"] == "iban", F.replace(value, F.lit(" "), F.lit(""))).when(s["kind"] == "ip", value).otherwise(digits)
+    one = F.struct(s["start"].alias("start"), s["end"].alias("end"), kind.alias("kind"), norm.alias("norm"), value.alias("value"))
+    return F.when(s["kind"] == "person", _name_parts(s)).otherwise(F.array(one))
+
+
+def _name_parts(s: Column) -> Column:
     """A title with one name is a surname; with two, a given name of the title's gender (or of its ending) and a surname."""
-    parts = f"split({value}, ' ')"
-    title, last, given = f"replace({parts}[0], '.', '')", f"element_at({parts}, -1)", f"{parts}[1]"
-    listed = lambda names: ", ".join(_quoted(n) for n in names)
-    gender = f"CASE WHEN {title} IN ({listed(MALE)}) THEN 'given_m' WHEN {title} IN ({listed(FEMALE)}) THEN 'given_f' WHEN {given} rlike '[aаα]$' THEN 'given_f' ELSE 'given_u' END"
-    surname = f"named_struct('start', s.end - length({last}), 'end', s.end, 'kind', 'surname', 'norm', lower({last}))"
-    first = f"named_struct('start', s.end - length({last}) - 1 - length({given}), 'end', s.end - length({last}) - 1, 'kind', {gender}, 'norm', lower({given}))"
-    return f"if(size({parts}) = 3, array({first}, {surname}), array({surname}))"
+    parts = F.split(s["value"], " ")
+    title, last, given = F.replace(parts[0], F.lit("."), F.lit("")), F.element_at(parts, -1), parts[1]
+    gender = F.when(title.isin(*MALE), "given_m").when(title.isin(*FEMALE), "given_f").when(given.rlike("[aаα]$"), "given_f").otherwise("given_u")
+    before = s["end"] - F.length(last) - 1
+    part = lambda name, end, kind: F.struct((end - F.length(name)).alias("start"), end.alias("end"), kind.alias("kind"), F.lower(name).alias("norm"), name.alias("value"))
+    surname = part(last, s["end"], F.lit("surname"))
+    return F.when(F.size(parts) == 3, F.array(part(given, before, gender), surname)).otherwise(F.array(surname))
 
 
 def _drawn(i: str) -> str:
@@ -90,23 +110,33 @@ def _drawn(i: str) -> str:
     return f"cast(conv(substring(sha2(concat_ws('|', __key, kind, norm, attempt, {i}), 256), 1, 8), 16, 10) as bigint)"
 
 
+def _more_drawn(i: str, made: str) -> str:
+    """What a surrogate is lengthened with at place i; other draws than those of _drawn."""
+    return made.format(x=_drawn(f"concat('+', {i})"))
+
+
 def surrogate() -> str:
     """SQL for the surrogate of the columns kind, norm and attempt under the column __key."""
+    more = f"greatest(0, attempt - {KEPT - 1})"
     place = "sequence(1, length(norm))"
+    longer = f"sequence(1, length(norm) + {more})"
     char = "substring(norm, i, 1)"
     alike = f"CASE WHEN {char} rlike '[0-9]' THEN cast({_drawn('i')} % 10 as string) WHEN {char} rlike '[a-z]' THEN char(97 + {_drawn('i')} % 26) WHEN {char} rlike '[A-Z]' THEN char(65 + {_drawn('i')} % 26) ELSE {char} END"
+    digit = f"cast({_drawn('i')} % 10 as string)"
+    tail = f"array_join(transform(sequence(1, {more} + 1), i -> if(i > {more}, '', {_more_drawn('i', 'char(97 + {x} % 26)')})), '')"
     at = "instr(norm, '@')"
     tld = "length(norm) - locate('.', reverse(norm)) + 1"
-    email = f"array_join(transform({place}, i -> if(i = {at} or i > {tld}, {char}, {alike})), '')"
+    email = f"array_join(transform({place}, i -> concat(if(i = {at}, {tail}, ''), if(i = {at} or i > {tld}, {char}, {alike}))), '')"
     code = "if(substring(norm, 1, 1) in ('1', '7'), 1, 2)"
-    phone = f"array_join(transform({place}, i -> if(i <= {code}, {char}, if((i - {code}) % 3 = 1, cast(2 + {_drawn('i')} % 8 as string), cast({_drawn('i')} % 10 as string)))), '')"
-    digits = f"array_join(transform({place}, i -> if(i = 1, {char}, cast({_drawn('i')} % 10 as string))), '')"
-    checked = f"element_at(filter(transform(sequence(0, 9), d -> concat(substring({digits}, 1, length(norm) - 1), d)), x -> luhn_check(x)), 1)"
-    unchecked = f"element_at(filter(transform(sequence(0, 9), d -> concat(substring({digits}, 1, length(norm) - 1), (d + {_drawn('0')}) % 10)), x -> not luhn_check(x)), 1)"
-    ssn = f"array_join(transform({place}, i -> cast(1 + {_drawn('i')} % if(i = 1, 6, 9) as string)), '')"
-    ip = f"array_join(transform(sequence(1, 4), i -> cast(1 + {_drawn('i')} % 254 as string)), '.')"
-    body = f"array_join(transform({place}, i -> if(i <= 4, '', {alike})), '')"
-    iban = f"transform(array({body}), b -> concat(substring(norm, 1, 2), lpad(cast(98 - {_MOD_97.format(x='concat(b, substring(norm, 1, 2), ' + chr(39) + '00' + chr(39) + ')')} as string), 2, '0'), b))[0]"
+    phone = f"array_join(transform({longer}, i -> if(i <= {code}, {char}, if((i - {code}) % 3 = 1, cast(2 + {_drawn('i')} % 8 as string), {digit}))), '')"
+    digits = f"array_join(transform({longer}, i -> if(i = 1, {char}, {digit})), '')"
+    body = f"substring({digits}, 1, length(norm) + {more} - 1)"
+    checked = f"element_at(filter(transform(sequence(0, 9), d -> concat({body}, d)), x -> luhn_check(x)), 1)"
+    unchecked = f"element_at(filter(transform(sequence(0, 9), d -> concat({body}, (d + {_drawn('0')}) % 10)), x -> not luhn_check(x)), 1)"
+    ssn = f"array_join(transform({longer}, i -> cast(1 + {_drawn('i')} % if(i = 1, 6, 9) as string)), '')"
+    ip = f"array_join(transform(sequence(1, 4 + {more}), i -> cast(1 + {_drawn('i')} % 254 as string)), '.')"
+    letters = f"concat(array_join(transform({place}, i -> if(i <= 4, '', {alike})), ''), upper({tail}))"
+    iban = f"transform(array({letters}), b -> concat(substring(norm, 1, 2), lpad(cast(98 - {_MOD_97.format(x='concat(b, substring(norm, 1, 2), ' + chr(39) + '00' + chr(39) + ')')} as string), 2, '0'), b))[0]"
     names = []
     for script, test in (("cyrillic", r"[Ѐ-ӿ]"), ("greek", r"[Ͱ-Ͽ]"), ("latin", "")):
         syllables = "array(" + ", ".join(_quoted(s) for s in SYLLABLES[script]) + ")"
@@ -117,7 +147,9 @@ def surrogate() -> str:
 
 
 def settle(entities: DataFrame, key: str) -> DataFrame:
-    """kind, norm, surrogate: distinct entities and their distinct surrogates, none of which is an entity of the kind itself."""
+    """kind, norm, surrogate: distinct entities and their distinct surrogates, none of which is an entity of the kind itself.
+
+    Room grows with every round, by a factor of ten at least, while entities don't, so that the rounds end."""
     made = F.expr(surrogate())
     names = F.when(F.col("kind").startswith("given"), "given").otherwise(F.col("kind"))
     state = written(entities.select("kind", "norm").distinct().withColumn("attempt", F.lit(0)))
@@ -136,24 +168,26 @@ def settle(entities: DataFrame, key: str) -> DataFrame:
 def _as_mentioned(value: str) -> str:
     """SQL that gives a surrogate the format of the mention: its separators, or its letter case."""
     nth = f"length(regexp_replace(substring({value}, 1, i), '[^0-9]', ''))"
-    filled = f"array_join(transform(sequence(1, length({value})), i -> if(substring({value}, i, 1) rlike '[0-9]', substring(surrogate, {nth}, 1), substring({value}, i, 1))), '')"
-    spaced = f"array_join(transform(sequence(1, length({value})), i -> if(substring({value}, i, 1) = ' ', ' ', substring(surrogate, length(replace(substring({value}, 1, i), ' ', '')), 1))), '')"
+    filled = f"concat(array_join(transform(sequence(1, length({value})), i -> if(substring({value}, i, 1) rlike '[0-9]', substring(surrogate, {nth}, 1), substring({value}, i, 1))), ''), substring(surrogate, length(norm) + 1))"
+    spaced = f"concat(array_join(transform(sequence(1, length({value})), i -> if(substring({value}, i, 1) = ' ', ' ', substring(surrogate, length(replace(substring({value}, 1, i), ' ', '')), 1))), ''), substring(surrogate, length(norm) + 1))"
     cased = f"if({value} = upper({value}), upper(surrogate), initcap(surrogate))"
     return f"CASE WHEN kind IN ('phone', 'card', 'account', 'ssn') THEN {filled} WHEN kind = 'iban' THEN {spaced} WHEN kind IN ('email', 'ip') THEN surrogate ELSE {cased} END"
 
 
 def replace(docs: DataFrame, key: str) -> DataFrame:
-    """docs with surrogates in text, and __found: (start, end, kind, surrogate as written) of each entity of the old text."""
-    keyed = docs.withColumn("__id", F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    found = keyed.where("text is not null").select("__id", "text", F.expr(mentions("text")).alias("m")).where("size(m) > 0")
-    rows = found.select("__id", "text", F.explode("m").alias("m")).select("__id", "m.*", F.expr("substring(text, m.start + 1, m.end - m.start)").alias("value")).dropDuplicates(["__id", "start"])
-    rows = written(rows)
-    settled = settle(rows, key)
-    put = rows.join(settled, ["kind", "norm"]).withColumn("put", F.expr(_as_mentioned("value")))
-    each = put.groupBy("__id").agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind", "put"))).alias("__found"))
-    out = keyed.join(each, "__id", "left")
-    built = """aggregate(__found, named_struct('at', 0, 'out', ''), (acc, s) -> named_struct(
-        'at', s.end, 'out', concat(acc.out, substring(text, acc.at + 1, s.start - acc.at), s.put)),
-        acc -> concat(acc.out, substring(text, acc.at + 1)))"""
-    text = F.when(F.col("__found").isNull(), F.col("text")).otherwise(F.expr(built))
-    return out.withColumn("text", text).select(*[F.col(f"`{c}`") for c in docs.columns], "__found")
+    """docs with surrogates in text, and a last column: (start, end, kind, surrogate as written) of each entity of the old text, null
+    without any. It is called __found, or another name that docs doesn't have."""
+    (found,) = fresh(docs.columns, ["found"])
+    row, in_text = fresh([*docs.columns, found], ["row", "mentions"])
+    seen = docs.withColumn(in_text, mentions(F.coalesce(F.col("text"), F.lit(""))))
+    touched = written(seen.where(F.size(in_text) > 0).withColumn(row, F.monotonically_increasing_id()))
+    rows = touched.select(F.col(row).alias("row"), F.explode(in_text).alias("m")).select("row", "m.*")
+    entities = written(rows.groupBy("kind", "norm").agg(F.count("*").alias("n")))
+    settled = settle(entities, key).join(entities, ["kind", "norm"])
+    put = join_by_key(rows, settled, ["kind", "norm"], "n").withColumn("put", F.expr(_as_mentioned("value")))
+    each = put.groupBy(F.col("row").alias(row)).agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind", "put"))).alias(found))
+    changed = touched.join(each, row).withColumn("text", with_puts(F.col("text"), F.col(found)))
+    kind = dict(changed.dtypes)[found]
+    same = seen.where(F.size(in_text) == 0).withColumn(found, F.lit(None).cast(kind))
+    names = [F.col(f"`{c}`") for c in (*docs.columns, found)]
+    return same.select(*names).union(changed.select(*names))

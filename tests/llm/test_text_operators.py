@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
 from pyspark.sql import functions as F
 
@@ -301,6 +302,97 @@ def test_pii_is_distinct_and_keyed(spark):
     assert not {o for o, _ in pairs} & {n for _, n in pairs}
 
 
+def luhn(digits):
+    return sum(d if k % 2 == 0 else d * 2 - 9 * (d > 4) for k, d in enumerate(int(c) for c in reversed(digits))) % 10 == 0
+
+
+def right_iban(value):
+    v = value.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in v[4:] + v[:4])) % 97 == 1
+
+
+def brute_mentions(text):
+    """All matches of all rules, the earlier and then the more specific first, without overlaps."""
+    found = []
+    for rank, rule in enumerate(pii.RULES):
+        found += [(m.start(), rank, rule.kind, m.end(), m[0]) for m in regex.finditer(rule.pattern, text) if rule.kind != "iban" or right_iban(m[0])]
+    out, at = [], 0
+    for start, _, kind, end, value in sorted(found):
+        if start < at:
+            continue
+        at = end
+        if kind != "person":
+            digits = re.sub(r"[^0-9]", "", value)
+            kind = ("card" if luhn(digits) else "account") if kind == "number" else kind
+            norm = {"email": value.lower(), "iban": value.replace(" ", ""), "ip": value}.get(kind, digits)
+            out.append((start, end, kind, norm))
+            continue
+        title, *names = value.split(" ")
+        title = title.replace(".", "")
+        if len(names) == 2:
+            sex = "given_m" if title in pii.MALE else "given_f" if title in pii.FEMALE or names[0][-1] in "aаα" else "given_u"
+            out.append((end - len(names[1]) - 1 - len(names[0]), end - len(names[1]) - 1, sex, names[0].lower()))
+        out.append((end - len(names[-1]), end, "surname", names[-1].lower()))
+    return out
+
+
+PHONES = ["call (017) 555-7713 now", "555-123-4567 or 555.123.4567", "02 9000 0000", "+1 - 555 123 4567", "in 1999-2001 and 12-34-5678", "1.234.567-8901", "version 10.200.300-4000"]
+
+
+def test_pii_detection_against_brute_force(spark, docs):
+    made = [r[1] for r in PRIVATE] + PHONES + ["x@" + "a." * 4000, "a@b@c.de f@g.hi%j@k.lm", "4111111111111111 Mr Al Bo-Na, Dr Ω Αλφα Mrs. É Ñu"]
+    df = docs.select("text").union(spark.createDataFrame([(t,) for t in made], "text string")).where("text is not null")
+    for r in df.select("text", pii.mentions(F.col("text")).alias("m")).collect():
+        assert [(s.start, s.end, s.kind, s.norm) for s in r.m] == brute_mentions(r.text)
+        assert all(r.text[s.start : s.end] == s.value for s in r.m)
+
+
+def test_pii_settles_where_a_shape_is_used_up(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    mails = [f"{a}@{b}.co" for a in letters for b in letters]
+    ips = [f"10.0.0.{k}" for k in range(256)]
+    rows = [(k, x) for k, x in enumerate(mails + ips)] + [(10_000 + k, "a@b.co") for k in range(2000)]
+    got = {r.doc_id: r.text for r in pii.replace(spark.createDataFrame(rows, "doc_id long, text string"), "key").collect()}
+    new = [got[k] for k in range(len(mails) + len(ips))]
+    assert len(set(new)) == len(new) and not set(new) & {*mails, *ips}
+    assert all(re.fullmatch(r"[a-z]+@[a-z]\.co", x) for x in new[: len(mails)])
+    assert {got[10_000 + k] for k in range(2000)} == {got[1 - 1 + mails.index("a@b.co")]}
+
+
+def test_pii_surrogates_of_every_kind_grow(spark):
+    norms = {"email": "a@b.co", "phone": "15235551055", "card": "4111111111111111", "account": "4111111111111112", "ssn": "123456789", "ip": "10.0.0.1", "iban": "GB82WEST12345698765432", "surname": "lee"}
+    df = spark.createDataFrame([(k, n, a) for k, n in norms.items() for a in (0, 3, 4, 9)], "kind string, norm string, attempt int").withColumn("__key", F.lit("k"))
+    got = {(r.kind, r.attempt): r.s for r in df.select("kind", "attempt", F.expr(pii.surrogate()).alias("s")).collect()}
+    for kind, norm in norms.items():
+        size = [len(got[kind, a].split(".")) if kind == "ip" else len(got[kind, a]) for a in (0, 3, 4, 9)]
+        base = 4 if kind == "ip" else len(norm)
+        assert size == sorted(size) and size[3] > size[2] > size[1] and (kind == "surname" or size[:2] == [base, base] and size[3] == base + 6)
+    assert all(luhn(got["card", a]) and not luhn(got["account", a]) and right_iban(got["iban", a]) for a in (0, 3, 4, 9))
+
+
+def test_very_long_texts_of_tokens_and_spans(spark):
+    rows = [(0, "x@" + "a." * 4000), (1, "a" * 1_000_000), (2, "@" + "0123456789abcdef" * 60_000), (3, " ".join(f"token=abcdefgh{k}" for k in range(20_000))), (4, " ".join(f"é{k} u{k}@m.org" for k in range(5000)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = {r.doc_id: len(r.spans) for r in secret_scan.scan(df).collect()}
+    assert spans == {0: 0, 1: 1, 2: 1, 3: 20_000, 4: 0}
+    assert {r.doc_id: r.text for r in secret_scan.redact(df).collect()}[3] == " ".join(["[assign]"] * 20_000)
+    done = {r.doc_id: r.text for r in pii.replace(df, "key").collect()}
+    assert all(done[k] == t for k, t in rows if k < 4)
+    old, new = rows[4][1].split(" "), done[4].split(" ")
+    assert old[::2] == new[::2] and len(set(new[1::2])) == 5000 and not set(old[1::2]) & set(new[1::2])
+
+
+CLASHES = ["key", "rules", "row", "n", "__text", "__key", "__rules", "__spans", "__found", "__row", "__mentions", "__id", "bits", "__bits", "attempt", "kind"]
+
+
+@pytest.mark.parametrize("run", [secret_scan.redact, lambda d: pii.replace(d, "k").drop("___found")])
+def test_clashing_names_are_kept(spark, run):
+    df = spark.createDataFrame([(1, "token=abcdefgh1 a@b.org", *range(len(CLASHES))), (2, None, *range(len(CLASHES)))], "doc_id long, text string, " + ", ".join(f"`{n}` int" for n in CLASHES))
+    done = run(df)
+    assert done.columns == df.columns
+    assert all([r[n] for n in CLASHES] == list(range(len(CLASHES))) for r in done.collect())
+
+
 @pytest.mark.parametrize("run", [quality_rules.judge, minmax_dedup.components, secret_scan.scan, curriculum.mix, lambda d: bpe.encode(d, PATH, PATTERN), lambda d: pii.replace(d, "k")])
 def test_empty_tables(spark, run):
     assert run(spark.createDataFrame([], SCHEMA)).collect() == []
