@@ -2,15 +2,17 @@
 
 Targets share all words by weight; a target stops at LIMIT times its source's size and the excess is shared anew among the others.
 That has a closed form over sources ordered by limit per weight, so the per-source table (one row a source) needs one window.
-Within a source documents stand in an order drawn from md5(doc_id); the running word count before each document, found from sums of
-hash buckets and a window within each bucket, decides how often it is taken: whole passes while the target lasts, then what is left.
+Within a source documents stand in an order drawn from the md5 of doc_id and text; the running word count before each document, found
+from sums of hash buckets and a window within each bucket, decides how often it is taken: whole passes while the target lasts, then what
+is left. Equal rows have one draw; where more of them than a bucket should hold do, the draw is split into buckets of its own.
 Each source has a schedule: weights at knots of training time 0..1, straight between them, scaled so that their integral is its
 target. The integral is the cumulative demand; inverting it at the words taken so far gives the position of every pass of every
 document, and `positions` range-sorts the corpus by it.
 
 Defined cases: null text has size 0 and is taken 0 times; null sources are one source, last in order; rows that repeat, or share an
-id, are ordered by their size and then share their place (equal rows, told apart by row_number within their bucket, so that words
-are counted for each). An empty table gives an empty result. Sources whose words are all blank have target 0.
+id, stand side by side, and words are counted for each. An empty table gives an empty result. Sources whose words are all blank have
+target 0. Very long texts count as any other. Other columns are not read by `mix` and returned unchanged by `arrange`, whatever their
+names.
 """
 
 from __future__ import annotations
@@ -20,7 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sieveline.llm.shared import SPACE, written
+from sieveline.llm.shared import HOT, SPACE, written
+from sieveline.operators.extract import fresh
 
 WEIGHTS = (5, 2, 1)
 LIMIT = 3
@@ -56,7 +59,9 @@ def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, limit: int = LIM
 
 
 def _sized(docs: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    return docs.select(*keep, F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text").cast("string")).alias("size"))
+    known = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    draw = F.md5(F.concat(known("doc_id"), F.lit("|"), F.md5(known("text"))))
+    return docs.select(*keep, F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text").cast("string")).alias("size"), draw.alias("draw"))
 
 
 def schedule_position(schedules: Sequence, place: str, done: str) -> str:
@@ -85,14 +90,14 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, limit: int = LIMIT, s
     With cut_last the document in which a target ends gives just the words that it lacks; otherwise documents are taken whole, the
     last one if at least half of it is within the target.
     """
-    sized = written(_sized(docs, keep).withColumn("draw", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
+    sized = written(_sized(docs, keep))
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     goals = written(targets(totals.select("source", "source_size"), weights, limit).withColumnRenamed("source", "goal_source"))
     n = sized.count()
     digits = 1
     while 16**digits * BUCKET_ROWS < n and digits < 7:
         digits += 1
-    bucketed = sized.withColumn("bucket", F.substring("draw", 1, digits))
+    bucketed = _split(sized.withColumn("bucket", F.substring("draw", 1, digits)), n)
     sums = bucketed.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
     before = F.coalesce(F.sum("bucket_size").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = sums.withColumn("start", before).join(goals, F.col("source").eqNullSafe(F.col("goal_source"))).select(F.col("source").alias("start_source"), F.col("bucket").alias("start_bucket"), "start", "place", "source_size", "target")
@@ -113,6 +118,18 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, limit: int = LIMIT, s
     return taken.select(*keep, "doc_id", "source", "size", "source_size", "target", "taken", "passes", F.when(F.col("passes") > 0, first).alias("position"), "place", "before")
 
 
+def _split(bucketed: DataFrame, n: int) -> DataFrame:
+    """bucketed, where rows of a draw that more than one row in HOT has are buckets of their own, one for each part of the input that holds
+    them. They are equal in all that places a row, so that any order among them gives the same rows."""
+    most = max(8 * BUCKET_ROWS, n // HOT)
+    full = bucketed.groupBy("source", "bucket").count().where(F.col("count") > most).select("bucket").distinct()
+    if full.isEmpty():
+        return bucketed
+    hot = bucketed.join(F.broadcast(full), "bucket", "left_semi").groupBy("draw").count().where(F.col("count") > most).select(F.col("draw").alias("hot_draw"))
+    own = F.concat("draw", F.lit("-"), F.lpad(F.pmod(F.spark_partition_id(), F.lit(HOT)).cast("string"), 4, "0"))
+    return bucketed.join(F.broadcast(hot), F.col("draw") == F.col("hot_draw"), "left").withColumn("bucket", F.when(F.col("hot_draw").isNotNull(), own).otherwise(F.col("bucket"))).drop("hot_draw")
+
+
 def positions(mixed: DataFrame, schedules: Sequence = SCHEDULES) -> DataFrame:
     """doc_id, pass, position: one row for each pass over a document, range-sorted by position."""
     each = mixed.where("passes > 0").withColumn("pass", F.explode(F.sequence(F.lit(0), F.col("passes").cast("int") - 1)))
@@ -122,10 +139,11 @@ def positions(mixed: DataFrame, schedules: Sequence = SCHEDULES) -> DataFrame:
 
 def arrange(docs: DataFrame, weights: Sequence[int] = WEIGHTS, limit: int = LIMIT, schedules: Sequence = SCHEDULES) -> DataFrame:
     """The training order: each document with all its columns as often as the mix takes it whole, range-sorted by position."""
-    held = written(docs.withColumn("__row", F.monotonically_increasing_id()))
-    mixed = mix(held, weights, limit, schedules, cut_last=False, keep=("__row",))
+    row, at_row, position = fresh(docs.columns, ["row", "at_row", "position"])
+    held = written(docs.withColumn(row, F.monotonically_increasing_id()))
+    mixed = mix(held, weights, limit, schedules, cut_last=False, keep=(row,))
     each = mixed.where("passes > 0").withColumn("pass", F.explode(F.sequence(F.lit(0), F.col("passes").cast("int") - 1)))
     done = "(before + pass * source_size) / greatest(target, 1.0D)"
-    at = each.select(F.col("__row").alias("__at_row"), F.expr(schedule_position(schedules, "place", done)).alias("__position"))
-    found = held.join(at, F.col("__row") == F.col("__at_row"))
-    return found.orderBy("__position", "__row").select(*[F.col(f"`{c}`") for c in docs.columns])
+    at = each.select(F.col(row).alias(at_row), F.expr(schedule_position(schedules, "place", done)).alias(position))
+    found = held.join(at, F.col(row) == F.col(at_row))
+    return found.orderBy(position, row).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -8,7 +8,8 @@ The training sample is bounded: at most SAMPLE labelled documents, drawn by a ha
 and only the statistics reach the driver. Scoring reads every whole text.
 
 Defined cases: null and empty text has all statistics 0 and is scored; null ids are scored but never held out nor learned from;
-repeated rows give a row each; without any label every score is 0.5; an empty table gives an empty result; other columns are not read.
+repeated rows give a row each; without any label every score is 0.5; an empty table gives an empty result; other columns are not read by
+`classify` and returned unchanged by `select_good`, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from sieveline.llm.toxicity import held_out, labelled
+from sieveline.operators.extract import fresh
 
 SAMPLE = 20_000
 TREES, DEPTH, BINS, RATE, RIDGE, LEAST_HESSIAN = 80, 4, 64, 0.15, 1.0, 1.0
@@ -130,26 +132,27 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Trees:
     return fit(x[order], y[order])
 
 
-def score(docs: DataFrame, trees: Trees) -> DataFrame:
-    """docs with a column __score, the probability that a document is good; docs needs a column text."""
+def score(docs: DataFrame, trees: Trees, name: str) -> DataFrame:
+    """docs with a last column `name`, the probability that a document is good; docs needs a column text."""
     sent = docs.sparkSession.sparkContext.broadcast(trees)
-    schema = StructType([*docs.schema.fields, StructField("__score", DoubleType())])
+    schema = StructType([*docs.schema.fields, StructField(name, DoubleType())])
     place = docs.columns.index("text")
 
     def run(batches):
         for batch in batches:
             x = np.array([statistics(t.as_py()) for t in batch.column(place)]).reshape(-1, len(FEATURES))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sent.value.score(x))], [*batch.schema.names, "__score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sent.value.score(x))], [*batch.schema.names, name])
 
     return docs.mapInArrow(run, schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, good: float = GOOD) -> DataFrame:
     """doc_id, held_out, score, predicted of each row of docs."""
-    scored = score(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), train(docs, labels))
-    return scored.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), F.col("__score").alias("score"), (F.col("__score") >= good).cast("int").alias("predicted"))
+    scored = score(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), train(docs, labels), "score")
+    return scored.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= good).cast("int").alias("predicted"))
 
 
 def select_good(docs: DataFrame, labels: DataFrame, good: float = GOOD) -> DataFrame:
     """The documents that the classifier accepts, with all their columns."""
-    return score(docs, train(docs, labels)).where(F.col("__score") >= good).drop("__score")
+    (name,) = fresh(docs.columns, ["score"])
+    return score(docs, train(docs, labels), name).where(F.col(name) >= good).drop(name)

@@ -140,7 +140,7 @@ _NEAR_COPIES_SQL = f"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(tr
 def _mix_sql() -> str:
     position = re.sub(r"(\d)D\b", r"\1", curriculum.schedule_position(curriculum.SCHEDULES, "place", "before / greatest(target, 1.0)"))
     limit = curriculum.LIMIT
-    return f"""WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), {_q(_W)}))::BIGINT AS size, md5(coalesce(doc_id::VARCHAR, '')) AS draw FROM documents),
+    return f"""WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), {_q(_W)}))::BIGINT AS size, md5(coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, ''))) AS draw FROM documents),
     s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM d GROUP BY source), w AS (SELECT *, [{', '.join(map(str, curriculum.WEIGHTS))}][place % {len(curriculum.WEIGHTS)} + 1] AS w FROM s),
     t AS (SELECT *, (sum(source_size) OVER () - {limit} * coalesce(sum(source_size) OVER (ORDER BY source_size / w, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS spare,
         (sum(w) OVER () - coalesce(sum(w) OVER (ORDER BY source_size / w, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS weight, row_number() OVER (ORDER BY source_size / w, place) AS nth FROM w),
