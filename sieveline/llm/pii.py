@@ -51,7 +51,7 @@ RULES = (
 #: What a text must hold for a rule to look at it.
 _MAY = {
     "email": lambda t: t.contains("@"), "phone": lambda t: t.contains("+") | t.rlike("[0-9]{3}[ .-][0-9]{3}"), "iban": lambda t: t.rlike("[A-Z]{2}[0-9]{2}"), "number": lambda t: t.rlike("[0-9]{4}"),
-    "ssn": lambda t: t.rlike("[0-9]{3}-[0-9]"), "ip": lambda t: t.rlike("[0-9][.][0-9]"), "person": lambda t: t.rlike(rf"(?:{'|'.join(MALE + FEMALE + EITHER)})\.? \p{{Lu}}"),
+    "ssn": lambda t: t.rlike("[0-9]{3}-[0-9]"), "ip": lambda t: t.rlike("[0-9][.][0-9]"), "person": lambda t: F.lit(True),
 }
 KINDS = ("email", "iban", "phone", "card", "account", "ssn", "ip", "given_f", "given_m", "given_u", "surname")
 #: Attempts in which a surrogate keeps the length of what it stands for.
