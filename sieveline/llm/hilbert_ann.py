@@ -4,13 +4,17 @@ Vectors are projected to a few dimensions, once for each of CURVES seeded rotati
 quantiles of a bounded sample and put in the order of a Hilbert curve. Each ordering is range-partitioned and cut into blocks of
 neighbours; a query is compared with its own block and the two beside it, in every ordering, and the findings merge by exact cosine.
 
+How wide a block must be depends on the data, so it is measured: PILOT queries, drawn by hash, are compared with every row, and a block
+gets as many rows as bring their neighbours within its reach in RECALL of the cases, BLOCK at least. Where vectors form clusters blocks
+stay small. Where they are spread evenly in many dimensions no ordering keeps neighbours together: blocks grow until the windows cost
+about what comparing everything would.
+
 The windows give each query a k-th best cosine so far. An exact check follows: ranges of the first ordering have a centre and a radius,
-and only ranges that may hold something nearer than that are searched in full. Where vectors form clusters few ranges are left; where
-they are spread evenly in many dimensions many are, so that what the windows miss is found whatever the data are like. `windows_only`
-leaves this check out.
+and only ranges that may hold something nearer than that are searched in full, so that what the windows miss is found whatever the data
+are like. `windows_only` leaves this check out.
 
 Equal vectors are one entry that knows its k + 1 smallest ids, all that an answer can need of them, so a vector that a third of all
-rows share is one entry too.
+rows share is one entry too. No task takes more than about TILE entries and TILE queries at once.
 
 Defined cases: vectors that are null, zero, of another length than most, or hold a null, NaN or infinite component take no part, nor do
 rows without id. Ties go to the smaller id; equal rows with one id count once. With fewer candidates than k all are returned. An empty
@@ -28,7 +32,9 @@ from pyspark.sql import functions as F
 from sieveline.llm.shared import partitions, written
 
 CURVES, DIMS, BITS = 6, 5, 8
-BLOCK = 512
+BLOCK, TILE = 512, 2**15
+#: Queries whose neighbours are found by comparing them with every row, and the share of those neighbours that windows must reach.
+PILOT, RECALL = 256, 0.95
 #: Rows from which cell borders are learned, and ranges whose centres are sent to the workers.
 SAMPLE, RANGES = 10_000, 2048
 #: More than a quick cosine differs from the exact one, and numbers that exact cosines take at a time.
@@ -136,14 +142,55 @@ def orderings(found: DataFrame, width: int) -> DataFrame:
     return found.select("entry", "v").mapInArrow(placed, "curve int, key long, entry binary")
 
 
-def blocks(placed: DataFrame, n: int) -> DataFrame:
-    """curve, entry, block: each ordering cut into runs of BLOCK neighbours, without bringing an ordering together in one task."""
+def positions(placed: DataFrame) -> DataFrame:
+    """curve, entry, pos: the place of each entry in each ordering, without bringing an ordering together in one task."""
     parts = max(partitions(placed.sparkSession), CURVES)
     dealt = written(placed.repartitionByRange(parts, "curve", "key", "entry").withColumn("part", F.spark_partition_id()))
     counts = dealt.groupBy("curve", "part").count()
     starts = counts.select("curve", "part", (F.sum("count").over(Window.partitionBy("curve").orderBy("part")) - F.col("count")).alias("start"))
     within = F.row_number().over(Window.partitionBy("curve", "part").orderBy("key", "entry")) - 1
-    return dealt.withColumn("nth", within).join(starts, ["curve", "part"]).select("curve", "entry", F.floor((F.col("start") + F.col("nth")) / BLOCK).cast("long").alias("block"))
+    return dealt.withColumn("nth", within).join(F.broadcast(starts), ["curve", "part"]).select("curve", "entry", (F.col("start") + F.col("nth")).cast("long").alias("pos"))
+
+
+def reach(placed: DataFrame, found: DataFrame, k: int, width: int) -> int:
+    """The rows that a block must have for windows to hold RECALL of the neighbours of PILOT queries."""
+    pilot = found.where("asked = 1").orderBy(F.xxhash64("entry"), "entry").limit(PILOT).select("entry", "v").toArrow()
+    if not pilot.num_rows:
+        return BLOCK
+    ids, q = pilot.column("entry").to_pylist(), _matrix(pilot.column("v").combine_chunks(), width)
+    sent = found.sparkSession.sparkContext.broadcast((ids, q / np.linalg.norm(q, axis=1)[:, None]))
+
+    def near(batches):
+        ids, q = sent.value
+        for batch in batches:
+            for a in range(0, batch.num_rows, TILE):
+                part = batch.slice(a, TILE)
+                m = _matrix(part.column(1), width)
+                score = q @ (m / np.linalg.norm(m, axis=1)[:, None]).T
+                take = min(k + 1, score.shape[1])
+                which = np.argpartition(-score, take - 1, axis=1)[:, :take]
+                rows = np.repeat(np.arange(len(ids)), take)
+                yield pa.RecordBatch.from_arrays([pa.array([ids[r] for r in rows], pa.binary()), part.column(0).take(pa.array(which.ravel())), pa.array(score[rows, which.ravel()])], ["query", "entry", "score"])
+
+    top = Window.partitionBy("query").orderBy(F.desc("score"), "entry")
+    some = found.select("entry", "v").mapInArrow(near, "query binary, entry binary, score double").where("query != entry")
+    some = some.withColumn("nth", F.row_number().over(top)).where(F.col("nth") <= k).select("query", "entry")
+    at = placed.select("curve", F.col("entry").alias("query"), F.col("pos").alias("query_pos"))
+    gaps = some.join(placed, "entry").join(at, ["curve", "query"]).groupBy("query", "entry").agg(F.min(F.abs(F.col("pos") - F.col("query_pos"))).alias("gap"))
+    return max(BLOCK, int(gaps.agg(F.percentile("gap", F.lit(RECALL))).first()[0] or 0))
+
+
+def in_tiles(asked: DataFrame, members: DataFrame, at: list[str], most: int, k: int, width: int) -> DataFrame:
+    """query, entry, least, score: the nearest of the members that stand where a query asks, at the columns `at`.
+
+    At most `most` queries ask at one place; they are dealt into batches of about TILE, each with the place's members."""
+    n = -(-most // TILE)
+    if n > 1:
+        asked = asked.withColumn("batch", F.pmod(F.xxhash64("query"), F.lit(n)).cast("int"))
+        members = members.withColumn("batch", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+        at = [*at, "batch"]
+    there = members.select(*[F.col(c).alias(f"m_{c}") for c in at], "entry", "v", "least")
+    return asked.groupBy(*at).cogroup(there.groupBy(*[f"m_{c}" for c in at])).applyInArrow(_compared(k, width), "query binary, entry binary, least long, score double")
 
 
 def _compared(k: int, width: int):
@@ -233,23 +280,25 @@ def search(vectors: DataFrame, k: int = 5, every: int = 50, windows_only: bool =
     n = found.count()
     if not n:
         return empty
-    placed = written(blocks(orderings(found, width), n))
+    placed = written(positions(orderings(found, width)))
+    block = reach(placed, found, k, width)
+    tile = min(block, TILE)
     members = placed.join(found.select("entry", "v", F.array_min("ids").alias("least")), "entry")
-    asked = found.where("asked = 1").select(F.col("entry").alias("query"), F.col("v").alias("qv"))
-    at = placed.withColumnRenamed("entry", "query").join(asked, "query").select("query", "qv", F.col("curve").alias("q_curve"), F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)).alias("q_block"))
-    schema = "query binary, entry binary, least long, score double"
-    near = at.groupBy("q_curve", "q_block").cogroup(members.groupBy("curve", "block")).applyInArrow(_compared(k, width), schema)
+    asked = written(found.where("asked = 1").select(F.col("entry").alias("query"), F.col("v").alias("qv")))
+    n_asked = asked.count()
+    span = F.sequence(F.floor((F.col("pos") - block) / tile), F.floor((F.col("pos") + block) / tile))
+    at = placed.withColumnRenamed("entry", "query").join(asked, "query").select("query", "qv", "curve", F.explode(span).alias("tile"))
+    near = in_tiles(at, members.withColumn("tile", F.floor(F.col("pos") / tile)), ["curve", "tile"], min(n_asked, 2 * block + tile), k, width)
     best = written(_best(near, k))
     if not windows_only:
         per_range = -(-n // (BLOCK * RANGES))
-        own = members.where("curve = 0").select("entry", "v", "least", "block")
-        caps = ranges(own, per_range, width).collect()
+        own = members.where("curve = 0").withColumn("block", F.floor(F.col("pos") / BLOCK)).withColumn("range", F.floor(F.col("block") / per_range)).withColumn("tile", F.floor(F.col("pos") / TILE))
+        caps = ranges(own.select("entry", "v", "block"), per_range, width).collect()
         floors = best.where(F.col("nth") == k + 1).select("query", F.col("score").alias("floor"))
         open_ = asked.join(floors, "query", "left").select("query", "qv", F.coalesce("floor", F.lit(-2.0)).alias("floor"))
-        visits = _may_hold(open_, caps, width)
-        listed = placed.where("curve = 0").select("block", F.floor(F.col("block") / per_range).alias("range")).distinct()
-        there = visits.join(listed, "range").join(asked, "query").select("query", "qv", F.col("block").alias("q_block"))
-        rest = there.groupBy("q_block").cogroup(own.groupBy("block")).applyInArrow(_compared(k, width), schema)
+        tiles = F.broadcast(own.select("range", "tile").distinct())
+        visits = _may_hold(open_, caps, width).join(tiles, "range").join(asked, "query").select("query", "qv", "range", "tile")
+        rest = in_tiles(visits, own, ["range", "tile"], n_asked, k, width)
         best = written(_best(best.select("query", "entry", "least", "score").union(rest), k))
     ids = found.select("entry", "ids")
     queries = rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), F.col("entry").alias("query")).distinct()

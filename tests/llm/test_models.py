@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -97,6 +98,33 @@ def test_neighbours_that_tie(spark, which):
         assert got[q] == [int(i) for i in ids[order] if i != q][:5]
 
 
+@pytest.mark.parametrize(("kind", "most"), [("spread", 1.0), ("clusters", 0.35)])
+def test_windows_find_neighbours_of_many_vectors(spark, kind, most):
+    """50,000 vectors of 64 dimensions, about a hundred blocks of the least size: windows alone reach 0.9 of the neighbours."""
+    n, rng = 50_000, np.random.default_rng(4)
+    v = rng.normal(size=(n, 64)) if kind == "spread" else rng.normal(size=(400, 64))[rng.integers(0, 400, n)] + 0.3 * rng.normal(size=(n, 64))
+    v = v.astype(np.float32)
+    df = spark.createDataFrame(pa.table({"vec_id": pa.array(np.arange(n)), "embedding": pa.array(list(v), pa.list_(pa.float32()))})).repartition(8)
+    got = {(r.query_id, r.vec_id) for r in hilbert_ann.search(df, every=500, windows_only=True).collect()}
+    unit = v.astype(float) / np.linalg.norm(v.astype(float), axis=1)[:, None]
+    score = unit[::500] @ unit.T
+    score[np.arange(n // 500), np.arange(0, n, 500)] = -2
+    want = {(500 * q, int(i)) for q, row in enumerate(np.argsort(-score, axis=1)[:, :5]) for i in row}
+    assert len(got & want) >= 0.9 * len(want)
+    found, _, width = hilbert_ann.entries(df, 5, 500)
+    placed = hilbert_ann.positions(hilbert_ann.orderings(found, width)).cache()
+    assert hilbert_ann.reach(placed, found, 5, width) * 2 * hilbert_ann.CURVES <= 3 * most * n
+
+
+def test_tiles_and_batches(spark, monkeypatch):
+    monkeypatch.setattr(hilbert_ann, "TILE", 100)
+    rows = clustered(1500)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted((r.query_id, r.rank, r.vec_id) for r in hilbert_ann.search(df, every=2).collect())
+    want = sorted((q, k + 1, i) for q, near in brute_neighbours(rows, every=2).items() for k, (_, i) in enumerate(near))
+    assert got == want
+
+
 def test_few_vectors(spark):
     schema = "vec_id long, embedding array<float>"
     assert hilbert_ann.search(spark.createDataFrame([], schema)).collect() == []
