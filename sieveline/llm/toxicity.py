@@ -2,17 +2,21 @@
 
 Two dictionaries are trained, one on ordinary and one on toxic text; the toxic one ends with the ordinary one's content, at the same
 distance, so that ordinary text costs the same under both and the difference of the compressed lengths of a window of words is what
-the toxic segments save. Labels mark whole documents, most of whose text is ordinary, so the toxic dictionary is trained only on the
-words that are over-represented in toxic documents, without their surroundings: toxic phrases of ordinary words, and words that the
-choice misses, save nothing. The ordinary one is trained on about ORDINARY_WINDOWS windows (fewer than twice as many). From the differences of all windows of a document come its scores (largest, mean of the largest, shares and counts
-at several thresholds), which a logistic calibration on training documents held back from the dictionaries turns into a probability.
+the toxic segments save. From the differences of all windows of a document come its scores (largest, mean of the largest, shares and
+counts at several thresholds), which a logistic calibration on training documents held back from the dictionaries turns into a
+probability.
 
-The training sample is bounded: at most SAMPLE labelled documents, drawn by a hash of doc_id, and of each at most SAMPLE_CHARS
-characters. Scoring reads every word of every text.
+Labels mark whole documents, most of whose text is ordinary. The toxic dictionary is therefore trained on the words that are
+over-represented in toxic documents and not on whole windows of them, which were tried and find far less (see the README): toxic phrases
+of ordinary words, and words that the choice misses, save nothing.
+
+The training sample is bounded in rows, all of whole texts: at most SAMPLE labelled documents, drawn by a hash of doc_id, as many of
+them, in that order, as have SAMPLE_BYTES together (one at least); the ordinary dictionary is trained on the first ORDINARY_DOCUMENTS
+ordinary ones. Scoring reads every word of every text.
 
 Defined cases: null and empty text has one empty window and is scored as such; null ids are scored but never held out nor learned
 from; repeated rows give a row each; without both labels in the sample every score is the share of toxic labels found (0 without any);
-an empty table gives an empty result; other columns are not read.
+an empty table gives an empty result; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,11 +32,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sieveline.llm.shared import words_of
+from sieveline.llm.shared import words_of, written
 
-SAMPLE, SAMPLE_CHARS = 6000, 20_000
+SAMPLE, SAMPLE_BYTES = 6000, 2**28
 WINDOW, ORDINARY_BYTES, TOXIC_BYTES, CONTEXT_WORDS = 4, 32_768, 8192, 3
-ORDINARY_WINDOWS = 60_000
+ORDINARY_DOCUMENTS = 500
 #: Over-represented: in at least so many toxic documents and this share of them, with at least this log ratio of shares of documents.
 LEAST_DOCUMENTS, LEAST_SHARE, LOG_RATIO = 3, 0.03, 2.5
 #: Thresholds on the bytes that a window saves.
@@ -44,16 +48,31 @@ def held_out(doc_id: str = "doc_id", of: int = 5, is_: int = 0):
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % of == is_
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, rows: int, chars: int | None = None) -> DataFrame:
+def labelled(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> DataFrame:
     """__id, text, y of at most `rows` labelled documents that are not held out, drawn by a hash of doc_id; one text of each id."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out())
     known = known.select(F.col("doc_id").cast("long").alias("__id"), F.col(label).cast("int").alias("y")).groupBy("__id").agg(F.max("y").alias("y"))
     drawn = known.orderBy(F.xxhash64("__id"), "__id").limit(rows)
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    found = docs.select(F.col("doc_id").cast("long").alias("__id"), (F.substring(text, 1, chars) if chars else text).alias("text"))
+    found = docs.select(F.col("doc_id").cast("long").alias("__id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     return found.join(F.broadcast(drawn), "__id").groupBy("__id", "y").agg(F.min("text").alias("text")).select("__id", "text", "y")
 
 
+def sampled(docs: DataFrame, labels: DataFrame, label: str, rows: int = SAMPLE, most_bytes: int = SAMPLE_BYTES) -> list[tuple[str, int]]:
+    """Whole texts and labels of the drawn documents, in drawn order, `most_bytes` of them at most or one document."""
+    drawn = written(labelled(docs, labels, label, rows).withColumn("place", F.xxhash64("__id")))
+    sizes = sorted(map(tuple, drawn.select("place", "__id", F.octet_length("text")).collect()))
+    total, last = 0, None
+    for place, ident, size in sizes:
+        total += size
+        if last is not None and total > most_bytes:
+            break
+        last = place, ident
+    if last is None:
+        return []
+    kept = drawn.where((F.col("place") < last[0]) | (F.col("place") == last[0]) & (F.col("__id") <= last[1])).collect()
+    return [(r["text"], r["y"]) for r in sorted(kept, key=lambda r: (r["place"], r["__id"]))]
+
+
 def windows(words: list[bytes], width: int = WINDOW) -> Iterator[bytes]:
     for k in range(0, len(words) or 1, width):
         yield b" " + b" ".join(words[k : k + width]) + b" "
@@ -105,8 +124,8 @@ def train_dictionaries(texts: Sequence[str], y: Sequence[int]) -> tuple[bytes, b
     ratio = lambda w: math.log((sides[1][w] + 0.5) / (n[1] + 1)) - math.log((sides[0][w] + 0.5) / (n[0] + 1))
     least = max(LEAST_DOCUMENTS, LEAST_SHARE * n[1])
     marked = {w for w, k in sides[1].items() if k >= least and ratio(w) > LOG_RATIO}
-    ordinary = [w for words, label in zip(each, y) if not label for w in windows(words, CONTEXT_WORDS)]
-    ordinary = ordinary[:: max(1, len(ordinary) // ORDINARY_WINDOWS)]
+    plain_texts = [words for words, label in zip(each, y) if not label][:ORDINARY_DOCUMENTS]
+    ordinary = [w for words in plain_texts for w in windows(words, CONTEXT_WORDS)]
     toxic = [b" " + w + b" " for words, label in zip(each, y) if label for w in words if w in marked]
     plain = _trained(ORDINARY_BYTES, ordinary)
     return plain, _trained(TOXIC_BYTES, toxic * 3) + plain
@@ -168,7 +187,5 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 def classify(docs: DataFrame, labels: DataFrame, label: str = "toxic", threshold: float = 0.5) -> DataFrame:
     """doc_id, held_out, score, predicted of each row of docs, learned from the labels that are not held out."""
-    drawn = labelled(docs, labels, label, SAMPLE, SAMPLE_CHARS).withColumn("place", F.xxhash64("__id")).collect()
-    sample = [(r["text"], r["y"]) for r in sorted(drawn, key=lambda r: (r["place"], r["__id"]))]
-    scored = score(docs, fit(sample))
+    scored = score(docs, fit(sampled(docs, labels, label)))
     return scored.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

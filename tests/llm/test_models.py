@@ -197,6 +197,41 @@ def test_toxic_windows_compress_better():
     assert scorer.features("such a nincompoop of hill")[0] > scorer.features("the river of moon and bird")[0]
 
 
+def test_toxicity_features_by_brute_force():
+    """Each feature from the compressed lengths of every single window, made anew."""
+    rng = np.random.default_rng(6)
+    words = ["".join(rng.choice(list("abcdefghij"), 6)) for _ in range(300)]
+    texts = [" ".join(rng.choice(words, n)) for n in (1, 3, 4, 5, 40, 400)] + ["", None, " \n"]
+    ordinary, toxic = " ".join(words[:200]).encode(), (" ".join(words[200:]) + " ".join(words[:200])).encode()
+    scorer = toxicity.Scorer(ordinary, toxic)
+    length = lambda data, w: len(toxicity.Scorer(data, data).ordinary(w))
+    for text in texts:
+        w = (text or "").lower().encode().split()
+        windows = [b" " + b" ".join(w[k : k + 4]) + b" " for k in range(0, len(w) or 1, 4)]
+        saved = sorted((length(ordinary, x) - length(toxic, x) for x in windows), reverse=True)
+        n, over = len(saved), [sum(d >= t for d in saved) for t in toxicity.SAVED]
+        twentieth = max(1, n // 20)
+        want = [saved[0], np.mean(saved[:3]), np.mean(saved[:twentieth]), np.mean(saved), *[x / n for x in over], *[math.log1p(x) for x in over[1:]], math.log(n)]
+        assert np.allclose(scorer.features(text), want)
+
+
+def test_toxicity_sample_is_of_whole_texts(spark):
+    rows = [(k, "plain words of a text " * 20_000 + f"end{k}") for k in range(10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = df.select("doc_id", F.lit(0).alias("toxic"))
+    free = {t for k, t in rows if not held_out(k)}
+    assert {t for t, _ in toxicity.sampled(df, labels, "toxic")} == free
+    few = toxicity.sampled(df, labels, "toxic", most_bytes=1_000_000)
+    assert len(few) == 2 and {t for t, _ in few} < free
+    assert len(toxicity.sampled(df, labels, "toxic", most_bytes=1)) == 1
+
+
+def test_good_documents_keep_their_columns(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumns({n: F.lit(7) for n in ("score", "__score", "y", "__id")})
+    kept = quality_gbdt.select_good(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    assert kept.columns == docs.columns and kept.where("__score != 7 or score != 7 or y != 7").isEmpty()
+
+
 # --- language model -----------------------------------------------------------------------------------------
 def tokens(text):
     return WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) + ["\n"]
