@@ -1,23 +1,31 @@
 """Language-model scoring with a log-frequency Bloom filter.
 
-Training texts give counts of words and of neighbouring word pairs. A count c is quantised to the level 1 + floor(log2 c), and the
+Training texts give counts of words, of word pairs and of word triples. A count c is quantised to the level 1 + floor(log2 c), and the
 filter holds each n-gram at every level up to its own; a count is read back by probing the levels upwards until one is missing, so a
-false positive can only raise it, by a level at a time. Each text's probability is the product of interpolated pair and word
-probabilities made from those counts.
+false positive can only raise it, by a level at a time. Triples that occur once are counted but not kept, as is usual for the longest
+n-grams; the filter also holds, for each pair, how often kept triples begin with it.
 
-Building: counts are packed for each chunk of tokens and dealt to shards by n-gram hash; a shard merges its n-grams and sets the bits
-of its own segment of the filter, so that nobody holds all n-grams. A segment has at least BITS_EACH bits for each entry, whatever the
-corpus. A filter of at most MAX_BITS is broadcast. A larger one stays where it is: the n-grams of the texts to be scored are dealt to the
-segments, and their levels go back to the texts; the scores are the same.
+A word's probability mixes its share among all words, then after the word before it, then after the two before it, each with a
+pseudo-count for the shorter history. Counts of n-grams are read as the least that their level allows and counts of histories as the
+most, and no n-gram counts more than its parts, so that the probabilities of all words after a history sum to at most 1; only false
+positives (some 2 % of the n-grams asked for and not there) can add to it.
+
+Building: triples are counted for each chunk of tokens and dealt to shards by the hash of their first pair, which gives that pair's count
+too; words are dealt by their own hash. A shard merges its n-grams and sets the bits of its own segment of the filter, so that nobody
+holds all n-grams. A segment has BITS_EACH bits for each entry, whatever the corpus. A filter of at most MAX_BITS is broadcast. A larger
+one stays where it is: the n-grams of the texts to be scored are dealt to the segments, and their levels go back to the texts; the scores
+are the same.
 
 The base score needs exact counts of every word. At most FREQUENT words, the most frequent ones, are broadcast; all other words of a
 text are joined with the table of counts.
 
 N-grams of a shard must fit in a task: there is a shard for every SHARD_BYTES of training text, and at least four for each of
-spark.sql.shuffle.partitions.
+spark.sql.shuffle.partitions. Within a shard pairs and triples go by 32 bits each of their hashes; that two share them is far rarer than
+a false positive.
 
 Defined cases: null and empty text is one end token; null ids count as training text; repeated rows are counted and scored each; an
-empty table gives an empty result; with no training text counts are 0, N is 0 and V is 0. Other columns are not read.
+empty table gives an empty result; with no training text counts are 0, N is 0 and V is 0. Other columns are not read, whatever their
+names.
 """
 
 from __future__ import annotations
@@ -35,14 +43,15 @@ from sieveline.llm.shared import WordHashes, partitions, words_of, written
 
 MAX_BITS, BITS_EACH, LEAST_BITS = 2**29, 8, 2**10
 FREQUENT = 1_000_000
-#: Pseudo-count with which word probabilities weigh in after a history.
-BACK_OFF = 5.0
+#: Pseudo-counts with which the shorter history weighs in after one word and after two.
+AFTER_ONE, AFTER_TWO = 5.0, 1.0
 CHUNK = 1_000_000
-SHARD_BYTES = 2**25
+SHARD_BYTES = 2**24
 ARROW_ROWS = 500
 END = np.uint64(xxhash.xxh3_64_intdigest(b"\n"))  # no word holds a line feed
 _M1, _M2, _PAIR = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
-_ONE = np.uint64(1)
+_ONE, _LOW = np.uint64(1), np.uint64(0xFFFFFFFF)
+_HALF = np.uint64(32)
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -64,28 +73,67 @@ def tokens(text: str | None, hashes: WordHashes) -> np.ndarray:
     return np.append(hashes.of(words_of(text)), END)
 
 
-def histories(each: list[np.ndarray], flat: np.ndarray) -> np.ndarray:
-    """The token before each token; before a text's first, END."""
+def before(each: list[np.ndarray], flat: np.ndarray, first: np.uint64) -> np.ndarray:
+    """What stands before each token; before a text's first, `first`."""
     out = np.empty_like(flat)
     out[1:] = flat[:-1]
-    out[np.cumsum([0, *map(len, each[:-1])])] = END
+    out[np.cumsum([0, *map(len, each[:-1])])] = first
     return out
 
 
-def _packer(shards: int):
-    shift = np.uint64(64 - (shards.bit_length() - 1))
-    borders = np.arange(shards, dtype=np.uint64) << shift if shards > 1 else np.zeros(1, np.uint64)
+#: The pair before a text's first token: no other, END after END is that of a text without words.
+START = pairs(np.array([~END]), np.array([END]))[0]
+
+
+def _bits(shards: int) -> int:
+    return shards.bit_length() - 1
+
+
+def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
+    return (hashes >> np.uint64(64 - _bits(shards))).astype(np.int64) if shards > 1 else np.zeros(len(hashes), np.int64)
+
+
+def pair_keys(pair: np.ndarray, shards: int) -> np.ndarray:
+    """The 32 bits of pairs' hashes that follow those of their shard."""
+    return (pair >> np.uint64(32 - _bits(shards))) & _LOW
+
+
+def triple_keys(pair: np.ndarray, word: np.ndarray, shards: int) -> np.ndarray:
+    """A pair's key and 32 bits for the word after it."""
+    return (pair_keys(pair, shards) << _HALF) | (mixed(pair * _M2 + word) >> _HALF)
+
+
+def pair_grams(keys: np.ndarray) -> np.ndarray:
+    return mixed(keys ^ _M1)
 
+
+def history_grams(keys: np.ndarray) -> np.ndarray:
+    return mixed(keys ^ _M2)
+
+
+def triple_grams(keys: np.ndarray) -> np.ndarray:
+    return mixed(keys ^ _PAIR)
+
+
+def _packer(shards: int):
     def packed(each):
         flat = np.concatenate(each)
-        columns = {name: [[] for _ in range(shards)] for name in ("words", "word_counts", "pairs", "pair_counts")}
-        for name, keys in (("word", flat), ("pair", pairs(histories(each, flat), flat))):
-            found, n = np.unique(keys, return_counts=True)
-            cuts = [*np.searchsorted(found, borders).tolist(), len(found)]
-            for s in range(shards):
-                columns[name + "s"][s] = found[cuts[s] : cuts[s + 1]].tobytes()
-                columns[name + "_counts"][s] = n[cuts[s] : cuts[s + 1]].astype(np.uint32).tobytes()
-        return pa.RecordBatch.from_pydict({"shard": pa.array(range(shards), pa.int32()), **{k: pa.array(v, pa.binary()) for k, v in columns.items()}})
+        pair = pairs(before(each, flat, END), flat)
+        # the pair before each token, and for each text's last pair one more triple that begins with it
+        last = np.cumsum([len(x) for x in each]) - 1
+        first = np.concatenate([before(each, pair, START), pair[last]])
+        word = np.concatenate([flat, np.full(len(each), END)])
+        made: dict[int, list] = {}
+        for k, home, keys in ((0, shard_of(flat, shards), flat), (2, shard_of(first, shards), triple_keys(first, word, shards))):
+            order = np.argsort(home, kind="stable")
+            home, keys = home[order], keys[order]
+            which, starts = np.unique(home, return_index=True)
+            for shard, part in zip(which.tolist(), np.split(keys, starts[1:])):
+                found, n = np.unique(part, return_counts=True)
+                row = made.setdefault(shard, [b"", b"", b"", b""])
+                row[k], row[k + 1] = found.tobytes(), n.astype(np.uint32).tobytes()
+        columns = zip(*made.values())
+        return pa.RecordBatch.from_arrays([pa.array(list(made), pa.int32()), *[pa.array(list(c), pa.binary()) for c in columns]], ["shard", "words", "word_counts", "triples", "triple_counts"])
 
     def run(batches):
         hashes, each, size = WordHashes(), [], 0
@@ -104,57 +152,71 @@ def _packer(shards: int):
 
 def _merged(keys: pa.ChunkedArray, counts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     k = np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in keys])
-    n = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in counts]).astype(np.int64)
+    n = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in counts])
     if not len(k):
-        return k, n
+        return k, n.astype(np.int64)
     order = np.argsort(k, kind="stable")
     k, n = k[order], n[order]
     starts = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
-    return k[starts], np.add.reduceat(n, starts)
+    return k[starts], np.add.reduceat(n, starts, dtype=np.int64)
 
 
 def levels(counts: np.ndarray) -> np.ndarray:
     return np.frexp(counts.astype(float))[1]  # 1 + floor(log2 c)
 
 
-def counts_at(level: np.ndarray) -> np.ndarray:
-    """What a level stands for: 0, 1, and from there the middle of the counts that it covers."""
-    return np.where(level <= 1, level, 1.5 * np.exp2(level - 1.0) - 0.5)
+def least_at(level: np.ndarray) -> np.ndarray:
+    """The least count that has a level."""
+    return np.where(level > 0, np.exp2(level - 1.0), 0.0)
 
 
-def segment(grams: np.ndarray, counts: np.ndarray, most_bits: int = 2**62) -> tuple[bytes, int, int]:
-    """A shard's bits, their number (a power of two) and the number of probes an entry has."""
+def most_at(level: np.ndarray) -> np.ndarray:
+    """The largest count that has a level."""
+    return np.exp2(level.astype(float)) - 1
+
+
+def segment(grams: np.ndarray, counts: np.ndarray, most_bits: int = 2**32 - 64) -> tuple[bytes, int, int]:
+    """A shard's bits, their number (a multiple of 64) and the number of probes an entry has."""
     level = levels(counts)
     entries = int(level.sum())
-    bits = LEAST_BITS
-    while bits < BITS_EACH * entries and bits * 2 <= most_bits:
-        bits *= 2
+    bits = min(max(LEAST_BITS, -(-BITS_EACH * entries // 64) * 64), most_bits)
     probes = max(1, min(4, round(bits / max(entries, 1) * math.log(2))))
     held = np.zeros(bits, bool)
     for j in range(1, int(level.max(initial=0)) + 1):
         at = grams[level >= j]
         first, step = places(at, j)
         for _ in range(probes):
-            held[(first & np.uint64(bits - 1)).astype(np.int64)] = True
+            held[_within(first, np.uint64(bits)).astype(np.int64)] = True
             first = first + step
     return np.packbits(held, bitorder="little").tobytes(), bits, probes
 
 
 def places(grams: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first place of each n-gram at a level, and the step from probe to probe."""
+    """A hash for the first place of each n-gram at a level, and the step from probe to probe."""
     first = mixed(grams + np.uint64((level + 1) * 0x9E3779B97F4A7C15 % 2**64))
-    return first, (first >> np.uint64(32)) | _ONE
+    return first, (first << _HALF) | _ONE
+
+
+def _within(hashes: np.ndarray, bits: np.ndarray | np.uint64) -> np.ndarray:
+    """Hashes as places from 0 to bits - 1, by their upper halves."""
+    return ((hashes >> _HALF) * bits) >> _HALF
 
 
 def _made_shard(table: pa.Table) -> pa.Table:
     words, n = _merged(table.column("words"), table.column("word_counts"))
-    grams, m = _merged(table.column("pairs"), table.column("pair_counts"))
-    held, bits, probes = segment(np.concatenate([grams, singles(words)]), np.concatenate([m, n]))
-    return pa.table({"shard": table.column("shard")[:1], "words": pa.array([words.tobytes()], pa.binary()), "counts": pa.array([n.tobytes()], pa.binary()), "n_words": pa.array([len(words)]), "n_tokens": pa.array([int(n.sum())]), "n_pairs": pa.array([len(grams)]), "bits": pa.array([bits]), "probes": pa.array([probes]), "held": pa.array([held], pa.binary())})
+    triples, m = _merged(table.column("triples"), table.column("triple_counts"))
+    starts = np.flatnonzero(np.append(True, triples[1:] >> _HALF != triples[:-1] >> _HALF)) if len(triples) else np.zeros(0, np.int64)
+    begins = triples[starts] >> _HALF
+    kept = m > 1
+    read = np.where(kept, least_at(levels(m)), 0)
+    in_pair, in_kept = (np.add.reduceat(x, starts) if len(starts) else np.zeros(0) for x in (m, read))
+    grams = np.concatenate([singles(words), pair_grams(begins), history_grams(begins[in_kept > 0]), triple_grams(triples[kept])])
+    held, bits, probes = segment(grams, np.concatenate([n, in_pair, in_kept[in_kept > 0], m[kept] // 2]))
+    return pa.table({"shard": table.column("shard")[:1], "words": pa.array([words.tobytes()], pa.binary()), "counts": pa.array([n.tobytes()], pa.binary()), "n_words": pa.array([len(words)]), "n_tokens": pa.array([int(n.sum())]), "n_pairs": pa.array([len(begins)]), "bits": pa.array([bits]), "probes": pa.array([probes]), "held": pa.array([held], pa.binary())})
 
 
 class Filter:
-    """The shards' segments in one array. A shard holds the pairs whose hash, and the words whose hash, begins with its bits."""
+    """The shards' segments in one array. A shard holds the words, and the pairs with what begins with them, whose hash begins with its bits."""
 
     def __init__(self, parts: list[tuple[int, int, int, bytes]], shards: int):
         bits, self.probes, self.start = np.full(shards, LEAST_BITS, np.uint64), np.ones(shards, np.int64), np.zeros(shards, np.uint64)
@@ -166,25 +228,24 @@ class Filter:
         held.append(bytes(LEAST_BITS // 8))
         for shard in set(range(shards)) - {p[0] for p in parts}:
             self.start[shard] = at
-        self.mask, self.bytes = bits - _ONE, b"".join(held)
-        self.shift = np.uint64(64 - (shards.bit_length() - 1)) if shards > 1 else None
+        self.bits, self.bytes, self.shards = bits, b"".join(held), shards
 
     def shard(self, hashes: np.ndarray) -> np.ndarray:
-        return (hashes >> self.shift).astype(np.int64) if self.shift is not None else np.zeros(len(hashes), np.int64)
+        return shard_of(hashes, self.shards)
 
     def level(self, grams: np.ndarray, shard: np.ndarray) -> np.ndarray:
         """The level of each n-gram: probes go up until one misses."""
         held = np.frombuffer(self.bytes, np.uint8)
         out = np.zeros(len(grams), np.int64)
         at = np.arange(len(grams))
-        start, mask, probes = self.start[shard], self.mask[shard], self.probes[shard]
+        start, bits, probes = self.start[shard], self.bits[shard], self.probes[shard]
         for j in range(1, 63):
             first, step = places(grams, j)
             for i in range(int(probes.max(initial=0))):
-                place = (first & mask) + start
+                place = _within(first, bits) + start
                 hit = ((held[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1).view(bool) | (probes <= i)
                 if not hit.all():
-                    at, grams, start, mask, probes, first, step = (x[hit] for x in (at, grams, start, mask, probes, first, step))
+                    at, grams, start, bits, probes, first, step = (x[hit] for x in (at, grams, start, bits, probes, first, step))
                 first = first + step
             if not len(at):
                 break
@@ -196,7 +257,7 @@ def _fit(docs: DataFrame) -> tuple[DataFrame, int]:
     """One row for each shard: its words with counts, and its segment of the filter."""
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     shards = 1 << max(4, (max(4 * partitions(docs.sparkSession), -(-size // SHARD_BYTES)) - 1).bit_length())
-    packed = docs.select("text").mapInArrow(_packer(shards), "shard int, words binary, word_counts binary, pairs binary, pair_counts binary")
+    packed = docs.select("text").mapInArrow(_packer(shards), "shard int, words binary, word_counts binary, triples binary, triple_counts binary")
     return packed.groupBy("shard").applyInArrow(_made_shard, "shard int, words binary, counts binary, n_words long, n_tokens long, n_pairs long, bits long, probes long, held binary"), shards
 
 
@@ -233,15 +294,17 @@ def least_frequent(shards: DataFrame, most: int) -> int:
 
 
 _SCORED = "doc_id long, n_tokens long, n_known long, base_score double, score double, rare array<long>, rare_n array<long>"
-#: Rows of texts have a chunk and, for each token, the places of its word and pair among the chunk's n-grams; rows of n-grams a shard.
-_DEALT = ", chunk binary, shard int, grams binary, words_at binary, pairs_at binary"
+#: Rows of texts have a chunk and, for each token, the places of its word, pair (before the first that of START), history and triple among
+#: the chunk's n-grams; rows of n-grams a shard.
+_PLACES = ("words_at", "pairs_at", "histories_at", "triples_at")
+_DEALT = ", chunk binary, shard int, grams binary, " + ", ".join(f"{p} binary" for p in _PLACES)
 
 
 def _asked(chunk: bytes, home: np.ndarray, grams: np.ndarray, shards: int) -> pa.RecordBatch:
     """A row for each shard that has n-grams of a chunk; they are in the order of the hashes by which they are dealt, so shards are runs."""
-    shard = (home >> np.uint64(64 - (shards.bit_length() - 1))).astype(np.int64) if shards > 1 else np.zeros(len(home), np.int64)
+    shard = shard_of(home, shards)
     found, starts = np.unique(shard, return_index=True)
-    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()), ("rare", pa.list_(pa.int64())), ("rare_n", pa.list_(pa.int64())), ("chunk", pa.binary()), ("shard", pa.int32()), ("grams", pa.binary()), ("words_at", pa.binary()), ("pairs_at", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()), ("rare", pa.list_(pa.int64())), ("rare_n", pa.list_(pa.int64())), ("chunk", pa.binary()), ("shard", pa.int32()), ("grams", pa.binary()), *[(p, pa.binary()) for p in _PLACES]])
     own = {"chunk": pa.array([chunk] * len(found), pa.binary()), "shard": pa.array(found, pa.int32()), "grams": pa.array([x.tobytes() for x in np.split(grams, starts[1:])], pa.binary())}
     return pa.RecordBatch.from_arrays([own.get(f.name, pa.nulls(len(found), f.type)) for f in schema], schema=schema)
 
@@ -263,10 +326,11 @@ def _summed(below: float):
         out = []
         if texts.num_rows:
             levels_ = found.sort_by("shard").column("levels")
-            count = counts_at(np.concatenate([np.frombuffer(x.as_py(), np.uint8) for x in levels_]).astype(np.int64))
-            for words, both in zip(texts.column("words_at"), texts.column("pairs_at")):
-                c, together = (count[np.frombuffer(x.as_py(), np.int32)] for x in (words, both))
-                out.append(_interpolated(c, np.roll(c, 1), together, below).sum())  # the last token is END, which the first follows
+            level = np.concatenate([np.frombuffer(x.as_py(), np.uint8) for x in levels_]).astype(np.int64)
+            for row in zip(*[texts.column(p) for p in _PLACES]):
+                word, both, history, triple = (level[np.frombuffer(x.as_py(), np.int32)] for x in row)
+                history = np.where(both[:-1] > 1, history, 0)
+                out.append(log_probability(word, np.roll(word, 1), both[1:], history, triple, below).sum())  # the last token is END, which the first follows
         return pa.table({"row": texts.column("row"), "score": pa.array(out, pa.float64())})
 
     return run
@@ -308,18 +372,27 @@ def score(docs: DataFrame, train=None, max_bits: int = MAX_BITS, frequent: int =
                 inverse = inverse.ravel()
                 model, dealt = None, {}
                 if made is not None:
-                    model = np.bincount(doc, _log_probability(made, each, flat, words, inverse, below), len(each))
+                    model = np.bincount(doc, _by_filter(made, each, flat, words, inverse, below), len(each))
                 else:
                     chunk = uuid.uuid4().bytes
-                    both, pair_at = np.unique(pairs(histories(each, flat), flat), return_inverse=True)
-                    home = np.concatenate([words, both])
+                    pair = pairs(before(each, flat, END), flat)
+                    first = before(each, pair, START)
+                    both, pair_at = np.unique(np.append(pair, START), return_inverse=True)
+                    history_at = before(each, pair_at.ravel()[:-1], pair_at.ravel()[-1])
+                    three, one, triple_at = np.unique(triple_keys(first, flat, n_shards), return_index=True, return_inverse=True)
+                    keys = pair_keys(both, n_shards)
+                    home = np.concatenate([words, both, both, first[one]])
+                    grams = np.concatenate([singles(words), pair_grams(keys), history_grams(keys), triple_grams(three)])
                     order = np.argsort(home, kind="stable")
-                    at, cuts = np.empty(len(order), np.int32), np.cumsum(size)[:-1]
+                    at = np.empty(len(order), np.int32)
                     at[order] = np.arange(len(order))
+                    at_words, at_pairs, at_histories, at_triples = np.split(at, np.cumsum([len(words), len(both), len(both)]))
                     dealt = {"chunk": pa.array([chunk] * len(each), pa.binary()), "shard": pa.nulls(len(each), pa.int32()), "grams": pa.nulls(len(each), pa.binary())}
-                    for name, places_ in (("words_at", at[: len(words)][inverse]), ("pairs_at", at[len(words) :][pair_at.ravel()])):
-                        dealt[name] = pa.array([x.tobytes() for x in np.split(places_, cuts)], pa.binary())
-                    yield _asked(chunk, home[order], np.concatenate([singles(words), both])[order], n_shards)
+                    with_start = np.insert(at_pairs[pair_at.ravel()[:-1]], np.cumsum(size) - size, at_pairs[pair_at.ravel()[-1]])
+                    each_at = (at_words[inverse], with_start, at_histories[history_at], at_triples[triple_at.ravel()])
+                    for name, places_, more in zip(_PLACES, each_at, (0, 1, 0, 0)):
+                        dealt[name] = pa.array([x.tobytes() for x in np.split(places_, np.cumsum(size + more)[:-1])], pa.binary())
+                    yield _asked(chunk, home[order], grams[order], n_shards)
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": batch.column(0).slice(a, b - a), "n_tokens": pa.array(size, pa.int64()), "n_known": pa.array(np.bincount(doc[seen], minlength=len(each)), pa.int64()),
                     "base_score": pa.array(base), "score": pa.array(model) if model is not None else pa.nulls(len(each), pa.float64()), "rare": pa.array([r.view(np.int64) for r, _ in rare], pa.list_(pa.int64())), "rare_n": pa.array([n for _, n in rare], pa.list_(pa.int64())), **dealt,
@@ -331,7 +404,7 @@ def score(docs: DataFrame, train=None, max_bits: int = MAX_BITS, frequent: int =
         asked = scored.where("shard is not null").select("chunk", "shard", "grams").groupBy("shard")
         found = asked.cogroup(segments.groupBy("shard")).applyInArrow(_probed, "chunk binary, shard int, levels binary")
         scored = scored.where("shard is null")
-        model = scored.select("chunk", "row", "words_at", "pairs_at").groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(_summed(below), "row long, score double")
+        model = scored.select("chunk", "row", *_PLACES).groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(_summed(below), "row long, score double")
         scored = scored.drop("score").join(model, "row")
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.rare_n").alias("n"))
     counts = shards.select("words", "counts").mapInArrow(_unpacked(0), "word long, c long").where(F.col("c") < least)
@@ -341,23 +414,32 @@ def score(docs: DataFrame, train=None, max_bits: int = MAX_BITS, frequent: int =
     return out.select("doc_id", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), (F.col("base_score") + F.coalesce("more", F.lit(0.0))).alias("base_score"), "score")
 
 
-def _log_probability(made: Filter, each: list[np.ndarray], flat: np.ndarray, words: np.ndarray, inverse: np.ndarray, below: float) -> np.ndarray:
-    """log10 of each token's probability after the token before it, from the filter's counts."""
-    count = counts_at(made.level(singles(words), made.shard(words)))
-    last = np.empty_like(inverse)
-    last[1:] = inverse[:-1]
-    last[np.cumsum([0, *map(len, each[:-1])])] = np.searchsorted(words, END)
-    grams = pairs(words[last], flat)
-    together = counts_at(made.level(grams, made.shard(grams)))
-    return _interpolated(count[inverse], count[last], together, below)
-
-
-def _interpolated(count: np.ndarray, before: np.ndarray, together: np.ndarray, below: float) -> np.ndarray:
-    """log10 of probabilities from the counts of words, of the words before them and of both together."""
-    single = (count + 0.5) / below
-    history = np.maximum(before, together)
-    weight = history / (history + BACK_OFF)
-    return np.log10(weight * together / np.maximum(history, 1.0) + (1 - weight) * single)
+def _by_filter(made: Filter, each: list[np.ndarray], flat: np.ndarray, words: np.ndarray, inverse: np.ndarray, below: float) -> np.ndarray:
+    """log10 of each token's probability after the tokens before it, from the filter's levels."""
+    single = made.level(singles(words), made.shard(words))
+    last = before(each, inverse, np.searchsorted(words, END))
+    pair = pairs(before(each, flat, END), flat)
+    first = before(each, pair, START)
+    both = made.level(pair_grams(pair_keys(pair, made.shards)), made.shard(pair))
+    # only a pair that occurs again begins a triple that is kept, and only such a pair ends one
+    start = made.level(pair_grams(pair_keys(np.array([START]), made.shards)), made.shard(np.array([START])))[0]
+    history, triple = np.zeros(len(flat), np.int64), np.zeros(len(flat), np.int64)
+    some = np.flatnonzero(before(each, both, start) > 1)
+    history[some] = made.level(history_grams(pair_keys(first[some], made.shards)), made.shard(first[some]))
+    some = np.flatnonzero((history > 0) & (both > 1))
+    triple[some] = made.level(triple_grams(triple_keys(first[some], flat[some], made.shards)), made.shard(first[some]))
+    return log_probability(single[inverse], single[last], both, history, triple, below)
+
+
+def log_probability(word: np.ndarray, last: np.ndarray, both: np.ndarray, history: np.ndarray, triple: np.ndarray, below: float) -> np.ndarray:
+    """log10 of probabilities from the levels of words, of the words before them, of both together, of what kept triples hold of the two words
+    before (levels of a sum), and of the triples (levels of half their count)."""
+    alone = (least_at(word) + 0.5) / below
+    after = most_at(last)
+    after_one = (np.minimum(least_at(both), after) + AFTER_ONE * alone) / (after + AFTER_ONE)
+    held = np.where((history > 0) & (both > 1), 2 * least_at(triple), 0.0)
+    held = np.minimum(held, most_at(history))
+    return np.log10(np.where(history > 0, (held + AFTER_TWO * after_one) / (most_at(history) + AFTER_TWO), after_one))
 
 
 def _spans(sizes: list[int], most: int = 2_000_000) -> list[tuple[int, int]]:

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import pytest
 from pyspark.sql import functions as F
 
@@ -263,6 +264,62 @@ def test_language_model_without_text(spark, cases):
     assert all(r.train_tokens == 0 and r.n_known == 0 for r in got) and len(got) == len(CASES)
 
 
+def exact_model(train):
+    """log10 of the probability of a token (None: of any) after two others, from exact counts with the model's levels."""
+    one, two, three = Counter(), Counter(), Counter()
+    for t in train:
+        one.update(t)
+        two.update(zip(["\n", *t], t))
+        three.update(zip(["\n", "\n", *t], ["\n", *t], t))
+    least = lambda c: 2 ** (c.bit_length() - 1) if c else 0
+    most = lambda c: 2 ** c.bit_length() - 1
+    kept = Counter()
+    for (u, v, _), c in three.items():
+        kept[u, v] += least(c) if c > 1 else 0
+    below = sum(one.values()) + 0.5 * (len(one) + 1)
+
+    def chance(u, v, w):
+        alone = (least(one[w]) + 0.5) / below
+        after_one = (min(least(two[v, w]), most(one[v])) + lm_bloom.AFTER_ONE * alone) / (most(one[v]) + lm_bloom.AFTER_ONE)
+        if not kept[u, v]:
+            return after_one
+        held = least(three[u, v, w]) if three[u, v, w] > 1 else 0
+        return (held + lm_bloom.AFTER_TWO * after_one) / (most(kept[u, v]) + lm_bloom.AFTER_TWO)
+
+    return chance, one, three
+
+
+def here(train, texts, shards=16):
+    """Scores of texts, with the same steps as on the cluster, in this process."""
+    packed = pa.Table.from_batches(lm_bloom._packer(shards)([pa.RecordBatch.from_arrays([pa.array(train, pa.string())], ["text"])]))
+    made = [lm_bloom._made_shard(packed.filter(pa.compute.equal(packed.column("shard"), s))) for s in packed.column("shard").unique().to_pylist()]
+    rows = pa.concat_tables(made).to_pylist()
+    held = lm_bloom.Filter([(r["shard"], r["bits"], r["probes"], r["held"]) for r in rows], shards)
+    below = sum(r["n_tokens"] for r in rows) + 0.5 * (sum(r["n_words"] for r in rows) + 1)
+    hashes, out = lm_bloom.WordHashes(), []
+    for t in texts:
+        flat = lm_bloom.tokens(t, hashes)
+        words, inverse = np.unique(flat, return_inverse=True)
+        out.append(lm_bloom._by_filter(held, [flat], flat, words, inverse.ravel(), below).sum())
+    return out
+
+
+@pytest.mark.parametrize("which", ["docs", "cases"])
+def test_language_model_against_exact_counts(spark, cases, which, monkeypatch):
+    """With so many bits that nothing is found by mistake, scores are those of exact counts; with the usual number the cluster's."""
+    df = spark.read.parquet(f"{SF}/documents.parquet") if which == "docs" else cases
+    rows = df.collect()
+    train = [r.text for r in rows if not held_out(r.doc_id, 1)]
+    chance, one, three = exact_model([tokens(t) for t in train])
+    want = [sum(math.log10(chance(*x)) for x in zip(["\n", "\n", *t], ["\n", *t], t)) for t in (tokens(r.text) for r in rows)]
+    got = Counter((r.doc_id, round(r.score, 4)) for r in lm_bloom.score(df, ~F.coalesce(toxicity.held_out(is_=1), F.lit(False))).collect())
+    assert got == Counter((r.doc_id, round(s, 4)) for r, s in zip(rows, here(train, [r.text for r in rows])))
+    monkeypatch.setattr(lm_bloom, "BITS_EACH", 512)
+    assert np.allclose(here(train, [r.text for r in rows]), want, rtol=0, atol=1e-6)
+    for u, v in [x[:2] for x in Counter(three).most_common(20)] + [("\n", "\n"), ("none", "such")]:
+        assert sum(chance(u, v, w) for w in one) <= 1
+
+
 @pytest.mark.parametrize("which", ["docs", "cases"])
 def test_filter_grows_with_the_corpus(spark, cases, which):
     """A filter too large for one broadcast scores like one that is sent whole."""
