@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from sieveline.llm.shared import WordHashes, partitions, words_of, written
 
-MAX_BITS, BITS_EACH, LEAST_BITS = 2**29, 8, 2**10
+MAX_BITS, BITS_EACH, LEAST_BITS = 2**30, 8, 2**10
 FREQUENT = 1_000_000
 #: Pseudo-counts with which the shorter history weighs in after one word and after two.
 AFTER_ONE, AFTER_TWO = 5.0, 1.0

@@ -63,8 +63,8 @@ RULES = BASE + MORE
 _MOST = 64
 
 
-#: Bits of the candidates' bitmap, at most 32 MB.
-SLOTS = 2**28
+#: Bits of the candidates' bitmap, 8 MB.
+SLOTS = 2**26
 Ways = list[list[str | None]]  # ways to match, each a list of characters and None for what may be anything
 
 
