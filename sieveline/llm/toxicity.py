@@ -8,7 +8,10 @@ probability.
 
 Labels mark whole documents, most of whose text is ordinary. The toxic dictionary is therefore trained on the words that are
 over-represented in toxic documents and not on whole windows of them, which were tried and find far less (see the README): toxic phrases
-of ordinary words, and words that the choice misses, save nothing.
+of ordinary words, and words that the choice misses, save nothing. A word's evidence is a likelihood-ratio test on the different
+contexts (the word with its neighbours) in which documents first have it: copies of a document give one context, not many, and a
+rarer language's words need no share of all toxic documents. A word that a tenth of the toxic documents hold may also stand in few
+contexts, as where all of them repeat one sentence.
 
 The training sample is bounded in rows, all of whole texts: at most SAMPLE labelled documents, drawn by a hash of doc_id, as many of
 them, in that order, as have SAMPLE_BYTES together (one at least); the ordinary dictionary is trained on the first ORDINARY_DOCUMENTS
@@ -37,8 +40,10 @@ from sieveline.llm.shared import words_of, written
 SAMPLE, SAMPLE_BYTES = 6000, 2**28
 WINDOW, ORDINARY_BYTES, TOXIC_BYTES, CONTEXT_WORDS = 4, 32_768, 8192, 3
 ORDINARY_DOCUMENTS = 500
-#: Over-represented: in at least so many toxic documents and this share of them, with at least this log ratio of shares of documents.
-LEAST_DOCUMENTS, LEAST_SHARE, LOG_RATIO = 3, 0.03, 2.5
+#: Over-represented: twice the log of the likelihood ratio; by chance one word in 3e8 passes 35, so that vocabularies of a million are safe.
+EVIDENCE = 35.0
+#: Whatever the contexts: in at least so many toxic documents and this share of them, with at least this log ratio of shares of documents.
+LEAST_DOCUMENTS, COMMON_SHARE, LOG_RATIO = 3, 0.1, 2.5
 #: Thresholds on the bytes that a window saves.
 SAVED = (1, 2, 3, 4, 5)
 _ZSTD = {"strategy": zstandard.STRATEGY_BTLAZY2, "min_match": 4, "search_log": 5, "window_log": 16, "hash_log": 15, "chain_log": 16, "write_content_size": False, "write_checksum": False, "write_dict_id": False}
@@ -114,16 +119,34 @@ class Scorer:
         return [top[0], largest(3), largest(max(1, n // 20)), sum(d * m for d, m in saved.items()) / n, *[x / n for x in over], *[math.log1p(x) for x in over[1:]], math.log(n)]
 
 
+def over_represented(each: Sequence[list[bytes]], y: Sequence[int]) -> set[bytes]:
+    """Words that toxic documents have in more contexts, or far more often, than their share of all documents explains."""
+    holding: tuple[Counter, Counter] = (Counter(), Counter())
+    contexts: tuple[set, set] = (set(), set())
+    for words, label in zip(each, y):
+        first: dict[bytes, int] = {}
+        for k, w in enumerate(words):
+            first.setdefault(w, k)
+        holding[label].update(first.keys())
+        contexts[label].update((words[k - 1] if k else b"", w, words[k + 1] if k + 1 < len(words) else b"") for w, k in first.items())
+    plain, toxic = (Counter(w for _, w, _ in side) for side in contexts)
+    n = [list(y).count(0), list(y).count(1)]
+    share, least = n[1] / len(y), max(LEAST_DOCUMENTS, COMMON_SHARE * n[1])
+
+    def evident(w: bytes) -> bool:
+        here, k, m = toxic[w] / (toxic[w] + plain[w]), toxic[w], plain[w]
+        return here > share and 2 * (k * math.log(here / share) + (m * math.log((1 - here) / (1 - share)) if m else 0)) > EVIDENCE
+
+    def common(w: bytes) -> bool:
+        return holding[1][w] >= least and math.log((holding[1][w] + 0.5) / (n[1] + 1)) - math.log((holding[0][w] + 0.5) / (n[0] + 1)) > LOG_RATIO
+
+    return {w for w in holding[1] if evident(w) or common(w)}
+
+
 def train_dictionaries(texts: Sequence[str], y: Sequence[int]) -> tuple[bytes, bytes]:
     """The contents of the ordinary and of the toxic dictionary."""
-    sides: tuple[Counter, Counter] = (Counter(), Counter())
     each = [words_of(t) for t in texts]
-    for words, label in zip(each, y):
-        sides[label].update(set(words))
-    n = [list(y).count(0), list(y).count(1)]
-    ratio = lambda w: math.log((sides[1][w] + 0.5) / (n[1] + 1)) - math.log((sides[0][w] + 0.5) / (n[0] + 1))
-    least = max(LEAST_DOCUMENTS, LEAST_SHARE * n[1])
-    marked = {w for w, k in sides[1].items() if k >= least and ratio(w) > LOG_RATIO}
+    marked = over_represented(each, y)
     plain_texts = [words for words, label in zip(each, y) if not label][:ORDINARY_DOCUMENTS]
     ordinary = [w for words in plain_texts for w in windows(words, CONTEXT_WORDS)]
     toxic = [b" " + w + b" " for words, label in zip(each, y) if label for w in words if w in marked]

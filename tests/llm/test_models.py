@@ -198,6 +198,15 @@ def test_toxic_windows_compress_better():
     assert scorer.features("such a nincompoop of hill")[0] > scorer.features("the river of moon and bird")[0]
 
 
+def test_toxic_words_of_a_rare_language_count_and_copies_do_not():
+    text = lambda k, *more: " ".join([f"p{k % 97}", f"q{k % 89}", *more, f"r{k % 83}", f"s{k % 79}"]).encode().split()
+    plain = [text(k) for k in range(2000)]
+    foul = [text(7 * k, "gowk") for k in range(388)] + [text(11 * k, "tonto") for k in range(12)]
+    copies = [b"a single toxic passage in many copies".split()] * 30
+    marked = toxicity.over_represented(plain + foul + copies, [0] * len(plain) + [1] * (len(foul) + len(copies)))
+    assert marked == {b"gowk", b"tonto"}
+
+
 def test_toxicity_features_by_brute_force():
     """Each feature from the compressed lengths of every single window, made anew."""
     rng = np.random.default_rng(6)
