@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.llm import bpe, curriculum, hilbert_ann, lm_bloom, minmax_dedup, pii, quality_gbdt, quality_rules, secret_scan, toxicity
+from sieveline.llm import bpe, curriculum, fim, hilbert_ann, lm_bloom, merkle, minmax_dedup, pii, quality_gbdt, quality_rules, secret_scan, toxicity
 
 #: The session setting that holds the key of surrogates, a secret; the queries' tests need none.
 PII_KEY, NO_SECRET = "spark.sieveline.pii.key", "not a secret"
@@ -71,6 +71,16 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified(table(spark, sf_dir, "documents"))
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = F.col("fim")
+    made = fim.transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select("doc_id", *[x[c].alias(c) for c in ("n", "form", "prefix_chars", "middle_chars")], F.sha2(x["output"], 256).alias("output_sha256"), F.sha2(fim.restored(x["output"], x["form"]), 256).alias("restored_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1,
     "op2_pii_surrogates": op2,
@@ -82,6 +92,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_curriculum_mix": op8,
     "op9_trigram_secrets": op9,
     "op10_byte_bpe": op10,
+    "op11_merkle_manifest": op11,
+    "op12_fill_in_middle": op12,
 }
 
 
@@ -165,10 +177,71 @@ def _secrets_sql() -> str:
     SELECT doc_id, {count('assign')}, {count('access')}, {count('hex')}, sha256({text(f"list_filter(spans, lambda x: x.k < {len(secret_scan.BASE)})")}) AS base_sha256, {text('spans')} AS spans FROM s"""
 
 
+def _crc32_sql(x: str) -> str:
+    """The CRC-32 of an ASCII text, bit by bit."""
+    bits = "list_reduce(list_concat([xor(c, b)], range(8)), lambda v, k: xor(v >> 1, 3988292384 * (v & 1)))"
+    return f"xor(list_reduce(list_concat([4294967295], list_transform(range(1, length({x}) + 1), lambda i: ascii(substr({x}, i, 1))::BIGINT)), lambda c, b: {bits}), 4294967295)"
+
+
+#: Levels that the SQL of the manifest has: for 8 ** 8 rows in a group, and 8 ** 4 groups.
+_LEVELS = {"leaves": 8, "tops": 4}
+
+
+def _tree_sql(name: str, start: str, by: str, levels: int) -> str:
+    """name0 (start: by, k, node) to name<levels>, each with its nodes in runs of eight (name_r1 ...), and name_root."""
+    out = [f"{name}0 AS MATERIALIZED ({start})"]
+    for j in range(1, levels + 1):
+        counted = f"SELECT *, count(*) OVER (PARTITION BY {by}) AS c FROM {name}{j - 1}"
+        out.append(f"{name}_r{j} AS MATERIALIZED (SELECT {by}, k // {merkle.FANOUT} AS k, list(node ORDER BY k) AS run, any_value(c) AS c FROM ({counted}) GROUP BY {by}, k // {merkle.FANOUT})")
+        out.append(f"{name}{j} AS MATERIALIZED (SELECT {by}, k, CASE WHEN c = 1 THEN run[1] ELSE sha256(array_to_string(run, '')) END AS node FROM {name}_r{j})")
+    return ", ".join(out)
+
+
+def _path_sql(name: str, source: str, by: str, levels: int) -> str:
+    """The rows of `source` (by, k, own, proof) with what `name`'s runs add to the proof and make of own, as name_p."""
+    out = [f"{name}_p0 AS (SELECT * FROM {source})"]
+    for j in range(1, levels + 1):
+        i = f"(k // {merkle.FANOUT ** (j - 1)}) % {merkle.FANOUT}"
+        left, right = f"array_to_string(run[1:{i}], '')", f"array_to_string(run[{i} + 2:], '')"
+        more = f"CASE WHEN c = 1 THEN own ELSE sha256({left} || own || {right}) END AS own, CASE WHEN c = 1 THEN proof ELSE proof || {left} || {right} END AS proof"
+        joined = f"{name}_p{j - 1} p JOIN (SELECT {by} AS g, k AS spot, run, c FROM {name}_r{j}) r ON p.{by} IS NOT DISTINCT FROM g AND p.k // {merkle.FANOUT**j} = spot"
+        out.append(f"{name}_p{j} AS MATERIALIZED (SELECT p.* REPLACE ({more}) FROM {joined})")
+    return ", ".join(out)
+
+
+def _manifest_sql() -> str:
+    field = lambda c: f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    leaf = f"sha256({' || '.join(map(field, merkle.FIELDS))})"
+    changed = f"sha256({' || '.join(field(lower if c == 'text' else c) for c in merkle.FIELDS)})"
+    a, b = _LEVELS["leaves"], _LEVELS["tops"]
+    return f"""WITH d AS MATERIALIZED (SELECT doc_id, lang, {leaf} AS leaf, CASE WHEN {_crc32_sql('doc_id::VARCHAR')} % 3 = 0 THEN {changed} ELSE {leaf} END AS own FROM documents),
+    n AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS k, '' AS proof FROM d),
+    {_tree_sql('leaves', 'SELECT lang, k, leaf AS node FROM n', 'lang', a)}, {_path_sql('leaves', 'n', 'lang', a)},
+    s AS MATERIALIZED (SELECT lang, node AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS k, 0 AS one FROM leaves{a}),
+    {_tree_sql('tops', 'SELECT one, k, subroot AS node FROM s', 'one', b)}, m AS (SELECT p.doc_id, p.leaf, p.own, p.proof, s.subroot, s.k, 0 AS one FROM leaves_p{a} p JOIN s ON p.lang IS NOT DISTINCT FROM s.lang),
+    {_path_sql('tops', 'm', 'one', b)}
+    SELECT doc_id, leaf, subroot, node AS root, sha256(proof) AS proof_sha256, own AS folded_root, own = node AS verified FROM tops_p{b}, tops{b}"""
+
+
+def _fim_sql() -> str:
+    p, s, m = map(_q, fim.MARKS)
+    h = lambda k: f"('0x' || substr(h, {8 * k + 1}, 8))::BIGINT"
+    joined = lambda part: f"array_to_string({part}, '')"
+    return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+    c AS (SELECT *, len(u) AS n, least({h(0)} % (len(u) + 1), {h(1)} % (len(u) + 1)) AS a, greatest({h(0)} % (len(u) + 1), {h(1)} % (len(u) + 1)) AS b,
+        CASE WHEN t = '' OR contains(t, {p}) OR contains(t, {s}) OR contains(t, {m}) OR {h(2)} % 100 >= {100 - fim.PLAIN_PERCENT} THEN 'plain' WHEN {h(3)} % 100 < {fim.SUFFIX_FIRST_PERCENT} THEN 'spm' ELSE 'psm' END AS form FROM d),
+    x AS (SELECT doc_id, t, n, form, {joined('u[1:a]')} AS pre, {joined('u[a + 1:b]')} AS mid, {joined('u[b + 1:]')} AS suf FROM c)
+    SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(pre)::BIGINT END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid)::BIGINT END AS middle_chars,
+        sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN {p} || pre || {s} || suf || {m} || mid ELSE {s} || suf || {p} || pre || {m} || mid END) AS output_sha256, sha256(t) AS restored_sha256 FROM x"""
+
+
 ORACLES: dict[str, str] = {
     "op1_quality_rules": _rules_sql(),
     "op3_hilbert_ann": _NEAREST_SQL,
     "op5_minmax_dedup": _NEAR_COPIES_SQL,
     "op8_curriculum_mix": _mix_sql(),
     "op9_trigram_secrets": _secrets_sql(),
+    "op11_merkle_manifest": _manifest_sql(),
+    "op12_fill_in_middle": _fim_sql(),
 }
