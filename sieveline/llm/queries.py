@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.llm import bpe, curriculum, fim, hilbert_ann, lm_bloom, merkle, minmax_dedup, pii, quality_gbdt, quality_rules, secret_scan, toxicity
+from sieveline.llm import bpe, curriculum, fim, hilbert_ann, lm_bloom, merkle, minmax_dedup, pii, quality_gbdt, quality_rules, secret_scan, suffix_dedup, toxicity
 
 #: The session setting that holds the key of surrogates, a secret; the queries' tests need none.
 PII_KEY, NO_SECRET = "spark.sieveline.pii.key", "not a secret"
@@ -81,6 +81,11 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", *[x[c].alias(c) for c in ("n", "form", "prefix_chars", "middle_chars")], F.sha2(x["output"], 256).alias("output_sha256"), F.sha2(fim.restored(x["output"], x["form"]), 256).alias("restored_sha256"))
 
 
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffix_dedup.remove(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1,
     "op2_pii_surrogates": op2,
@@ -94,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_byte_bpe": op10,
     "op11_merkle_manifest": op11,
     "op12_fill_in_middle": op12,
+    "op13_suffix_dedup": op13,
 }
 
 
