@@ -55,3 +55,28 @@ def iban(c: Column) -> Column:
         lambda acc, x: F.when(x == "", acc).otherwise((acc * F.when(x.rlike("[A-Z]"), 100).otherwise(10) + F.conv(x, 36, 10).cast("int")) % 97),
     )
     return F.when(c.rlike("^[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}$"), carried == 1).otherwise(F.when(c.isNotNull(), False))
+
+
+# --- the same checks as SQL text, for functions that SQL defines ------------------------------------------
+def _digit_sql(x: str, place: int) -> str:
+    return f"cast(substring({x}, {place}, 1) as int)"
+
+
+def _weighted_sql(x: str, weights) -> str:
+    return "(" + " + ".join(f"{_digit_sql(x, k)} * {w}" for k, w in enumerate(weights, 1)) + ")"
+
+
+def _iban_sql(x: str) -> str:
+    step = "(a, c) -> CASE WHEN c = '' THEN a ELSE (a * CASE WHEN c RLIKE '[A-Z]' THEN 100 ELSE 10 END + cast(conv(c, 36, 10) as int)) % 97 END"
+    return f"{x} RLIKE '^[A-Z]{{2}}[0-9]{{2}}[A-Z0-9]{{11,30}}$' AND aggregate(split(concat(substring({x}, 5, 34), substring({x}, 1, 4)), ''), 0, {step}) = 1"
+
+
+#: For each check, what makes its SQL condition on the SQL of a normal form.
+SQL = {
+    tfn: lambda x: f"{x} RLIKE '^[0-9]{{9}}$' AND {_weighted_sql(x, TFN)} % 11 = 0",
+    medicare: lambda x: f"{x} RLIKE '^[2-6][0-9]{{9}}$' AND {_weighted_sql(x, MEDICARE)} % 10 = {_digit_sql(x, 9)}",
+    abn: lambda x: f"{x} RLIKE '^[0-9]{{11}}$' AND ({_weighted_sql(x, ABN)} - {ABN[0]}) % 89 = 0",
+    acn: lambda x: f"{x} RLIKE '^[0-9]{{9}}$' AND (10 - {_weighted_sql(x, ACN)} % 10) % 10 = {_digit_sql(x, 9)}",
+    card: lambda x: f"length({x}) BETWEEN 13 AND 19 AND luhn_check({x})",
+    iban: _iban_sql,
+}

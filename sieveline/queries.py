@@ -5,7 +5,6 @@ Patterns are spelled twice, for Java and for RE2: RE2 has no lookaround, and its
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,8 +16,10 @@ from sieveline.functions import text as T
 from sieveline.operators import evaluate, report
 from sieveline.operators.classify import classify_column, classify_columns, explain_text
 from sieveline.operators.extract import Found, GazetteerExtractor, with_entities
+from sieveline.operators.intervals import asof_join
 from sieveline.plans import sqlfuncs
 from sieveline.sources import files
+from sieveline.sources.scratch import new_path
 from sieveline.streaming.classify import classify_stream, level_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -559,16 +560,10 @@ def join_labels_quality(spark, sf_dir):
     return report.by_level(joined_, ["quality"])
 
 
-def _scratch(spark: SparkSession) -> str:
-    """A new path in the folder that driver and executors share."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root.rstrip('/')}/sieveline-{uuid.uuid4().hex}"
-
-
 @query("SELECT time_bucket(INTERVAL 1 hour, ts)::TIMESTAMP AS window_start, CASE WHEN value > 50 THEN 'Private' ELSE 'Public' END AS level, count(*) AS n FROM events GROUP BY ALL")
 def stream_level_counts(spark, sf_dir):
     """Events arrive as a stream, are classified on the way and counted in windows; the counts are a table when all have come."""
-    path, events = _scratch(spark), table(spark, sf_dir, "events")
+    path, events = new_path(spark), table(spark, sf_dir, "events")
     stream = spark.readStream.schema(events.schema).parquet(f"{sf_dir}/events.parque[t]")  # as a pattern it may be a file or a folder
     note = F.when(F.col("value") > 50, F.concat(F.lit("write to u"), "user_id", F.lit("@example.org"))).otherwise(F.col("event_type"))
     levelled = classify_stream(stream.select(F.col("ts").cast("timestamp").alias("ts"), note.alias("note")), "note")
@@ -648,7 +643,7 @@ def thresholds_by_label(spark, sf_dir):
 @query(f"""WITH d AS (SELECT conv_id, turn, {sql_backstop('coalesce(text, ' + _q('') + ')')} AS e FROM conversations) SELECT conv_id::VARCHAR AS conv_id, turn::VARCHAR AS turn, {sql_level('e')} AS level,
     '[' || array_to_string(list_transform(e, lambda x: '"' || x || '"'), ',') || ']' AS elements FROM d""")
 def csv_round_trip(spark, sf_dir):
-    path = _scratch(spark)
+    path = new_path(spark)
     files.write(classify_column(table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"), "text").drop("text"), path, "csv")
     return files.read(spark, path, "csv").select("conv_id", "turn", "level", "elements")
 
@@ -659,3 +654,67 @@ def sql_functions(spark, sf_dir):
     sqlfuncs.register(spark)
     found = "sensitivity_level(CASE o_orderkey % 3 WHEN 0 THEN array('person', 'phone number') WHEN 1 THEN array('address') ELSE array('date of birth') END)"
     return table(spark, sf_dir, "orders").selectExpr("o_orderkey", f"{found} AS level", f"sensitivity_rank({found}) AS level_rank", "n_digits(concat('a', o_orderkey)) AS digits", "looks_like_phone(concat('+', o_orderkey)) AS phone")
+
+
+# --- places in texts: from SQL, and compared as intervals -----------------------------------------------------------
+def _sql_places(t: str, pattern: str, group: int = 0) -> str:
+    """A list of start, end and value of all matches (of a group that ends with its match)."""
+    whole, parts, gaps = f"regexp_extract_all({t}, {_q(pattern)})", f"regexp_extract_all({t}, {_q(pattern)}, {group})", f"string_split_regex({t}, {_q(pattern)})"
+    end = f"coalesce(list_sum(list_transform({gaps}[1:i], lambda x: length(x))), 0)::BIGINT + coalesce(list_sum(list_transform({whole}[1:i], lambda x: length(x))), 0)::BIGINT"
+    return f"list_transform(range(1, len({whole}) + 1), lambda i: {{'s': {end} - length({parts}[i]), 'e': {end}, 'v': {parts}[i]}})"
+
+
+@query(f"""WITH d AS (SELECT doc_id, text AS t FROM documents), e AS (SELECT doc_id, 'email address' AS label, 'EMAIL_ADDRESS' AS entity, unnest({_sql_places('t', EMAIL_RE2)}) AS x FROM d),
+    c AS (SELECT doc_id, 'credit card number' AS label, 'CREDIT_CARD' AS entity, unnest(list_filter({_sql_places('t', CARD_RE2, 1)}, lambda y: {sql_luhn('y.v')})) AS x FROM d)
+    SELECT doc_id, label, entity, x.s::INT AS span_start, x.e::INT AS span_end, 1.0::DOUBLE AS score, x.v AS value FROM (SELECT * FROM e UNION ALL SELECT * FROM c)""")
+def sql_detect_spans(spark, sf_dir):
+    """The table function in a query of SQL, over whole texts."""
+    sqlfuncs.register_spans(spark)
+    hits = 'SELECT d.doc_id, s.label, s.entity, s.start AS span_start, s.end AS span_end, s.score, s.value FROM {docs} d, LATERAL detect_spans(d.text) s WHERE s.entity IN ("EMAIL_ADDRESS", "CREDIT_CARD")'
+    return spark.sql(hits, docs=table(spark, sf_dir, "documents"))
+
+
+# Looser readings of the same places, as gold: what stands around an at sign, and digits in groups after a plus sign.
+_AROUND_AT, _PLUS_GROUPS = r"[^ \n\t@]+@[^ \n\t@]+", r"\+[0-9][0-9().-]*(?: [0-9().-]+)*"
+_SPAN_SETS = {"p": (EMAIL_RE2, PHONE_RE2), "g": (_AROUND_AT, _PLUS_GROUPS)}
+_SPANS_SQL = ", ".join(
+    f"{name} AS (SELECT DISTINCT doc_id, label, x.s AS s, x.e AS e FROM (SELECT doc_id, 'email address' AS label, unnest({_sql_places('text', email)}) AS x FROM documents UNION ALL SELECT doc_id, 'phone number' AS label, unnest({_sql_places('text', phone)}) AS x FROM documents))"
+    for name, (email, phone) in _SPAN_SETS.items()
+)
+
+
+@query(f"""WITH {_SPANS_SQL}, o AS (SELECT p.label, p.doc_id AS d, p.s AS ps, p.e AS pe, g.s AS gs, g.e AS ge FROM p JOIN g ON p.doc_id = g.doc_id AND p.label = g.label AND p.s < g.e AND g.s < p.e),
+    c AS (SELECT label, count(*) AS n_predicted FROM p GROUP BY label), k AS (SELECT label, count(*) AS n_gold FROM g GROUP BY label),
+    m AS (SELECT label, count(DISTINCT (d, ps, pe)) AS predicted_met, count(DISTINCT (d, gs, ge)) AS gold_met, count(*) FILTER (ps = gs AND pe = ge) AS exact FROM o GROUP BY label)
+    SELECT label, n_predicted, n_gold, exact, predicted_met, gold_met, round(2 * exact / (n_predicted + n_gold), 6) AS exact_f1,
+        round(2 * (predicted_met / n_predicted) * (gold_met / n_gold) / (predicted_met / n_predicted + gold_met / n_gold), 6) AS overlap_f1 FROM c JOIN k USING (label) JOIN m USING (label)""")
+def eval_spans(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+
+    def found(email: str, phone: str) -> DataFrame:
+        kinds = [docs.select("doc_id", F.lit(label).alias("label"), F.explode(T.spans(F.col("text"), pattern)).alias("x")) for label, pattern in (("email address", email), ("phone number", phone))]
+        return kinds[0].unionByName(kinds[1]).select("doc_id", "label", "x.start", "x.end")
+
+    done = evaluate.span_scores(found(T.EMAIL, T.INTL_PHONE), found(*_SPAN_SETS["g"]))
+    return done.withColumns({c: F.round(c, 6) for c in ("exact_f1", "overlap_f1")})
+
+
+# --- users and their levels over time ---------------------------------------------------------------------------------
+_EVENT_NOTE = "CASE WHEN value > 200 THEN concat('card 4111111111111111 of u', user_id) WHEN value > 60 THEN concat('write to u', user_id, '@example.org') ELSE event_type END"
+_EVENT_RANK = "CASE WHEN value > 200 THEN 2 WHEN value > 60 THEN 1 ELSE 0 END"
+
+
+def _levelled_events(events: DataFrame) -> DataFrame:
+    """event_id, user_id, ts, level and level_rank of events, of which some have personal data in a note made of them."""
+    noted = events.select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"), F.expr(_EVENT_NOTE).alias("note"))
+    done = classify_stream(noted, "note").select("event_id", "user_id", "ts", "level")
+    return done.withColumn("level_rank", rules.rank(F.col("level")))
+
+
+@query(f"""WITH r AS (SELECT user_id, ts, max({_EVENT_RANK})::INT AS level_rank FROM events GROUP BY ALL)
+    SELECT e.event_id, e.user_id, r.ts AS known_since, r.level_rank AS earlier_rank FROM events e ASOF LEFT JOIN r ON e.user_id = r.user_id AND e.ts > r.ts""")
+def asof_user_level(spark, sf_dir):
+    """Each event with the level that its user's latest earlier event had."""
+    events = _levelled_events(table(spark, sf_dir, "events")).withColumn("seen", F.col("ts"))
+    done = asof_join(events.select("event_id", "user_id", "ts"), events, ["user_id"], "ts", {"earlier_rank": "level_rank", "known_since": "seen"}, strict=True)
+    return done.select("event_id", "user_id", F.col("known_since").cast("timestamp_ntz").alias("known_since"), "earlier_rank")
