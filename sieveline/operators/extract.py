@@ -1,22 +1,28 @@
 """Contextual extraction: a pluggable backend in one Arrow-batched stage.
 
 A backend names the places it finds, each with a label and perhaps a confidence. The stage only calls it, pass by pass; thresholds by
-label, the joining of passes and everything later are Catalyst expressions over what it found.
+label, the joining of passes and everything later are Catalyst expressions over what it found. Only text columns go to Python. A backend is built
+once in each Python worker and kept there from task to task, since a model's weights may take longer to read than a task's texts.
 """
 
 from __future__ import annotations
 
+import hashlib
+import os
 import re
-from collections.abc import Callable, Iterator, Sequence
+from collections import OrderedDict
+from collections.abc import Callable, Sequence
+from pathlib import Path
 from typing import NamedTuple, Protocol
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark import SparkFiles, TaskContext, cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
 
 from sieveline import labels as L
 from sieveline.functions import validate
+from sieveline.sources.files import check_model_folder
 
 
 class Found(NamedTuple):
@@ -139,29 +145,94 @@ def entities_of(found: Sequence[Column], plan: Sequence[Pass], thresholds: dict[
     return out if out is not None else F.expr("cast(map() as map<string, array<string>>)")
 
 
-def with_entities(df: DataFrame, columns: dict[str, str], make: Callable[[], Backend], passes=L.BASE_PASSES, threshold: float = L.DEFAULT_THRESHOLD, batch_size: int | None = None, thresholds: dict[str, float] | None = None) -> DataFrame:
-    """df and, for each text column that `columns` names, a map column of entities. All columns and passes cross to Python once.
+#: Backends that a Python worker keeps; the one that was unused longest goes first.
+KEPT_BACKENDS = 2
+_kept: OrderedDict[str, Backend] = OrderedDict()
 
-    `make` builds the backend, once in each task; a backend's weights are read there, not on the driver.
+
+def fingerprint(make: Callable[[], Backend]) -> str:
+    """What tells makers apart: the code and the values that they are made of."""
+    return hashlib.sha256(cloudpickle.dumps(make)).hexdigest()
+
+
+def backend_for(mark: str, make: Callable[[], Backend]) -> Backend:
+    """This worker's backend with that fingerprint; built if it has none."""
+    if mark not in _kept:
+        while len(_kept) >= KEPT_BACKENDS:
+            _kept.popitem(last=False)
+        _kept[mark] = make()
+    _kept.move_to_end(mark)
+    return _kept[mark]
+
+
+def device() -> str:
+    """The first GPU that Spark gave to this task, or the CPU."""
+    task = TaskContext.get()
+    gpu = task.resources().get("gpu") if task else None
+    return f"cuda:{gpu.addresses[0]}" if gpu and gpu.addresses else "cpu"
+
+
+#: Settings that keep model libraries off the network.
+OFFLINE = {"HF_HUB_OFFLINE": "1", "TRANSFORMERS_OFFLINE": "1", "TOKENIZERS_PARALLELISM": "false"}
+
+
+def local_model(spark: SparkSession, folder: str, load: Callable[[str, str], Backend], environment: dict[str, str] | None = None) -> Callable[[], Backend]:
+    """A maker of backends from a folder of weights: the folder is checked here and sent to every executor once, and load(path, device) reads it there.
+
+    A folder without a config, or with weights that are only a pointer to weights, is an error on the driver.
+    """
+    path = check_model_folder(folder)
+    stamp = sorted((str(f.relative_to(path)), f.stat().st_size, f.stat().st_mtime_ns) for f in path.rglob("*") if f.is_file())
+    spark.sparkContext.addFile(str(path), recursive=True)
+    name, settings = Path(path).name, OFFLINE if environment is None else environment
+
+    def make(stamp=stamp) -> Backend:
+        os.environ.update(settings)
+        return load(SparkFiles.get(name), device())
+
+    return make
+
+
+_FOUND = pa.struct([("label", pa.string()), ("value", pa.string()), ("start", pa.int32()), ("confidence", pa.float64())])
+
+
+def _lists(found: Sequence[Sequence[Found]]) -> pa.ListArray:
+    """The findings of each text as an array of lists of structs."""
+    ends = [0]
+    for row in found:
+        ends.append(ends[-1] + len(row))
+    columns = list(zip(*[x for row in found for x in row])) or [()] * len(_FOUND)
+    made = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _FOUND)], fields=list(_FOUND))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), made)
+
+
+def with_entities(df: DataFrame, columns: dict[str, str], make: Callable[[], Backend], passes=L.BASE_PASSES, threshold: float = L.DEFAULT_THRESHOLD, batch_size: int | None = None, thresholds: dict[str, float] | None = None, mark: str | None = None) -> DataFrame:
+    """df and, for each text column that `columns` names, a map column of entities. The text columns, and no others, cross to Python once for all passes.
+
+    `make` builds the backend, in each Python worker once; a backend's weights are read there, not on the driver. `mark` tells backends
+    apart where their makers' code and values don't.
     """
     plan = planned(passes, threshold, thresholds)
-    raw = fresh(df.columns + list(columns.values()), [f"found_{k}_{j}" for k in range(len(columns)) for j in range(len(plan))])
-    kind = StructType.fromDDL(f"found {validate.FOUND}")["found"].dataType
-    texts = [c for c in columns for _ in plan]
+    names = [f"found_{k}_{j}" for k in range(len(columns)) for j in range(len(plan))]
+    mark = mark or fingerprint(make)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        backend = make()
+    def run(*texts: pa.Array) -> pa.Array:
+        backend = backend_for(mark, make)
         size = batch_size or getattr(backend, "batch_size", None) or 16
-        for pdf in batches:
-            made = {}
-            for name, text, step in zip(raw, texts, plan * len(columns)):
-                found = in_batches(backend, pdf[text].fillna("").tolist(), step.labels, step.ask_at, size)
-                made[name] = pd.Series([[x._asdict() for x in row] for row in found], index=pdf.index, dtype=object)
-            yield pdf.assign(**made)
-
-    out = df.mapInPandas(run, StructType([*df.schema.fields, *[StructField(name, kind) for name in raw]]))
-    each = [raw[k * len(plan) : (k + 1) * len(plan)] for k in range(len(columns))]
-    return out.select(*[F.col(f"`{c}`") for c in df.columns], *[entities_of(list(map(F.col, own)), plan, thresholds).alias(name) for own, name in zip(each, columns.values())])
+        made = []
+        for column in texts:
+            values = column.fill_null("").to_pylist()
+            made += [_lists(in_batches(backend, values, step.labels, step.ask_at, size)) for step in plan]
+        return pa.StructArray.from_arrays(made, names)
+
+    if not names:
+        return df.withColumns({name: entities_of([], plan, thresholds) for name in columns.values()})
+    # Not deterministic, to Catalyst: else a filter on the result would have the backend run twice.
+    ask = F.arrow_udf(run, "struct<" + ", ".join(f"{n}: {validate.FOUND}" for n in names) + ">").asNondeterministic()
+    (x,) = fresh(df.columns + list(columns.values()), ["found"])
+    out = df.withColumn(x, ask(*[F.col(f"`{c}`").cast("string") for c in columns]))
+    each = [names[k * len(plan) : (k + 1) * len(plan)] for k in range(len(columns))]
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], *[entities_of([F.col(x)[n] for n in own], plan, thresholds).alias(name) for own, name in zip(each, columns.values())])
 
 
 def fresh(taken: Sequence[str], wanted: Sequence[str]) -> list[str]:

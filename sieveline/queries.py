@@ -6,6 +6,7 @@ Patterns are spelled twice, for Java and for RE2: RE2 has no lookaround, and its
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,8 @@ from sieveline.plans import sqlfuncs
 from sieveline.sources import files
 from sieveline.sources.scratch import new_path
 from sieveline.streaming.classify import classify_stream, level_counts
+from sieveline.streaming.escalation import escalations
+from sieveline.streaming.sessions import sessions
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -560,17 +563,32 @@ def join_labels_quality(spark, sf_dir):
     return report.by_level(joined_, ["quality"])
 
 
-@query("SELECT time_bucket(INTERVAL 1 hour, ts)::TIMESTAMP AS window_start, CASE WHEN value > 50 THEN 'Private' ELSE 'Public' END AS level, count(*) AS n FROM events GROUP BY ALL")
+def _closed(end: str, late: str) -> str:
+    """SQL for what append mode has put out when all events have come: windows that end before the watermark, which Spark keeps in milliseconds."""
+    return f"{end} <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL {late} FROM events)"
+
+
+def _streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as a stream; as a pattern the path may be a file or a folder."""
+    return spark.readStream.schema(table(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/events.parque[t]")
+
+
+def _appended(stream: DataFrame) -> DataFrame:
+    """All that a stream puts out in append mode, as a table."""
+    spark = stream.sparkSession
+    path = new_path(spark)
+    run = stream.writeStream.outputMode("append").format("parquet").option("path", f"{path}/rows")
+    run.option("checkpointLocation", f"{path}/progress").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{path}/rows")
+
+
+@query(f"""WITH w AS (SELECT time_bucket(INTERVAL 1 hour, ts)::TIMESTAMP AS window_start, CASE WHEN value > 50 THEN 'Private' ELSE 'Public' END AS level, count(*) AS n FROM events GROUP BY ALL)
+    SELECT * FROM w WHERE {_closed('window_start + INTERVAL 1 hour', '1 hour')}""")
 def stream_level_counts(spark, sf_dir):
-    """Events arrive as a stream, are classified on the way and counted in windows; the counts are a table when all have come."""
-    path, events = new_path(spark), table(spark, sf_dir, "events")
-    stream = spark.readStream.schema(events.schema).parquet(f"{sf_dir}/events.parque[t]")  # as a pattern it may be a file or a folder
+    """Events arrive as a stream, are classified on the way and counted in windows; a window is put out, once, when the watermark has passed it."""
     note = F.when(F.col("value") > 50, F.concat(F.lit("write to u"), "user_id", F.lit("@example.org"))).otherwise(F.col("event_type"))
-    levelled = classify_stream(stream.select(F.col("ts").cast("timestamp").alias("ts"), note.alias("note")), "note")
-    counts = level_counts(levelled, "ts", "1 hour")
-    run = counts.writeStream.outputMode("complete").foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(f"{path}/counts"))
-    run.option("checkpointLocation", f"{path}/progress").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{path}/counts").withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    levelled = classify_stream(_streamed(spark, sf_dir).select(F.col("ts").cast("timestamp").alias("ts"), note.alias("note")), "note")
+    return _appended(level_counts(levelled, "ts", "1 hour")).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
 @query(f"""WITH d AS (SELECT doc_id, text FROM documents), e AS (SELECT doc_id, unnest(regexp_extract_all(text, {_q(EMAIL_RE2)})) AS value, 'email address' AS label FROM d),
@@ -718,3 +736,21 @@ def asof_user_level(spark, sf_dir):
     events = _levelled_events(table(spark, sf_dir, "events")).withColumn("seen", F.col("ts"))
     done = asof_join(events.select("event_id", "user_id", "ts"), events, ["user_id"], "ts", {"earlier_rank": "level_rank", "known_since": "seen"}, strict=True)
     return done.select("event_id", "user_id", F.col("known_since").cast("timestamp_ntz").alias("known_since"), "earlier_rank")
+
+
+@query(f"""WITH r AS (SELECT user_id, ts, max({_EVENT_RANK}) AS rank FROM events GROUP BY ALL), g AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) > INTERVAL 1 day THEN 1 ELSE 0 END AS anew FROM r),
+    s AS (SELECT *, sum(anew) OVER (PARTITION BY user_id ORDER BY ts) AS run FROM g), b AS (SELECT *, coalesce(max(rank) OVER (PARTITION BY user_id, run ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rank_before FROM s)
+    SELECT user_id, ts, rank_before::INT AS rank_before, rank::INT AS rank FROM b WHERE rank > rank_before""")
+def stream_escalations(spark, sf_dir):
+    """A row each time a user's level rises above all levels since the user's last day of silence."""
+    rows = _levelled_events(_streamed(spark, sf_dir)).select("user_id", "ts", F.col("level_rank").alias("rank"))
+    return _appended(escalations(rows, "user_id", "ts", "rank", timedelta(days=1))).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@query(f"""WITH g AS (SELECT user_id, ts, {_EVENT_RANK} AS rank, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) <= INTERVAL 12 hour THEN 0 ELSE 1 END AS anew FROM events),
+    s AS (SELECT *, sum(anew) OVER (PARTITION BY user_id ORDER BY ts) AS run FROM g), f AS (SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 12 hour AS session_end, count(*) AS n, max(rank)::INT AS rank FROM s GROUP BY user_id, run)
+    SELECT user_id, session_start, session_end, n, rank FROM f WHERE {_closed('session_end', '1 hour')}""")
+def stream_sessions(spark, sf_dir):
+    """Sessions of users with the highest level in each, put out when they are over."""
+    rows = _levelled_events(_streamed(spark, sf_dir)).select("user_id", "ts", F.col("level_rank").alias("rank"))
+    return _appended(sessions(rows, "user_id", "ts", "rank", "12 hours")).withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")})

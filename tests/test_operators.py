@@ -64,7 +64,7 @@ def test_plans(spark, texts):
     plain = classify_columns(texts, "text", "hybrid")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plain and "Python" not in plain and "MapInPandas" not in plain
     modelled = classify_columns(texts, "text", "hybrid", gazetteer).where("level = 'Private'")._jdf.queryExecution().executedPlan().toString()
-    assert modelled.count("MapInPandas") == 1
+    assert modelled.count("ArrowEvalPython") == 1
 
 
 class Failing:
