@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sieveline.functions import recognisers
@@ -40,6 +40,30 @@ def review_queue(df: DataFrame, key: str, level: str = "level") -> DataFrame:
     return df.where("needs_review").orderBy(rank(F.col(level)).desc(), F.col(key))
 
 
-def span_rows(df: DataFrame, key: str, text: str) -> DataFrame:
-    """key, label, start, end, score and value of every structured hit in a text column; overlaps are kept."""
-    return df.select(key, F.explode(recognisers.spans(F.col(text))).alias("s")).select(key, "s.*")
+def span_rows(df: DataFrame, key: str, text: str, near: int | None = None) -> DataFrame:
+    """key, label, start, end, score and value of every structured hit in a text column; overlaps are kept. near: see recognisers.spans."""
+    return df.select(key, F.explode(recognisers.spans(F.col(text), near=near)).alias("s")).select(key, "s.*")
+
+
+#: The standard error of a distinct count is about 1.04 / sqrt(2 ** LOG_REGISTERS).
+LOG_REGISTERS = 12
+
+
+def distinct_sketches(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """keys and a sketch of the distinct values of each group: a table to keep, of bounded size a group, that later ones are merged with. Nulls don't count."""
+    return df.groupBy(*keys).agg(F.hll_sketch_agg(value, LOG_REGISTERS).alias("sketch"))
+
+
+def merged_sketches(sketches: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The sketches of larger groups, from those of smaller ones: no value is counted twice, whatever groups it is in."""
+    return sketches.groupBy(*keys).agg(F.hll_union_agg("sketch").alias("sketch"))
+
+
+def distinct_counts(sketches: DataFrame) -> DataFrame:
+    """sketches with the number of distinct values in place of the sketch."""
+    return sketches.withColumn("n_distinct", F.hll_sketch_estimate("sketch")).drop("sketch")
+
+
+def error_bound(n: Column, deviations: int = 4) -> Column:
+    """How far a count may be off n: so many standard errors."""
+    return F.ceil(n * (deviations * 1.04 / 2 ** (LOG_REGISTERS / 2)))

@@ -20,7 +20,7 @@ from sieveline.operators.extract import Found, GazetteerExtractor, with_entities
 from sieveline.operators.intervals import asof_join
 from sieveline.plans import sqlfuncs
 from sieveline.sources import files
-from sieveline.sources.scratch import new_path
+from sieveline.sources.scratch import new_path, written
 from sieveline.streaming.classify import classify_stream, level_counts
 from sieveline.streaming.escalation import escalations
 from sieveline.streaming.sessions import sessions
@@ -386,24 +386,25 @@ def confidence_filter(spark, sf_dir):
 # --- rules ------------------------------------------------------------------------------------------------
 _FLAGS = [f"(f & {1 << k}) > 0" for k in range(5)]
 _REASONS = (("n AND c", L.REASON_COMBINATION), ("k", L.REASON_CONFIDENTIAL), ("s", L.REASON_SENSITIVE), (f"level = {_q(L.LEVELS[3])}", L.REASON_TOP))
-_TRUTH = f"WITH t AS (SELECT f, {', '.join(f'{x} AS {n}' for x, n in zip(_FLAGS, 'ncpks'))} FROM range(32) r(f)), l AS (SELECT *, {sql_level_of_flags('n', 'c', 'p', 'k', 's')} AS level FROM t)"
+# Five bits of an order's key say which groups its labels are of, so that all 32 cases occur.
+_TRUTH = f"WITH t AS (SELECT o_orderkey, f, {', '.join(f'{x} AS {n}' for x, n in zip(_FLAGS, 'ncpks'))} FROM (SELECT o_orderkey, o_orderkey % 32 AS f FROM orders)), l AS (SELECT *, {sql_level_of_flags('n', 'c', 'p', 'k', 's')} AS level FROM t)"
 
 
 def _flag_columns() -> tuple[Column, ...]:
-    return tuple(F.col("f").bitwiseAND(F.lit(1 << k)) > 0 for k in range(5))
+    return tuple((F.col("o_orderkey") % 32).cast("int").bitwiseAND(F.lit(1 << k)) > 0 for k in range(5))
 
 
-@query(f"{_TRUTH} SELECT f, level, {sql_rank('level')}::INT AS level_rank FROM l")
+@query(f"{_TRUTH} SELECT o_orderkey, level, {sql_rank('level')}::INT AS level_rank FROM l")
 def classify_truth_table(spark, sf_dir):
-    level = rules.level_of_flags(*_flag_columns())
-    return spark.range(32).select(F.col("id").alias("f")).select("f", level.alias("level"), rules.rank(level).alias("level_rank"))
+    levels = table(spark, sf_dir, "orders").select("o_orderkey", rules.level_of_flags(*_flag_columns()).alias("level"))
+    return levels.withColumn("level_rank", rules.rank(F.col("level")))
 
 
-@query(f"{_TRUTH}, e AS (SELECT *, list_filter([{', '.join(f'CASE WHEN {t} THEN {_q(r)} END' for t, r in _REASONS)}], lambda x: x IS NOT NULL) AS r FROM l) SELECT f, CASE WHEN len(r) > 0 THEN array_to_string(r, '; ') WHEN p OR n THEN {_q(L.REASON_PRIVATE)} ELSE {_q(L.REASON_NONE)} END AS reasons FROM e")
+@query(f"{_TRUTH}, e AS (SELECT *, list_filter([{', '.join(f'CASE WHEN {t} THEN {_q(r)} END' for t, r in _REASONS)}], lambda x: x IS NOT NULL) AS r FROM l) SELECT o_orderkey, CASE WHEN len(r) > 0 THEN array_to_string(r, '; ') WHEN p OR n THEN {_q(L.REASON_PRIVATE)} ELSE {_q(L.REASON_NONE)} END AS reasons FROM e")
 def explain_reasons(spark, sf_dir):
     flags = _flag_columns()
     made = rules.reasons(*flags, rules.level_of_flags(*flags))
-    return spark.range(32).select(F.col("id").alias("f")).select("f", F.array_join(made, "; ").alias("reasons"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.array_join(made, "; ").alias("reasons"))
 
 
 @query(f"""WITH d AS (SELECT doc_id, {sql_labels(("phone number", sql_has_phone('text')))} AS fuzzy, {sql_labels(("credit card number", sql_has_card('text')), ("email address", sql_has_email('text')))} AS structured FROM documents),
@@ -717,6 +718,42 @@ def eval_spans(spark, sf_dir):
     return done.withColumns({c: F.round(c, 6) for c in ("exact_f1", "overlap_f1")})
 
 
+# --- words near a hit ---------------------------------------------------------------------------------------------------
+_NEAR_NOTE = "concat(CASE o_orderkey % 3 WHEN 0 THEN 'Bank of ours, please: ' WHEN 1 THEN 'part no. ' ELSE 'the ACCOUNT is one that nobody in this long note will ever miss, ' END, lpad(cast(o_orderkey % 1000 as string), 3, '0'), '-', lpad(cast(o_custkey % 1000 as string), 3, '0'), CASE WHEN o_orderkey % 4 = 0 THEN ' (branch)' ELSE ' end' END)"
+_NEAR_SQL = _NEAR_NOTE.replace("cast(o_orderkey % 1000 as string)", "(o_orderkey % 1000)::VARCHAR").replace("cast(o_custkey % 1000 as string)", "(o_custkey % 1000)::VARCHAR")
+
+
+@query(f"""WITH n AS (SELECT o_orderkey, {_NEAR_SQL} AS t FROM orders), p AS (SELECT *, string_split_regex(t, '[0-9]+-[0-9]+') AS gaps FROM n),
+    w AS (SELECT *, list_reverse(regexp_extract_all(lower(gaps[1]), '[a-z0-9]+')) AS a, regexp_extract_all(lower(gaps[2]), '[a-z0-9]+') AS b FROM p)
+    SELECT o_orderkey, 0.5::DOUBLE AS plain_score, CASE WHEN list_has_any(a[1:5], ['bsb', 'branch', 'bank', 'account']) OR list_has_any(b[1:5], ['bsb', 'branch', 'bank', 'account']) THEN 0.85 ELSE 0.5 END::DOUBLE AS score FROM w""")
+def context_of_numbers(spark, sf_dir):
+    """Branch numbers with and without the words that make them likely, at most five words away."""
+    notes = table(spark, sf_dir, "orders").select("o_orderkey", F.expr(_NEAR_NOTE).alias("note"))
+    only = [r for r in recognisers.RECOGNISERS if r.context]
+    plain, near = (F.get(recognisers.spans(F.col("note"), only, near=n), F.lit(0))["score"] for n in (None, 5))
+    return notes.select("o_orderkey", plain.alias("plain_score"), F.round(near, 6).alias("score"))
+
+
+# --- distinct values from sketches --------------------------------------------------------------------------------------
+@query("SELECT source, count(DISTINCT w) AS n_exact, true AS within_bound, true AS merged_agrees FROM (SELECT source, unnest(string_split(text, ' ')) AS w FROM documents) GROUP BY ROLLUP (source)")
+def distinct_by_source(spark, sf_dir):
+    """Distinct blank-separated words of each source and of all: sketches by language and source are kept, and merged to both, against exact counts."""
+    docs = table(spark, sf_dir, "documents")
+    words = docs.select("lang", "source", F.explode(F.split("text", " ")).alias("w"))
+    kept = written(report.distinct_sketches(words, ["lang", "source"], "w"))
+    merged = report.distinct_counts(report.merged_sketches(kept, ["source"])).unionByName(report.distinct_counts(report.merged_sketches(kept, [])).withColumn("source", F.lit(None).cast("string")))
+    direct = report.distinct_counts(report.distinct_sketches(words, ["source"], "w")).withColumnRenamed("n_distinct", "n_direct")
+    direct = direct.unionByName(report.distinct_counts(report.distinct_sketches(words, [], "w")).select(F.lit(None).cast("string").alias("source"), F.col("n_distinct").alias("n_direct")))
+    seen = words.groupBy("source", "w").agg(F.lit(1).alias("one"))
+    exact = seen.groupBy("source").agg(F.count("w").alias("n_exact")).unionByName(words.select("w").distinct().agg(F.count("w").alias("n_exact")).withColumn("source", F.lit(None).cast("string")))
+    same = lambda df, other: df.join(other, F.col("s").eqNullSafe(other["source"])).drop(other["source"])
+    out = same(same(exact.withColumnRenamed("source", "s"), merged), direct)
+    off = lambda c: F.abs(F.col(c) - F.col("n_exact"))
+    near = off("n_distinct") <= report.error_bound(F.col("n_exact"))
+    alike = F.abs(F.col("n_distinct") - F.col("n_direct")) <= F.ceil(report.error_bound(F.col("n_exact")) / 2)
+    return out.select(F.col("s").alias("source"), "n_exact", near.alias("within_bound"), alike.alias("merged_agrees"))
+
+
 # --- users and their levels over time ---------------------------------------------------------------------------------
 _EVENT_NOTE = "CASE WHEN value > 200 THEN concat('card 4111111111111111 of u', user_id) WHEN value > 60 THEN concat('write to u', user_id, '@example.org') ELSE event_type END"
 _EVENT_RANK = "CASE WHEN value > 200 THEN 2 WHEN value > 60 THEN 1 ELSE 0 END"

@@ -36,6 +36,13 @@ def verify_files(spark: SparkSession, folder: str, expected: dict[str, tuple[int
     return out.select("name", F.col("sha").isNotNull().alias("found"), F.coalesce(F.col("length") == F.col("size"), F.lit(False)).alias("same_size"), F.coalesce(F.col("sha") == F.col("hash"), F.lit(False)).alias("same_hash"))
 
 
+def file_digests(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """folder (its last name), name, size and sha256 of the files below a path whose names fit the pattern, hashed where they are read; a file must fit in a task's memory, and Spark leaves empty files out."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path)
+    parts = F.split("path", "/")
+    return found.select(F.element_at(parts, -2).alias("folder"), F.element_at(parts, -1).alias("name"), F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
+
+
 LEAST_WEIGHTS = 1_000_000
 
 
