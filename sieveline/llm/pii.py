@@ -4,7 +4,8 @@ Entities are found with regular expressions and checksums, overlaps going to the
 one entity share a normal form (the digits of a number, the lower-case address, one name), and that form, not the mention, gets the
 surrogate, so coreference survives in and across documents; a mention's own format is filled in again. What stays: the type, lengths,
 separators, letter case, country and network digits, checksums of cards and IBANs, and a name's gender and script. Names are found after
-a title; phones in international form, and in national form where their digits are grouped (area code in brackets, 3-3-4, 2 4 4).
+a title, of any number of parts: the last is the surname, the others are given names. Phones are found in international form, and in national
+form where their digits are grouped (area code in brackets, 3-3-4, 2 4 4); the two forms of a number are one entity.
 
 The surrogate is drawn from a keyed SHA-256 of type, normal form and attempt. Collision checks over all entities of the corpus give
 each surrogate to one entity and none to an entity that occurs itself; who loses tries again with the next attempt until none is left.
@@ -46,7 +47,7 @@ RULES = (
     Rule("number", r"(?<![0-9])(?:[0-9]{4}[ -]?){3}[0-9]{4}(?![0-9])|(?<![0-9])3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5}(?![0-9])|(?<![0-9])[0-9]{13,19}(?![0-9])"),
     Rule("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
     Rule("ip", rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])"),
-    Rule("person", rf"(?<!\p{{L}})(?:{'|'.join(MALE + FEMALE + EITHER)})\.? (?:{_NAME} )?{_NAME}"),
+    Rule("person", rf"(?<!\p{{L}})(?:{'|'.join(MALE + FEMALE + EITHER)})\.? {_NAME}(?: {_NAME})*"),
 )
 #: What a text must hold for a rule to look at it.
 _MAY = {
@@ -89,20 +90,34 @@ def _entities(s: Column) -> Column:
     value = s["value"]
     digits = F.regexp_replace(value, "[^0-9]", "")
     kind = F.when(s["kind"] != "number", s["kind"]).when(F.call_function("luhn_check", digits), "card").otherwise("account")
-    norm = F.when(s["kind"] == "email", F.lower(value)).when(s["kind"] == "iban", F.replace(value, F.lit(" "), F.lit(""))).when(s["kind"] == "ip", value).otherwise(digits)
+    norm = F.when(s["kind"] == "phone", _international(value, digits)).when(s["kind"] == "email", F.lower(value)).when(s["kind"] == "iban", F.replace(value, F.lit(" "), F.lit(""))).when(s["kind"] == "ip", value).otherwise(digits)
     one = F.struct(s["start"].alias("start"), s["end"].alias("end"), kind.alias("kind"), norm.alias("norm"), value.alias("value"))
     return F.when(s["kind"] == "person", _name_parts(s)).otherwise(F.array(one))
 
 
+#: A national number of eight digits and an area code that zero begins.
+_ZERO_FIRST = "^0[0-9] [0-9]{4} [0-9]{4}$"
+
+
+def _international(value: Column, digits: Column) -> Column:
+    """The digits of a phone with its country's: 61 where a zero begins groups of 2 4 4, 1 for ten digits; others, with a zero first or another length, have none."""
+    ten = (F.length(digits) == 10) & ~digits.startswith("0")
+    return F.when(value.startswith("+"), digits).when(value.rlike(_ZERO_FIRST), F.concat(F.lit("61"), F.substring(digits, 2, 9))).when(ten, F.concat(F.lit("1"), digits)).otherwise(digits)
+
+
 def _name_parts(s: Column) -> Column:
-    """A title with one name is a surname; with two, a given name of the title's gender (or of its ending) and a surname."""
+    """A title with one name is a surname; of more, the last is the surname and the others are given names, of the title's gender (or of their ending)."""
     parts = F.split(s["value"], " ")
-    title, last, given = F.replace(parts[0], F.lit("."), F.lit("")), F.element_at(parts, -1), parts[1]
-    gender = F.when(title.isin(*MALE), "given_m").when(title.isin(*FEMALE), "given_f").when(given.rlike("[aаα]$"), "given_f").otherwise("given_u")
-    before = s["end"] - F.length(last) - 1
-    part = lambda name, end, kind: F.struct((end - F.length(name)).alias("start"), end.alias("end"), kind.alias("kind"), F.lower(name).alias("norm"), name.alias("value"))
-    surname = part(last, s["end"], F.lit("surname"))
-    return F.when(F.size(parts) == 3, F.array(part(given, before, gender), surname)).otherwise(F.array(surname))
+    title, names = F.replace(parts[0], F.lit("."), F.lit("")), F.slice(parts, 2, F.size(parts) - 1)
+    gender = lambda name: F.when(title.isin(*MALE), "given_m").when(title.isin(*FEMALE), "given_f").when(name.rlike("[aаα]$"), "given_f").otherwise("given_u")
+
+    def part(name: Column, k: Column) -> Column:
+        last = k == F.size(parts) - 2
+        end = s["end"] - F.length(F.array_join(F.slice(parts, k + 3, F.size(parts)), " ")) - F.when(last, 0).otherwise(1)
+        kind = F.when(last, "surname").otherwise(gender(name))
+        return F.struct((end - F.length(name)).alias("start"), end.alias("end"), kind.alias("kind"), F.lower(name).alias("norm"), name.alias("value"))
+
+    return F.transform(names, part)
 
 
 def _drawn(i: str) -> str:
@@ -168,7 +183,10 @@ def settle(entities: DataFrame, key: str) -> DataFrame:
 def _as_mentioned(value: str) -> str:
     """SQL that gives a surrogate the format of the mention: its separators, or its letter case."""
     nth = f"length(regexp_replace(substring({value}, 1, i), '[^0-9]', ''))"
-    filled = f"concat(array_join(transform(sequence(1, length({value})), i -> if(substring({value}, i, 1) rlike '[0-9]', substring(surrogate, {nth}, 1), substring({value}, i, 1))), ''), substring(surrogate, length(norm) + 1))"
+    # A national number lacks the country's digits, and may have a zero in their place.
+    ahead = f"length(norm) - length(regexp_replace({value}, '[^0-9]', ''))"
+    own = f"if(i = 1 AND kind = 'phone' AND {value} rlike '{_ZERO_FIRST}', '0', substring(surrogate, {nth} + {ahead}, 1))"
+    filled = f"concat(array_join(transform(sequence(1, length({value})), i -> if(substring({value}, i, 1) rlike '[0-9]', {own}, substring({value}, i, 1))), ''), substring(surrogate, length(norm) + 1))"
     spaced = f"concat(array_join(transform(sequence(1, length({value})), i -> if(substring({value}, i, 1) = ' ', ' ', substring(surrogate, length(replace(substring({value}, 1, i), ' ', '')), 1))), ''), substring(surrogate, length(norm) + 1))"
     cased = f"if({value} = upper({value}), upper(surrogate), initcap(surrogate))"
     return f"CASE WHEN kind IN ('phone', 'card', 'account', 'ssn') THEN {filled} WHEN kind = 'iban' THEN {spaced} WHEN kind IN ('email', 'ip') THEN surrogate ELSE {cased} END"

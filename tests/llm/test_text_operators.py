@@ -311,6 +311,12 @@ def right_iban(value):
     return int("".join(str(int(c, 36)) for c in v[4:] + v[:4])) % 97 == 1
 
 
+def brute_phone(value, digits):
+    if value[0] != "+" and re.fullmatch(r"0\d \d{4} \d{4}", value):
+        return "61" + digits[1:]
+    return "1" + digits if value[0] != "+" and len(digits) == 10 and digits[0] != "0" else digits
+
+
 def brute_mentions(text):
     """All matches of all rules, the earlier and then the more specific first, without overlaps."""
     found = []
@@ -324,15 +330,16 @@ def brute_mentions(text):
         if kind != "person":
             digits = re.sub(r"[^0-9]", "", value)
             kind = ("card" if luhn(digits) else "account") if kind == "number" else kind
-            norm = {"email": value.lower(), "iban": value.replace(" ", ""), "ip": value}.get(kind, digits)
+            norm = {"email": value.lower(), "iban": value.replace(" ", ""), "ip": value, "phone": brute_phone(value, digits)}.get(kind, digits)
             out.append((start, end, kind, norm))
             continue
         title, *names = value.split(" ")
         title = title.replace(".", "")
-        if len(names) == 2:
-            sex = "given_m" if title in pii.MALE else "given_f" if title in pii.FEMALE or names[0][-1] in "aаα" else "given_u"
-            out.append((end - len(names[1]) - 1 - len(names[0]), end - len(names[1]) - 1, sex, names[0].lower()))
-        out.append((end - len(names[-1]), end, "surname", names[-1].lower()))
+        at_name = start + len(value.split(" ")[0]) + 1
+        for name in names:
+            sex = "given_m" if title in pii.MALE else "given_f" if title in pii.FEMALE or name[-1] in "aаα" else "given_u"
+            out.append((at_name, at_name + len(name), "surname" if at_name + len(name) == end else sex, name.lower()))
+            at_name += len(name) + 1
     return out
 
 
@@ -340,13 +347,27 @@ PHONES = ["call (017) 555-7713 now", "555-123-4567 or 555.123.4567", "02 9000 00
 
 
 def test_pii_detection_against_brute_force(spark, docs):
-    made = [r[1] for r in PRIVATE] + PHONES + ["x@" + "a." * 4000, "a@b@c.de f@g.hi%j@k.lm", "4111111111111111 Mr Al Bo-Na, Dr Ω Αλφα Mrs. É Ñu"]
+    made = [r[1] for r in PRIVATE] + PHONES + ["x@" + "a." * 4000, "a@b@c.de f@g.hi%j@k.lm", "4111111111111111 Mr Al Bo-Na, Dr Ω Αλφα Mrs. É Ñu", "Dear Ms Jane Mary Ann Doe, and Ms. Doe", "Herr Al Bo Ca De Efa"]
     df = docs.select("text").union(spark.createDataFrame([(t,) for t in made], "text string")).where("text is not null")
     for r in df.select("text", pii.mentions(F.col("text")).alias("m")).collect():
         assert [(s.start, s.end, s.kind, s.norm) for s in r.m] == brute_mentions(r.text)
         assert all(r.text[s.start : s.end] == s.value for s in r.m)
 
 
+def test_pii_of_long_names_and_of_phones_in_two_forms(spark):
+    """No part of a name stays, and mentions of one person or number get the same surrogate, in each one's own format."""
+    rows = [(1, "Dear Ms Jane Mary Doe, and Ms. Doe met Dr JANE DOE"), (2, "(523) 555-1055 or +1 523 555 1055, 523-555-1055"), (3, "02 9000 1234, +61 2 9000 1234"), (4, "(017) 555-7713 and +17 555 7713 9")]
+    got = {r.doc_id: r.text for r in pii.replace(spark.createDataFrame(rows, "doc_id long, text string"), "key").collect()}
+    m = re.fullmatch(r"Dear Ms (\w+) (\w+) (\w+), and Ms\. (\w+) met Dr (\w+) (\w+)", got[1])
+    assert m and m[3] == m[4] == m[6].capitalize() and m[1] != m[2] and m[1].endswith("na") and m[2].endswith("na")
+    assert not {"jane", "mary", "doe"} & set(re.findall(r"\w+", got[1].lower()))
+    m = re.fullmatch(r"\((\d{3})\) (\d{3})-(\d{4}) or \+1 (\d{3}) (\d{3}) (\d{4}), (\d{3})-(\d{3})-(\d{4})", got[2])
+    assert m and m.groups()[:3] == m.groups()[3:6] == m.groups()[6:] and m[1] + m[2] + m[3] != "5235551055"
+    m = re.fullmatch(r"0(\d) (\d{4}) (\d{4}), \+61 (\d) (\d{4}) (\d{4})", got[3])
+    assert m and m.groups()[:3] == m.groups()[3:] and m[2] + m[3] != "90001234"
+    assert re.fullmatch(r"\(0\d\d\) \d{3}-\d{4} and \+1\d \d{3} \d{4} \d", got[4])
+
+
 def test_pii_settles_where_a_shape_is_used_up(spark):
     letters = "abcdefghijklmnopqrstuvwxyz"
     mails = [f"{a}@{b}.co" for a in letters for b in letters]
