@@ -17,11 +17,12 @@ an empty table gives an empty one; other columns don't matter, whatever their na
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sieveline.llm.shared import written
@@ -31,6 +32,9 @@ WIDTH = 200
 GRAM = 32
 #: Suffixes that a task sorts in memory.
 BUCKET = 20_000
+#: Suffixes that Spark samples for each bucket to find the splitters. Each is some hundred bytes, and the driver gets three times as many: so few do,
+#: since a bucket may well be a third larger than another.
+SAMPLED = 20
 #: Segments that multikey quicksort leaves to a plain sort.
 _SMALL = 64
 #: Bytes of a text, and places in it, that are in memory at a time.
@@ -273,6 +277,17 @@ def _contexts(docs: DataFrame, needed: DataFrame, width: int, gram: int) -> Data
     return once.join(listed, ["h1", "h2"]).select("text", "places").mapInArrow(run, "gram long, ctx long, after binary, before binary")
 
 
+@contextmanager
+def _few_samples(spark: SparkSession) -> Iterator[None]:
+    name = "spark.sql.execution.rangeExchange.sampleSizePerPartition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(SAMPLED))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _reaches(docs: DataFrame, kept: DataFrame, width: int, gram: int, bucket: int) -> DataFrame:
     """gram, ctx and how far repeated strings reach around places with this context: a bytes before the place, b from it on."""
     classes = written(kept.groupBy("gram", "ctx").agg(F.sum("n").alias("n"), F.min(F.struct("h1", "h2", "first")).alias("one"), F.first("left").alias("left"), F.first("right").alias("right")))
@@ -281,9 +296,10 @@ def _reaches(docs: DataFrame, kept: DataFrame, width: int, gram: int, bucket: in
     needed = classes.join(several, "gram").select("gram", "ctx", "one.*")
     suffixes = written(_contexts(docs, needed, width, gram), 500)
     dealt = lambda df, *by: df.repartitionByRange(max(1, -(-df.count() // bucket)), *by)
-    found = written(_sorted_buckets(dealt(suffixes, "after", "before"), width, gram))
-    edges = found.where("low IS NOT NULL")
-    crossed = written(_across(dealt(edges, "gram", "before"), width, gram))
+    with _few_samples(docs.sparkSession):
+        found = written(_sorted_buckets(dealt(suffixes, "after", "before"), width, gram))
+        edges = found.where("low IS NOT NULL")
+        crossed = written(_across(dealt(edges, "gram", "before"), width, gram))
     strings = crossed.where("string IS NOT NULL").groupBy("string").agg(F.sum("n").alias("n"), F.collect_list(F.when(F.col("n") == 1, F.struct("gram", "ctx", "a", "b"))).alias("of"))
     met = strings.where("n > 1").select(F.explode("of").alias("x")).select("x.*")
     reach = whole.unionByName(found.where("low IS NULL").select("gram", "ctx", "a", "b")).unionByName(crossed.where("string IS NULL").select("gram", "ctx", "a", "b")).unionByName(met)
