@@ -13,8 +13,9 @@ positives (some 2 % of the n-grams asked for and not there) can add to it.
 Building: triples are counted for each chunk of tokens and dealt to shards by the hash of their first pair, which gives that pair's count
 too; words are dealt by their own hash. A shard merges its n-grams and sets the bits of its own segment of the filter, so that nobody
 holds all n-grams. A segment has BITS_EACH bits for each entry, whatever the corpus. A filter of at most MAX_BITS is broadcast. A larger
-one stays where it is: the n-grams of the texts to be scored are dealt to the segments, and their levels go back to the texts; the scores
-are the same.
+one stays where it is: texts are put into chunks, a chunk's distinct n-grams go to the segments (a pair once, in 4 bytes, with 4 bytes for
+each word that follows it), a byte for each level comes back, and the texts, kept compressed, are read again for the places of their
+n-grams. The scores are the same.
 
 The base score needs exact counts of every word. At most FREQUENT words, the most frequent ones, are broadcast; all other words of a
 text are joined with the table of counts.
@@ -24,18 +25,18 @@ spark.sql.shuffle.partitions. Within a shard pairs and triples go by 32 bits eac
 a false positive.
 
 Defined cases: null and empty text is one end token; null ids count as training text; repeated rows are counted and scored each; an
-empty table gives an empty result; with no training text counts are 0, N is 0 and V is 0. Other columns are not read, whatever their
-names.
+empty table gives an empty result; with no training text counts are 0, N is 0 and V is 0. Very long texts are read whole, each as a
+chunk of its own. Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
 
 import math
-import uuid
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +49,8 @@ AFTER_ONE, AFTER_TWO = 5.0, 1.0
 CHUNK = 1_000_000
 SHARD_BYTES = 2**24
 ARROW_ROWS = 500
+#: Characters of a chunk of texts whose n-grams are asked for together, and chunks of an Arrow batch.
+CHUNK_CHARACTERS, CHUNK_ROWS = 2**22, 8
 END = np.uint64(xxhash.xxh3_64_intdigest(b"\n"))  # no word holds a line feed
 _M1, _M2, _PAIR = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 _ONE, _LOW = np.uint64(1), np.uint64(0xFFFFFFFF)
@@ -175,11 +178,15 @@ def most_at(level: np.ndarray) -> np.ndarray:
     return np.exp2(level.astype(float)) - 1
 
 
-def segment(grams: np.ndarray, counts: np.ndarray, most_bits: int = 2**32 - 64) -> tuple[bytes, int, int]:
-    """A shard's bits, their number (a multiple of 64) and the number of probes an entry has."""
+def segment(grams: np.ndarray, counts: np.ndarray, most_bits: int | None = None) -> tuple[bytes, int, int]:
+    """A shard's bits, their number (a multiple of 64) and the number of probes an entry has. Only a caller who says so gets fewer bits."""
     level = levels(counts)
     entries = int(level.sum())
-    bits = min(max(LEAST_BITS, -(-BITS_EACH * entries // 64) * 64), most_bits)
+    bits = max(LEAST_BITS, -(-BITS_EACH * entries // 64) * 64)
+    if most_bits:
+        bits = min(bits, most_bits)
+    if bits >= 2**32:
+        raise ValueError(f"{entries} entries are too many for one segment; make SHARD_BYTES smaller")
     probes = max(1, min(4, round(bits / max(entries, 1) * math.log(2))))
     held = np.zeros(bits, bool)
     for j in range(1, int(level.max(initial=0)) + 1):
@@ -294,48 +301,120 @@ def least_frequent(shards: DataFrame, most: int) -> int:
 
 
 _SCORED = "doc_id long, n_tokens long, n_known long, base_score double, score double, rare array<long>, rare_n array<long>"
-#: Rows of texts have a chunk and, for each token, the places of its word, pair (before the first that of START), history and triple among
-#: the chunk's n-grams; rows of n-grams a shard.
-_PLACES = ("words_at", "pairs_at", "histories_at", "triples_at")
-_DEALT = ", chunk binary, shard int, grams binary, " + ", ".join(f"{p} binary" for p in _PLACES)
+_ASKED = ("words", "pairs", "followers", "followed")
+_LEVELS = ("words", "pairs", "histories", "triples")
 
 
-def _asked(chunk: bytes, home: np.ndarray, grams: np.ndarray, shards: int) -> pa.RecordBatch:
-    """A row for each shard that has n-grams of a chunk; they are in the order of the hashes by which they are dealt, so shards are runs."""
-    shard = shard_of(home, shards)
-    found, starts = np.unique(shard, return_index=True)
-    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()), ("rare", pa.list_(pa.int64())), ("rare_n", pa.list_(pa.int64())), ("chunk", pa.binary()), ("shard", pa.int32()), ("grams", pa.binary()), *[(p, pa.binary()) for p in _PLACES]])
-    own = {"chunk": pa.array([chunk] * len(found), pa.binary()), "shard": pa.array(found, pa.int32()), "grams": pa.array([x.tobytes() for x in np.split(grams, starts[1:])], pa.binary())}
-    return pa.RecordBatch.from_arrays([own.get(f.name, pa.nulls(len(found), f.type)) for f in schema], schema=schema)
+def _chunked(batches):
+    """Rows of chunks: the ids, the sizes and, compressed, the texts of some documents."""
 
+    def made(ids, texts):
+        raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([ids], pa.list_(pa.int64())), pa.array([list(map(len, raw))], pa.list_(pa.int64())), pa.array([zstandard.compress(b"".join(raw))], pa.binary())], ["doc_ids", "sizes", "texts"]
+        )
 
-def _probed(asked: pa.Table, held: pa.Table) -> pa.Table:
-    """The levels, a byte each, of the n-grams that chunks ask a shard for; 0 where the shard has no segment."""
-    made = Filter([(0, held.column("bits")[0].as_py(), held.column("probes")[0].as_py(), held.column("held")[0].as_py())], 1) if held.num_rows else None
-    out = []
-    for k in range(0, asked.num_rows, 500):
-        each = [np.frombuffer(x.as_py(), np.uint64) for x in asked.column("grams").slice(k, 500)]
+    ids, texts, size = [], [], 0
+    for batch in batches:
+        for doc_id, text in zip(batch.column(0), batch.column(1)):
+            ids.append(doc_id.as_py())
+            texts.append(text.as_py() or "")
+            size += len(texts[-1])
+            if size >= CHUNK_CHARACTERS:
+                yield made(ids, texts)
+                ids, texts, size = [], [], 0
+    if ids:
+        yield made(ids, texts)
+
+
+def _texts_of(sizes: list[int], texts: bytes) -> list[str]:
+    raw, ends = zstandard.decompress(texts), np.cumsum(sizes).tolist()
+    return [raw[end - n : end].decode("utf-8", "surrogatepass") for n, end in zip(sizes, ends)]
+
+
+class Grams:
+    """The distinct words, pairs and triples of a chunk, in the order of the hashes by which they are dealt, so that shards are runs; and
+    for each token their places."""
+
+    def __init__(self, each: list[np.ndarray]):
         flat = np.concatenate(each)
-        level = (made.level(flat, made.shard(flat)) if made else np.zeros(len(flat))).astype(np.uint8)
-        out += [x.tobytes() for x in np.split(level, np.cumsum([len(x) for x in each])[:-1])]
-    return pa.table({"chunk": asked.column("chunk"), "shard": asked.column("shard"), "levels": pa.array(out, pa.binary())})
-
-
-def _summed(below: float):
-    def run(texts: pa.Table, found: pa.Table) -> pa.Table:
-        out = []
-        if texts.num_rows:
-            levels_ = found.sort_by("shard").column("levels")
-            level = np.concatenate([np.frombuffer(x.as_py(), np.uint8) for x in levels_]).astype(np.int64)
-            for row in zip(*[texts.column(p) for p in _PLACES]):
-                word, both, history, triple = (level[np.frombuffer(x.as_py(), np.int32)] for x in row)
-                history = np.where(both[:-1] > 1, history, 0)
-                out.append(log_probability(word, np.roll(word, 1), both[1:], history, triple, below).sum())  # the last token is END, which the first follows
-        return pa.table({"row": texts.column("row"), "score": pa.array(out, pa.float64())})
+        self.words, self.word_at = np.unique(flat, return_inverse=True)
+        pair = pairs(before(each, flat, END), flat)
+        self.pairs, at = np.unique(np.append(pair, START), return_inverse=True)
+        self.pair_at, start = at[:-1], at[-1]
+        self.first_at = before(each, self.pair_at, start)
+        word = mixed(self.pairs[self.first_at] * _M2 + flat) >> _HALF
+        self.triples, self.triple_at = np.unique(self.first_at.astype(np.uint64) << _HALF | word, return_inverse=True)
+
+    def asked(self, chunk: int, shards: int) -> pa.RecordBatch:
+        """A row for each shard that has some of them: words, pairs, and for each pair how many words follow it, and which."""
+        of_word, of_pair = shard_of(self.words, shards), shard_of(self.pairs, shards)
+        found = np.union1d(of_word, of_pair)
+        of_triple = (self.triples >> _HALF).astype(np.int64)
+        followers = np.bincount(of_triple, minlength=len(self.pairs)).astype(np.uint32)
+        cut = lambda x, at: [part.tobytes() for part in np.split(x, at[1:])]
+        of_pairs = np.searchsorted(of_pair, found)
+        parts = (cut(self.words, np.searchsorted(of_word, found)), cut(pair_keys(self.pairs, shards).astype(np.uint32), of_pairs), cut(followers, of_pairs), cut((self.triples & _LOW).astype(np.uint32), np.searchsorted(of_triple, of_pairs)))
+        return pa.RecordBatch.from_arrays([pa.array([chunk] * len(found), pa.int64()), pa.array(found, pa.int32()), *[pa.array(x, pa.binary()) for x in parts]], ["chunk", "shard", *_ASKED])
+
+
+def _asker(shards: int):
+    def run(batches):
+        hashes = WordHashes()
+        for batch in batches:
+            for chunk, sizes, texts in zip(*map(batch.column, range(3))):
+                each = [tokens(t, hashes) for t in _texts_of(sizes.as_py(), texts.as_py())]
+                yield Grams(each).asked(chunk.as_py(), shards)
 
     return run
 
 
+def _probed(asked: pa.Table, held: pa.Table) -> pa.Table:
+    """The levels, a byte each, of the n-grams that chunks ask a shard for; 0 where the shard has no segment."""
+    made = Filter([(0, held.column("bits")[0].as_py(), held.column("probes")[0].as_py(), held.column("held")[0].as_py())], 1) if held.num_rows else None
+    level = lambda grams: (made.level(grams, np.zeros(len(grams), np.int64)) if made else np.zeros(len(grams))).astype(np.uint8)
+    out: dict[str, list[bytes]] = {name: [] for name in _LEVELS}
+    for words, keys, followers, followed in zip(*[asked.column(name) for name in _ASKED]):
+        key = np.frombuffer(keys.as_py(), np.uint32).astype(np.uint64)
+        both, history = level(pair_grams(key)), np.zeros(len(key), np.uint8)
+        some = np.flatnonzero(both > 1)  # only a pair that occurs again begins a triple that is kept
+        history[some] = level(history_grams(key[some]))
+        of = np.repeat(np.arange(len(key)), np.frombuffer(followers.as_py(), np.uint32))
+        triple = np.zeros(len(of), np.uint8)
+        some = np.flatnonzero(history[of] > 0)
+        triple[some] = level(triple_grams(key[of[some]] << _HALF | np.frombuffer(followed.as_py(), np.uint32)[some].astype(np.uint64)))
+        for name, x in zip(_LEVELS, (level(singles(np.frombuffer(words.as_py(), np.uint64))), both, history, triple)):
+            out[name].append(x.tobytes())
+    return pa.table({"chunk": asked.column("chunk"), "shard": asked.column("shard"), **{name: pa.array(x, pa.binary()) for name, x in out.items()}})
+
+
+def _by_levels(grams: Grams, found: pa.Table, below: float) -> np.ndarray:
+    """log10 of each token's probability after the tokens before it, from the levels that came back."""
+    found = found.sort_by("shard")
+    word, both, history, triple = (np.concatenate([np.frombuffer(x.as_py(), np.uint8) for x in found.column(name)]).astype(np.int64) for name in _LEVELS)
+    word = word[grams.word_at]
+    # the last token is END, which the first follows
+    return log_probability(word, np.roll(word, 1), both[grams.pair_at], history[grams.first_at], triple[grams.triple_at], below)
+
+
+def _rows(ids: pa.Array, each: list[np.ndarray], top_words: np.ndarray, top_counts: np.ndarray, below: float, model) -> pa.RecordBatch:
+    """What is known of some texts from the frequent words, their rare words, and the sums of `model`, by token."""
+    flat = np.concatenate(each)
+    size = np.array(list(map(len, each)))
+    doc = np.repeat(np.arange(len(each)), size)
+    words, inverse = np.unique(flat, return_inverse=True)
+    c = _counts_of(words, top_words, top_counts)
+    log_c = np.log10((c + 0.5) / below)[inverse]
+    seen = (c > 0)[inverse]
+    base = np.bincount(doc[seen], log_c[seen], len(each)).astype(float)
+    rare = [np.unique(flat[x:y][~seen[x:y]], return_counts=True) for x, y in zip(np.cumsum(size) - size, np.cumsum(size))]
+    return pa.RecordBatch.from_pydict({
+        "doc_id": ids, "n_tokens": pa.array(size, pa.int64()), "n_known": pa.array(np.bincount(doc[seen], minlength=len(each)), pa.int64()),
+        "base_score": pa.array(base), "score": pa.array(np.bincount(doc, model(flat, words, inverse), len(each)), pa.float64()),
+        "rare": pa.array([r.view(np.int64) for r, _ in rare], pa.list_(pa.int64())), "rare_n": pa.array([n for _, n in rare], pa.list_(pa.int64())),
+    })
+
+
 def score(docs: DataFrame, train=None, max_bits: int = MAX_BITS, frequent: int = FREQUENT) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score of each row; `train` says which rows to learn from (default all).
 
@@ -360,52 +439,24 @@ def score(docs: DataFrame, train=None, max_bits: int = MAX_BITS, frequent: int =
         for batch in batches:
             for a, b in _spans([len(t.as_py() or "") for t in batch.column(1)]):
                 each = [tokens(t.as_py(), hashes) for t in batch.column(1).slice(a, b - a)]
-                flat = np.concatenate(each)
-                size = np.array(list(map(len, each)))
-                doc = np.repeat(np.arange(len(each)), size)
-                words, inverse = np.unique(flat, return_inverse=True)
-                c = _counts_of(words, top_words, top_counts)
-                log_c = np.log10((c + 0.5) / below)[inverse]
-                seen = (c > 0)[inverse]
-                base = np.bincount(doc[seen], log_c[seen], len(each)).astype(float)
-                rare = [np.unique(flat[x:y][~seen[x:y]], return_counts=True) for x, y in zip(np.cumsum(size) - size, np.cumsum(size))]
-                inverse = inverse.ravel()
-                model, dealt = None, {}
-                if made is not None:
-                    model = np.bincount(doc, _by_filter(made, each, flat, words, inverse, below), len(each))
-                else:
-                    chunk = uuid.uuid4().bytes
-                    pair = pairs(before(each, flat, END), flat)
-                    first = before(each, pair, START)
-                    both, pair_at = np.unique(np.append(pair, START), return_inverse=True)
-                    history_at = before(each, pair_at.ravel()[:-1], pair_at.ravel()[-1])
-                    three, one, triple_at = np.unique(triple_keys(first, flat, n_shards), return_index=True, return_inverse=True)
-                    keys = pair_keys(both, n_shards)
-                    home = np.concatenate([words, both, both, first[one]])
-                    grams = np.concatenate([singles(words), pair_grams(keys), history_grams(keys), triple_grams(three)])
-                    order = np.argsort(home, kind="stable")
-                    at = np.empty(len(order), np.int32)
-                    at[order] = np.arange(len(order))
-                    at_words, at_pairs, at_histories, at_triples = np.split(at, np.cumsum([len(words), len(both), len(both)]))
-                    dealt = {"chunk": pa.array([chunk] * len(each), pa.binary()), "shard": pa.nulls(len(each), pa.int32()), "grams": pa.nulls(len(each), pa.binary())}
-                    with_start = np.insert(at_pairs[pair_at.ravel()[:-1]], np.cumsum(size) - size, at_pairs[pair_at.ravel()[-1]])
-                    each_at = (at_words[inverse], with_start, at_histories[history_at], at_triples[triple_at.ravel()])
-                    for name, places_, more in zip(_PLACES, each_at, (0, 1, 0, 0)):
-                        dealt[name] = pa.array([x.tobytes() for x in np.split(places_, np.cumsum(size + more)[:-1])], pa.binary())
-                    yield _asked(chunk, home[order], grams[order], n_shards)
-                yield pa.RecordBatch.from_pydict({
-                    "doc_id": batch.column(0).slice(a, b - a), "n_tokens": pa.array(size, pa.int64()), "n_known": pa.array(np.bincount(doc[seen], minlength=len(each)), pa.int64()),
-                    "base_score": pa.array(base), "score": pa.array(model) if model is not None else pa.nulls(len(each), pa.float64()), "rare": pa.array([r.view(np.int64) for r, _ in rare], pa.list_(pa.int64())), "rare_n": pa.array([n for _, n in rare], pa.list_(pa.int64())), **dealt,
-                })
-
-    scored = docs.mapInArrow(run, _SCORED if made is not None else _SCORED + _DEALT)
-    scored = written(scored.withColumn("row", F.monotonically_increasing_id()), ARROW_ROWS)
-    if made is None:
-        asked = scored.where("shard is not null").select("chunk", "shard", "grams").groupBy("shard")
-        found = asked.cogroup(segments.groupBy("shard")).applyInArrow(_probed, "chunk binary, shard int, levels binary")
-        scored = scored.where("shard is null")
-        model = scored.select("chunk", "row", *_PLACES).groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(_summed(below), "row long, score double")
-        scored = scored.drop("score").join(model, "row")
+                yield _rows(batch.column(0).slice(a, b - a), each, top_words, top_counts, below, lambda flat, words, inverse: _by_filter(made, each, flat, words, inverse, below))
+
+    def summed(chunk: pa.Table, found: pa.Table) -> pa.Table:
+        top_words, top_counts, _ = sent.value
+        hashes = WordHashes()
+        each = [tokens(t, hashes) for t in _texts_of(chunk.column("sizes")[0].as_py(), chunk.column("texts")[0].as_py())]
+        ids = pa.array(chunk.column("doc_ids")[0].as_py(), pa.int64())
+        return pa.Table.from_batches([_rows(ids, each, top_words, top_counts, below, lambda *_: _by_levels(Grams(each), found, below))])
+
+    if made is not None:
+        scored = docs.mapInArrow(run, _SCORED)
+    else:
+        chunks = docs.mapInArrow(_chunked, "doc_ids array<long>, sizes array<long>, texts binary").withColumn("chunk", F.monotonically_increasing_id())
+        chunks = written(chunks, ARROW_ROWS)
+        asked = chunks.select("chunk", "sizes", "texts").mapInArrow(_asker(n_shards), "chunk long, shard int, " + ", ".join(f"{x} binary" for x in _ASKED))
+        found = asked.groupBy("shard").cogroup(segments.groupBy("shard")).applyInArrow(_probed, "chunk long, shard int, " + ", ".join(f"{x} binary" for x in _LEVELS))
+        scored = chunks.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(summed, _SCORED)
+    scored = written(scored.withColumn("row", F.monotonically_increasing_id()), ARROW_ROWS if made is not None else CHUNK_ROWS)
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.rare_n").alias("n"))
     counts = shards.select("words", "counts").mapInArrow(_unpacked(0), "word long, c long").where(F.col("c") < least)
     each = rare.join(counts, "word", "left").select("row", "n", F.coalesce("c", F.lit(0)).alias("c"))
