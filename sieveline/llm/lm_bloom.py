@@ -51,12 +51,33 @@ SHARD_BYTES = 2**24
 ARROW_ROWS = 500
 #: Characters of a chunk of texts whose n-grams are asked for together, and chunks of an Arrow batch.
 CHUNK_CHARACTERS, CHUNK_ROWS = 2**22, 8
+#: Rows of what chunks ask a shard for that are answered at a time.
+ASKED_ROWS = 50
 END = np.uint64(xxhash.xxh3_64_intdigest(b"\n"))  # no word holds a line feed
 _M1, _M2, _PAIR = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 _ONE, _LOW = np.uint64(1), np.uint64(0xFFFFFFFF)
 _HALF = np.uint64(32)
 
 
+_squeeze, _restore = zstandard.ZstdCompressor(level=1, write_checksum=False).compress, zstandard.ZstdDecompressor().decompress
+
+
+def squeezed(x: np.ndarray, ascending: bool = False) -> bytes:
+    """Integers as compressed bytes, those of equal weight together; ascending ones by their differences."""
+    if not len(x):
+        return b""
+    if ascending:
+        x = np.diff(x, prepend=x.dtype.type(0))
+    return _squeeze(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes())
+
+
+def restored(data: bytes, kind: type, ascending: bool = False) -> np.ndarray:
+    if not data:
+        return np.zeros(0, kind)
+    x = np.ascontiguousarray(np.frombuffer(_restore(data), np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+    return np.cumsum(x, dtype=kind) if ascending else x
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(30))) * _M1
     h = (h ^ (h >> np.uint64(27))) * _M2
@@ -134,7 +155,7 @@ def _packer(shards: int):
             for shard, part in zip(which.tolist(), np.split(keys, starts[1:])):
                 found, n = np.unique(part, return_counts=True)
                 row = made.setdefault(shard, [b"", b"", b"", b""])
-                row[k], row[k + 1] = found.tobytes(), n.astype(np.uint32).tobytes()
+                row[k], row[k + 1] = squeezed(found, True), squeezed(n.astype(np.uint32))
         columns = zip(*made.values())
         return pa.RecordBatch.from_arrays([pa.array(list(made), pa.int32()), *[pa.array(list(c), pa.binary()) for c in columns]], ["shard", "words", "word_counts", "triples", "triple_counts"])
 
@@ -154,8 +175,8 @@ def _packer(shards: int):
 
 
 def _merged(keys: pa.ChunkedArray, counts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    k = np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in keys])
-    n = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in counts])
+    k = np.concatenate([restored(x.as_py(), np.uint64, True) for x in keys])
+    n = np.concatenate([restored(x.as_py(), np.uint32) for x in counts])
     if not len(k):
         return k, n.astype(np.int64)
     order = np.argsort(k, kind="stable")
@@ -302,6 +323,7 @@ def least_frequent(shards: DataFrame, most: int) -> int:
 
 _SCORED = "doc_id long, n_tokens long, n_known long, base_score double, score double, rare array<long>, rare_n array<long>"
 _ASKED = ("words", "pairs", "followers", "followed")
+_ASKED_AS = tuple(zip(_ASKED, (np.uint64, np.uint32, np.uint32, np.uint32), (True, True, False, False)))
 _LEVELS = ("words", "pairs", "histories", "triples")
 
 
@@ -352,9 +374,9 @@ class Grams:
         found = np.union1d(of_word, of_pair)
         of_triple = (self.triples >> _HALF).astype(np.int64)
         followers = np.bincount(of_triple, minlength=len(self.pairs)).astype(np.uint32)
-        cut = lambda x, at: [part.tobytes() for part in np.split(x, at[1:])]
+        cut = lambda x, at, ascending=False: [squeezed(part, ascending) for part in np.split(x, at[1:])]
         of_pairs = np.searchsorted(of_pair, found)
-        parts = (cut(self.words, np.searchsorted(of_word, found)), cut(pair_keys(self.pairs, shards).astype(np.uint32), of_pairs), cut(followers, of_pairs), cut((self.triples & _LOW).astype(np.uint32), np.searchsorted(of_triple, of_pairs)))
+        parts = (cut(self.words, np.searchsorted(of_word, found), True), cut(pair_keys(self.pairs, shards).astype(np.uint32), of_pairs, True), cut(followers, of_pairs), cut((self.triples & _LOW).astype(np.uint32), np.searchsorted(of_triple, of_pairs)))
         return pa.RecordBatch.from_arrays([pa.array([chunk] * len(found), pa.int64()), pa.array(found, pa.int32()), *[pa.array(x, pa.binary()) for x in parts]], ["chunk", "shard", *_ASKED])
 
 
@@ -374,24 +396,26 @@ def _probed(asked: pa.Table, held: pa.Table) -> pa.Table:
     made = Filter([(0, held.column("bits")[0].as_py(), held.column("probes")[0].as_py(), held.column("held")[0].as_py())], 1) if held.num_rows else None
     level = lambda grams: (made.level(grams, np.zeros(len(grams), np.int64)) if made else np.zeros(len(grams))).astype(np.uint8)
     out: dict[str, list[bytes]] = {name: [] for name in _LEVELS}
-    for words, keys, followers, followed in zip(*[asked.column(name) for name in _ASKED]):
-        key = np.frombuffer(keys.as_py(), np.uint32).astype(np.uint64)
+    for k in range(0, asked.num_rows, ASKED_ROWS):  # many short arrays at a time
+        each = [[restored(x.as_py(), kind, rises) for x in asked.column(name).slice(k, ASKED_ROWS)] for name, kind, rises in _ASKED_AS]
+        words, key, followers, followed = map(np.concatenate, each)
+        key = key.astype(np.uint64)
         both, history = level(pair_grams(key)), np.zeros(len(key), np.uint8)
         some = np.flatnonzero(both > 1)  # only a pair that occurs again begins a triple that is kept
         history[some] = level(history_grams(key[some]))
-        of = np.repeat(np.arange(len(key)), np.frombuffer(followers.as_py(), np.uint32))
+        of = np.repeat(np.arange(len(key)), followers)
         triple = np.zeros(len(of), np.uint8)
         some = np.flatnonzero(history[of] > 0)
-        triple[some] = level(triple_grams(key[of[some]] << _HALF | np.frombuffer(followed.as_py(), np.uint32)[some].astype(np.uint64)))
-        for name, x in zip(_LEVELS, (level(singles(np.frombuffer(words.as_py(), np.uint64))), both, history, triple)):
-            out[name].append(x.tobytes())
+        triple[some] = level(triple_grams(key[of[some]] << _HALF | followed[some].astype(np.uint64)))
+        for name, x, like in zip(_LEVELS, (level(singles(words)), both, history, triple), (each[0], each[1], each[1], each[3])):
+            out[name] += [squeezed(part) for part in np.split(x, np.cumsum(list(map(len, like)))[:-1])]
     return pa.table({"chunk": asked.column("chunk"), "shard": asked.column("shard"), **{name: pa.array(x, pa.binary()) for name, x in out.items()}})
 
 
 def _by_levels(grams: Grams, found: pa.Table, below: float) -> np.ndarray:
     """log10 of each token's probability after the tokens before it, from the levels that came back."""
     found = found.sort_by("shard")
-    word, both, history, triple = (np.concatenate([np.frombuffer(x.as_py(), np.uint8) for x in found.column(name)]).astype(np.int64) for name in _LEVELS)
+    word, both, history, triple = (np.concatenate([restored(x.as_py(), np.uint8) for x in found.column(name)]).astype(np.int64) for name in _LEVELS)
     word = word[grams.word_at]
     # the last token is END, which the first follows
     return log_probability(word, np.roll(word, 1), both[grams.pair_at], history[grams.first_at], triple[grams.triple_at], below)
