@@ -6,16 +6,16 @@ the toxic segments save. From the differences of all windows of a document come
 counts at several thresholds), which a logistic calibration on training documents held back from the dictionaries turns into a
 probability.
 
-Labels mark whole documents, most of whose text is ordinary. The toxic dictionary is therefore trained on the words that are
-over-represented in toxic documents and not on whole windows of them, which were tried and find far less (see the README): toxic phrases
-of ordinary words, and words that the choice misses, save nothing. A word's evidence is a likelihood-ratio test on the different
-contexts (the word with its neighbours) in which documents first have it: copies of a document give one context, not many, and a
-rarer language's words need no share of all toxic documents. A word that a tenth of the toxic documents hold may also stand in few
-contexts, as where all of them repeat one sentence.
+Labels mark whole documents, most of whose text is ordinary. The toxic dictionary is therefore trained on windows of one or two words
+that are over-represented in toxic documents and not on all of their text; windows chosen by what they save instead were tried and find
+less (see the README). A window's evidence is a likelihood-ratio test on the different contexts (the window with its neighbours) in which
+documents first have it: copies of a document give one context, not many, and a rarer language's words need no share of all toxic
+documents. What a tenth of the toxic documents hold may also stand in few contexts, as where all of them repeat one sentence. Two
+ordinary words count together where neither counts alone. All settings were chosen by cross-validation inside the training rows.
 
 The training sample is bounded in rows, all of whole texts: at most SAMPLE labelled documents, drawn by a hash of doc_id, as many of
-them, in that order, as have SAMPLE_BYTES together (one at least); the ordinary dictionary is trained on the first ORDINARY_DOCUMENTS
-ordinary ones. Scoring reads every word of every text.
+them, in that order, as have SAMPLE_BYTES together (one at least). The ordinary dictionary is trained on at most ORDINARY_WINDOWS windows,
+taken evenly from all ordinary documents of the sample. Scoring reads every word of every text.
 
 Defined cases: null and empty text has one empty window and is scored as such; null ids are scored but never held out nor learned
 from; repeated rows give a row each; without both labels in the sample every score is the share of toxic labels found (0 without any);
@@ -37,13 +37,18 @@ from pyspark.sql import functions as F
 
 from sieveline.llm.shared import words_of, written
 
-SAMPLE, SAMPLE_BYTES = 6000, 2**28
+SAMPLE, SAMPLE_BYTES = 6000, 2**25
 WINDOW, ORDINARY_BYTES, TOXIC_BYTES, CONTEXT_WORDS = 4, 32_768, 8192, 3
-ORDINARY_DOCUMENTS = 500
-#: Over-represented: twice the log of the likelihood ratio; by chance one word in 3e8 passes 35, so that vocabularies of a million are safe.
-EVIDENCE = 35.0
+#: The ordinary dictionary is trained on so many windows at most, taken evenly from all ordinary documents of the sample.
+ORDINARY_WINDOWS = 60_000
+#: Words of the longest phrase that may be marked.
+PHRASE = 2
+#: Over-represented: twice the log of the likelihood ratio; by chance one window in three million passes 25.
+EVIDENCE = 25.0
 #: Whatever the contexts: in at least so many toxic documents and this share of them, with at least this log ratio of shares of documents.
 LEAST_DOCUMENTS, COMMON_SHARE, LOG_RATIO = 3, 0.1, 2.5
+#: Of the drawn order, one document in so many calibrates and teaches no dictionary.
+CALIBRATING = 4
 #: Thresholds on the bytes that a window saves.
 SAVED = (1, 2, 3, 4, 5)
 _ZSTD = {"strategy": zstandard.STRATEGY_BTLAZY2, "min_match": 4, "search_log": 5, "window_log": 16, "hash_log": 15, "chain_log": 16, "write_content_size": False, "write_checksum": False, "write_dict_id": False}
@@ -119,39 +124,56 @@ class Scorer:
         return [top[0], largest(3), largest(max(1, n // 20)), sum(d * m for d, m in saved.items()) / n, *[x / n for x in over], *[math.log1p(x) for x in over[1:]], math.log(n)]
 
 
+def units(words: Sequence[bytes]) -> Iterator[tuple[bytes, tuple[bytes, bytes]]]:
+    """Runs of 1 to PHRASE words, each with its two neighbours."""
+    for width in range(1, PHRASE + 1):
+        for k in range(len(words) - width + 1):
+            end = k + width
+            yield b" ".join(words[k:end]), (words[k - 1] if k else b"", words[end] if end < len(words) else b"")
+
+
 def over_represented(each: Sequence[list[bytes]], y: Sequence[int]) -> set[bytes]:
-    """Words that toxic documents have in more contexts, or far more often, than their share of all documents explains."""
+    """Words and phrases that toxic documents have in more contexts, or far more often, than their share of all documents explains."""
     holding: tuple[Counter, Counter] = (Counter(), Counter())
-    contexts: tuple[set, set] = (set(), set())
+    contexts: tuple[Counter, Counter] = (Counter(), Counter())
+    # what no toxic document holds can't be marked
+    seen: set[bytes] = {u for words, label in zip(each, y) if label for u, _ in units(words)}
+    known: set[int] = set()
     for words, label in zip(each, y):
-        first: dict[bytes, int] = {}
-        for k, w in enumerate(words):
-            first.setdefault(w, k)
+        first: dict[bytes, tuple[bytes, bytes]] = {}
+        for u, sides in units(words):
+            if u in seen:
+                first.setdefault(u, sides)
         holding[label].update(first.keys())
-        contexts[label].update((words[k - 1] if k else b"", w, words[k + 1] if k + 1 < len(words) else b"") for w, k in first.items())
-    plain, toxic = (Counter(w for _, w, _ in side) for side in contexts)
+        for u, sides in first.items():
+            context = hash((label, u, sides))
+            if context not in known:
+                known.add(context)
+                contexts[label][u] += 1
+    plain, toxic = contexts
     n = [list(y).count(0), list(y).count(1)]
     share, least = n[1] / len(y), max(LEAST_DOCUMENTS, COMMON_SHARE * n[1])
 
-    def evident(w: bytes) -> bool:
-        here, k, m = toxic[w] / (toxic[w] + plain[w]), toxic[w], plain[w]
+    def evident(u: bytes) -> bool:
+        here, k, m = toxic[u] / (toxic[u] + plain[u]), toxic[u], plain[u]
         return here > share and 2 * (k * math.log(here / share) + (m * math.log((1 - here) / (1 - share)) if m else 0)) > EVIDENCE
 
-    def common(w: bytes) -> bool:
-        return holding[1][w] >= least and math.log((holding[1][w] + 0.5) / (n[1] + 1)) - math.log((holding[0][w] + 0.5) / (n[0] + 1)) > LOG_RATIO
+    def common(u: bytes) -> bool:
+        return holding[1][u] >= least and math.log((holding[1][u] + 0.5) / (n[1] + 1)) - math.log((holding[0][u] + 0.5) / (n[0] + 1)) > LOG_RATIO
 
-    return {w for w in holding[1] if evident(w) or common(w)}
+    marked = {u for u in holding[1] if evident(u) or common(u)}
+    # a phrase around a marked word says nothing new
+    return {u for u in marked if b" " not in u or not any(w in marked for w in u.split())}
 
 
 def train_dictionaries(texts: Sequence[str], y: Sequence[int]) -> tuple[bytes, bytes]:
     """The contents of the ordinary and of the toxic dictionary."""
     each = [words_of(t) for t in texts]
     marked = over_represented(each, y)
-    plain_texts = [words for words, label in zip(each, y) if not label][:ORDINARY_DOCUMENTS]
-    ordinary = [w for words in plain_texts for w in windows(words, CONTEXT_WORDS)]
-    toxic = [b" " + w + b" " for words, label in zip(each, y) if label for w in words if w in marked]
-    plain = _trained(ORDINARY_BYTES, ordinary)
-    return plain, _trained(TOXIC_BYTES, toxic * 3) + plain
+    plain = [w for words, label in zip(each, y) if not label for w in windows(words, CONTEXT_WORDS)]
+    toxic = [b" " + u + b" " for words, label in zip(each, y) if label for u, _ in units(words) if u in marked]
+    base = _trained(ORDINARY_BYTES, plain[:: max(1, -(-len(plain) // ORDINARY_WINDOWS))])
+    return base, _trained(TOXIC_BYTES, toxic * 3) + base
 
 
 def _trained(size: int, samples: list[bytes]) -> bytes:
@@ -176,7 +198,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def fit(sample: Sequence[tuple[str, int]]) -> Model:
     texts, y = [t for t, _ in sample], [int(v > 0) for _, v in sample]
     base = sum(y) / len(y) if y else 0.0
-    back = [k % 3 == 0 for k in range(len(y))]  # of the drawn order, every third calibrates
+    back = [k % CALIBRATING == 0 for k in range(len(y))]
     parts = [[v for v, b in zip(y, back) if b is side] for side in (False, True)]
     if any(len(set(p)) < 2 for p in parts):
         return Model(b"", b"", np.zeros((2, 1)), np.zeros(1), base)

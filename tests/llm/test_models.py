@@ -207,6 +207,78 @@ def test_toxic_words_of_a_rare_language_count_and_copies_do_not():
     assert marked == {b"gowk", b"tonto"}
 
 
+def test_toxic_phrases_of_ordinary_words_are_marked_and_found():
+    """Each word is as frequent in ordinary texts; only the pair of them is toxic."""
+    rng = np.random.default_rng(8)
+    filler = ["".join(rng.choice(list("abcdefghijklmnop"), 7)) for _ in range(400)]
+
+    def text(*more):
+        w = list(rng.choice(filler, 12))
+        return " ".join([more[0], *w[:6], *more[1:], *w[6:]])
+
+    plain = [text("harvest", "lantern") if k % 2 else text("lantern", "harvest") for k in range(900)]
+    foul = [text(rng.choice(filler), "lantern", "harvest") for _ in range(120)]
+    texts, y = plain + foul, [0] * len(plain) + [1] * len(foul)
+    marked = toxicity.over_represented([t.encode().split() for t in texts], y)
+    assert b"lantern harvest" in marked and not {b"lantern", b"harvest"} & marked
+    scorer = toxicity.Scorer(*toxicity.train_dictionaries(texts, y))
+    assert scorer.features("lantern harvest")[0] > scorer.features("harvest lantern")[0]
+
+
+def test_choice_of_toxic_windows_by_brute_force():
+    """Every window's contexts and documents counted one by one, with the likelihoods themselves."""
+    rng = np.random.default_rng(10)
+    words = [w.encode() for w in "a b c d e f g h i j k l m n o p".split()]
+    for _ in range(6):
+        y = [int(v) for v in rng.random(160) < 0.25]
+        each = []
+        for v in y:
+            w = [words[k] for k in rng.integers(0, 12, rng.integers(0, 9))]
+            at = int(rng.integers(0, len(w) + 1))
+            each.append(w[:at] + ([b"o", b"p"] if v and rng.random() < 0.9 else [b"o", b"m", b"p"] if rng.random() < 0.5 else []) + w[at:])
+        found = {b" ".join(w[k : k + n]) for w in each for n in (1, 2) for k in range(len(w) - n + 1)}
+        share, total = sum(y) / len(y), [y.count(0), y.count(1)]
+
+        def is_marked(u):
+            contexts, documents, n = [set(), set()], [0, 0], u.count(b" ") + 1
+            for w, v in zip(each, y):
+                places = [k for k in range(len(w) - n + 1) if b" ".join(w[k : k + n]) == u]
+                if places:
+                    documents[v] += 1
+                    k = places[0]
+                    contexts[v].add((w[k - 1] if k else b"", w[k + n] if k + n < len(w) else b""))
+            m, k = map(len, contexts)
+            if not k:
+                return False
+            here = k / (k + m)
+            likely = lambda p: k * math.log(p) + (m * math.log(1 - p) if m else 0)
+            common = documents[1] >= max(toxicity.LEAST_DOCUMENTS, toxicity.COMMON_SHARE * total[1]) and math.log((documents[1] + 0.5) / (total[1] + 1) / ((documents[0] + 0.5) / (total[0] + 1))) > toxicity.LOG_RATIO
+            return here > share and 2 * (likely(here) - likely(share)) > toxicity.EVIDENCE or common
+
+        alone = {u for u in found if is_marked(u)}
+        want = {u for u in alone if b" " not in u or not any(w in alone for w in u.split())}
+        assert toxicity.over_represented(each, y) == want and b"o p" in want
+
+
+def test_calibration_is_the_best_fit():
+    """No small step from the fitted weights lowers the penalised loss, computed plainly."""
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(300, 3)) * [1, 5, 0.2]
+    y = (rng.random(300) < 1 / (1 + np.exp(-(x[:, 0] + 0.2 * x[:, 1] - 1)))).astype(float)
+    centre, weight = toxicity.fit_logistic(x, y)
+    z = np.c_[np.ones(300), (x - x.mean(0)) / x.std(0)]
+    penalty = np.array([1e-3, 1, 1, 1])
+
+    def loss(b):
+        return sum(math.log1p(math.exp(-t)) if v else math.log1p(math.exp(t)) for t, v in zip(z @ b, y)) + (penalty * b * b).sum() / 2
+
+    least = loss(weight)
+    for step in np.vstack([np.eye(4), -np.eye(4), rng.normal(size=(20, 4))]) * 0.01:
+        assert loss(weight + step) > least
+    model = toxicity.Model(b"", b"", centre, weight, 0.0)
+    assert np.allclose(toxicity.probability(model, x), 1 / (1 + np.exp(-(z @ weight))), atol=1e-6)
+
+
 def test_toxicity_features_by_brute_force():
     """Each feature from the compressed lengths of every single window, made anew."""
     rng = np.random.default_rng(6)
