@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sieveline.llm.shared import partitions, written
+from sieveline.llm.shared import join_by_key, partitions, written
 
 CURVES, DIMS, BITS = 6, 5, 8
 BLOCK, TILE = 512, 2**15
@@ -101,10 +101,11 @@ def entries(vectors: DataFrame, k: int, every: int) -> tuple[DataFrame, DataFram
 
     rows = fine.where(F.size("v") == width).mapInArrow(named, "entry binary, vec_id long, v array<double>")
     rows = written(rows)
-    few = rows.groupBy("entry").agg(F.min("vec_id").alias("vec_id"), F.max((F.col("vec_id") % every == 0).cast("int")).alias("asked"), F.count_distinct("vec_id").alias("n"))
+    few = rows.groupBy("entry").agg(F.min("vec_id").alias("vec_id"), F.max((F.col("vec_id") % every == 0).cast("int")).alias("asked"), F.count_distinct("vec_id").alias("n"), F.count("*").alias("rows"))
+    few = written(few)
     alone = few.where("n = 1").select("entry", F.array("vec_id").alias("ids"), "asked", "vec_id")
     # the smallest k + 1 ids of a shared vector: kept small within salted parts before they meet
-    shared = rows.select("entry", "vec_id").join(few.where("n > 1").select("entry"), "entry").distinct()
+    shared = join_by_key(rows.select("entry", "vec_id"), few.where("n > 1").select("entry", "rows"), ["entry"], "rows").distinct()
     part = Window.partitionBy("entry", "salt").orderBy("vec_id")
     least = shared.withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(64))).withColumn("nth", F.row_number().over(part)).where(F.col("nth") <= k + 1)
     several = least.groupBy("entry").agg(F.slice(F.array_sort(F.collect_list("vec_id")), 1, k + 1).alias("ids")).join(few.select("entry", "asked", "vec_id"), "entry")
@@ -301,11 +302,13 @@ def search(vectors: DataFrame, k: int = 5, every: int = 50, windows_only: bool =
         rest = in_tiles(visits, own, ["range", "tile"], n_asked, k, width)
         best = written(_best(best.select("query", "entry", "least", "score").union(rest), k))
     ids = found.select("entry", "ids")
-    queries = rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), F.col("entry").alias("query")).distinct()
+    queries = written(rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), F.col("entry").alias("query")).distinct())
     answers = best.join(ids, "entry").select("query", "score", F.explode("ids").alias("vec_id"))
     top = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     answers = answers.withColumn("nth", F.row_number().over(top)).where(F.col("nth") <= k + 1).select("query", "score", "vec_id")
-    paired = queries.join(answers, "query").where("query_id != vec_id")
+    # queries with one vector share its k + 1 answers and are not brought together for them
+    each = answers.groupBy("query").agg(F.collect_list(F.struct("score", "vec_id")).alias("held")).join(queries.groupBy("query").count(), "query")
+    paired = join_by_key(queries, written(each), ["query"], "count").select("query_id", F.inline("held")).where("query_id != vec_id")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return paired.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
