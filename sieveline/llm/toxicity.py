@@ -11,7 +11,8 @@ that are over-represented in toxic documents and not on all of their text; windo
 less (see the README). A window's evidence is a likelihood-ratio test on the different contexts (the window with its neighbours) in which
 documents first have it: copies of a document give one context, not many, and a rarer language's words need no share of all toxic
 documents. What a tenth of the toxic documents hold may also stand in few contexts, as where all of them repeat one sentence. Two
-ordinary words count together where neither counts alone. All settings were chosen by cross-validation inside the training rows.
+ordinary words count together where neither counts alone. EVIDENCE and CALIBRATING were chosen by
+cross-validation inside the training rows, the other settings of the choice in an earlier round by held-out rows (see the README).
 
 The training sample is bounded in rows, all of whole texts: at most SAMPLE labelled documents, drawn by a hash of doc_id, as many of
 them, in that order, as have SAMPLE_BYTES together (one at least). The ordinary dictionary is trained on at most ORDINARY_WINDOWS windows,
