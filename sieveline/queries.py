@@ -205,7 +205,7 @@ def _checksum_query(name: str, length: int, factor: int, add: int, test: Callabl
     sql = f"WITH n AS (SELECT o_orderkey, right({number}, {length}) AS value FROM orders) SELECT o_orderkey, value, {sql_test} AS ok FROM n"
 
     def checksum(spark, sf_dir):
-        value = F.expr(f"right(lpad(cast(o_orderkey * {factor}L + {add}L as string), greatest({length}, length(cast(o_orderkey * {factor}L + {add}L as string))), '0'), {length})")
+        value = F.expr(f"lpad(cast(o_orderkey * {factor}L + {add}L as string), {length}, '0')")  # cuts longer numbers behind, as in SQL
         return table(spark, sf_dir, "orders").select("o_orderkey", value.alias("value")).withColumn("ok", test(F.col("value")))
 
     checksum.__name__ = name
