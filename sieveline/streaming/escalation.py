@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from datetime import timedelta
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,33 +15,45 @@ from pyspark.sql.types import StructField, StructType
 _MICRO = timedelta(microseconds=1)
 
 
-def _summed(parts: list[pd.DataFrame]) -> pd.DataFrame:
-    return pd.concat(parts).groupby(["slot", "rank"], as_index=False).agg({"first": "min", "last": "max"})
+_NONE = np.empty(0, np.int64)
+_RUN = 1 << 32
 
 
-def _slots(chunks: Iterator[pd.DataFrame], width: int) -> pd.DataFrame:
-    """slot, rank, first and last time of each rank in each slot of `width` microseconds: what counts of any number of rows."""
-    parts: list[pd.DataFrame] = []
+def _summed(first: np.ndarray, last: np.ndarray, rank: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First time, last time and rank, one of each rank in each slot of `width` microseconds."""
+    slot = first // width
+    order = np.lexsort((rank, slot))
+    slot, rank = slot[order], rank[order]
+    cuts = np.flatnonzero(np.concatenate(([True], (slot[1:] != slot[:-1]) | (rank[1:] != rank[:-1]))))
+    return np.minimum.reduceat(first[order], cuts), np.maximum.reduceat(last[order], cuts), rank[cuts]
+
+
+def _slots(chunks: Iterator[pd.DataFrame], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First time, last time and rank of each rank in each slot: what counts of any number of rows. Arrays, since most keys have few rows and pandas takes milliseconds for each."""
+    parts: list[tuple[np.ndarray, ...]] = []
     for pdf in chunks:
-        parts.append(_summed([pd.DataFrame({"slot": pdf["us"] // width, "rank": pdf["rank"], "first": pdf["us"], "last": pdf["us"]})]))
+        if len(pdf):
+            us = pdf["us"].to_numpy()
+            parts.append(_summed(us, us, pdf["rank"].to_numpy().astype(np.int64), width))
         if len(parts) > 32:
-            parts = [_summed(parts)]
-    return _summed(parts)
+            parts = [_summed(*map(np.concatenate, zip(*parts)), width)]
+    if len(parts) > 1:
+        parts = [_summed(*map(np.concatenate, zip(*parts)), width)]
+    return parts[0] if parts else (_NONE, _NONE, _NONE)
 
 
-def rises(slots: pd.DataFrame, highest: int, last: int | None, forget: int) -> tuple[list[tuple[int, int, int]], int, int]:
+def rises(first: np.ndarray, end: np.ndarray, rank: np.ndarray, highest: int, last: int | None, forget: int) -> tuple[list[tuple[int, int, int]], int, int | None]:
     """(time, rank before, rank) of each rise, and the highest rank and the last time after all slots; a silence of more than `forget` begins anew."""
-    out = []
-    for _, slot in slots.groupby("slot", sort=True):
-        begin, end = int(slot["first"].min()), int(slot["last"].max())
-        if last is not None and begin - last > forget:
-            highest = 0
-        for at, rank in sorted(zip(slot["first"].tolist(), (-slot["rank"]).tolist())):
-            if -rank > highest:
-                out.append((at, highest, -rank))
-                highest = -rank
-        last = end if last is None else max(last, end)
-    return out, highest, last
+    if not len(first):
+        return [], highest, last
+    order = np.lexsort((-rank, first))
+    first, end, rank = first[order], end[order], rank[order]
+    latest = np.maximum.accumulate(np.concatenate(([first[0] if last is None else last], end)))
+    base = np.cumsum(first - latest[:-1] > forget) * _RUN  # apart for each run between silences, so that one maximum serves all
+    level = np.maximum.accumulate(np.concatenate(([highest], base + np.maximum(rank, 0))))
+    before = np.maximum(level[:-1], base) - base
+    up = np.flatnonzero(rank > before)
+    return list(zip(first[up].tolist(), before[up].tolist(), rank[up].tolist())), int(level[-1] - base[-1]), int(latest[-1])
 
 
 def escalations(stream: DataFrame, key: str, time: str, rank: str, forget: timedelta = timedelta(days=7), late: str = "1 hour") -> DataFrame:
@@ -60,7 +73,7 @@ def escalations(stream: DataFrame, key: str, time: str, rank: str, forget: timed
             state.remove()
             return
         highest, last = state.get if state.exists else (0, None)
-        found, highest, last = rises(_slots(chunks, width), highest, last, whole)
+        found, highest, last = rises(*_slots(chunks, width), highest, last, whole)
         state.update((highest, last))
         state.setTimeoutTimestamp(max((last + whole) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
         if found:
